@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.conversations import rebuilt_conversations
+from corpusloom.llm.packing import fill_containers
+from corpusloom.llm.repetition import record_texts, repeated_content
+from corpusloom.llm.tokenizer import count_tokens, encode_texts
 from corpusloom.queries import SQL_MESSAGES, SQL_WS
 from corpusloom.session import table
 
@@ -47,3 +50,31 @@ from shown where conversation_id in (select conversation_id from sound)""",
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered messages of the whole conversations with their roles."""
     return rebuilt_conversations(table(spark, sf_dir, "chat_messages"), table(spark, sf_dir, "chat_sources"))
+
+
+@query(
+    "p5_found",
+    r"""with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) - 1 as msg_no from conv_records),
+texts as (select rec_no, msg_no, 'content' as field, m.content as text from msgs union all select rec_no, msg_no, 'thought', m.thought from msgs),
+lists as (select rec_no, msg_no, field, regexp_extract_all(lower(text), '\p{L}+') as ws from texts where text <> ''),
+wins as (select rec_no, msg_no, field, len(ws) as n, i, list_aggregate(ws[i:i+4], 'string_agg', ' ') as g
+  from (select *, unnest(range(1, len(ws) - 3)) as i from lists where len(ws) >= 12)),
+again as (select * from (select *, row_number() over (partition by rec_no, msg_no, field, g order by i) as k from wins) where k > 1),
+hit as (select distinct rec_no, msg_no, field, n, i + d as w from again, (select unnest(range(0, 5)) as d))
+select rec_no, cast(msg_no as bigint) as msg_no, field from hit group by rec_no, msg_no, field, n having count(*) / n >= 0.3""",
+)
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents and thoughts of which at least 0.3 repeats what they have already said."""
+    return repeated_content(record_texts(table(spark, sf_dir, "conv_records")), ["rec_no", "msg_no", "field"]).where("share >= 0.3").select("rec_no", "msg_no", "field")
+
+
+@query("p8_ids")
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document by the byte-level BPE vocabulary of 50 thousand tokens."""
+    return encode_texts(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query("p9_containers")
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and the containers of 2,048 tokens that hold them."""
+    return fill_containers(count_tokens(table(spark, sf_dir, "documents"), "doc_id"), "doc_id", "n_tokens", 2048)
