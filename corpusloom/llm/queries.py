@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.conversations import rebuilt_conversations
+from corpusloom.llm.mojibake import garbled_texts
 from corpusloom.llm.packing import fill_containers
+from corpusloom.llm.personal import personal_data
 from corpusloom.llm.repetition import record_texts, repeated_content
 from corpusloom.llm.tokenizer import count_tokens, encode_texts
 from corpusloom.queries import SQL_MESSAGES, SQL_WS
@@ -78,3 +81,34 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the documents and the containers of 2,048 tokens that hold them."""
     return fill_containers(count_tokens(table(spark, sf_dir, "documents"), "doc_id"), "doc_id", "n_tokens", 2048)
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose text is garbled in whole or in part."""
+    return garbled_texts(table(spark, sf_dir, "chat_messages"), "row_id").select("row_id")
+
+
+@query("p4_restored")
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The garbled messages with their restored text."""
+    return garbled_texts(table(spark, sf_dir, "chat_messages"), "row_id")
+
+
+def _personal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chat = table(spark, sf_dir, "chat_messages").select(F.lit("chat_messages").alias("tab"), F.col("row_id").alias("row_key"), F.lit(0).cast("bigint").alias("msg_no"), "text")
+    m = table(spark, sf_dir, "conv_records").select("rec_no", F.posexplode("messages.content").alias("msg_no", "text"))
+    return chat.unionByName(m.select(F.lit("conv_records").alias("tab"), F.col("rec_no").alias("row_key"), F.col("msg_no").cast("bigint").alias("msg_no"), "text"))
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of personal data in chat messages and in the contents of conversation records."""
+    found = personal_data(_personal_texts(spark, sf_dir), ["tab", "row_key", "msg_no"], given_names=table(spark, sf_dir, "given_names"))
+    return found.select("tab", "row_key", "msg_no", F.explode("kinds").alias("pii_kind"))
+
+
+@query("p7_redacted")
+def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts with personal data, with typed placeholders in its place."""
+    return personal_data(_personal_texts(spark, sf_dir), ["tab", "row_key", "msg_no"], given_names=table(spark, sf_dir, "given_names"), redacted=True).drop("kinds")

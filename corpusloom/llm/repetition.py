@@ -23,13 +23,13 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def word_lists(texts: list[str | None]) -> list[list[str]]:
-    """Words of each text: runs of letters in lower case. Numbers such as the superscript two are no letters."""
+    """Words of each text: runs of letters in lower case. Signs such as the superscript two are no letters."""
     out = []
     for t in texts:
-        ws = _LETTERS.findall(t.lower()) if t else []
-        if t and not t.isascii():
-            ws = [p for w in ws for p in (w,) if w.isalpha()] if all(w.isalpha() for w in ws) else [p for w in ws for p in "".join(c if c.isalpha() else " " for c in w).split()]
-        out.append(ws)
+        found = _LETTERS.findall(t.lower()) if t else []
+        if t and not t.isascii() and not all(map(str.isalpha, found)):
+            found = [p for w in found for p in ("".join(c if c.isalpha() else " " for c in w)).split()]
+        out.append(found)
     return out
 
 
