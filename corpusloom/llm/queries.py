@@ -13,6 +13,7 @@ from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
 from corpusloom.llm.repetition import record_texts, repeated_content
 from corpusloom.llm.tokenizer import count_tokens, encode_texts
+from corpusloom.llm.truncation import truncated_texts
 from corpusloom.queries import SQL_MESSAGES, SQL_WS
 from corpusloom.session import table
 
@@ -112,3 +113,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts with personal data, with typed placeholders in its place."""
     return personal_data(_personal_texts(spark, sf_dir), ["tab", "row_key", "msg_no"], given_names=table(spark, sf_dir, "given_names"), redacted=True).drop("kinds")
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut off."""
+    return truncated_texts(table(spark, sf_dir, "documents")).where("cut").select("doc_id")
+
+
+@query("p10_sources")
+def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    t = truncated_texts(table(spark, sf_dir, "documents"))
+    n = F.count(F.lit(1))
+    return t.groupBy("source").agg(n.alias("n_texts"), F.count_if("cut").alias("n_cut"), F.count_if(F.col("cut") & F.col("at_limit")).alias("n_at_limit"), (F.count_if("cut") / n).alias("share"))
