@@ -17,11 +17,15 @@ from pyspark.sql import functions as F
 MARK = re.compile(r"\s*(?:…|\.\.\.+|\[\s?(?:…|\.\.\.)\s?\]|\(\s?(?:…|\.\.\.)\s?\))\s*$")
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _DIGITS = re.compile(r"\d+")
-TERMINAL = re.compile(r"[.!?。！？]\s?['\"’”“»)\]*_]*$|<\|im_end\|>$|```$|</\w+>$|[}\]]$|[\U0001F300-\U0001FAFF☀-➿️]$")
+TERMINAL = re.compile(r"[.!?。！？]\s?['\"’”“»)\]*_]*$|<\|im_end\|>$|```$|</\w+>$|[}\]]$|(?:^|\s)https?://\S+$|\s[:;][-']?[()DP/|]$|[\U0001F300-\U0001FAFF☀-➿️]$")
 #: Whole last lines without a full stop: sign-offs, links, tags, paths, list marks of a form.
 SIGN_OFF = re.compile(r"(?i)^(?:[—–-]\s?[^\W\d_]+|https?://\S+|(?:#\w+\s*)+|see also \[\[.*\]\])$")
 
 
+#: Articles and conjunctions that end no sentence.
+DANGLING = frozenset("the a an and or der ein eine einen und oder le les un une des du et ou el los las una y".split())
+
+
 def _name(words: list[str]) -> str:
     return _DIGITS.sub("0", " ".join(words))
 
@@ -53,13 +57,21 @@ def split_mark(text: str) -> tuple[str, bool]:
     return (t[: len(t) - len(t[-24:]) + m.start()].rstrip(), True) if m else (t, False)
 
 
+def last_word_key(body: str) -> str:
+    """The last word (after a mark that keeps it apart from other keys) if the last sentence or line begins in lower case, as casual remarks do; else empty."""
+    part = re.split(r"[.!?]['\"”’»)]*\s+|\n", body[-300:])[-1]
+    words = _TOKEN.findall(part)
+    return "\x01" + words[-1].lower() if words and words[0][0].islower() and len(part) < 300 else ""
+
+
 def ending(text: str) -> tuple[str, bool, str, str]:
     """``(kind, marked, end key, last line)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the counts) or ``inside`` (a comma or dash)."""
     body, marked = split_mark(text)
     line = body.rsplit("\n", 1)[-1].strip()
-    if not body or TERMINAL.search(body[-16:]) or SIGN_OFF.match(line):
+    if not body or TERMINAL.search(body[-160:]) or SIGN_OFF.match(line):
         return "whole", marked, "", ""
-    kind = "inside" if body[-1] in ",;(–—-" and len(_TOKEN.findall(line)) > 3 else "open"
+    words = _TOKEN.findall(line[-300:].lower())
+    kind = "inside" if len(words) > 3 and (body[-1] in ",;(–—-" or words[-1] in DANGLING) else "open"
     return kind, marked, last_key(body), _name(_TOKEN.findall(line.lower())) if len(line) <= 60 else ""
 
 
@@ -70,8 +82,11 @@ def end_evidence(texts: Iterator[str | None]) -> Counter:
         if t:
             c.update(end_keys(t))
             kind, _, _, line = ending(t)
-            if kind == "open" and line:
-                c["\t" + line] += 1
+            if kind == "open":
+                if line:
+                    c["\t" + line] += 1
+                if word := last_word_key(split_mark(t)[0]):
+                    c[word] += 1
     return c
 
 
@@ -79,6 +94,10 @@ def end_evidence(texts: Iterator[str | None]) -> Counter:
 SAME_LAST_LINES = 5
 
 
+#: So many texts must end with a casual remark's last word for it to be no fragment.
+SAME_LAST_WORDS = 2
+
+
 def seen_whole(key_count, line_count):
     """Whether the counts (columns) show that texts end so when whole."""
     return (F.coalesce(key_count, F.lit(0)) >= 1) | (F.coalesce(line_count, F.lit(0)) >= SAME_LAST_LINES)

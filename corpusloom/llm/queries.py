@@ -11,6 +11,7 @@ from corpusloom.llm.conversations import rebuilt_conversations
 from corpusloom.llm.mojibake import garbled_texts
 from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
+from corpusloom.llm.pairs import broken_sides
 from corpusloom.llm.repetition import record_texts, repeated_content
 from corpusloom.llm.tokenizer import count_tokens, encode_texts
 from corpusloom.llm.truncation import truncated_texts
@@ -127,3 +128,9 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = truncated_texts(table(spark, sf_dir, "documents"))
     n = F.count(F.lit(1))
     return t.groupBy("source").agg(n.alias("n_texts"), F.count_if("cut").alias("n_cut"), F.count_if(F.col("cut") & F.col("at_limit")).alias("n_at_limit"), (F.count_if("cut") / n).alias("share"))
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defective sides of the preference pairs and the name of their defect."""
+    return broken_sides(table(spark, sf_dir, "dpo_pairs"))
