@@ -13,10 +13,11 @@ from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
 from corpusloom.llm.pairs import broken_sides
 from corpusloom.llm.repetition import record_texts, repeated_content
+from corpusloom.llm.splits import STAND_INS, assign_splits, record_groups, record_keys
 from corpusloom.llm.tokenizer import count_tokens, encode_texts
 from corpusloom.llm.truncation import truncated_texts
 from corpusloom.queries import SQL_MESSAGES, SQL_WS
-from corpusloom.session import table
+from corpusloom.session import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -134,3 +135,38 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective sides of the preference pairs and the name of their defect."""
     return broken_sides(table(spark, sf_dir, "dpo_pairs"))
+
+
+def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_groups(record_keys(table(spark, sf_dir, "task_instances"), table(spark, sf_dir, "seeds"), table(spark, sf_dir, "book_configs")))
+
+
+_SLUG = r"trim(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '-')"
+_STAND_INS = ", ".join(f"'{s}'" for s in sorted(STAND_INS))
+
+
+@query(
+    "p3_found",
+    f"""with recursive fam as (select rec_no, {_SLUG.format('family')} as k from task_instances union all select rec_no, {_SLUG.format('family')} from seeds),
+works as (select rec_no, {_SLUG.format('work_id')} as k from book_configs),
+keys as (
+  select distinct rec_no, 'w:' || k as key from fam where k <> '' and k not in ({_STAND_INS}) and k not in (select k from works where regexp_full_match(k, '[a-z]+'))
+  union select rec_no, 'w:' || k from works where k <> '' and k not in ({_STAND_INS}) and regexp_matches(k, '[-0-9]')
+  union select rec_no, 'a:' || k from (select rec_no, {_SLUG.format("case when contains(a, ',') then regexp_replace(a, '^([^,]*),(.*)$', '\\2 \\1', 's') else a end")} as k
+    from (select rec_no, unnest(string_split(author, ';')) as a from book_configs)) where k <> '' and k not in ({_STAND_INS})),
+anchors as (select key, min(rec_no) as m from keys group by key),
+anchored as (select distinct rec_no, m from keys join anchors using (key)),
+edges as (select distinct x.m as a, y.m as b from anchored x join anchored y using (rec_no)),
+reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a),
+roots as (select a, min(b) as root from reach group by a)
+select distinct r.root as group_no, x.rec_no from anchored x join roots r on r.a = x.m where x.rec_no <> r.root""",
+)
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records tied to a smaller record number, with the smallest of their group."""
+    return _groups(spark, sf_dir).where("rec_no <> group_no").select("group_no", "rec_no")
+
+
+@query("p3_splits")
+def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, validation and test for every record, whole groups together."""
+    return assign_splits(cut(_groups(spark, sf_dir)), {"train": 0.8, "validation": 0.1, "test": 0.1}).select("rec_no", "split")
