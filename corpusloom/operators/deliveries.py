@@ -31,16 +31,14 @@ def keyed_messages(chat: DataFrame) -> DataFrame:
 def drop_repeated(keyed: DataFrame) -> DataFrame:
     """Keep the smallest ``row_id`` of rows equal in conversation, sender, instant and text.
 
-    Rows without sender or readable time are never repeated. All grouping keys are fine-grained, so
-    a conversation or sender that holds a third of the rows spreads over all tasks, and the
-    aggregate combines map-side.
+    Rows without sender or readable time are never repeated. The grouping key is fine-grained, so a conversation or sender that
+    holds a third of the rows spreads over all tasks; the aggregate combines map-side and carries no text. Only keys that
+    occur more than once, a few percent, are joined back.
     """
-    solo = F.when(F.col("sender_key").isNull() | F.col("ts_us").isNull(), F.col("row_id"))
-    return (
-        keyed.groupBy("conversation_id", "sender_key", "ts_us", "_h1", "_h2", "_len", solo.alias("_solo"))
-        .agg(F.min_by(F.struct("row_id", "source", "text"), "row_id").alias("m"))
-        .select("m.row_id", "m.source", "conversation_id", "sender_key", "ts_us", "m.text")
-    )
+    key = ["conversation_id", "sender_key", "ts_us", "_h1", "_h2", "_size"]
+    rows = keyed.withColumn("_size", F.coalesce("_len", F.lit(-1)))
+    repeated = rows.where("sender_key is not null and ts_us is not null").groupBy(*key).agg(F.min("row_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return rows.join(repeated, key, "left").where("_first is null or row_id = _first").select("row_id", "source", "conversation_id", "sender_key", "ts_us", "text")
 
 
 def rank_in_group(df: DataFrame, keys: list[str], block: Column, order: list[str], out: str) -> DataFrame:
