@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import cut
 
-SALTS = 128
+SALTS = 32
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
