@@ -9,6 +9,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def canonical_json(value: object) -> str:
@@ -16,7 +17,7 @@ def canonical_json(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_json_of(texts: pd.Series) -> pd.Series:
     """Canonical form of JSON texts; null where a text is no JSON."""
 
@@ -29,7 +30,7 @@ def canonical_json_of(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def record_id_of(texts: pd.Series) -> pd.Series:
     """16 hex digits over a JSON text with sorted keys and default separators."""
     return texts.map(lambda t: None if t is None else hashlib.sha256(json.dumps(json.loads(t), sort_keys=True).encode()).hexdigest()[:16])

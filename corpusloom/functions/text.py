@@ -64,6 +64,11 @@ def author_flip(c: Column) -> Column:
     ).otherwise(F.trim(c))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where it is used inside lambdas (which Spark evaluates anew for each element)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def words(c: Column) -> Column:
     """Words of a normalised text (blank separated); an empty array for an empty text."""
     return F.filter(F.split(normalise(c), " "), lambda w: w != "")
@@ -71,9 +76,12 @@ def words(c: Column) -> Column:
 
 def ngrams(ws: Column, n: int) -> Column:
     """Distinct word n-grams joined by a blank; a shorter text gives one gram of all its words, an empty text none."""
-    return F.when(F.size(ws) == 0, F.array().cast("array<string>")).when(F.size(ws) < n, F.array(F.array_join(ws, " "))).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(ws, i, n), " ")))
-    )
+
+    def grams(w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(every))
+
+    return let(ws, grams)
 
 
 def fence_strip(c: Column) -> Column:

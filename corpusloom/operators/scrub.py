@@ -43,12 +43,15 @@ def record_hits(messages: Column, patterns: list[tuple[str, str, str]] = PATTERN
     return F.array_sort(F.array_distinct(F.concat(text_hits(prose, patterns), text_hits(tools, teachers))))
 
 
+def _without(hits: Column, labels: list[str]) -> Column:
+    return F.filter(hits, lambda h: ~F.substring_index(h, ":", -1).isin(*labels))
+
+
 def lane_hits(hits: Column, lane: Column, exemptions: dict[str, list[str]] = LANE_EXEMPTIONS) -> Column:
     """Hits without the labels from which the lane is exempt."""
     out = hits
     for name, labels in exemptions.items():
-        kept = F.filter(hits, lambda h, labels=labels: ~F.substring_index(h, ":", -1).isin(*labels))
-        out = F.when(lane == name, kept).otherwise(out)
+        out = F.when(lane == name, _without(hits, labels)).otherwise(out)
     return out
 
 

@@ -18,7 +18,7 @@ def gate_counts(records: DataFrame) -> DataFrame:
     flags = records.select(
         F.col("provenance.lane").alias("lane"),
         F.coalesce(g["verified"], F.lit(False)).alias("v"),
-        F.coalesce(g["judge.passed"], F.lit(False)).alias("j"),
+        F.coalesce(g["judge"]["passed"], F.lit(False)).alias("j"),
         F.coalesce(g["dropped"], F.lit(False)).alias("d"),
     )
     return flags.rollup("lane").agg(F.count(F.lit(1)).alias("total"), F.count_if("v").alias("verified"), F.count_if(F.col("v") & F.col("j")).alias("judged"), F.count_if(~F.col("d")).alias("kept"), F.count_if("d").alias("dropped"))

@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from corpusloom.functions.text import strip
 
@@ -17,8 +18,10 @@ THINK = r"(?s)\A\s*<think>\s*(.*?)\s*</think>\s*"
 CALL = re.compile(r"<tool_call>\s*(\{.*?\})\s*</tool_call>", re.S)
 RESPONSE = re.compile(r"<tool_response>\s*(\{.*?\})\s*</tool_response>", re.S)
 TOOLS = r"(?s)<tools>\s*(\[.*?\])\s*</tools>"
-CALLS_DDL = "calls array<struct<name string, arguments array<struct<name string, rendered string, raw_json string>>>>, error string"
-RESPONSES_DDL = "responses array<struct<tool_call_id string, name string, content string>>, error string"
+_S = StringType()
+_ARGUMENT = StructType([StructField("name", _S), StructField("rendered", _S), StructField("raw_json", _S)])
+CALLS_TYPE = StructType([StructField("calls", ArrayType(StructType([StructField("name", _S), StructField("arguments", ArrayType(_ARGUMENT))]))), StructField("error", _S)])
+RESPONSES_TYPE = StructType([StructField("responses", ArrayType(StructType([StructField("tool_call_id", _S), StructField("name", _S), StructField("content", _S)]))), StructField("error", _S)])
 
 
 def role_of(source: Column) -> Column:
@@ -31,7 +34,7 @@ def rendered_value(v: object) -> str:
     return json.dumps(v, ensure_ascii=False) if isinstance(v, (dict, list)) else str(v)
 
 
-@F.pandas_udf(CALLS_DDL)
+@F.pandas_udf(CALLS_TYPE)
 def calls_of(values: pd.Series) -> pd.DataFrame:
     """Tool calls of assistant turns, arguments in recorded order; ``error`` where one is broken."""
     calls, errors = [], []
@@ -52,7 +55,7 @@ def calls_of(values: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"calls": calls, "error": errors})
 
 
-@F.pandas_udf(RESPONSES_DDL)
+@F.pandas_udf(RESPONSES_TYPE)
 def responses_of(values: pd.Series) -> pd.DataFrame:
     """Responses of tool turns; each needs a call id and a name, and a turn at least one."""
     rows, errors = [], []

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import squeeze, strip
+from corpusloom.functions.text import let, squeeze, strip
 from corpusloom.functions.timestamps import instant_us
 
 # Patterns of the checks.
@@ -34,6 +34,10 @@ def _calls(m: Column) -> Column:
     return F.coalesce(F.size(m["tool_calls"]), F.lit(0))
 
 
+def _tool_calls(m: Column) -> Column:
+    return F.coalesce(m["tool_calls"], F.array().cast("array<struct<id:string,name:string,arguments:array<struct<name:string,rendered:string,raw_json:string>>>>"))
+
+
 def _of(messages: Column, role: str) -> Column:
     return F.filter(messages, lambda m: m["role"] == role)
 
@@ -64,12 +68,14 @@ def tool_ok(content: Column) -> Column:
 
 def final_write(messages: Column, target: Column) -> Column:
     """``struct<ok, content>`` of the last answered write to a path that is the target; not ok and empty without one."""
-    writes = F.flatten(F.transform(_of(messages, "assistant"), lambda m: F.filter(F.coalesce(m["tool_calls"], F.array().cast("array<struct<id:string,name:string,arguments:array<struct<name:string,rendered:string,raw_json:string>>>>")), lambda c: (c["name"] == "write_file") & argument(c, "path").isNotNull())))
+    writes = F.flatten(F.transform(_of(messages, "assistant"), lambda m: F.filter(_tool_calls(m), lambda c: (c["name"] == "write_file") & argument(c, "path").isNotNull())))
     mine = F.filter(writes, lambda c: F.coalesce(is_destination(argument(c, "path"), target), F.lit(False)))
-    ids = F.transform(mine, lambda c: c["id"])
-    last = F.try_element_at(F.filter(_of(messages, "tool"), lambda m: F.array_contains(ids, m["tool_call_id"])), F.lit(-1))
-    call = F.try_element_at(F.filter(mine, lambda c: c["id"] == last["tool_call_id"]), F.lit(-1))
-    return F.struct(F.coalesce(tool_ok(last["content"]), F.lit(False)).alias("ok"), F.when(last.isNotNull(), F.coalesce(argument(call, "content"), F.lit(""))).otherwise(F.lit("")).alias("content"))
+
+    def last(calls: Column) -> Column:
+        answers = F.filter(_of(messages, "tool"), lambda m: F.exists(calls, lambda c: F.coalesce(c["id"] == m["tool_call_id"], F.lit(False))))
+        return let(F.try_element_at(answers, F.lit(-1)), lambda t: F.struct(F.coalesce(tool_ok(t["content"]), F.lit(False)).alias("ok"), F.coalesce(argument(F.try_element_at(F.filter(calls, lambda c: c["id"] == t["tool_call_id"]), F.lit(-1)), "content"), F.lit("")).alias("content")))
+
+    return let(mine, last)
 
 
 def confirmed(messages: Column) -> Column:
@@ -198,7 +204,7 @@ def save_note(messages: Column, params: Column) -> Column:
 def rename_patch(messages: Column, params: Column) -> Column:
     """Writes and replacing patches are replayed in the order of their results; the old term is gone and the new one there."""
     target, old, new = _param(params, "destination"), _param(params, "old_term"), _param(params, "new_term")
-    calls = F.flatten(F.transform(_of(messages, "assistant"), lambda m: F.coalesce(m["tool_calls"], F.array().cast("array<struct<id:string,name:string,arguments:array<struct<name:string,rendered:string,raw_json:string>>>>"))))
+    calls = F.flatten(F.transform(_of(messages, "assistant"), _tool_calls))
     mine = F.filter(calls, lambda c: F.coalesce(is_destination(argument(c, "path"), target), F.lit(False)) & ((c["name"] == "write_file") | ((c["name"] == "patch") & (F.coalesce(argument(c, "mode"), F.lit("replace")) == "replace"))))
 
     def replay(state: Column, m: Column) -> Column:
@@ -320,14 +326,17 @@ BY_TEMPLATE: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def verify_record(messages: Column, system: Column, provenance: Column) -> Column:
-    """The verifiers that a record's lane or template asks for; null where a template of lane a is unknown (an error for the gate)."""
-    detail = provenance["source"]["detail_json"]
-    params = F.from_json(F.get_json_object(detail, "$.params"), "map<string,string>")
-    stream = stream_wellformed(messages, provenance["family"], F.get_json_object(detail, "$.source"))
-    c1, c2 = no_impersonation(messages), turn_dynamics(messages)
-    both = F.struct((c1["passed"] & c2["passed"]).alias("passed"), F.concat(c1["failed"], c2["failed"]).alias("failed"))
-    out = F.when(provenance["lane"] == "b", scene_wellformed(messages, system)).when(provenance["lane"] == "c", both).when(provenance["lane"] == "d", stream)
-    for template, check in BY_TEMPLATE.items():
-        out = out.when((provenance["lane"] == "a") & (provenance["template_id"] == template), check(messages, params))
-    return out
+def verified(records: DataFrame, out: str) -> DataFrame:
+    """Adds the result of the verifiers that a record's lane or template asks for; null where a template of lane a is unknown (an error for the gate).
+
+    Each verifier is a column of its own, so that the analyzer never meets them in one expression.
+    """
+    lane, template, detail = F.col("provenance.lane"), F.col("provenance.template_id"), F.col("provenance.source.detail_json")
+    m = F.col("messages")
+    df = records.withColumn("_params", F.from_json(F.get_json_object(detail, "$.params"), "map<string,string>"))
+    checks = {"_b": (lane == "b", scene_wellformed(m, F.col("system"))), "_d": (lane == "d", stream_wellformed(m, F.col("provenance.family"), F.get_json_object(detail, "$.source"))), "_c1": (lane == "c", no_impersonation(m)), "_c2": (lane == "c", turn_dynamics(m))}
+    checks |= {f"_a{i}": ((lane == "a") & (template == name), check(m, F.col("_params"))) for i, (name, check) in enumerate(BY_TEMPLATE.items())}
+    for name, (when, check) in checks.items():
+        df = df.withColumn(name, F.when(when, check))
+    both = F.when(lane == "c", F.struct((F.col("_c1.passed") & F.col("_c2.passed")).alias("passed"), F.concat("_c1.failed", "_c2.failed").alias("failed")))
+    return df.withColumn(out, F.coalesce("_b", "_d", both, *[c for c in checks if c.startswith("_a")])).drop("_params", *checks)

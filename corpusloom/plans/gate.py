@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.spans import mask_of, prose_length, restore_of
 from corpusloom.operators.dedupe import conversational_text, duplicates
 from corpusloom.operators.scrub import LANE_EXEMPTIONS, PATTERNS, drops, lane_hits, record_hits
-from corpusloom.operators.verifiers import verify_record
+from corpusloom.operators.verifiers import verified
 from corpusloom.session import cut
 
 #: Roles that may be rewritten, by lane; an empty map means nothing may.
@@ -29,7 +29,7 @@ def alive(df: DataFrame) -> Column:
 
 def verify_stage(records: DataFrame) -> DataFrame:
     """Adds ``verified`` and failed checks; unknown templates drop with ``error``, failed checks with ``verify``."""
-    v = records.withColumn("_v", verify_record(F.col("messages"), F.col("system"), F.col("provenance")))
+    v = verified(records, "_v")
     v = v.withColumn("verified", F.coalesce("_v.passed", F.lit(False))).withColumn("failed_checks", F.coalesce("_v.failed", F.array().cast("array<string>")))
     return v.withColumn("drop_reason", F.when(F.col("_v").isNull(), "error").when(~F.col("verified"), "verify")).drop("_v")
 

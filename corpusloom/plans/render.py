@@ -12,8 +12,9 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from corpusloom.functions.text import strip
+from corpusloom.functions.text import let, strip
 from corpusloom.schema import speakers
 
 CONTRACT = "v3"
@@ -32,7 +33,7 @@ TOOLS_FOOTER = (
 )
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def tool_envelopes(schemas: pd.Series) -> pd.Series:
     """Each tool of a JSON array in its function envelope, dumped with default spacing and authored key order."""
 
@@ -89,18 +90,17 @@ def assistant_body(m: Column, thinks: Column, with_thoughts: bool, prefix_speake
 
 def fragments(messages: Column, mode: str) -> Column:
     """Text of each message. A run of tool results shares one user turn: its first fragment opens it, its last one closes it."""
-    many = F.size(speakers(messages)) > 1
-    last_user = last_user_position(messages)
+    known = F.struct((F.size(speakers(messages)) > 1).alias("many"), last_user_position(messages).alias("last_user"))
     role_at = lambda i: F.try_element_at(messages, i)["role"]
 
-    def fragment(m: Column, i: Column) -> Column:
+    def fragment(k: Column, m: Column, i: Column) -> Column:
         opens = F.when((i > 0) & (role_at(F.greatest(i, F.lit(1))) == "tool"), F.lit("")).otherwise(F.lit(f"{IM_START}user"))
         closes = F.when(F.coalesce(role_at(i + 2) == "tool", F.lit(False)), F.lit("")).otherwise(F.lit(f"{IM_END}\n"))
         tool = F.concat(opens, F.lit("\n<tool_response>\n"), _text(m["content"]), F.lit("\n</tool_response>"), closes)
-        said = turn("assistant", assistant_body(m, i > last_user, mode == WITH_THOUGHTS, many))
+        said = turn("assistant", assistant_body(m, i > k["last_user"], mode == WITH_THOUGHTS, k["many"]))
         return F.when(m["role"] == "tool", tool).when(m["role"] == "assistant", said).otherwise(turn("user", _text(m["content"])))
 
-    return F.transform(messages, fragment)
+    return let(known, lambda k: F.transform(messages, lambda m, i: fragment(k, m, i)))
 
 
 def with_fragments(records: DataFrame, mode: str) -> DataFrame:

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import schema
+from corpusloom.functions import spans
 from corpusloom.functions import text as T
 from corpusloom.functions.timestamps import instant_us
+from corpusloom.operators import dedupe, expand, order, scrub, split, stats, verifiers
 from corpusloom.operators.activity import activity_sessions
 from corpusloom.operators.deliveries import drop_repeated, keyed_messages
+from corpusloom.plans import gate, models, render
 from corpusloom.session import table
+from corpusloom.sources import books, chats, config, vault
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,3 +78,662 @@ from numbered group by sender_key, k""",
 def p2_session_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sessions with their duration."""
     return p2_found(spark, sf_dir).select("sender", "start_us", "end_us", (F.col("end_us") - F.col("start_us")).alias("duration_us"), "n_events")
+
+
+# --- records: rendering and the operators of the funnel -----------------------------------------------
+
+#: Messages of conv_records with position (1-based) and the record's system, tools and provenance.
+SQL_RECORDS = f"""
+msgs as (
+  select rec_no, system, tools_schema_json, provenance as p, gate_state as g, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records),
+said as (
+  select *, trim(regexp_replace(coalesce(m.content, ''), '^{SQL_WS}+|{SQL_WS}+$', '', 'g')) as content, trim(regexp_replace(coalesce(m.thought, ''), '^{SQL_WS}+|{SQL_WS}+$', '', 'g')) as thought,
+    max(case when m.role = 'user' then i else 0 end) over (partition by rec_no) as last_user,
+    lag(m.role) over (partition by rec_no order by i) as before, lead(m.role) over (partition by rec_no order by i) as after,
+    count(distinct case when m.role = 'assistant' then nullif(m.speaker, '') end) over (partition by rec_no) as n_speakers
+  from msgs)"""
+
+
+def _sql_rendered(thoughts: bool) -> str:
+    from corpusloom.plans.render import TOOLS_FOOTER, TOOLS_HEADER
+
+    lit = lambda s: "'" + s.replace("'", "''") + "'"
+    thought = "thought" if thoughts else "''"
+    return f"""{SQL_RECORDS},
+bodies as (
+  select *, case when n_speakers > 1 and coalesce(m.speaker, '') <> '' then m.speaker || ':' || case when content = '' then '' else ' ' || content end else content end as spoken,
+    array_to_string(list_transform(m.tool_calls, lambda c: '<tool_call>' || chr(10) || '<function=' || c.name || '>' || chr(10) ||
+      array_to_string(list_transform(coalesce(c.arguments, []), lambda a: '<parameter=' || a.name || '>' || chr(10) || coalesce(a.rendered, 'None') || chr(10) || '</parameter>' || chr(10)), '') || '</function>' || chr(10) || '</tool_call>'), chr(10)) as calls
+  from said),
+frags as (
+  select rec_no, i, system, tools_schema_json, p, m.role as role, case m.role
+    when 'tool' then case when before = 'tool' then '' else '<|im_start|>user' end || chr(10) || '<tool_response>' || chr(10) || content || chr(10) || '</tool_response>' || case when after = 'tool' then '' else '<|im_end|>' || chr(10) end
+    when 'assistant' then '<|im_start|>assistant' || chr(10) || case when i > last_user then '<think>' || chr(10) || {thought} || chr(10) || '</think>' || chr(10) || chr(10) else '' end || spoken ||
+      case when coalesce(calls, '') = '' then '' else case when spoken = '' then '' else chr(10) || chr(10) end || calls end || '<|im_end|>' || chr(10)
+    else '<|im_start|>user' || chr(10) || content || '<|im_end|>' || chr(10) end as f from bodies),
+heads as (
+  select rec_no, case when tools_schema_json is not null then '<|im_start|>system' || chr(10) || {lit(TOOLS_HEADER)} ||
+      array_to_string(list_transform(cast(tools_schema_json as json[]), lambda t: chr(10) || '{{"type": "function", "function": {{"name": "' || (t->>'$.name') || '"}}}}'), '') || {lit(TOOLS_FOOTER)} || case when s = '' then '' else chr(10) || chr(10) || s end || '<|im_end|>' || chr(10)
+    when s = '' then '' else '<|im_start|>system' || chr(10) || s || '<|im_end|>' || chr(10) end as head
+  from (select rec_no, tools_schema_json, regexp_replace(coalesce(system, ''), '^{SQL_WS}+|{SQL_WS}+$', '', 'g') as s from conv_records)),
+placed as (
+  select f.*, head, length(head) + coalesce(sum(length(f)) over (partition by rec_no order by i rows between unbounded preceding and 1 preceding), 0) as start_at from frags f join heads using (rec_no))"""
+
+
+@query("render_chatml", f"with {_sql_rendered(True)} select rec_no, any_value(head) || string_agg(f, '' order by i) as text from placed group by rec_no")
+def render_chatml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as training text with thoughts."""
+    return render.rendered(table(spark, sf_dir, "conv_records").where(F.size("messages") > 0)).select("rec_no", "text")
+
+
+@query("render_no_thoughts", f"with {_sql_rendered(False)} select rec_no, any_value(head) || string_agg(f, '' order by i) as text from placed group by rec_no")
+def render_no_thoughts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as training text with empty think blocks."""
+    return render.rendered(table(spark, sf_dir, "conv_records").where(F.size("messages") > 0), render.NO_THOUGHTS).select("rec_no", "text")
+
+
+@query("train_spans", f"with {_sql_rendered(True)} select rec_no, cast(start_at + 22 as bigint) as span_start, cast(start_at + length(f) - 1 as bigint) as span_end from placed where role = 'assistant'")
+def train_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss-bearing spans of every record."""
+    r = render.rendered(table(spark, sf_dir, "conv_records")).select("rec_no", F.explode("train_spans").alias("s"))
+    return r.select("rec_no", F.col("s.start").cast("bigint").alias("span_start"), F.col("s.end").cast("bigint").alias("span_end"))
+
+
+@query(
+    "next_speaker_samples",
+    f"""with {_sql_rendered(False)},
+prefixed as (select *, head || coalesce(string_agg(f, '' order by i) over (partition by rec_no order by i rows between unbounded preceding and 1 preceding), '') as prefix from placed)
+select s.rec_no, cast(s.i - 1 as bigint) as turn_index,
+  x.prefix || '<|im_start|>assistant' || chr(10) || case when s.i > s.last_user then '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) else '' end || s.m.speaker || ':' as text
+from said s join prefixed x on s.rec_no = x.rec_no and s.i = x.i where s.n_speakers > 1 and s.i > 1 and s.m.role = 'assistant' and coalesce(s.m.speaker, '') <> ''""",
+)
+def next_speaker_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who speaks next, for every labelled turn of multi-speaker records."""
+    s = render.next_speaker_samples(table(spark, sf_dir, "conv_records"))
+    return s.select("rec_no", F.col("turn_index").cast("bigint").alias("turn_index"), "text")
+
+
+@query("think_positions", f"with {SQL_RECORDS} select rec_no, cast(i - 1 as bigint) as msg_no from said where m.role = 'assistant' and i > last_user")
+def think_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant messages that keep their reasoning."""
+    r = table(spark, sf_dir, "conv_records").select("rec_no", render.last_user_position(F.col("messages")).alias("u"), F.posexplode("messages").alias("msg_no", "m"))
+    return r.where("m.role = 'assistant' and msg_no > u").select("rec_no", F.col("msg_no").cast("bigint").alias("msg_no"))
+
+
+@query("speaker_sets", "with msgs as (select rec_no, unnest(messages) as m from conv_records) select rec_no, count(distinct m.speaker) as n_speakers from msgs where m.role = 'assistant' and coalesce(m.speaker, '') <> '' group by rec_no")
+def speaker_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of distinct assistant speakers."""
+    return table(spark, sf_dir, "conv_records").select("rec_no", F.size(schema.speakers(F.col("messages"))).cast("bigint").alias("n_speakers")).where("n_speakers > 0")
+
+
+@query("judge_transcripts")
+def judge_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts as a judge reads them."""
+    return table(spark, sf_dir, "conv_records").select("rec_no", render.judge_transcript(F.col("system"), F.col("messages")).alias("transcript"))
+
+
+@query(
+    "flipped_history",
+    "with msgs as (select rec_no, unnest(messages) as m from conv_records) select rec_no, count(*) filter (m.role = 'user') as n_assistant, count(*) filter (m.role = 'assistant') as n_user from msgs where m.role in ('user', 'assistant') group by rec_no",
+)
+def flipped_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles as the simulated user sees them."""
+    r = table(spark, sf_dir, "conv_records").select("rec_no", F.explode(render.flip_history(F.col("messages"))).alias("m"))
+    return r.groupBy("rec_no").agg(F.count_if(F.col("m.role") == "assistant").alias("n_assistant"), F.count_if(F.col("m.role") == "user").alias("n_user"))
+
+
+@query(
+    "message_shapes",
+    """with msgs as (select rec_no, unnest(messages) as m from conv_records)
+select rec_no, bool_and(coalesce((m.role in ('user', 'assistant', 'tool')) and ((m.role = 'tool') = (m.tool_call_id is not null)) and (m.role = 'assistant' or (coalesce(len(m.tool_calls), 0) = 0 and m.thought is null)), false)) as sound
+from msgs group by rec_no""",
+)
+def message_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a record obeys the message shape rules."""
+    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).select("rec_no", schema.record_is_sound(F.col("messages")).alias("sound"))
+
+
+#: Normalised conversational text of each record.
+SQL_TALK = f"""
+talk as (select rec_no, trim(regexp_replace(lower(string_agg(coalesce(m.thought, '') || ' ' || coalesce(m.content, ''), ' ' order by i)), '{SQL_WS}+', ' ', 'g')) as t
+  from (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records) where m.role in ('user', 'assistant') group by rec_no)"""
+
+
+@query("conversational_text", f"with {SQL_TALK} select rec_no, sha256(t) as exact_key, length(t) as n_chars from talk")
+def conversational_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact key of each record's conversation."""
+    t = dedupe.conversational_text(F.col("messages"))
+    return table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))").select("rec_no", dedupe.exact_key(t).alias("exact_key"), F.length(t).cast("bigint").alias("n_chars"))
+
+
+@query("exact_duplicates", f"with {SQL_TALK} select * from (select rec_no, min(rec_no) over (partition by t) as duplicate_of from talk) where rec_no > duplicate_of")
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose conversation repeats an earlier one."""
+    r = table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))").select("rec_no", dedupe.conversational_text(F.col("messages")).alias("t"))
+    return dedupe.duplicates(r, "rec_no", "rec_no", "t").where("kind = 'exact'").select("rec_no", "duplicate_of")
+
+
+def _sql_minhash(perms: int) -> str:
+    a, b = dedupe.permutations(perms)
+    return f"""
+docs as (select doc_id, trim(regexp_replace(lower(text), '{SQL_WS}+', ' ', 'g')) as t from documents where text is not null),
+ws as (select doc_id, string_split(t, ' ') as w from docs where t <> ''),
+sh as (select distinct doc_id, array_to_string(w[k:k+4], ' ') as s from (select *, unnest(range(1, len(w) - 3)) as k from ws where len(w) >= 5)),
+hs as (select doc_id, ('0x' || substr(md5(s), 1, 8))::bigint % {dedupe.PRIME} as h from sh),
+ab as (select unnest({a}) as a, unnest({b}) as b, unnest(range(0, {perms})) as k)"""
+
+
+@query("minhash_signatures", f"with {_sql_minhash(16)} select doc_id, k as perm, min((a * h + b) % {dedupe.PRIME}) as value from hs, ab group by doc_id, k")
+def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first sixteen-permutation MinHash of every document (as many as SQL can check in time)."""
+    d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", T.normalise(F.col("text")).alias("t"))
+    s = dedupe.signatures(d, "doc_id", "t", 16).where("sig is not null")
+    return s.select("doc_id", F.posexplode("sig").alias("perm", "value")).select("doc_id", F.col("perm").cast("bigint").alias("perm"), "value")
+
+
+@query("near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat an earlier one exactly or nearly (five-word shingles, agreement of 0.8)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", T.normalise(F.coalesce("text", F.lit(""))).alias("t"))
+    return dedupe.duplicates(d, "doc_id", "doc_id", "t")
+
+
+@query(
+    "shingle_counts",
+    f"""with docs as (select doc_id, trim(regexp_replace(lower(text), '{SQL_WS}+', ' ', 'g')) as t from documents where text is not null),
+ws as (select doc_id, list_filter(string_split(t, ' '), lambda x: x <> '') as w from docs)
+select doc_id, case when len(w) = 0 then 0 when len(w) < 5 then 1 else len(list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' ')))) end as n_shingles from ws""",
+)
+def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct five-word shingles of every document."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    return d.select("doc_id", F.size(T.ngrams(T.words(F.col("text")), 5)).cast("bigint").alias("n_shingles"))
+
+
+@query("text_normalise", f"select doc_id, sha256(trim(regexp_replace(lower(text), '{SQL_WS}+', ' ', 'g'))) as key from documents where text is not null")
+def text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash of every normalised document."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", dedupe.exact_key(T.normalise(F.col("text"))).alias("key"))
+
+
+@query("prior_corpus_dedupe")
+def prior_corpus_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of lanes a and b as the prior corpus, the others as new: duplicates among both, prior first."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lane", T.normalise(F.coalesce("text", F.lit(""))).alias("t"))
+    both = dedupe.corpus_union(d.where("lane in ('a', 'b')"), d.where("coalesce(lane, '') not in ('a', 'b')"), "doc_id")
+    return dedupe.duplicates(both, "doc_id", "order_key", "t")
+
+
+# --- scrub, verify, judge, count ----------------------------------------------------------------------
+
+def _sql_hits() -> str:
+    ascii_word = lambda p: p.replace("'", "''")
+    one = lambda label, p, action, text: f"case when regexp_matches({text}, '(?i){ascii_word(p)}') then '{action}:{label}' end"
+    prose = ", ".join(one(*x, "prose") for x in scrub.PATTERNS)
+    tools = ", ".join(one(*x, "tools") for x in scrub.PATTERNS if x[0].startswith("teacher_"))
+    return f"""
+talk as (select rec_no, any_value(p.lane) as lane, coalesce(string_agg(case when m.role in ('user', 'assistant') then coalesce(m.content, '') || ' | ' || coalesce(m.thought, '') end, ' | '), '') as prose,
+  coalesce(string_agg(case when m.role = 'tool' then coalesce(m.content, '') end, ' | '), '') as tools from (select rec_no, provenance as p, unnest(messages) as m from conv_records) group by rec_no),
+hits as (select rec_no, lane, unnest(list_distinct(list_filter([{prose}, {tools}], lambda x: x is not null))) as hit from talk)"""
+
+
+@query("scrub_hits", f"with {_sql_hits()} select rec_no, hit from hits")
+def scrub_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identity, boilerplate and PII patterns of every record."""
+    return table(spark, sf_dir, "conv_records").select("rec_no", F.explode(scrub.record_hits(F.col("messages"))).alias("hit"))
+
+
+@query("scrub_lane_policy", f"with {_sql_hits()} select rec_no, hit from hits where not (coalesce(lane, '') = 'd' and split_part(hit, ':', 2) in ('pii_email', 'pii_phone'))")
+def scrub_lane_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits without those from which a record's lane is exempt."""
+    r = table(spark, sf_dir, "conv_records")
+    return r.select("rec_no", F.explode(scrub.lane_hits(scrub.record_hits(F.col("messages")), F.col("provenance.lane"))).alias("hit"))
+
+
+@query("scrub_keep", f"with {_sql_hits()} select rec_no from conv_records where len(messages) > 0 and rec_no not in (select rec_no from hits where hit like 'drop:%')")
+def scrub_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a hit that drops them."""
+    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).where(~scrub.drops(scrub.record_hits(F.col("messages")))).select("rec_no")
+
+
+@query(
+    "pseudonyms",
+    """with hits as (select row_id, unnest(regexp_extract_all(text, '\\b(Halvard|Tamsin|Ysolt|Ottoline|Lysander)\\b')) as n from chat_messages where text is not null),
+firsts as (select lower(n) as name, min(row_id) as r, arg_min(n, row_id) as spelled from hits group by 1)
+select name, min(r) as first_row from firsts group by name""",
+)
+def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in order of first appearance (the first row of each)."""
+    names = ["Halvard", "Tamsin", "Ysolt", "Ottoline", "Lysander"]
+    chat = table(spark, sf_dir, "chat_messages").where("text is not null").select("row_id", "text")
+    mapping = scrub.pseudonym_table(chat, ["row_id"], "text", names)
+    hits = chat.select("row_id", F.explode(F.regexp_extract_all("text", F.lit(rf"\b({'|'.join(names)})\b"), 1)).alias("n")).groupBy(F.lower("n").alias("name")).agg(F.min("row_id").alias("first_row"))
+    return mapping.join(hits, "name").select("name", "first_row")
+
+
+@query(
+    "scene_wellformed",
+    """with msgs as (select rec_no, system, unnest(messages) as m from conv_records where provenance.lane = 'b')
+select rec_no, count(*) filter (m.role = 'assistant') >= 6 and count(distinct nullif(m.speaker, '')) filter (m.role = 'assistant') >= 2
+  and coalesce(bool_and(coalesce(m.speaker, '') <> '') filter (m.role = 'assistant'), true)
+  and count(*) filter (m.role = 'assistant') > 0 and count(*) filter (m.role = 'assistant' and coalesce(m.thought, '') <> '') >= 0.5 * count(*) filter (m.role = 'assistant')
+  and not coalesce(bool_or(contains(coalesce(m.content, ''), '[') and contains(coalesce(m.content, ''), ']')) filter (m.role = 'assistant'), false)
+  and contains(coalesce(any_value(system), ''), '## Scene') as passed
+from msgs group by rec_no""",
+)
+def scene_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scene records that are well-formed."""
+    r = table(spark, sf_dir, "conv_records").where("provenance.lane = 'b'").where(F.size("messages") > 0)
+    return r.select("rec_no", verifiers.scene_wellformed(F.col("messages"), F.col("system"))["passed"].alias("passed"))
+
+
+@query(
+    "no_impersonation",
+    """with msgs as (select rec_no, unnest(messages) as m from conv_records)
+select rec_no, not coalesce(bool_or(regexp_matches(coalesce(m.content, ''), '(?im)^\\s*(?:\\{\\{user\\}\\}|user|you)\\s*:') or regexp_matches(coalesce(m.content, ''), '(?i)\\byou\\s+(?:say|reply|respond|answer)\\b[,:]?\\s*["“]')) filter (m.role = 'assistant'), false) as passed
+from msgs group by rec_no""",
+)
+def no_impersonation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose assistant never writes the user's turns."""
+    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).select("rec_no", verifiers.no_impersonation(F.col("messages"))["passed"].alias("passed"))
+
+
+@query(
+    "turn_dynamics",
+    f"""with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records),
+talk as (select *, lag(m.role) over (partition by rec_no order by i) as before from msgs where m.role in ('user', 'assistant'))
+select rec_no, count(*) filter (m.role = 'user') >= 3 and bool_and(before is null or before <> m.role) and count(*) filter (m.role = 'assistant') > 0
+  and count(distinct trim(regexp_replace(lower(coalesce(m.content, '')), '{SQL_WS}+', ' ', 'g'))) filter (m.role = 'assistant') > 0.5 * count(*) filter (m.role = 'assistant') as passed
+from talk group by rec_no""",
+)
+def turn_dynamics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with real turn-taking."""
+    r = table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))")
+    return r.select("rec_no", verifiers.turn_dynamics(F.col("messages"))["passed"].alias("passed"))
+
+
+@query("stream_wellformed")
+def stream_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal streams in order, with the checks that failed."""
+    r = table(spark, sf_dir, "conv_records").where("provenance.lane = 'd'")
+    v = verifiers.stream_wellformed(F.col("messages"), F.col("provenance.family"), F.get_json_object("provenance.source.detail_json", "$.source"))
+    return r.select("rec_no", v["passed"].alias("passed"), v["failed"].alias("failed"))
+
+
+@query(
+    "final_writes",
+    """with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records),
+calls as (select rec_no, c.id as id, list_filter(c.arguments, lambda a: a.name = 'path')[1].rendered as path from (select rec_no, unnest(m.tool_calls) as c from msgs where m.role = 'assistant') where c.name = 'write_file'),
+results as (select rec_no, i, m.tool_call_id as id, m.content as content from msgs where m.role = 'tool'),
+answered as (select r.rec_no, r.i, r.content from results r where exists (select 1 from calls c where c.rec_no = r.rec_no and c.id = r.id and c.path = 'todo.md'))
+select rec_no, coalesce(try_cast(arg_max(content, i) as json)->>'$.ok', 'true') is not null and json_valid(arg_max(content, i)) and json_type(try_cast(arg_max(content, i) as json)) = 'OBJECT'
+  and coalesce(try_cast(arg_max(content, i) as json)->>'$.error', '') in ('', 'false', 'null', '0') as ok from answered where content is not null group by rec_no""",
+)
+def final_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the last answered write to ``todo.md`` succeeded."""
+    r = table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role = 'tool')")
+    w = verifiers.final_write(F.col("messages"), F.lit("todo.md"))
+    seen = F.exists("messages", lambda m: F.exists(F.coalesce(m["tool_calls"], F.array().cast("array<struct<id:string,name:string,arguments:array<struct<name:string,rendered:string,raw_json:string>>>>")), lambda c: (c["name"] == "write_file") & (verifiers.argument(c, "path") == "todo.md") & F.exists("messages", lambda x: (x["role"] == "tool") & (x["tool_call_id"] == c["id"]) & x["content"].isNotNull())))
+    return r.where(seen).select("rec_no", w["ok"].alias("ok"))
+
+
+@query("verify_records")
+def verify_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verifiers by lane and template, with the checks that failed."""
+    r = table(spark, sf_dir, "conv_records")
+    v = verifiers.verified(r.select("rec_no", "messages", "system", "provenance"), "v")
+    return v.select("rec_no", "v.passed", "v.failed")
+
+
+@query("degenerate_loops")
+def degenerate_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose last two assistant turns repeat each other."""
+    return table(spark, sf_dir, "conv_records").where(order.degenerate_loop(F.col("messages"))).select("rec_no")
+
+
+_FLAGS = "select provenance.lane as lane, coalesce(gate_state.verified, false) as v, coalesce(gate_state.judge.passed, false) as j, coalesce(gate_state.dropped, false) as d from conv_records"
+
+
+@query("gate_counts", f"select lane, count(*) as total, count(*) filter (v) as verified, count(*) filter (v and j) as judged, count(*) filter (not d) as kept, count(*) filter (d) as dropped from ({_FLAGS}) group by rollup (lane)")
+def gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters by lane and over all lanes."""
+    return stats.gate_counts(table(spark, sf_dir, "conv_records"))
+
+
+@query("keep_rates", f"select lane, coalesce(count(*) filter (v) / nullif(count(*), 0), 0) as verify_rate, coalesce(count(*) filter (v and j) / nullif(count(*) filter (v), 0), 0) as judge_rate from ({_FLAGS}) group by rollup (lane)")
+def keep_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verify and judge rates by lane."""
+    return stats.keep_rates(stats.gate_counts(table(spark, sf_dir, "conv_records")))
+
+
+@query("drop_reasons", "select provenance.lane as lane, coalesce(gate_state.drop_reason, 'error') as drop_reason, count(*) as n from conv_records where gate_state.dropped group by 1, 2")
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dropped records by lane and reason."""
+    return stats.drop_reasons(table(spark, sf_dir, "conv_records"))
+
+
+_TEMPLATE_STATS = """last as (select arg_max(provenance, rec_no) as p, arg_max(gate_state, rec_no) as g from conv_records group by provenance.record_id),
+stats as (select coalesce(p.template_id, 'lane_' || p.lane || ':' || p.family) as template, count(*) as rollouts, count(*) filter (coalesce(g.verified, false)) as verified, count(*) filter (not coalesce(g.dropped, false)) as kept from last group by 1)"""
+
+
+@query("template_stats", f"with {_TEMPLATE_STATS} select * from stats")
+def template_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts, verified and kept by template; the last row of a record id counts."""
+    return stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no")
+
+
+@query("band_violations", f"with {_TEMPLATE_STATS} select template, rollouts, verified, kept, verified / rollouts as pass_rate from stats where starts_with(template, 'lane_') = false and not verified / rollouts between 0.3 and 0.8")
+def band_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task templates outside the difficulty band of 0.3 to 0.8."""
+    s = stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no").where("not startswith(template, 'lane_')")
+    bands = s.select("template", F.lit(0.3).alias("low"), F.lit(0.8).alias("high"))
+    return stats.band_violations(s, bands).select("template", "rollouts", "verified", "kept", "pass_rate")
+
+
+@query(
+    "weighted_judge",
+    """with axes as (select rec_no as id, unnest(map_entries(gate_state.judge.axes)) as e from conv_records where gate_state.judge.axes is not null),
+rubric as (select * from (values ('voice', 2.0, 3.0), ('substance', 1.0, null)) r(axis, weight, minimum)),
+j as (select id, sum(greatest(1.0, least(5.0, e.value)) * weight) / sum(weight) as mean, bool_and(minimum is null or greatest(1.0, least(5.0, e.value)) >= minimum) as floors, count(*) as n from axes join rubric on e.key = axis group by id)
+select id, round(mean, 3) as overall, coalesce(n = 2 and floors and mean >= 3.5, false) as passed, 2 - n as n_missing from j""",
+)
+def weighted_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge scores under a rubric of two axes."""
+    s = table(spark, sf_dir, "conv_records").where("gate_state.judge.axes is not null").select(F.col("rec_no").alias("id"), F.explode("gate_state.judge.axes").alias("axis", "score"))
+    rubric = spark.createDataFrame([("voice", 2.0, 3.0), ("substance", 1.0, None)], "axis string, weight double, minimum double")
+    return stats.weighted_judge(s, rubric, 3.5).where("n_missing < 2")
+
+
+# --- order, splits, text ------------------------------------------------------------------------------
+
+@query("slugs", f"""with s as (select rec_no, lower(regexp_replace(substr(regexp_replace(regexp_replace(regexp_replace(title, '[^\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}\\s-]', '', 'g'), '^{SQL_WS}+|{SQL_WS}+$', '', 'g'), '[\\s-]+', '-', 'g'), 1, 20), '^-+|-+$', '', 'g')) as s,
+  trim(regexp_replace(substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-'), 1, 12), '-+$', ''), '-') as a from book_configs)
+select rec_no, case when coalesce(s, '') = '' then 'untitled' else s end as slug, case when coalesce(a, '') = '' then 'item' else a end as short_slug from s""")
+def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slugs of book titles in two forms."""
+    b = table(spark, sf_dir, "book_configs")
+    return b.select("rec_no", T.slugify(F.col("title"), 20).alias("slug"), T.slug_ascii(F.col("title"), 12).alias("short_slug"))
+
+
+@query("author_names", "select rec_no, case when contains(author, ',') and not contains(author, ';') then trim(trim(regexp_extract(author, '^([^,]*),\\s*(.*)$', 2)) || ' ' || trim(regexp_extract(author, '^([^,]*),\\s*(.*)$', 1))) else trim(author) end as author from book_configs where author is not null and not contains(author, ';')")
+def author_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single authors, surname-first forms turned."""
+    b = table(spark, sf_dir, "book_configs").where("author is not null and not contains(author, ';')")
+    return b.select("rec_no", T.author_flip(F.col("author")).alias("author"))
+
+
+@query("yaml_quotes", """select doc_id, sha256('"' || replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"') as quoted from documents where text is not null""")
+def yaml_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash of every document as a quoted YAML scalar."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2(T.yaml_quote(F.col("text")), 256).alias("quoted"))
+
+
+@query("message_instants", f"with {SQL_MESSAGES} select row_id, ts_us, strftime(make_timestamp(ts_us), '%Y-%m') as month from keyed where ts_us is not null")
+def message_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instant and month of every message with a readable time."""
+    c = table(spark, sf_dir, "chat_messages").select("row_id", instant_us(F.col("ts")).alias("ts_us")).where("ts_us is not null")
+    return c.select("row_id", "ts_us", F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM").alias("month"))
+
+
+@query("repeated_deliveries", f"with {SQL_MESSAGES} select row_id from keyed where row_id not in (select row_id from messages)")
+def repeated_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of messages that were delivered again."""
+    chat = table(spark, sf_dir, "chat_messages")
+    return chat.select("row_id").join(drop_repeated(keyed_messages(chat)).select("row_id"), "row_id", "left_anti")
+
+
+#: Events by user in order of time and id.
+_SQL_SEGMENTS = """gaps as (select user_id, event_id, ts, case when ts - lag(ts) over w <= interval 240 minute then 0 else 1 end as new from events window w as (partition by user_id order by ts, event_id)),
+runs as (select *, sum(new) over (partition by user_id order by ts, event_id rows unbounded preceding) as s from gaps),
+capped as (select *, (row_number() over (partition by user_id, s order by ts, event_id) - 1) // 3 as c from runs),
+segs as (select user_id, event_id, ts, dense_rank() over (partition by user_id order by s, c) - 1 as segment from capped)"""
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    return order.sessionize(e, ["user_id"], "us", ["us", "event_id"], 240 * 60_000_000, 3)
+
+
+@query("sessionize", f"with {_SQL_SEGMENTS} select event_id, user_id, segment from segs")
+def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments at gaps over 240 minutes and at three events."""
+    return _segments(spark, sf_dir).select("event_id", "user_id", F.col("segment").cast("bigint").alias("segment"))
+
+
+@query("segment_filter", f"with {_SQL_SEGMENTS}, e as (select s.*, e.event_type, e.props from segs s join events e using (event_id)) select user_id, segment, count(*) as n_messages, cast(sum(length(props)) as bigint) as n_chars from e group by user_id, segment having count(*) >= 2 and count(distinct case when event_type in ('click', 'view') then 'user' else 'assistant' end) >= 2 and sum(length(props)) >= 10")
+def segment_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-sided segments of enough events and characters."""
+    role = F.when(F.col("event_type").isin("click", "view"), "user").otherwise("assistant")
+    g = order.segment_filter(_segments(spark, sf_dir), ["user_id", "segment"], role, "props", 2, 10)
+    return g.select("user_id", F.col("segment").cast("bigint").alias("segment"), "n_messages", "n_chars")
+
+
+@query("stride_sample", "with p as (select doc_id, row_number() over (order by doc_id) - 1 as pos, count(*) over () as n from documents) select doc_id from p where pos in (select cast(floor(i * (n::double / 100)) as bigint) from (select max(n) as n from p), (select unnest(range(0, 100)) as i))")
+def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred documents evenly spread over all."""
+    return order.stride_all(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], 100).select("doc_id")
+
+
+@query(
+    "stratified_stride",
+    """with p as (select rec_no, holdout, row_number() over (partition by holdout order by rec_no) - 1 as r, count(*) over (partition by holdout) as size, count(*) over () as n, count(*) filter (holdout) over () as h from task_instances),
+w as (select *, case when h = 0 then 0 else least(greatest(1, round_even(50 * h / n, 0)), 49, h) end as want from p),
+t as (select *, case when holdout then want else 50 - want end as take from w)
+select rec_no from t where size <= take or r in (select cast(floor(i * (t.size::double / t.take)) as bigint) from (select unnest(range(0, 50)) as i) where i < t.take)""",
+)
+def stratified_stride(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty tasks with the held-out ones in proportion."""
+    return order.stratified_stride(table(spark, sf_dir, "task_instances").select("rec_no", "holdout"), ["rec_no"], F.col("holdout"), 50).select("rec_no")
+
+
+@query("group_cap_limit", "with r as (select doc_id, source, row_number() over (partition by source order by doc_id) as k from documents) select doc_id from r where k <= 5 order by doc_id limit 150")
+def group_cap_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five documents of each source, then the first 150 of all."""
+    return order.group_cap(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", ["doc_id"], 5, 150).select("doc_id")
+
+
+@query("keep_first", "select source, min(doc_id) as doc_id from documents group by source")
+def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first document of each source."""
+    return order.keep_first(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
+
+
+@query("thread_cap")
+def thread_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat sources clamped to a tenth of what is left, until nothing changes."""
+    return order.dominance_cap(table(spark, sf_dir, "chat_messages").groupBy("source").agg(F.count(F.lit(1)).alias("n")), 0.1)
+
+
+@query("holdout_bucket", "select distinct family, ('0x' || substr(sha256('holdout:' || family), 1, 8))::bigint % 1000 < 100 as held from task_instances where family is not null")
+def holdout_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic holdout of task families by hash."""
+    return table(spark, sf_dir, "task_instances").where("family is not null").select("family").distinct().withColumn("held", split.hash_holdout(F.col("family")))
+
+
+@query("variant_picks", "select rec_no, ('0x' || substr(sha256('variant:' || seed_id), 1, 8))::bigint % 8 as variant from seeds where seed_id is not null")
+def variant_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of eight variants for each seed."""
+    return table(spark, sf_dir, "seeds").where("seed_id is not null").select("rec_no", split.hash_pick("variant:", F.col("seed_id"), 8).alias("variant"))
+
+
+_SQL_SPLIT = """keyed as (select rec_no, coalesce(provenance.holdout, false) as holdout, provenance.family as family, provenance.family as k from conv_records),
+ranked as (select k, row_number() over (order by sha256('7:' || k), k) as r, count(*) over () as n from (select distinct k from keyed where not holdout and k is not null)),
+parts as (select rec_no, family, holdout, holdout or k in (select k from ranked where r <= floor(n * 0.15)) as is_eval from keyed)"""
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "conv_records").select("rec_no", F.col("provenance.holdout").alias("holdout"), F.col("provenance.family").alias("family"))
+    return split.split_train_eval(r, "family", "holdout", 0.15, 7)
+
+
+@query("split_train_eval", f"with {_SQL_SPLIT} select rec_no, is_eval from parts")
+def split_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly 15 per cent of the free families, and all held-out records, go to eval."""
+    return _split(spark, sf_dir).select("rec_no", "is_eval")
+
+
+@query("mixed_families", "select provenance.family as family, count(*) filter (coalesce(provenance.holdout, false)) as n_holdout, count(*) filter (not coalesce(provenance.holdout, false)) as n_train from conv_records group by 1 having n_holdout > 0 and n_train > 0")
+def mixed_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families that are only partly held out."""
+    r = table(spark, sf_dir, "conv_records").select(F.col("provenance.family").alias("family"), F.col("provenance.holdout").alias("holdout"))
+    return split.mixed_families(r, "family", "holdout")
+
+
+@query("holdout_leaks", f"with {_SQL_SPLIT} select rec_no from parts where holdout and not is_eval")
+def holdout_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out records in train: none."""
+    return split.leaked(_split(spark, sf_dir), "holdout").select("rec_no")
+
+
+@query(
+    "preference_pairs",
+    f"""with {_sql_rendered(True)},
+firsts as (select rec_no, min(i) filter (role = 'user') as n from placed group by rec_no),
+alone as (select f.rec_no, f.n from firsts f where f.n is not null),
+prompts as (select a.rec_no, sum(case when d.i <= a.n then length(d.f) else 0 end) as z, sha256(any_value(d.head) || string_agg(d.f, '' order by d.i) filter (d.i <= a.n)) as prompt from alone a join placed d using (rec_no) group by a.rec_no),
+c as (select rec_no, provenance.record_id as id, provenance.sibling_group as grp, gate_state.judge.overall as overall, gate_state.drop_reason as reason, gate_state.verified as verified, coalesce(gate_state.dropped, false) as dropped, prompt from conv_records join prompts using (rec_no) where coalesce(provenance.sibling_group, '') <> '' and gate_state.judge is not null)
+select x.id as chosen_id, y.id as rejected_id, x.grp as sibling_group, printf('%.3f', x.overall - y.overall) as margin
+from c x join c y on x.grp = y.grp and x.prompt = y.prompt where not x.dropped and y.dropped and y.reason = 'judge' and y.verified and x.overall - y.overall >= 0.1""",
+)
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept records and their siblings that lost at the judge."""
+    r = table(spark, sf_dir, "conv_records")
+    p = render.preference_pairs(r.where("not coalesce(gate_state.dropped, false)"), r.where("gate_state.dropped"), 0.1)
+    return p.select(*[F.col("meta")[k].alias(k) for k in ("chosen_id", "rejected_id", "sibling_group", "margin")])
+
+
+@query("percentiles_nearest", "with v as (select list(length(text) order by length(text)) as s, count(*) as n from documents where text is not null) select p, cast(s[least(n - 1, p * n // 100) + 1] as bigint) as value from v, (values (10), (25), (50), (75), (90)) t(p)")
+def percentiles_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of document lengths by nearest rank."""
+    d = table(spark, sf_dir, "documents").select(F.length("text").alias("n"))
+    return stats.percentiles_nearest(d, "n").select("p", F.col("value").cast("bigint").alias("value"))
+
+
+@query("interiority", rf"""with c as (select doc_id, substr(text, 1, 60000) as t from documents where text is not null),
+n as (select doc_id, len(regexp_extract_all(t, '[A-Za-z'']+')) as n, len(regexp_extract_all(t, '(?i){stats.MENTAL_WORDS}')) as k from c)
+select doc_id, case when n < 100 then 0.0 else k * 1000.0 / n end as score from n""")
+def interiority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of inner life per thousand words of documents of at least a hundred words."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", stats.interiority(F.col("text"), least=100).alias("score"))
+
+
+@query("cost_ledger", "with u as (select l_returnflag as teacher, l_linestatus as lane, cast(l_quantity as bigint) as tin, cast(l_extendedprice as bigint) as tout from lineitem), p as (select * from (values ('A', 1.0, 2.0), ('N', 0.5, 1.5)) t(teacher, a, b)) select teacher, lane, cast(sum(tin) as bigint) as tokens_in, cast(sum(tout) as bigint) as tokens_out, sum((tin * coalesce(a, 0) + tout * coalesce(b, 0)) / 1e6) as cost from u left join p using (teacher) group by teacher, lane")
+def cost_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage and cost by teacher and lane; one teacher has no price."""
+    u = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("teacher"), F.col("l_linestatus").alias("lane"), F.round("l_quantity").cast("bigint").alias("tokens_in"), F.bround("l_extendedprice").cast("bigint").alias("tokens_out"))
+    prices = spark.createDataFrame([("A", 1.0, 2.0), ("N", 0.5, 1.5)], "teacher string, price_in double, price_out double")
+    return stats.usage_totals(u, prices)
+
+
+@query("mix_report", "with g as (select coalesce(doc_kind, '') as corpus, count(*) as records, cast(sum(length(coalesce(text, ''))) as double) / 4 as tokens from documents group by 1) select *, tokens / sum(tokens) over () as share from g")
+def mix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, tokens and shares by kind of document."""
+    return stats.mix_report(table(spark, sf_dir, "documents").select(F.coalesce("doc_kind", F.lit("")).alias("corpus"), "text"), "corpus", "text")
+
+
+@query("judge_routing", "select o_orderkey, case ('0x' || substr(sha256(cast(o_orderkey as varchar)), 1, 8))::bigint % 2 when 0 then 'judge-1' else 'judge-2' end as judge from orders where o_orderpriority like '1%'")
+def judge_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A judge of another provider for each key."""
+    judges = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(p).alias("provider")) for i, p in (("judge-0", "x"), ("judge-1", "y"), ("judge-2", "z"))])
+    o = table(spark, sf_dir, "orders").where("o_orderpriority like '1%'")
+    return o.select("o_orderkey", models.judge_for(F.col("o_orderkey").cast("string"), judges, F.lit("x")).alias("judge"))
+
+
+@query("rotate_picks", "select o_orderkey, case ('0x' || substr(sha256('rotate:' || o_orderkey), 1, 8))::bigint % 2 when 0 then 'a' else 'c' end as teacher from orders where o_orderpriority like '2%'")
+def rotate_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A teacher of another provider for each key."""
+    pool = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(p).alias("provider")) for i, p in (("a", "x"), ("b", "y"), ("c", "z"))])
+    o = table(spark, sf_dir, "orders").where("o_orderpriority like '2%'")
+    return o.select("o_orderkey", models.rotate(F.col("o_orderkey").cast("string"), pool, F.lit("y")).alias("teacher"))
+
+
+@query("rollout_order", "with r as (select rec_no, unnest(range(0, n_rollouts)) as round from task_instances where n_rollouts > 0) select rec_no, round, row_number() over (order by round, rec_no) - 1 as prompt_index from r")
+def rollout_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task rollouts round-robin, numbered."""
+    t = table(spark, sf_dir, "task_instances").where("n_rollouts > 0").select("rec_no", "n_rollouts")
+    return expand.rollout_order(t, ["rec_no"]).select("rec_no", F.col("round").cast("bigint").alias("round"), "prompt_index")
+
+
+_TASK = {"id": "files.copy", "family": "files", "params": {"name": ["a", "b", "c"], "size": [1, 2]}, "prompt": "{persona}, write {name} of {size}.", "n_rollouts": 3, "verifier": "v"}
+
+
+@query("task_expand_product", "select 'Quill, write ' || n || ' of ' || s || '.' as prompt, n as name, s as size from (values ('a'), ('b'), ('c')) a(n), (values ('1'), ('2')) b(s)")
+def task_expand_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every combination of a template's parameters."""
+    t = expand.expand_tasks(config.tasks_table(spark, [_TASK]), "Quill")
+    return t.select("prompt", F.col("params")["name"].alias("name"), F.col("params")["size"].alias("size"))
+
+
+@query("task_expand_zip", "select 'Quill, write ' || n || ' of ' || s || '.' as prompt from (values ('a', '1'), ('b', '2')) a(n, s)")
+def task_expand_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k-th values of a template's parameters together."""
+    zipped = _TASK | {"param_mode": "zip", "params": {"name": ["a", "b"], "size": [1, 2]}}
+    return expand.expand_tasks(config.tasks_table(spark, [zipped]), "Quill").select("prompt")
+
+
+@query("chunk_windows")
+def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in overlapping windows of paragraphs of about a thousand characters."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    return d.select("doc_id", F.posexplode(books.chunk_windows(F.col("text"), 1000)).alias("chunk", "text"))
+
+
+@query("protected_spans")
+def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of replies that a rewrite must not touch."""
+    d = table(spark, sf_dir, "documents").where("doc_kind in ('reply', 'task') and text is not null")
+    return d.select("doc_id", F.explode(spans.protected_spans_of("text")).alias("s")).select("doc_id", "s.*")
+
+
+@query("span_round_trip", "select doc_id from documents where doc_kind in ('reply', 'task') and text is not null and not contains(text, '⟦')")
+def span_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that come back unchanged from masking and restoring: all."""
+    d = table(spark, sf_dir, "documents").where("doc_kind in ('reply', 'task') and text is not null and not contains(text, '⟦')").withColumn("k", spans.mask_of("text"))
+    return d.where(spans.restore_of("k.masked", "k.originals") == F.col("text")).select("doc_id")
+
+
+@query("typo_injection")
+def typo_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns with seeded slips."""
+    d = table(spark, sf_dir, "documents").where("doc_kind = 'task' and text is not null")
+    return d.select("doc_id", spans.with_typos_of("text", F.lit(0.2), F.col("doc_id")).alias("text"))
+
+
+@query("mojibake_repair")
+def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that undo cleanly from Latin-1."""
+    c = table(spark, sf_dir, "chat_messages").where("text is not null").select("row_id", "text", chats.latin1_repair("text").alias("repaired"))
+    return c.where("text <> repaired").select("row_id", "repaired")
+
+
+@query("note_bullets", f"""with b as (select doc_id, unnest(list_transform(regexp_extract_all(text, '(?m)^[-*]\\s+(.*)$', 1), lambda x: regexp_replace(x, '^{SQL_WS}+|{SQL_WS}+$', '', 'g'))) as b from documents where doc_kind = 'note' and text is not null and not contains(text, chr(13)))
+select doc_id, count(*) as n from b where length(b) > 40 group by doc_id""")
+def note_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bullets of more than forty characters in notes with plain line ends."""
+    d = table(spark, sf_dir, "documents").where("doc_kind = 'note' and text is not null and not contains(text, '\r')")
+    return d.select("doc_id", F.size(vault.bullets(F.col("text"))).cast("bigint").alias("n")).where("n > 0")
+
+
+@query("gate_run")
+def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole funnel over the records, with the recorded judge scores as verdicts: every record and why it fell."""
+    r = table(spark, sf_dir, "conv_records")
+    v = r.where("gate_state.judge is not null").groupBy(F.col("provenance.record_id").alias("record_id")).agg(F.max_by("gate_state.judge.overall", "rec_no").alias("overall"), F.max_by("gate_state.judge.passed", "rec_no").alias("passed"))
+    kept, rejected = gate.run_gates(r, v, "rec_no")
+    return kept.select("rec_no", F.lit(None).cast("string").alias("drop_reason")).unionByName(rejected.select("rec_no", "drop_reason"))
+
+
+@query("external_filter")
+def external_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First reason to drop each record's conversation, read as a third-party row."""
+    r = table(spark, sf_dir, "conv_records").where(F.size("messages") > 0)
+    turns = F.transform("messages", lambda m: F.struct(F.when(m["role"] == "assistant", "gpt").otherwise("human").alias("from"), m["content"].alias("value")))
+    return r.select("rec_no", gate.external_reason(turns).alias("reason"))
+
+
+@query("revenue_by_region", "select r_name, n_name, sum(l_extendedprice * (1 - l_discount)) as revenue, count(distinct o_orderkey) as n_orders from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by r_name, n_name")
+def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain relational query over the star schema."""
+    t = lambda n: table(spark, sf_dir, n)
+    j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return j.groupBy("r_name", "n_name").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"), F.count_distinct("o_orderkey").alias("n_orders"))

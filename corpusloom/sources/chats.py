@@ -10,6 +10,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusloom.functions.text import clean_url, strip
 from corpusloom.functions.timestamps import apple_epoch_us, instant_us, month_family
@@ -66,7 +67,7 @@ def role_of(sender: Column, source: ChatSource) -> Column:
     return F.when(sender == F.lit(source.owner_sender), "user").otherwise("assistant")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def latin1_repair(texts: pd.Series) -> pd.Series:
     """UTF-8 that was read as Latin-1, undone where it undoes cleanly; other texts unchanged."""
 

@@ -8,6 +8,7 @@ import pandas as pd
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 from corpusloom.functions.hashing import note_family
 from corpusloom.functions.text import strip
@@ -16,7 +17,7 @@ FRONT = r"(?s)^---\n(.*?)\n---\n"
 _SECTION = re.compile(r"^##\s+(?P<name>.+?)\s*$\n(?P<body>.*?)(?=^##\s|\Z)", re.M | re.S)
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(MapType(StringType(), StringType()))
 def front_matter(texts: pd.Series) -> pd.Series:
     """Front matter as a map; empty where there is none or it is no mapping."""
 
@@ -30,7 +31,7 @@ def front_matter(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(MapType(StringType(), StringType()))
 def sections(bodies: pd.Series) -> pd.Series:
     """Body of each ``##`` heading."""
     return bodies.map(lambda t: [] if t is None else list({m["name"]: m["body"].strip() for m in _SECTION.finditer(t)}.items()))
