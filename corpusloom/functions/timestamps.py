@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 ISO_INSTANT = r"^(\d{4}-\d{2}-\d{2})[Tt ]+(\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)\s*([Zz]|[+-]\d{2}(?::?\d{2})?)?$"
 
 
+#: The common notation, which a cast reads as it is.
+PLAIN_INSTANT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})$"
+
+
 def instant_us(ts: Column) -> Column:
     """Microseconds since 1970 UTC of an ISO-8601 string; null where missing or unreadable.
 
@@ -25,7 +29,7 @@ def instant_us(ts: Column) -> Column:
     )
     time = F.regexp_replace(F.regexp_replace(part(2), ",", "."), r"(\.\d{6})\d+$", "$1")
     full = F.concat(part(1), F.lit("T"), time, zone)
-    return F.when(s.rlike(ISO_INSTANT), F.unix_micros(full.try_cast("timestamp")))
+    return F.when(ts.rlike(PLAIN_INSTANT), F.unix_micros(ts.try_cast("timestamp"))).when(s.rlike(ISO_INSTANT), F.unix_micros(full.try_cast("timestamp")))
 
 
 def month_family(source: Column, ts_us: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.schema import RECORD_DDL
@@ -31,13 +31,16 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_ordered(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file, line_no, raw`` in file order: the order on which order-sensitive operators rely.
+    """``file, line_no, raw`` of the non-blank lines: the order on which order-sensitive operators rely.
 
-    Each file is read whole by one task and split there; ``(file, line_no)`` is the ordinal and files sort by name.
+    Files are read in splits by many tasks. A line's number is its place in its split plus the lines of earlier splits of its file,
+    which come from a table of one row for each split.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "raw"))
-    return lines.where("trim(raw) <> ''")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
+    splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return lines.join(splits, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before")).alias("line_no"), "raw").where("trim(raw) <> ''")
 
 
 def parsed(ordered: DataFrame, ddl: str, required: list[str] = ()) -> DataFrame:

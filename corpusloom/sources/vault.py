@@ -26,7 +26,7 @@ def front_matter(texts: pd.Series) -> pd.Series:
             got = yaml.safe_load(t) if t else None
         except yaml.YAMLError:
             got = None
-        return [(str(k), str(v)) for k, v in got.items() if v is not None] if isinstance(got, dict) else []
+        return {str(k): str(v) for k, v in got.items() if v is not None} if isinstance(got, dict) else {}
 
     return texts.map(one)
 
@@ -34,7 +34,7 @@ def front_matter(texts: pd.Series) -> pd.Series:
 @F.pandas_udf(MapType(StringType(), StringType()))
 def sections(bodies: pd.Series) -> pd.Series:
     """Body of each ``##`` heading."""
-    return bodies.map(lambda t: [] if t is None else list({m["name"]: m["body"].strip() for m in _SECTION.finditer(t)}.items()))
+    return bodies.map(lambda t: {} if t is None else {m["name"]: m["body"].strip() for m in _SECTION.finditer(t)})
 
 
 def bullets(body: Column, longer_than: int = 40) -> Column:

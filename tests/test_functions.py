@@ -98,7 +98,7 @@ def test_tree_and_prompt_hash(tmp_path):
 
 
 def test_spans_priority_and_round_trip():
-    text = 'Run `pip_install x` in /usr/local/bin, see https://a.example/b?c=1 and "quoted words" or snake_case 42.5%.'
+    text = 'Run `pip_install x` in /usr/local/bin, see https://a.example/b?c=1 and "quoted words" or snake_case 42.5% here'
     found = [(k, t) for _, _, k, t in spans.protected_spans(text)]
     assert ("inline_code", "`pip_install x`") in found and ("abs_path", "/usr/local/bin") in found and ("quoted", '"quoted words"') in found
     assert ("identifier", "snake_case") in found and ("number", "42.5%") in found
