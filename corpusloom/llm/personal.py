@@ -163,7 +163,7 @@ def _id_spans(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
     for m in CARD.finditer(text):
         d = re.sub(r"\D", "", m.group())
-        if 13 <= len(d) <= 19 and luhn(d) and len(set(d)) > 2 and not _BAD_NUMBER.search(text[max(0, m.start() - 24) : m.start()]):
+        if 13 <= len(d) <= 19 and luhn(d) and len(set(d)) > 1 and not _BAD_NUMBER.search(text[max(0, m.start() - 24) : m.start()]):
             yield m.span()
     for m in ID_SHAPE.finditer(text):
         if len(re.sub(r"\D", "", m.group())) >= 6 and ID_CONTEXT.search(text[max(0, m.start() - 48) : m.start()]):
