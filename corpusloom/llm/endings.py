@@ -65,11 +65,13 @@ def last_word_key(body: str) -> str:
 
 
 def ending(text: str) -> tuple[str, bool, str, str]:
-    """``(kind, marked, end key, last line)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the counts) or ``inside`` (a comma or dash)."""
+    """``(kind, marked, end key, last line)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the counts) or ``inside`` (an open turn or object, an article, a comma or dash)."""
     body, marked = split_mark(text)
     line = body.rsplit("\n", 1)[-1].strip()
     if not body or TERMINAL.search(body[-160:]) or SIGN_OFF.match(line):
         return "whole", marked, "", ""
+    if body.rfind("<|im_start|>") > body.rfind("<|im_end|>") or (line.startswith("{") and not line.endswith("}")):
+        return "inside", marked, last_key(body), ""  # an open turn or object
     words = _TOKEN.findall(line[-300:].lower())
     kind = "inside" if len(words) > 3 and (body[-1] in ",;(–—-" or words[-1] in DANGLING) else "open"
     return kind, marked, last_key(body), _name(_TOKEN.findall(line.lower())) if len(line) <= 60 else ""

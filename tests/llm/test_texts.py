@@ -138,6 +138,7 @@ def test_ending_kinds():
     assert endings.ending("All done.")[0] == "whole" and endings.ending("said “yes.”")[0] == "whole" and endings.ending("see https://a.example/x")[0] == "whole"
     assert endings.ending("x<|im_end|>\n")[:2] == ("whole", False) and endings.ending("and then he…")[1] is True
     assert endings.ending("one two three four,")[0] == "inside" and endings.ending("they left for the")[0] == "inside"
+    assert endings.ending("<|im_start|>user\nthey left for home")[0] == "inside" and endings.ending('{"ok": true, "no')[0] == "inside"
     assert endings.ending("they left for the stat")[0] == "open" and endings.last_key("a b\nthey left 42 Hens") == "left 0 hens"
     assert endings.end_keys("One two three. Four five six\nseven eight nine ten") == Counter({"one two three": 1, "four five six": 1})
 
