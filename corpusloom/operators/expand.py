@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import short_hash
 from corpusloom.functions.text import shorten
-from corpusloom.operators.split import hash_holdout
+from corpusloom.operators.split import hash_holdout, hash_pick
 
 
 def instance_key(template: Column, names: Column, values: Column) -> Column:
@@ -85,6 +85,28 @@ def event_seeds(dated: DataFrame, speaker: str, cap: int) -> DataFrame:
     return note_seeds(dated, "event", F.concat(F.lit("The user brings up something from "), F.col("when"), F.lit(" ("), F.col("year"), F.lit("): "), what), F.concat(F.lit("## What you remember about "), F.col("year"), F.lit("\n"), F.col("summary"), F.lit("\n\n## This particular thing\n"), F.col("when"), F.lit(": "), F.col("what")), speaker, cap, ["rel", "i"])
 
 
+def person_seeds(people: DataFrame, speaker: str, cap: int) -> DataFrame:
+    """A seed for each note about a person (``rel, family_key, title, summary``)."""
+    return note_seeds(people, "person", F.concat(F.lit("The user talks about "), F.col("title"), F.lit(".")), F.concat(F.lit("## What you know about "), F.col("title"), F.lit("\n"), F.col("summary")), speaker, cap, ["rel"])
+
+
+def topic_seeds(bullet_rows: DataFrame, speaker: str, cap: int) -> DataFrame:
+    """A seed for each bullet (``rel, family_key, i, bullet, summary``)."""
+    return note_seeds(bullet_rows, "topic", F.concat(F.lit("The user comes back to this: "), shorten(F.col("bullet"), 300)), F.concat(F.col("summary"), F.lit("\n\n"), F.col("bullet")), speaker, cap, ["rel", "i"])
+
+
+def obsession_seeds(own_notes: DataFrame, speaker: str, cap: int, framings: list[str]) -> DataFrame:
+    """A seed for each of the owner's own notes (``rel, family_key, title, summary``), with one of several framings by hash of its id."""
+    which = F.get(F.array(*[F.lit(f) for f in framings]), hash_pick("variant:", F.concat(F.lit("companion-obsession-"), F.col("family_key")), len(framings)).cast("int"))
+    return note_seeds(own_notes, "obsession", F.concat(F.lit("The user is full of "), F.col("title"), F.lit(". "), which), F.col("summary"), speaker, cap, ["rel"])
+
+
+def interest_seeds(communities: DataFrame, speaker: str, cap: int) -> DataFrame:
+    """A seed for each community (``community, n, texts``), the most active first."""
+    rows = communities.select(F.concat(F.lit("reddit-"), short_hash(F.lower("community"), 8)).alias("family_key"), (-F.col("n")).alias("rank"), "first_seen", "community", "texts")
+    return note_seeds(rows, "interest", F.concat(F.lit("The user explains something from "), F.col("community"), F.lit(" unprompted.")), F.array_join("texts", "\n\n"), speaker, cap, ["rank", "first_seen"])
+
+
 def seeds_of_all_kinds(kinds: list[DataFrame]) -> DataFrame:
     """Seeds of several kinds, each already capped."""
     return reduce(DataFrame.unionByName, kinds)
