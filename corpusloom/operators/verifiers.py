@@ -23,7 +23,7 @@ def result(checks: dict[str, Column]) -> Column:
     """All checks passed, and the names of those that did not; an unknown check counts as failed."""
     sure = {k: F.coalesce(v, F.lit(False)) for k, v in checks.items()}
     failed = F.array_compact(F.array(*[F.when(~v, F.lit(k)) for k, v in sure.items()]))
-    return F.struct((F.size(failed) == 0).alias("passed"), failed.alias("failed"))
+    return let(failed, lambda f: F.struct((F.size(f) == 0).alias("passed"), f.alias("failed")))
 
 
 def _text(m: Column) -> Column:
@@ -78,6 +78,11 @@ def final_write(messages: Column, target: Column) -> Column:
     return let(mine, last)
 
 
+def _with_writes(messages: Column, params: Column, names: list[str], use) -> Column:
+    """``use`` of the final writes to the targets that parameters name, each evaluated once."""
+    return let(F.struct(*[final_write(messages, _param(params, n)).alias(n) for n in names]), use)
+
+
 def confirmed(messages: Column) -> Column:
     """The last message is an assistant's, without calls and not blank."""
     last = F.try_element_at(messages, F.lit(-1))
@@ -175,30 +180,38 @@ def normal_lines(text: Column) -> Column:
 
 def tagged_count(messages: Column, params: Column) -> Column:
     """The log was written verbatim and the count file states the true count."""
-    log, n = final_write(messages, _param(params, "destination")), final_write(messages, _param(params, "count_destination"))
     true_count = _param(params, "true_count").try_cast("bigint")
-    return result(
-        {
-            "wrote_log_verbatim": log["ok"] & (normal_lines(log["content"]) == normal_lines(F.coalesce(F.try_element_at(params, F.lit("entries_block")), F.lit("")))),
-            "wrote_correct_count": n["ok"] & F.exists(F.regexp_extract_all(n["content"], F.lit(r"(\d+)"), 1), lambda x: F.coalesce(x.try_cast("bigint") == true_count, F.lit(False))),
-            "confirmed_to_user": confirmed(messages),
-        }
-    )
+
+    def checks(w: Column) -> Column:
+        log, n = w["destination"], w["count_destination"]
+        return result(
+            {
+                "wrote_log_verbatim": log["ok"] & (normal_lines(log["content"]) == normal_lines(F.coalesce(F.try_element_at(params, F.lit("entries_block")), F.lit("")))),
+                "wrote_correct_count": n["ok"] & F.exists(F.regexp_extract_all(n["content"], F.lit(r"(\d+)"), 1), lambda x: F.coalesce(x.try_cast("bigint") == true_count, F.lit(False))),
+                "confirmed_to_user": confirmed(messages),
+            }
+        )
+
+    return _with_writes(messages, params, ["destination", "count_destination"], checks)
 
 
 def save_note(messages: Column, params: Column) -> Column:
     """The note is there and not blank, and the index names it."""
     target = _param(params, "destination")
-    note, index = final_write(messages, target), final_write(messages, _param(params, "index"))
-    return result(
-        {
-            "wrote_requested_path": note["ok"],
-            "content_nonempty": strip(note["content"]) != "",
-            "index_written": index["ok"],
-            "index_names_file": F.contains(index["content"], F.substring_index(F.regexp_replace(target, "/+$", ""), "/", -1)),
-            "confirmed_to_user": confirmed(messages),
-        }
-    )
+
+    def checks(w: Column) -> Column:
+        note, index = w["destination"], w["index"]
+        return result(
+            {
+                "wrote_requested_path": note["ok"],
+                "content_nonempty": strip(note["content"]) != "",
+                "index_written": index["ok"],
+                "index_names_file": F.contains(index["content"], F.substring_index(F.regexp_replace(target, "/+$", ""), "/", -1)),
+                "confirmed_to_user": confirmed(messages),
+            }
+        )
+
+    return _with_writes(messages, params, ["destination", "index"], checks)
 
 
 def rename_patch(messages: Column, params: Column) -> Column:
@@ -216,32 +229,30 @@ def rename_patch(messages: Column, params: Column) -> Column:
         patched = F.when(every, F.replace(state, a, b)).otherwise(once)
         return F.when(c.isNull() | ~F.coalesce(tool_ok(m["content"]), F.lit(False)), state).when(c["name"] == "write_file", F.coalesce(argument(c, "content"), F.lit(""))).otherwise(patched)
 
-    final = F.aggregate(_of(messages, "tool"), F.lit(None).cast("string"), replay)
-    return result(
-        {
-            "wrote_requested_path": final.isNotNull(),
-            "old_term_gone": old.isNotNull() & ~F.contains(final, old),
-            "new_term_present": new.isNotNull() & F.contains(final, new),
-            "confirmed_to_user": confirmed(messages),
-        }
-    )
+    end = F.aggregate(_of(messages, "tool"), F.lit(None).cast("string"), replay)
+    checks = lambda final: {"wrote_requested_path": final.isNotNull(), "old_term_gone": old.isNotNull() & ~F.contains(final, old), "new_term_present": new.isNotNull() & F.contains(final, new), "confirmed_to_user": confirmed(messages)}
+    return let(end, lambda final: result(checks(final)))
 
 
 def exact_lines(messages: Column, params: Column) -> Column:
     """Exactly n lines, none blank or marked, in alphabetical order without regard to case."""
-    w, n = final_write(messages, _param(params, "destination")), _param(params, "n_lines").try_cast("int")
-    lines = F.when(w["content"] == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(w["content"], r"\n+$", ""), "\n"))
-    low = F.transform(lines, F.lower)
-    return result(
-        {
-            "wrote_requested_path": w["ok"],
-            "exact_line_count": F.size(lines) == n,
-            "no_blank_lines": (F.size(lines) > 0) & F.forall(lines, lambda x: strip(x) != ""),
-            "no_list_markers": (F.size(lines) > 0) & ~F.exists(lines, lambda x: x.rlike(LIST_MARK)),
-            "alphabetical_order": (F.size(lines) > 0) & (low == F.array_sort(low)),
-            "confirmed_to_user": confirmed(messages),
-        }
-    )
+    n = _param(params, "n_lines").try_cast("int")
+
+    def checks(w: Column) -> Column:
+        lines, low = w["lines"], F.transform(w["lines"], F.lower)
+        return result(
+            {
+                "wrote_requested_path": w["ok"],
+                "exact_line_count": F.size(lines) == n,
+                "no_blank_lines": (F.size(lines) > 0) & F.forall(lines, lambda x: strip(x) != ""),
+                "no_list_markers": (F.size(lines) > 0) & ~F.exists(lines, lambda x: x.rlike(LIST_MARK)),
+                "alphabetical_order": (F.size(lines) > 0) & (low == F.array_sort(low)),
+                "confirmed_to_user": confirmed(messages),
+            }
+        )
+
+    lines = lambda c: F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, r"\n+$", ""), "\n"))
+    return _with_writes(messages, params, ["destination"], lambda w: let(F.struct(w["destination"]["ok"].alias("ok"), lines(w["destination"]["content"]).alias("lines")), checks))
 
 
 def _numbers(text: Column) -> Column:
@@ -256,9 +267,9 @@ def monthly_payment(principal: Column, rate_pct: Column, years: Column) -> Colum
 
 def calc_note(messages: Column, params: Column) -> Column:
     """The saved note states the recomputed payment to the cent."""
-    w = final_write(messages, _param(params, "destination"))
     due = monthly_payment(_param(params, "principal").try_cast("double"), _param(params, "rate_pct").try_cast("double"), _param(params, "years").try_cast("int"))
-    return result({"wrote_requested_path": w["ok"], "correct_amount": F.exists(_numbers(w["content"]), lambda x: F.coalesce(F.abs(x - F.round(due, 2)) <= 0.011, F.lit(False))), "confirmed_to_user": confirmed(messages)})
+    near = lambda c: F.exists(_numbers(c), lambda x: F.coalesce(F.abs(x - F.round(due, 2)) <= 0.011, F.lit(False)))
+    return _with_writes(messages, params, ["destination"], lambda w: result({"wrote_requested_path": w["destination"]["ok"], "correct_amount": near(w["destination"]["content"]), "confirmed_to_user": confirmed(messages)}))
 
 
 def _stem(path: Column) -> Column:
@@ -273,17 +284,21 @@ def _links(text: Column, path: Column) -> Column:
 def linked_note(messages: Column, params: Column) -> Column:
     """Note with tagged front matter and hub, each linking the other."""
     target, hub = _param(params, "destination"), _param(params, "hub")
-    n, h = final_write(messages, target), final_write(messages, hub)
-    return result(
-        {
-            "wrote_note": n["ok"],
-            "note_has_frontmatter_tags": F.contains(F.regexp_extract(n["content"], FRONT_MATTER, 1), F.lit("tags")),
-            "wrote_hub": h["ok"],
-            "hub_links_note": _links(h["content"], target),
-            "note_backlinks_hub": _links(n["content"], hub),
-            "confirmed_to_user": confirmed(messages),
-        }
-    )
+
+    def checks(w: Column) -> Column:
+        n, h = w["destination"], w["hub"]
+        return result(
+            {
+                "wrote_note": n["ok"],
+                "note_has_frontmatter_tags": F.contains(F.regexp_extract(n["content"], FRONT_MATTER, 1), F.lit("tags")),
+                "wrote_hub": h["ok"],
+                "hub_links_note": _links(h["content"], target),
+                "note_backlinks_hub": _links(n["content"], hub),
+                "confirmed_to_user": confirmed(messages),
+            }
+        )
+
+    return _with_writes(messages, params, ["destination", "hub"], checks)
 
 
 def _grounded(messages: Column, content: Column) -> Column:
@@ -291,25 +306,31 @@ def _grounded(messages: Column, content: Column) -> Column:
     return F.size(F.array_intersect(urls(content), seen))
 
 
+def _cited(messages: Column, params: Column, least: int, name: str, most_words: int, more=None) -> Column:
+    def checks(w: Column) -> Column:
+        c = w["destination"]["content"]
+        between = let(words_without_urls(c), lambda n: (n > 0) & (n <= most_words))
+        return result({"wrote_requested_path": w["destination"]["ok"], name: _grounded(messages, c) >= least, **(more(c) if more else {}), "within_word_budget": between, "confirmed_to_user": confirmed(messages)})
+
+    return _with_writes(messages, params, ["destination"], checks)
+
+
 def compare_sources(messages: Column, params: Column) -> Column:
     """At least three cited links that tools returned, and 1 to 300 words."""
-    w = final_write(messages, _param(params, "destination"))
-    n = words_without_urls(w["content"])
-    return result({"wrote_requested_path": w["ok"], "cited_three_grounded_sources": _grounded(messages, w["content"]) >= 3, "within_word_budget": (n > 0) & (n <= 300), "confirmed_to_user": confirmed(messages)})
+    return _cited(messages, params, 3, "cited_three_grounded_sources", 300)
 
 
 def ratio_consistent(text: Column) -> Column:
     """Whether a stated number is the ratio of two others, the first larger, within two per cent."""
     v = F.filter(_numbers(text), lambda x: x > 0)
     at = F.transform(v, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    return F.exists(at, lambda x: F.exists(at, lambda a: F.exists(at, lambda b: (a["i"] != x["i"]) & (b["i"] != x["i"]) & (b["i"] != a["i"]) & (a["x"] > b["x"]) & (F.abs(x["x"] - a["x"] / b["x"]) <= 0.02 * a["x"] / b["x"]))))
+    fits = lambda x, a, b: (a["i"] != x["i"]) & (b["i"] != x["i"]) & (b["i"] != a["i"]) & (a["x"] > b["x"]) & (F.abs(x["x"] - a["x"] / b["x"]) <= 0.02 * a["x"] / b["x"])
+    return let(at, lambda n: F.exists(n, lambda x: F.exists(n, lambda a: F.exists(n, lambda b: fits(x, a, b)))))
 
 
 def fact_ratio(messages: Column, params: Column) -> Column:
     """At least two grounded links, a ratio that follows from the stated numbers, 1 to 200 words."""
-    w = final_write(messages, _param(params, "destination"))
-    n = words_without_urls(w["content"])
-    return result({"wrote_requested_path": w["ok"], "cited_two_grounded_sources": _grounded(messages, w["content"]) >= 2, "ratio_internally_consistent": ratio_consistent(w["content"]), "within_word_budget": (n > 0) & (n <= 200), "confirmed_to_user": confirmed(messages)})
+    return _cited(messages, params, 2, "cited_two_grounded_sources", 200, lambda c: {"ratio_internally_consistent": ratio_consistent(c)})
 
 
 #: Task verifiers by template id, and lane verifiers: all of a lane's must pass.
