@@ -113,6 +113,11 @@ def _foreign(text: str, i: int) -> bool:
     return sum(c.isascii() and c.isalpha() for c in text) >= 3 and (len(w) <= 4 or "latin" in kinds)
 
 
+def letters_beside(text: str, i: int) -> bool:
+    """Whether a neighbour of position ``i`` is a letter."""
+    return text[i - 1 : i].isalpha() or text[i + 1 : i + 2].isalpha()
+
+
 def clean_cost(text: str, i: int) -> float:
     """Cost of position ``i`` in the clean state: how odd the character is beside its neighbours."""
     k = _kind(text[i])
@@ -133,7 +138,7 @@ def _odd_cost(text: str, i: int, k: str) -> float:
     last, bare = text[i + 1 : i + 2], not text[i + 1 : i + 2].isascii()
     letters = (_script(before), _script(after))
     if text[i] == "ƒ":
-        return 4.0
+        return 6.0 if letters_beside(text, i) else 2.0
     if k == "latin_low":
         if _capitals(text, i):
             return 5.0
@@ -166,15 +171,15 @@ def coded_cost(c: str, text: str, i: int) -> float:
     k = _kind(c)
     if k == "control":
         return 4.0
-    if text[i] == "ƒ":
-        return 4.0
+    if c == "ƒ":
+        return 1.0
     if k == "latin_low":
         return 5.0 if _capitals(text, i) else 1.0
     if k in ("latin_up", "cyr_rare_up", "cyr_rare_low"):
         return 1.5
     if k == "script" and unicodedata.name(c, "").split(" ")[0] not in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "ARABIC", "HEBREW", "LATIN", "THAI", "DEVANAGARI"):
         return 5.0
-    if unicodedata.category(c) in ("Cn", "Co", "Cs"):
+    if unicodedata.category(c) in ("Cn", "Co", "Cs", "Mn") and c != "\ufe0f":
         return 6.0
     return 1.0
 
@@ -188,7 +193,9 @@ def units(text: str, encoding: str) -> dict[int, tuple[int, str]]:
         n = 2 if 0xC2 <= b <= 0xDF else 3 if 0xE0 <= b <= 0xEF else 4 if 0xF0 <= b <= 0xF4 else 0
         if n and i + n <= len(text):
             try:
-                out[i] = n, bytes([b, *(t[x] for x in text[i + 1 : i + n])]).decode("utf-8")
+                rest = text[i + 1 : i + n]
+                # in a longer sequence a no-break space may have become a plain blank
+                out[i] = n, bytes([b, *(0xA0 if x == " " and n > 2 else t[x] for x in rest)]).decode("utf-8")
             except (KeyError, UnicodeDecodeError):
                 pass
     if encoding in ("cp1252", "latin-1"):

@@ -181,6 +181,8 @@ def _person_score(m: re.Match, text: str, given: frozenset[str]) -> float:
     first_word, parts = _title_case(first.split("-")[0]), [_title_case(p) for p in sur.split("-")]
     if parts[0] in _NO_NAME or (first_word in _NO_NAME and not title):
         return 0.0
+    if m.group().isupper() and not (title or first_word in given):
+        return 0.0  # running text in capitals
     after, before = text[m.end() : m.end() + 40], text[max(0, m.start() - 40) : m.start()]
     if _FIRM.match(after) or re.search(r"(?i)\b(?:the|old)\s$", before):
         return 0.0

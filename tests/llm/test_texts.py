@@ -37,6 +37,11 @@ def test_twice_and_partly_garbled():
     assert mojibake.repair(None) == (False, None, False, 0)
 
 
+@pytest.mark.parametrize("garbled,want", [("NÃƒO acredito", "NÃO acredito"), ("NÃƒÆ’O acredito", "NÃO acredito"), ("klucza, proszƒô", "klucza, proszę"), ("IRMÃƒÆ’Ã¢â‚¬Â¦ e nada", "IRMÃ… e nada"), ("ã\x81\x8fã\x81 ã\x81•", "くださ"[:2] + "さ")])
+def test_hard_cases(garbled, want):
+    assert mojibake.repair(garbled)[:2] == (True, want)
+
+
 def test_garbled_texts(spark):
     df = spark.createDataFrame([(1, garble(CLEAN[0], "mac_roman")), (2, None), (3, ""), (4, CLEAN[0]), (1, garble(CLEAN[0], "mac_roman"))], "row_id bigint, text string").selectExpr("*", "'x' as key", "1 as layers")
     got = mojibake.garbled_texts(df, "row_id").collect()
@@ -105,7 +110,7 @@ FOUND = {
 NOT_FOUND = [
     "pkg@2.1.0 needs node 18", "@nightowl_77 liked it", "meet @ 5 by the gate", "info at the desk", "order 4471-88-20913 shipped", "it was 2024-05-11 or 2024-05-12", "only 1 200 300 views", "tracking RX 0014 2231 8 DE",
     "isbn 978-0-00-000000-2", "score was 555-540", "seat 12-34-5678 of the raffle", "flight XK 4410 at 18:25", "ref 2024-0187", "case 4471/88", "lot 900-12", "ticket #123456789 open", "room 204, Lower Court side", "the Kettle Inn",
-    "Old Harbour House said so", "thanks Anna!", "Herr Ober, noch ein Kaffee!", "Mira Odile fährt los", "Bergen Books Ltd", "costs 555.90 now", '{"ok": true, "bytes": 2842}', "the corner of the market", "",
+    "Old Harbour House said so", "thanks Anna!", "Herr Ober, noch ein Kaffee!", "Mira Odile fährt los", "Bergen Books Ltd", "costs 555.90 now", '{"ok": true, "bytes": 2842}', "the corner of the market", "PERHAPS A MAN FROM UPSTREAM", "Hollow Brook called", "North Mill Ltd wants it", "",
 ]
 
 
