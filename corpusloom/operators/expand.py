@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import short_hash
 from corpusloom.functions.text import shorten
+from corpusloom.operators.order import numbered
 from corpusloom.operators.split import hash_holdout, hash_pick
 
 
@@ -40,13 +41,10 @@ def expand_tasks(tasks: DataFrame, persona: str = "") -> DataFrame:
 def rollout_order(instances: DataFrame, order: list[str], rollouts: str = "n_rollouts") -> DataFrame:
     """One row for each rollout, round-robin over the instances: adds ``round`` and ``prompt_index``.
 
-    The index is counted from each instance's rank among those that still take part in a round: ranks come from one row for each (n_rollouts, block) and no global window over the rollouts.
+    The index is the position in order of round and instance over range partitions, so no round is gathered in one task.
     """
-    r = instances.withColumn("round", F.explode(F.sequence(F.lit(0), F.col(rollouts) - 1)))
-    per_round = r.groupBy("round").agg(F.count(F.lit(1)).alias("_n"))
-    before = per_round.select("round", F.coalesce(F.sum("_n").over(Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("round").orderBy(*order)) - 1
-    return r.withColumn("_i", inside).join(F.broadcast(before), "round").withColumn("prompt_index", (F.col("_i") + F.col("_before")).cast("bigint")).drop("_i", "_before")
+    r = instances.where(F.col(rollouts) > 0).withColumn("round", F.explode(F.sequence(F.lit(0), F.col(rollouts) - 1)))
+    return numbered(r, ["round", *order], "prompt_index")
 
 
 def job_grid(seeds: DataFrame, personas: DataFrame, repeats: int) -> DataFrame:

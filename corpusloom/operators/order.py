@@ -6,27 +6,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import ngrams, words
+from corpusloom.session import cut
 
 
 def numbered(df: DataFrame, order: list[Column | str], out: str = "pos") -> DataFrame:
     """0-based dense position over the whole table in ``order`` (unique), without moving all rows to one task.
 
-    Rows are range-partitioned and sorted; the number of rows before each partition comes from one count for each partition.
+    Rows are range-partitioned and sorted; the number of rows before each partition comes from one count for each partition. The
+    partitioned rows are cut by a reliable checkpoint, since another run of the range sampling could draw other borders.
     """
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    counts = parts.groupBy("_p").agg(F.max("_i").alias("_m"))
-    offsets = counts.select("_p", F.coalesce(F.sum(F.col("_m") + 1).over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return parts.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_i") + F.col("_off")).drop("_p", "_i", "_off")
+    return _placed(df, order, out).drop("_p")
+
+
+def _placed(df: DataFrame, order: list[Column | str], out: str) -> DataFrame:
+    """``numbered`` with the range partition ``_p`` of each row."""
+    own = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    parts = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", own))
+    counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return parts.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_i") + F.col("_off")).drop("_i", "_off")
 
 
 def sessionize(df: DataFrame, keys: list[str], time_us: str, order: list[str], gap_us: int, most: int) -> DataFrame:
-    """Adds ``segment`` (0-based in the group): a gap longer than ``gap_us`` or ``most`` messages start a new one. Input order counts, not time."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    gap = F.coalesce((F.col(time_us) - F.lag(time_us).over(w) > gap_us).cast("int"), F.lit(1))
-    s = df.withColumn("_gap", gap).withColumn("_s", F.sum("_gap").over(w))
-    inside = Window.partitionBy(*keys, "_s").orderBy(*order)
-    s = s.withColumn("_c", F.floor((F.row_number().over(inside) - 1) / F.lit(most)))
-    return s.withColumn("segment", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_s", "_c")) - 1).drop("_gap", "_s", "_c")
+    """Adds ``segment`` (0-based in the group): a gap longer than ``gap_us`` or ``most`` messages start a new one. Input order counts, not time.
+
+    The table is placed in order of keys and ``order`` once, so a group with a third of all rows spreads over many range partitions. Each
+    partition looks at the last row of the one before (one row each); gaps are counted through all partitions, which names the sessions;
+    a row's place in its session gives its segment. The gap to a null time splits.
+    """
+    rows = _placed(df, [*keys, *order], "_pos")
+    here = F.struct(*[F.col(k) for k in keys])
+    seen = F.struct(here.alias("g"), F.col(time_us).alias("t"))
+    w = Window.partitionBy("_p").orderBy("_pos")
+    ends = rows.groupBy("_p").agg(F.max_by(seen, "_pos").alias("_last"))
+    ends = ends.select("_p", F.lag("_last").over(Window.orderBy("_p")).alias("_last"))
+    rows = rows.join(F.broadcast(ends), "_p").withColumn("_prev", F.coalesce(F.lag(seen).over(w), F.col("_last")))
+    new = ~F.coalesce(F.col("_prev.g").eqNullSafe(here) & (F.col(time_us) - F.col("_prev.t") <= gap_us), F.lit(False))
+    rows = rows.withColumn("_s", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    gaps = rows.groupBy("_p").agg(F.max("_s").alias("_g"))
+    before = gaps.select("_p", F.coalesce(F.sum("_g").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    rows = rows.join(F.broadcast(before), "_p").withColumn("_s", F.col("_s") + F.col("_b"))
+    sessions = rows.groupBy(*keys, "_s").agg(F.min("_pos").alias("_start"), F.ceil(F.count(F.lit(1)) / F.lit(most)).alias("_k"))
+    earlier = F.coalesce(F.sum("_k").over(Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sessions = sessions.select(F.col("_s"), "_start", earlier.alias("_seg"))
+    out = rows.join(sessions, "_s").withColumn("segment", (F.col("_seg") + F.floor((F.col("_pos") - F.col("_start")) / F.lit(most))).cast("bigint"))
+    return out.select(*df.columns, "segment")
 
 
 def segment_filter(df: DataFrame, keys: list[str], role: Column, text: str, min_messages: int = 2, min_chars: int = 0, min_mean: float = 0.0) -> DataFrame:

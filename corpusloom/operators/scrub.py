@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.order import numbered
+
 #: Label, pattern, action of the identity and boilerplate deny list and of the PII shapes.
 PATTERNS: list[tuple[str, str, str]] = [
     ("teacher_deepseek", r"\bdeepseek\b", "drop"),
@@ -64,7 +66,7 @@ def pseudonym_table(texts: DataFrame, order: list[str], text: str, name_patterns
     """``name, pseudonym``: every distinct matched name (lower case) numbered ``Person-n`` in first-seen order, after those already known.
 
     ``order`` columns give the reading order. Names are first reduced to one row each with their first occurrence; only
-    that table, one row for each distinct name, is numbered in one window.
+    that table, one row for each distinct name, is numbered, over range partitions.
     """
     pattern = "|".join(f"(?:{p})" for p in name_patterns)
     hits = texts.select(*order, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(rf"(?U)\b({pattern})\b"), 1)).alias("_at", "_name"))
@@ -76,7 +78,7 @@ def pseudonym_table(texts: DataFrame, order: list[str], text: str, name_patterns
     if known is not None:
         names = names.join(known.select("name"), "name", "left_anti")
         base = F.lit(known.count())
-    fresh = names.select("name", F.concat(F.lit("Person-"), (base + F.row_number().over(Window.orderBy("_first", "name"))).cast("string")).alias("pseudonym"))
+    fresh = numbered(names, ["_first", "name"]).select("name", F.concat(F.lit("Person-"), (base + F.col("pos") + 1).cast("string")).alias("pseudonym"))
     return fresh if known is None else known.select("name", "pseudonym").unionByName(fresh)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import cut
+
 #: Stems of words of inner life, counted per thousand words.
 MENTAL_WORDS = (
     r"\b(?:thought|thinks?|thinking|felt|feels?|feeling|wondered|wonder|realiz|realis|remember|knew|believ|imagin|hoped?|feared?|wished?|doubt|suspect|consider|"
@@ -36,9 +38,10 @@ def drop_reasons(records: DataFrame) -> DataFrame:
 
 def template_stats(records: DataFrame, order: str) -> DataFrame:
     """Rollouts, verified and kept of each template (else ``lane_<l>:<family>``); the last row of a record id counts."""
-    last = records.groupBy(F.col("provenance.record_id").alias("id")).agg(F.max_by(F.struct("provenance", "gate_state"), order).alias("r")).select("r.*")
     key = F.coalesce("provenance.template_id", F.concat(F.lit("lane_"), F.col("provenance.lane"), F.lit(":"), F.col("provenance.family")))
-    return last.groupBy(key.alias("template")).agg(F.count(F.lit(1)).alias("rollouts"), F.count_if(F.coalesce("gate_state.verified", F.lit(False))).alias("verified"), F.count_if(~F.coalesce("gate_state.dropped", F.lit(False))).alias("kept"))
+    row = F.struct(key.alias("template"), F.coalesce("gate_state.verified", F.lit(False)).alias("verified"), F.coalesce("gate_state.dropped", F.lit(False)).alias("dropped"))
+    last = records.groupBy(F.col("provenance.record_id").alias("id")).agg(F.max_by(row, order).alias("r")).select("r.*")
+    return last.groupBy("template").agg(F.count(F.lit(1)).alias("rollouts"), F.count_if("verified").alias("verified"), F.count_if(~F.col("dropped")).alias("kept"))
 
 
 def band_violations(stats: DataFrame, bands: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def percentiles_nearest(values: DataFrame, value: str, points: tuple[int, ...] =
     Values are counted first; the running count goes over distinct values in sorted blocks, so nothing is collected into an array.
     """
     counts = values.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ranked = counts.repartitionByRange("v").withColumn("_p", F.spark_partition_id())
+    ranked = cut(counts.repartitionByRange("v").withColumn("_p", F.spark_partition_id()))
     inside = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = ranked.withColumn("_run", F.sum("c").over(inside))
     parts = ranked.groupBy("_p").agg(F.max("_run").alias("_n"))
@@ -94,7 +97,8 @@ def usage_totals(usage: DataFrame, prices: DataFrame) -> DataFrame:
 def mix_report(corpora: DataFrame, corpus: str, text: str) -> DataFrame:
     """Records, approximate tokens (characters / 4) and token share of each corpus."""
     g = corpora.groupBy(corpus).agg(F.count(F.lit(1)).alias("records"), (F.sum(F.length(F.coalesce(F.col(text), F.lit("")))) / 4).alias("tokens"))
-    return g.withColumn("share", F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy())))
+    total = g.agg(F.sum("tokens").alias("_all"))
+    return g.join(F.broadcast(total)).withColumn("share", F.try_divide("tokens", "_all")).drop("_all")
 
 
 def most_common_member(threads: DataFrame, thread: str, member: str) -> DataFrame:
