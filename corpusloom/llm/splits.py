@@ -49,7 +49,7 @@ def author_keys(value: Column) -> Column:
 
 
 def record_keys(tasks: DataFrame, seeds: DataFrame, books: DataFrame) -> DataFrame:
-    """``rec_no, key`` with one row for each key of each record; records without a key come with a null key.
+    """``rec_no, key`` with one row for each key of each record; records without a key come with a null key, rows without a number not at all.
 
     A work named by a seed's family is the same key as the book's; a family that is a bare work prefix is none.
     """
@@ -59,7 +59,7 @@ def record_keys(tasks: DataFrame, seeds: DataFrame, books: DataFrame) -> DataFra
     families = families.join(bare, "key", "left").select("rec_no", F.when(F.col("bare").isNull(), F.col("key")).alias("key"))
     named = F.array_compact(F.concat(F.array(F.concat(F.lit("w:"), work_key(F.col("work_id")))), F.transform(F.coalesce(author_keys(F.col("author")), F.array().cast("array<string>")), lambda a: F.concat(F.lit("a:"), a))))
     of_books = books.select("rec_no", F.explode_outer(named).alias("key"))
-    return families.select("rec_no", F.concat(F.lit("w:"), F.col("key")).alias("key")).unionByName(of_books)
+    return families.select("rec_no", F.concat(F.lit("w:"), F.col("key")).alias("key")).unionByName(of_books).where("rec_no is not null")
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -258,3 +258,14 @@ def test_differencing_balances():
     at, sums = splits.difference(w, 50)
     assert np.array_equal(np.bincount(at, weights=w, minlength=50), sums) and sums.max() - sums.min() <= 2
     assert splits.difference(np.array([], np.int64), 5)[1].sum() == 0
+
+
+def test_empty_tables_and_null_keys(spark):
+    none = spark.createDataFrame([], "pair_id bigint, prompt_text string, chosen_text string, rejected_text string")
+    assert pairs.broken_sides(none).count() == 0
+    t, s, b = (spark.createDataFrame([], d) for d in ("rec_no bigint, family string", "rec_no bigint, family string", "rec_no bigint, work_id string, author string"))
+    assert splits.record_groups(splits.record_keys(t, s, b)).count() == 0
+    assert splits.assign_splits(spark.createDataFrame([], "rec_no bigint, group_no bigint"), {"train": 0.8, "test": 0.2}).count() == 0
+    odd = spark.createDataFrame([(None, "f"), (3, "f"), (4, "f")], "rec_no bigint, family string")
+    got = {r["rec_no"]: r["group_no"] for r in splits.record_groups(splits.record_keys(odd, s, b)).collect()}
+    assert got == {3: 3, 4: 3}
