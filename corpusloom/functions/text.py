@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as Python's ``str.strip`` sees it: Unicode White_Space and the four separators FS, GS, RS, US.
@@ -69,6 +69,15 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def explode_once(df: DataFrame, array: Column, out: str, pos: str | None = None) -> DataFrame:
+    """One row for each element of a computed array, evaluated once.
+
+    A plain ``explode`` makes the optimizer infer a filter on the array's size and push it down, which evaluates the array, with everything that it is made of, again.
+    """
+    got = df.select("*", F.posexplode_outer(array).alias(pos, out) if pos else F.explode_outer(array).alias(out))
+    return got.where(F.col(out).isNotNull())
+
+
 def words(c: Column) -> Column:
     """Words of a normalised text (blank separated); an empty array for an empty text."""
     return F.filter(F.split(normalise(c), " "), lambda w: w != "")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import explode_once
 from corpusloom.operators.order import numbered
 
 #: Label, pattern, action of the identity and boilerplate deny list and of the PII shapes.
@@ -69,7 +70,7 @@ def pseudonym_table(texts: DataFrame, order: list[str], text: str, name_patterns
     that table, one row for each distinct name, is numbered, over range partitions.
     """
     pattern = "|".join(f"(?:{p})" for p in name_patterns)
-    hits = texts.select(*order, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(rf"(?U)\b({pattern})\b"), 1)).alias("_at", "_name"))
+    hits = explode_once(texts.select(*order, F.col(text).alias("_text")), F.regexp_extract_all("_text", F.lit(rf"(?U)\b({pattern})\b"), 1), "_name", "_at")
     hits = hits.select(F.struct(*order, "_at").alias("_first"), F.lower("_name").alias("name"))
     if preserve:
         hits = hits.where(~F.col("name").isin(*[p.lower() for p in preserve]))

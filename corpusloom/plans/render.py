@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from corpusloom.functions.text import let, strip
+from corpusloom.functions.text import explode_once, let, strip
 from corpusloom.schema import speakers
 
 CONTRACT = "v3"
@@ -137,7 +137,7 @@ def next_speaker_samples(records: DataFrame) -> DataFrame:
     r = with_fragments(records, NO_THOUGHTS).where(F.size(speakers(F.col("messages"))) > 1)
     last_user = last_user_position(F.col("messages"))
     wanted = F.filter(F.sequence(F.lit(1), F.greatest(F.size("messages") - 1, F.lit(1))), lambda i: (F.try_element_at(F.col("messages"), i + 1)["role"] == "assistant") & (F.coalesce(F.try_element_at(F.col("messages"), i + 1)["speaker"], F.lit("")) != ""))
-    r = r.withColumn("last_user", last_user).withColumn("turn_index", F.explode(wanted))
+    r = explode_once(r.withColumn("last_user", last_user), wanted, "turn_index")
     prefix = F.concat("head", F.array_join(F.slice("frags", F.lit(1), F.col("turn_index")), ""))
     opening = F.concat(F.lit(f"{IM_START}assistant\n"), F.when(F.col("turn_index") > F.col("last_user"), F.lit("<think>\n\n</think>\n\n")).otherwise(F.lit("")))
     label = F.concat(F.element_at("messages", F.col("turn_index") + 1)["speaker"], F.lit(":"))

@@ -135,7 +135,7 @@ def render_no_thoughts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("train_spans", f"with {_sql_rendered(True)} select rec_no, cast(start_at + 22 as bigint) as span_start, cast(start_at + length(f) - 1 as bigint) as span_end from placed where role = 'assistant'")
 def train_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss-bearing spans of every record."""
-    r = render.rendered(table(spark, sf_dir, "conv_records")).select("rec_no", F.explode("train_spans").alias("s"))
+    r = T.explode_once(render.rendered(table(spark, sf_dir, "conv_records")).select("rec_no", "train_spans"), F.col("train_spans"), "s")
     return r.select("rec_no", F.col("s.start").cast("bigint").alias("span_start"), F.col("s.end").cast("bigint").alias("span_end"))
 
 
@@ -280,14 +280,15 @@ hits as (select rec_no, lane, unnest(list_distinct(list_filter([{prose}, {tools}
 @query("scrub_hits", f"with {_sql_hits()} select rec_no, hit from hits")
 def scrub_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity, boilerplate and PII patterns of every record."""
-    return table(spark, sf_dir, "conv_records").select("rec_no", F.explode(scrub.record_hits(F.col("messages"))).alias("hit"))
+    return T.explode_once(table(spark, sf_dir, "conv_records"), scrub.record_hits(F.col("messages")), "hit").select("rec_no", "hit")
 
 
 @query("scrub_lane_policy", f"with {_sql_hits()} select rec_no, hit from hits where not (coalesce(lane, '') = 'd' and split_part(hit, ':', 2) in ('pii_email', 'pii_phone'))")
 def scrub_lane_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hits without those from which a record's lane is exempt."""
     r = table(spark, sf_dir, "conv_records")
-    return r.select("rec_no", F.explode(scrub.lane_hits(scrub.record_hits(F.col("messages")), F.col("provenance.lane"))).alias("hit"))
+    hits = T.let(scrub.record_hits(F.col("messages")), lambda h: scrub.lane_hits(h, F.col("provenance.lane")))
+    return T.explode_once(r, hits, "hit").select("rec_no", "hit")
 
 
 @query("scrub_keep", f"with {_sql_hits()} select rec_no from conv_records where len(messages) > 0 and rec_no not in (select rec_no from hits where hit like 'drop:%')")
@@ -675,14 +676,14 @@ def task_expand_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in overlapping windows of paragraphs of about a thousand characters."""
     d = table(spark, sf_dir, "documents").where("text is not null")
-    return d.select("doc_id", F.posexplode(books.chunk_windows(F.col("text"), 1000)).alias("chunk", "text"))
+    return T.explode_once(d.select("doc_id", F.col("text").alias("body")), books.chunk_windows(F.col("body"), 1000), "text", "chunk").drop("body")
 
 
 @query("protected_spans")
 def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of replies that a rewrite must not touch."""
     d = table(spark, sf_dir, "documents").where("doc_kind in ('reply', 'task') and text is not null")
-    return d.select("doc_id", F.explode(spans.protected_spans_of("text")).alias("s")).select("doc_id", "s.*")
+    return T.explode_once(d, spans.protected_spans_of("text"), "s").select("doc_id", "s.*")
 
 
 @query("span_round_trip", "select doc_id from documents where doc_kind in ('reply', 'task') and text is not null and not contains(text, '⟦')")
