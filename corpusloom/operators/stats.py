@@ -128,3 +128,9 @@ def prefix_counts(keys: DataFrame, key: str, part: int = 1) -> DataFrame:
 def shares_of(counts: DataFrame, n: str, total: Column) -> DataFrame:
     """Adds each count's share of a total."""
     return counts.withColumn("share", F.try_divide(F.col(n), total))
+
+
+def stats_lines(stats: DataFrame) -> DataFrame:
+    """``template, line``: fixed-width report lines of template statistics."""
+    rate = F.coalesce(F.try_divide("verified", "rollouts"), F.lit(0.0))
+    return stats.select("template", F.format_string("%-40s %8d %8d %8d %6.2f", "template", "rollouts", "verified", "kept", rate).alias("line"))

@@ -11,7 +11,7 @@ from corpusloom import schema
 from corpusloom.functions import spans
 from corpusloom.functions import text as T
 from corpusloom.functions.timestamps import instant_us
-from corpusloom.operators import dedupe, expand, order, scrub, split, stats, verifiers
+from corpusloom.operators import dedupe, expand, order, scrub, split, stats, trajectories, verifiers
 from corpusloom.operators.activity import activity_sessions
 from corpusloom.operators.deliveries import drop_repeated, keyed_messages
 from corpusloom.plans import gate, models, render
@@ -738,3 +738,79 @@ def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return j.groupBy("r_name", "n_name").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"), F.count_distinct("o_orderkey").alias("n_orders"))
+
+
+@query("stats_lines", f"with {_TEMPLATE_STATS} select template, printf('%-40s %8d %8d %8d %6.2f', template, rollouts, verified, kept, verified / rollouts) as line from stats")
+def stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template statistics as report lines."""
+    return stats.stats_lines(stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no"))
+
+
+@query(
+    "call_pairing",
+    """with t as (select * from (values (0, 'f', 1, 'c'), (0, 'f', 2, 'c'), (0, 'f', 3, 'r'), (0, 'g', 4, 'r'), (0, 'f', 5, 'r'), (1, 'g', 1, 'c'), (1, 'g', 2, 'r'), (1, 'g', 3, 'r')) t(rec, name, pos, kind)),
+n as (select *, row_number() over (partition by rec, name, kind order by pos) as k from t)
+select r.rec, r.name, r.pos as resp_pos, coalesce(case when c.pos < r.pos then c.pos end, -1) as call_pos from n r left join n c on r.rec = c.rec and r.name = c.name and r.k = c.k and c.kind = 'c' where r.kind = 'r'""",
+)
+def call_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k-th response of a name answers its k-th call; a response without an open call has -1."""
+    rows = [(0, "f", 1, "c"), (0, "f", 2, "c"), (0, "f", 3, "r"), (0, "g", 4, "r"), (0, "f", 5, "r"), (1, "g", 1, "c"), (1, "g", 2, "r"), (1, "g", 3, "r")]
+    t = spark.createDataFrame(rows, "rec int, name string, pos int, kind string")
+    calls, responses = (t.where(f"kind = '{k}'").select("rec", "name", F.col("pos").alias(n)) for k, n in (("c", "call_pos"), ("r", "resp_pos")))
+    return trajectories.pair_calls(calls, responses).select("rec", "name", "resp_pos", F.coalesce("call_pos", F.lit(-1)).alias("call_pos"))
+
+
+@query("owner_detection", "with n as (select sender, count(distinct conversation_id) as n_threads from chat_messages where source = 'im' and sender is not null group by 1) select sender, n_threads from n where n_threads = (select max(n_threads) from n)")
+def owner_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sender who takes part in most conversations of a source."""
+    c = table(spark, sf_dir, "chat_messages").where("source = 'im'")
+    return stats.most_common_member(c, "conversation_id", "sender")
+
+
+@query("interest_ranking", "with r as (select source, doc_id, substr(text, 1, 600) as t, row_number() over (partition by source order by length(text) desc, doc_id) as k from documents where text is not null), n as (select source, count(*) as n, min(doc_id) as first_seen from documents where text is not null group by source having count(*) >= 5) select n.source, n.n, n.first_seen, sha256(string_agg(t, '|' order by k)) as texts from n join r on n.source = r.source and r.k <= 4 group by n.source, n.n, n.first_seen")
+def interest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources with at least five texts, and their four longest ones cut at 600 characters."""
+    g = stats.longest_of_groups(table(spark, sf_dir, "documents").select("source", "text", "doc_id"), "source", "text", "doc_id")
+    return g.select("source", "n", "first_seen", F.sha2(F.array_join("texts", "|"), 256).alias("texts"))
+
+
+@query("seed_mix", "select split_part(seed_id, '-', 1) as part, count(*) as n from seeds where seed_id is not null group by 1")
+def seed_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds by kind."""
+    return stats.prefix_counts(table(spark, sf_dir, "seeds").where("seed_id is not null"), "seed_id", 0)
+
+
+@query("drop_shares", "with d as (select coalesce(gate_state.drop_reason, 'error') as drop_reason, count(*) as n from conv_records where gate_state.dropped group by 1) select drop_reason, n, n / (select count(*) from conv_records) as share from d")
+def drop_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop reasons with their share of all records."""
+    r = table(spark, sf_dir, "conv_records")
+    d = stats.drop_reasons(r).groupBy("drop_reason").agg(F.sum("n").alias("n"))
+    return stats.shares_of(d.join(F.broadcast(r.agg(F.count(F.lit(1)).alias("total")))), "n", F.col("total")).drop("total")
+
+
+@query(
+    "instance_keys",
+    """with p as (select rec_no, template_id, list_sort(map_entries(params)) as e from task_instances where template_id is not null and params is not null)
+select rec_no, substr(sha256('{"params":{' || array_to_string(list_transform(e, lambda x: '"' || replace(replace(x.key, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '":"' || replace(replace(x.value, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"'), ',') || '},"template":"' || template_id || '"}'), 1, 12) as instance_key from p""",
+)
+def instance_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content key of every task instance."""
+    t = table(spark, sf_dir, "task_instances").where("template_id is not null and params is not null").withColumn("e", F.array_sort(F.map_entries("params")))
+    return t.select("rec_no", expand.instance_key(F.col("template_id"), F.col("e.key"), F.col("e.value")).alias("instance_key"))
+
+
+@query("cache_misses", "select o_custkey from (select distinct o_custkey from orders where o_orderstatus = 'O') anti join (select distinct o_custkey from orders where o_orderstatus = 'F') using (o_custkey)")
+def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys asked for that are not in the answered table, as the response cache finds them."""
+    o = table(spark, sf_dir, "orders")
+    return o.where("o_orderstatus = 'O'").select("o_custkey").distinct().join(o.where("o_orderstatus = 'F'").select("o_custkey"), "o_custkey", "left_anti")
+
+
+@query("trajectory_ingest")
+def trajectory_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task instances as one-turn trajectories, ingested against their rollout numbers."""
+    t = table(spark, sf_dir, "task_instances").where("n_rollouts > 0")
+    ro = expand.rollout_order(t.select("rec_no", "template_id", "family", "holdout", "prompt", "n_rollouts"), ["rec_no"]).withColumn("instance_key", F.col("rec_no").cast("string"))
+    said = F.array(F.struct(F.lit("human").alias("from"), F.col("prompt").alias("value")), F.struct(F.lit("gpt").alias("from"), F.lit("<think>\nplan\n</think>\nDone.").alias("value")))
+    tr = ro.select("prompt_index", F.lit(True).alias("completed"), F.lit(False).alias("partial"), said.alias("conversations"))
+    return trajectories.ingest(tr, ro, "Quill").select("prompt_index", "template_id", F.size("messages").alias("n_messages"), "error")

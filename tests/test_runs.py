@@ -94,3 +94,16 @@ def test_seeds(spark):
     assert sorted((r["seed_id"], r["persona_id"], r["repeat"]) for r in grid.collect()) == [("s1", "p1", 0), ("s1", "p1", 1), ("s1", "p2", 0), ("s1", "p2", 1), ("s2", "p9", 0), ("s2", "p9", 1)]
     k = spark.range(1).select(expand.hash_sample_personas(F.lit("s"), F.array(*[F.lit(x) for x in "abcd"]), 2)).first()[0]
     assert len(k) == 2 and set(k) < set("abcd")
+
+
+def test_evolve(spark, tmp_path):
+    from corpusloom.plans import evolve
+    from corpusloom.sources import jsonl
+
+    rows = [[{"name": "Bird List", "entries_block": "1. a #x\n2. b\n3. c #x", "tag": "#x"}, {"name": "all", "entries_block": "1. a #x\n2. b #x\n3. c #x", "tag": "#x"}], [{"name": "Bird List", "entries_block": "1. a #x\n2. b\n3. c #x", "tag": "#x"}, {"name": "Two", "entries_block": "1. q\n2. r #y\n3. s", "tag": "#y"}]]
+    call = models.scripted(lambda r: "Here:\n```json\n" + json.dumps(rows[int(r["prompt"]) % 2]) + "\n```")
+    known = spark.createDataFrame([], "identity string")
+    got = evolve.evolve("count.tagged_count", known, jsonl.cached_replies(spark, str(tmp_path / "none")), call, str, 2).collect()
+    assert sorted((r["params"]["destination"], r["params"]["true_count"]) for r in got) == [("lists/bird-list-log.txt", "2"), ("lists/two-log.txt", "1")]
+    again = evolve.evolve("count.tagged_count", spark.createDataFrame([(r["identity"],) for r in got], "identity string"), jsonl.cached_replies(spark, str(tmp_path / "none")), call, str, 2)
+    assert again.count() == 0
