@@ -1,0 +1,90 @@
+"""How far a text's make-up lies from that of its language (the distribution view of problem 5).
+
+References: over all texts of a language, the histogram of character classes and that of its most common words, both counted by
+map-side combined sums. A text's distance is the Jensen-Shannon distance of its own histograms from them; texts under the minimum length
+have none. Loops and spam stand out, as few words make up most of them. The share of repeated words itself is exact in ``repetition``.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from corpusloom.llm.pairs import language
+from corpusloom.llm.repetition import MIN_WORDS, word_lists
+
+COMMON_WORDS = 200
+CLASSES = ("lower", "upper", "digit", "space", "mark", "other")
+
+
+def classes_of(text: str) -> Counter:
+    """Number of characters of each class."""
+    c: Counter = Counter()
+    for ch, n in Counter(text).items():
+        c["lower" if ch.islower() else "upper" if ch.isupper() else "digit" if ch.isdigit() else "space" if ch.isspace() else "mark" if not ch.isalnum() else "other"] += n
+    return c
+
+
+def js_distance(p: np.ndarray, q: np.ndarray) -> float:
+    """Jensen-Shannon distance (base 2) of two histograms; 1 if one is empty."""
+    if not p.sum() or not q.sum():
+        return 1.0
+    p, q = p / p.sum(), q / q.sum()
+    m = (p + q) / 2
+    part = lambda a: float(np.sum(a[a > 0] * np.log2(a[a > 0] / m[a > 0])))
+    return float(np.sqrt(max(0.0, (part(p) + part(q)) / 2)))
+
+
+def references(texts: DataFrame, text: str = "text", common: int = COMMON_WORDS) -> dict[str, dict[str, dict[str, int]]]:
+    """By language: character classes and most common words, counted over all texts. What reaches the driver is at most (classes + ``common``) numbers a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c: Counter = Counter()
+            texts = [t for t in b.column(0).to_pylist() if t]
+            for t, ws in zip(texts, word_lists(texts)):
+                lang = language(t) or ""
+                c.update({(lang, "class", k): n for k, n in classes_of(t).items()})
+                for w, n in Counter(ws).items():
+                    c[lang, "word", w] += n
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in c], pa.string()) for i in range(3)] + [pa.array(list(c.values()), pa.int64())], names=["lang", "kind", "item", "n"])
+
+    counts = texts.select(F.col(text)).mapInArrow(run, "lang string, kind string, item string, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
+    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))).where(F.col("r") <= common)
+    out: dict[str, dict[str, dict[str, int]]] = {}
+    for r in top.collect():
+        out.setdefault(r["lang"], {"class": {}, "word": {}})[r["kind"]][r["item"]] = r["n"]
+    return out
+
+
+def divergence(texts: DataFrame, keys: list[str], text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``keys, lang, class_distance, word_distance`` of each text; null distances under ``min_words`` words and for null and empty texts."""
+    ref = references(texts, text)
+    head = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.column("_text").to_pylist()
+            langs, near, words = [], [], []
+            for t, ws in zip(rows, word_lists(rows)):
+                lang = (language(t) or "") if t else ""
+                langs.append(lang)
+                if len(ws) < min_words or lang not in ref:
+                    near.append(None)
+                    words.append(None)
+                    continue
+                own, r = classes_of(t), ref[lang]
+                near.append(js_distance(np.array([own[k] for k in CLASSES], float), np.array([r["class"].get(k, 0) for k in CLASSES], float)))
+                names, mine = list(r["word"]), Counter(ws)
+                rest = len(ws) - sum(mine[w] for w in names)
+                # the words that are not common count as one
+                total = sum(r["word"].values())
+                words.append(js_distance(np.array([mine[w] for w in names] + [rest], float), np.array([r["word"][w] for w in names] + [total], float)))
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(langs, pa.string()), pa.array(near, pa.float64()), pa.array(words, pa.float64())], names=[*keys, "lang", "class_distance", "word_distance"])
+
+    return texts.select(*keys, F.col(text).alias("_text")).mapInArrow(run, f"{head}, lang string, class_distance double, word_distance double")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.conversations import rebuilt_conversations
+from corpusloom.llm.divergence import divergence
 from corpusloom.llm.mojibake import garbled_texts
 from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
@@ -170,3 +171,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, validation and test for every record, whole groups together."""
     return assign_splits(cut(_groups(spark, sf_dir)), {"train": 0.8, "validation": 0.1, "test": 0.1}).select("rec_no", "split")
+
+
+@query("p5_divergence")
+def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of every content and thought from its language's character classes and common words."""
+    return divergence(record_texts(table(spark, sf_dir, "conv_records")), ["rec_no", "msg_no", "field"])

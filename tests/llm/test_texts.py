@@ -269,3 +269,18 @@ def test_empty_tables_and_null_keys(spark):
     odd = spark.createDataFrame([(None, "f"), (3, "f"), (4, "f")], "rec_no bigint, family string")
     got = {r["rec_no"]: r["group_no"] for r in splits.record_groups(splits.record_keys(odd, s, b)).collect()}
     assert got == {3: 3, 4: 3}
+
+
+def test_divergence(spark):
+    from corpusloom.llm import divergence as D
+
+    rng = random.Random(3)
+    vocabulary = "the a and of to in is it that with on you they was not we house lamp market river garden old new walked found never".split()
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(60))) for i in range(60)] + [(100, "the lamp " * 40), (101, "short one"), (102, None), (103, "")]
+    got = {r["k"]: r for r in D.divergence(spark.createDataFrame(rows, "k bigint, text string").selectExpr("k", "text", "1 as lang"), ["k"]).collect()}
+    usual = [got[i]["word_distance"] for i in range(60)]
+    assert got[100]["word_distance"] > max(usual) and all(got[i]["word_distance"] is None for i in (101, 102, 103))
+    import numpy as np
+
+    assert D.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == pytest.approx(1) and D.js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0
+    assert D.divergence(spark.createDataFrame([], "k bigint, text string"), ["k"]).count() == 0
