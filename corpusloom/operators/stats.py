@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut
+from corpusloom.session import cut, small_side
 
 #: Stems of words of inner life, counted per thousand words.
 MENTAL_WORDS = (
@@ -56,7 +56,7 @@ def weighted_judge(scores: DataFrame, rubric: DataFrame, threshold: float) -> Da
     ``overall`` is rounded to three places.
     """
     ids = scores.select("id").distinct()
-    grid = scores.join(F.broadcast(rubric), "axis").withColumn("s", F.greatest(F.lit(1.0), F.least(F.lit(5.0), F.col("score"))))
+    grid = scores.join(small_side(rubric), "axis").withColumn("s", F.greatest(F.lit(1.0), F.least(F.lit(5.0), F.col("score"))))
     n_axes = rubric.count()
     g = grid.groupBy("id").agg((F.sum(F.col("s") * F.col("weight")) / F.sum("weight")).alias("mean"), F.bool_and(F.coalesce(F.col("s") >= F.col("minimum"), F.lit(True))).alias("floors"), F.count(F.lit(1)).alias("n"))
     g = ids.join(g, "id", "left")
@@ -89,7 +89,7 @@ def interiority(text: Column, words: str = MENTAL_WORDS, least: int = 500, chars
 
 def usage_totals(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Tokens and cost by teacher and lane; a teacher without a price costs nothing."""
-    u = usage.join(F.broadcast(prices), "teacher", "left")
+    u = usage.join(small_side(prices), "teacher", "left")
     cost = (F.col("tokens_in") * F.coalesce("price_in", F.lit(0.0)) + F.col("tokens_out") * F.coalesce("price_out", F.lit(0.0))) / 1e6
     return u.groupBy("teacher", "lane").agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.sum(cost).alias("cost"))
 

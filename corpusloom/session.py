@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +20,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if named is None:
-        if not sc.master.startswith("local["):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
 
 
@@ -33,7 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Broadcast ``df`` only if the optimizer's own size estimate is within ``limit``; else leave it to a shuffle join."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(size.toString()) <= limit else df
+    return F.broadcast(df) if int(str(size)) <= limit else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
