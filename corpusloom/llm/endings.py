@@ -3,14 +3,20 @@
 A corpus shows how whole lines and sentences end, as only a text's last line can be cut. ``end_evidence`` counts, over all
 texts, the last three words of every line but the last and of every sentence that goes on with another; a text that ends
 without terminal punctuation is whole if its own last words end lines or sentences elsewhere, and cut if they never do.
+Last lines that stand nowhere else are judged by shares (``vote_counts``, ``going_on``): how many unrelated texts end so, copies
+and near copies as one, and how many go on after the same words or with a longer last word.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Marks of omission that a source may set after a cut.
@@ -19,7 +25,7 @@ _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _DIGITS = re.compile(r"\d+")
 TERMINAL = re.compile(r"[.!?。！？]\s?['\"’”“»)\]*_]*$|<\|im_end\|>$|```$|</\w+>$|[}\]]$|(?:^|\s)https?://\S+$|\s[:;][-']?[()DP/|]$|[\U0001F300-\U0001FAFF☀-➿️]$")
 #: Whole last lines without a full stop: sign-offs, links, tags, paths, list marks of a form.
-SIGN_OFF = re.compile(r"(?i)^(?:[—–-]\s?[^\W\d_]+|https?://\S+|(?:#\w+\s*)+|see also \[\[.*\]\])$")
+SIGN_OFF = re.compile(r"(?i)^(?:[—–-]\s?[^\W\d_]+|(?:kind|best|warm) regards|yours (?:sincerely|truly)|mit freundlichen grüßen|viele grüße|cordialement|bien à vous|(?:un )?saludos?(?: cordial(?:es)?)?|https?://\S+|(?:#\w+\s*)+|see also \[\[.*\]\])$")
 
 
 #: Articles and conjunctions that end no sentence.
@@ -64,6 +70,12 @@ def last_word_key(body: str) -> str:
     return "\x01" + words[-1].lower() if words and words[0][0].islower() and len(part) < 300 else ""
 
 
+def remark_key(body: str) -> str:
+    """The last three words (after a mark, digits masked) of the last sentence or line; empty if it has fewer."""
+    words = _TOKEN.findall(re.split(r"[.!?]['\"’”»)]*\s+|\n", body[-300:])[-1].lower())
+    return "\x03" + _name(words[-3:]) if len(words) > 2 else ""
+
+
 def ending(text: str) -> tuple[str, bool, str, str]:
     """``(kind, marked, end key, last line)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the counts) or ``inside`` (an open turn or object, an article, a comma or dash)."""
     body, marked = split_mark(text)
@@ -77,7 +89,109 @@ def ending(text: str) -> tuple[str, bool, str, str]:
     return kind, marked, last_key(body), _name(_TOKEN.findall(line.lower())) if len(line) <= 60 else ""
 
 
+def _slot(parent: str, word: str) -> int:
+    return zlib.crc32(f"{parent} {word[:1]}".encode("utf-8", "surrogatepass")) & 0xFFFF
+
+
+def line_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
+    """``(words before, word, whether the line goes on)`` at the start of every line; the last line's last word may be cut and does not count. Only in slots ``asked``."""
+    got: set[tuple[str, str, bool]] = set()
+    lines = _DIGITS.sub("0", text.lower()).split("\n")
+    for k, line in enumerate(lines):
+        words = _TOKEN.findall(line.lstrip()[:80])
+        at = ""
+        for i, w in enumerate(words):
+            goes = i < len(words) - 1
+            if (goes or k < len(lines) - 1) and _slot(at, w) in asked:
+                got.add((at, w, goes))
+            at = f"{at} {w}" if at else w
+    return got
+
+
+def remark_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
+    """The same for every three words of a sentence or line; its last word may be cut if nothing follows in the text."""
+    got: set[tuple[str, str, bool]] = set()
+    parts = re.split(r"[.!?]['\"’”»)]*\s|\n", _DIGITS.sub("0", text.lower()))
+    for k, part in enumerate(parts):
+        words = _TOKEN.findall(part)
+        for i in range(2, len(words)):
+            goes, at = i < len(words) - 1, f"{words[i - 2]} {words[i - 1]}"
+            if (goes or k < len(parts) - 1) and _slot(at, words[i]) in asked:
+                got.add((at, words[i], goes))
+    return got
+
+
+_HASHES = np.random.default_rng(10).integers(1, (1 << 31) - 1, (2, 128, 1))
+
+
+def sketch(body: str) -> list[int]:
+    """Sixteen bands of eight minima over hashes of the three-word shingles before the last sentence or line (of all, if nothing is before it): near copies share a band, texts that only end alike none."""
+    head = body[: len(body) - len(re.split(r"[.!?]['\"’”»)]*\s+|\n", body.rstrip()[-300:])[-1])]
+    ws = (head if head.strip() else body).lower().split()
+    h = np.array(list({zlib.crc32(" ".join(ws[i : i + 3]).encode("utf-8", "surrogatepass")) >> 1 for i in range(max(1, len(ws) - 2))}), np.int64)
+    low = ((_HASHES[0] * h + _HASHES[1]) % ((1 << 31) - 1)).min(axis=1).astype(np.int64)
+    return [zlib.crc32(band.tobytes()) for band in low.reshape(16, 8)]
+
+
 def end_evidence(texts: Iterator[str | None]) -> Counter:
+    """End keys of many texts, each counted once for a text."""
+    c: Counter = Counter()
+    for t in texts:
+        if t:
+            c.update(end_keys(t))
+    return c
+
+
+#: So many texts beside the judged one and its near copies must share a short last line, and such a share of the texts with these words must end there.
+OTHER_LINES, LINE_SHARE = 2, 0.05
+
+
+#: The same for the last word of a casual remark, and for its last three words.
+OTHER_WORDS, WORD_SHARE = 1, 0.05
+
+
+def vote_counts(voters: DataFrame, key: str) -> DataFrame:
+    """``key, votes``: texts by end key, near copies (equal in a band of their ``sketch``, also by way of others) as one."""
+    v = voters.select(key, "sketch").distinct().withColumn("id", F.xxhash64("sketch"))
+    banded = v.select(key, "id", F.posexplode("sketch").alias("band", "value"))
+    label = v.select(key, "id", F.col("id").alias("cls"))
+    for _ in range(3):
+        low = banded.join(label, [key, "id"]).withColumn("low", F.min("cls").over(Window.partitionBy(key, "band", "value")))
+        label = low.groupBy(key, "id").agg(F.min("low").alias("cls"))
+    return label.groupBy(key).agg(F.count_distinct("cls").alias("votes"))
+
+
+def going_on(texts: DataFrame, ends: DataFrame, key: str, starts) -> DataFrame:
+    """``key, goes_on``: for end keys (a mark, then words) how many distinct ``text`` go on after these words or have a longer last word there.
+
+    A second pass over the texts (``starts``) that gives only what shares all words but the last, and that one's first letter, with
+    an end key; these are known by their slot of 65,536, so what the driver collects is bounded.
+    """
+    parent, last = (F.regexp_extract(key, r"(?s)^.(?:(.*) )?([^ ]*)$", i) for i in (1, 2))
+    wanted = ends.select(key, parent.alias("parent"), last.alias("last"), F.substring(last, 1, 1).alias("first")).distinct()
+    slots = wanted.select(F.crc32(F.encode(F.concat_ws(" ", "parent", "first"), "UTF-8")).bitwiseAND(0xFFFF).alias("slot")).distinct()
+    asked = frozenset(r["slot"] for r in slots.collect())
+    if not asked:
+        return wanted.limit(0).select(key, F.lit(0).cast("bigint").alias("goes_on"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(h, *s) for h, t in dict(zip(b.column("h").to_pylist(), b.column("text").to_pylist())).items() if t for s in starts(t, asked)]
+            cols = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.bool_()))], names=["h", "parent", "word", "goes"])
+
+    found = texts.select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, parent string, word string, goes boolean").withColumn("first", F.substring("word", 1, 1))
+    met = wanted.join(found, ["parent", "first"]).where(F.col("word").startswith(F.col("last")) & (F.col("goes") | (F.col("word") != F.col("last"))))
+    return met.groupBy(key).agg(F.count_distinct("h").alias("goes_on"))
+
+
+def enough(votes, goes_on, others: int, share: float):
+    """Whether so many votes (columns) beside the judged text, against the texts that go on, show a whole ending."""
+    v = F.coalesce(votes, F.lit(0))
+    return (v > others) & (v >= share * (v + F.coalesce(goes_on, F.lit(0))))
+
+
+def row_evidence(texts: Iterator[str | None]) -> Counter:
     """End keys of many texts, and their short last lines (prefixed by a tab), each counted once for a text."""
     c: Counter = Counter()
     for t in texts:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.endings import SAME_LAST_WORDS, end_evidence, ending, last_word_key, seen_whole, split_mark
+from corpusloom.llm.endings import SAME_LAST_WORDS, ending, last_word_key, row_evidence, seen_whole, split_mark
 from corpusloom.session import cut
 
 _TURN = re.compile(r"<\|im_start\|>(\w*)\n?(.*?)(?=<\|im_start\|>|$)", re.DOTALL)
@@ -212,7 +212,7 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
                     ends.append(body)
                     if defect or how != "whole":
                         out.append((p, side, defect, how, end, "\t" + line if line else "", last_word_key(split_mark(body)[0]) if body else "", None))
-            out += [(None, None, None, None, k, None, None, n) for k, n in end_evidence(ends).items()]
+            out += [(None, None, None, None, k, None, None, n) for k, n in row_evidence(ends).items()]
             cols = list(zip(*out)) if out else [[]] * 8
             types = [b.schema.field("pair_id").type, *[pa.string()] * 6, pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair_id", "side", "defect", "how", "end_key", "line_key", "word_key", "n"])

@@ -3,7 +3,7 @@
 Per source, the lengths of its distinct texts in characters and in bytes are counted, and a length that is far more frequent
 than its neighbourhood is a limit: texts at a limit without terminal punctuation are cut. Texts that the source ended with a mark of
 omission were cut back to a word first, so for them a window below the limit is tested. Beside the limits, a text is cut if its last
-words end no line or sentence anywhere in the corpus (``endings``), which finds texts cut mid-transfer, and changed copies of cut texts in other
+words end no line or sentence anywhere in the corpus and its last line is not that of enough other texts (``endings``), which finds texts cut mid-transfer, and changed copies of cut texts in other
 sources. Exact copies of a cut text are cut too.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.endings import end_evidence, ending, seen_whole
+from corpusloom.llm.endings import LINE_SHARE, OTHER_LINES, end_evidence, ending, enough, going_on, line_starts, sketch, split_mark, vote_counts
 from corpusloom.session import cut
 
 #: A spike: at least so many distinct texts of one length, and so many times the mean of the lengths around it.
@@ -48,12 +48,13 @@ def _features(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
                     pa.array([e[2] for e in ends] + list(evidence), pa.string()),
                     pa.array(["\t" + e[3] if e[3] else "" for e in ends] + [None] * m, pa.string()),
                     pa.array([None] * n + list(evidence.values()), pa.int64()),
+                    pa.array([sketch(split_mark(t)[0]) if e[0] == "open" and e[3] else None for t, e in zip(texts, ends)] + [None] * m, pa.list_(pa.int64())),
                 ],
-                names=["key", "source", "h", "chars", "bytes", "kind", "marked", "end_key", "line_key", "n"],
+                names=["key", "source", "h", "chars", "bytes", "kind", "marked", "end_key", "line_key", "n", "sketch"],
             )
 
     cols = docs.select(F.col(key).alias("key"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    return cols.mapInArrow(run, f"key {kind}, source string, h bigint, chars int, bytes int, kind string, marked boolean, end_key string, line_key string, n bigint")
+    return cols.mapInArrow(run, f"key {kind}, source string, h bigint, chars int, bytes int, kind string, marked boolean, end_key string, line_key string, n bigint, sketch array<bigint>")
 
 
 def length_limits(rows: DataFrame) -> DataFrame:
@@ -96,9 +97,12 @@ def truncated_texts(docs: DataFrame, key: str = "doc_id", source: str = "source"
         .withColumn("at_limit", F.when(F.col("marked"), near("chars", "back_to") | near("bytes", "back_to_bytes")).otherwise(F.coalesce("at_chars", "at_bytes", F.lit(False))))
     )
     key_counts = counts.select("end_key", F.col("n").alias("key_n"))
-    line_counts = counts.select(F.col("end_key").alias("line_key"), F.col("n").alias("line_n"))
-    judged = placed.join(key_counts, "end_key", "left").join(line_counts, "line_key", "left")
-    is_cut = F.col("at_limit") | (F.col("kind") == "inside") | ~seen_whole(F.col("key_n"), F.col("line_n"))
+    judged = cut(placed.join(key_counts, "end_key", "left"))
+    unseen = F.col("key_n").isNull() & (F.col("kind") == "open") & ~F.col("at_limit")
+    votes = vote_counts(judged.where(unseen & (F.col("line_key") != "")), "line_key").where(F.col("votes") > OTHER_LINES)
+    votes = cut(votes)
+    judged = judged.join(votes, "line_key", "left").join(going_on(docs.select(F.col(text).alias("text")), votes, "line_key", line_starts), "line_key", "left")
+    is_cut = F.col("at_limit") | (F.col("kind") == "inside") | (F.col("key_n").isNull() & ~enough(F.col("votes"), F.col("goes_on"), OTHER_LINES, LINE_SHARE))
     hits = judged.select("h", "at_limit", is_cut.alias("cut")).where("cut").groupBy("h").agg(F.max("at_limit").alias("at_limit"))
     out = rows.join(hits.withColumn("cut", F.lit(True)), "h", "left")
     return out.select(F.col("key").alias(key), "source", F.coalesce("cut", F.lit(False)).alias("cut"), F.coalesce("at_limit", F.lit(False)).alias("at_limit"))

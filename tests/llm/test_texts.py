@@ -284,3 +284,22 @@ def test_divergence(spark):
 
     assert D.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == pytest.approx(1) and D.js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0
     assert D.divergence(spark.createDataFrame([], "k bigint, text string"), ["k"]).count() == 0
+
+
+def chatter(rng, n):
+    return "\n".join(f"[{rng.randrange(10, 24)}:{rng.randrange(10, 60)}] {rng.choice(('Otto', 'Mira', 'Wren'))}: {' '.join(rng.choices(WORDS, k=7))}." for _ in range(n))
+
+
+WORDS = [f"{a}{b}" for a in "bal cor dim fen gar hol".split() for b in "ta ri no ku me so".split()]
+
+
+def test_copies_and_unrelated_cuts_clear_no_text(spark):
+    rng = random.Random(21)
+    hot = chatter(rng, 14)
+    cut = [hot.replace(rng.choice(WORDS), "lamps", 1) + "\n[14:07] Lysande" for _ in range(8)]
+    cut += [chatter(rng, 6) + f"\n[{10 + i}:{20 + i}] Otto" for i in range(6)]
+    whole = [chatter(rng, 6) + "\n- never mentions the lamp" for _ in range(6)]
+    rest = [chatter(rng, 8) for _ in range(150)]
+    rows = [(i, f"s{i % 9}", t) for i, t in enumerate([*cut, *whole, *rest])]
+    got = {r["doc_id"] for r in truncation.truncated_texts(spark.createDataFrame(rows, "doc_id bigint, source string, text string")).collect() if r["cut"]}
+    assert got == set(range(len(cut)))
