@@ -71,9 +71,9 @@ def last_word_key(body: str) -> str:
 
 
 def remark_key(body: str) -> str:
-    """The last three words (after a mark, digits masked) of the last sentence or line; empty if it has fewer."""
+    """The last five words (after a mark, digits masked) of the last sentence or line, or all if it has fewer; empty for a single word."""
     words = _TOKEN.findall(re.split(r"[.!?]['\"’”»)]*\s+|\n", body[-300:])[-1].lower())
-    return "\x03" + _name(words[-3:]) if len(words) > 2 else ""
+    return "\x03" + _name(words[-5:]) if len(words) > 1 else ""
 
 
 def ending(text: str) -> tuple[str, bool, str, str]:
@@ -109,13 +109,13 @@ def line_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
 
 
 def remark_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
-    """The same for every three words of a sentence or line; its last word may be cut if nothing follows in the text."""
+    """The same for every five words of a sentence or line (fewer at its start); its last word may be cut if nothing follows in the text."""
     got: set[tuple[str, str, bool]] = set()
     parts = re.split(r"[.!?]['\"’”»)]*\s|\n", _DIGITS.sub("0", text.lower()))
     for k, part in enumerate(parts):
         words = _TOKEN.findall(part)
-        for i in range(2, len(words)):
-            goes, at = i < len(words) - 1, f"{words[i - 2]} {words[i - 1]}"
+        for i in range(1, len(words)):
+            goes, at = i < len(words) - 1, " ".join(words[max(0, i - 4) : i])
             if (goes or k < len(parts) - 1) and _slot(at, words[i]) in asked:
                 got.add((at, words[i], goes))
     return got
@@ -146,7 +146,7 @@ def end_evidence(texts: Iterator[str | None]) -> Counter:
 OTHER_LINES, LINE_SHARE = 2, 0.05
 
 
-#: The same for the last word of a casual remark, and for its last three words.
+#: The same for the last word of a casual remark, and for its last five words.
 OTHER_WORDS, WORD_SHARE = 1, 0.05
 
 
@@ -189,31 +189,3 @@ def enough(votes, goes_on, others: int, share: float):
     """Whether so many votes (columns) beside the judged text, against the texts that go on, show a whole ending."""
     v = F.coalesce(votes, F.lit(0))
     return (v > others) & (v >= share * (v + F.coalesce(goes_on, F.lit(0))))
-
-
-def row_evidence(texts: Iterator[str | None]) -> Counter:
-    """End keys of many texts, and their short last lines (prefixed by a tab), each counted once for a text."""
-    c: Counter = Counter()
-    for t in texts:
-        if t:
-            c.update(end_keys(t))
-            kind, _, _, line = ending(t)
-            if kind == "open":
-                if line:
-                    c["\t" + line] += 1
-                if word := last_word_key(split_mark(t)[0]):
-                    c[word] += 1
-    return c
-
-
-#: So many different texts must share a short last line for it to count as a whole one.
-SAME_LAST_LINES = 5
-
-
-#: So many texts must end with a casual remark's last word for it to be no fragment.
-SAME_LAST_WORDS = 2
-
-
-def seen_whole(key_count, line_count):
-    """Whether the counts (columns) show that texts end so when whole."""
-    return (F.coalesce(key_count, F.lit(0)) >= 1) | (F.coalesce(line_count, F.lit(0)) >= SAME_LAST_LINES)

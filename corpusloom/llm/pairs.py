@@ -3,7 +3,8 @@
 Each side's answer (without ChatML marks and think block) is compared with the user's turn. Copies: if the word shingles of one
 contain enough of the other, a bit-parallel longest common subsequence measures how much of each is covered. Refusals: the answer's
 first sentences, without what it quotes, are aligned by the same subsequence against refusal templates. Language: function words
-and scripts. Truncation: open structures, a missing end mark, and endings that end no line or sentence in any answer (``endings``).
+and scripts. Truncation: open structures, a missing end mark, and endings that end no line or sentence in any
+answer and are not shared by enough unrelated answers (``endings``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.endings import SAME_LAST_WORDS, ending, last_word_key, row_evidence, seen_whole, split_mark
+from corpusloom.llm.endings import LINE_SHARE, OTHER_LINES, OTHER_WORDS, WORD_SHARE, end_evidence, ending, enough, going_on, last_word_key, line_starts, remark_key, remark_starts, sketch, split_mark, vote_counts
 from corpusloom.session import cut
 
 _TURN = re.compile(r"<\|im_start\|>(\w*)\n?(.*?)(?=<\|im_start\|>|$)", re.DOTALL)
@@ -211,20 +212,32 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
                     how, _, end, line = ending(body) if body else ("whole", False, "", "")
                     ends.append(body)
                     if defect or how != "whole":
-                        out.append((p, side, defect, how, end, "\t" + line if line else "", last_word_key(split_mark(body)[0]) if body else "", None))
-            out += [(None, None, None, None, k, None, None, n) for k, n in row_evidence(ends).items()]
-            cols = list(zip(*out)) if out else [[]] * 8
-            types = [b.schema.field("pair_id").type, *[pa.string()] * 6, pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair_id", "side", "defect", "how", "end_key", "line_key", "word_key", "n"])
+                        word = last_word_key(split_mark(body)[0]) if body else ""
+                        out.append((p, side, defect, how, end, "\t" + line if line else "", word, remark_key(split_mark(body)[0]) if word else "", sketch(split_mark(body)[0]) if how == "open" else None, None))
+            out += [(None, None, None, None, k, None, None, None, None, n) for k, n in end_evidence(ends).items()]
+            cols = list(zip(*out)) if out else [[]] * 10
+            types = [b.schema.field("pair_id").type, *[pa.string()] * 7, pa.list_(pa.int64()), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair_id", "side", "defect", "how", "end_key", "line_key", "word_key", "remark_key", "sketch", "n"])
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([answer_of(t)[0] for t in b.column("text").to_pylist()], pa.string())], names=["text"])
 
-    both = cut(pairs.select("pair_id", "prompt_text", "chosen_text", "rejected_text").mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key string, line_key string, word_key string, n bigint"))
+    both = cut(pairs.select("pair_id", "prompt_text", "chosen_text", "rejected_text").mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key string, line_key string, word_key string, remark_key string, sketch array<bigint>, n bigint"))
     counts = both.where("n is not null").groupBy("end_key").agg(F.sum("n").alias("n"))
     rows = both.where("n is null").drop("n")
     known = rows.where("how = 'whole'").select("pair_id", "side", "defect")
-    judged = rows.where("how <> 'whole'")
-    for k in ("end", "line", "word"):
-        judged = judged.join(counts.select(F.col("end_key").alias(f"{k}_key"), F.col("n").alias(f"{k}_n")), f"{k}_key", "left")
-    remark = F.coalesce(F.col("word_n"), F.lit(0)) >= SAME_LAST_WORDS
-    cut_off = (F.col("how") == "inside") | ~(seen_whole(F.col("end_n"), F.col("line_n")) | remark)
+    judged = cut(rows.where("how <> 'whole'").join(counts.select("end_key", F.col("n").alias("end_n")), "end_key", "left"))
+    answers = pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(bodies, "text string")
+    unseen = judged.where("end_n is null and how = 'open'")
+    lines = vote_counts(unseen.where("line_key <> ''"), "line_key")
+    words = vote_counts(judged.where("how = 'open' and word_key <> ''"), "word_key")
+    judged = cut(judged.join(lines.withColumnRenamed("votes", "line_n"), "line_key", "left").join(words.withColumnRenamed("votes", "word_n"), "word_key", "left"))
+    asked = judged.where("end_n is null and how = 'open'")
+    lines_on = going_on(answers, asked.where(F.col("line_n") > OTHER_LINES), "line_key", line_starts).withColumnRenamed("goes_on", "line_on")
+    words_on = going_on(answers, asked.where((F.col("word_n") > OTHER_WORDS) & (F.col("remark_key") != "")), "remark_key", remark_starts).withColumnRenamed("goes_on", "word_on")
+    judged = judged.join(lines_on, "line_key", "left").join(words_on, "remark_key", "left")
+    shared = enough(F.col("line_n"), F.col("line_on"), OTHER_LINES, LINE_SHARE) | enough(F.col("word_n"), F.col("word_on"), OTHER_WORDS, WORD_SHARE)
+    cut_off = (F.col("how") == "inside") | (F.col("end_n").isNull() & ~shared)
     late = judged.select("pair_id", "side", F.when(cut_off, F.lit("truncated")).otherwise(F.col("defect")).alias("defect")).where("defect is not null")
     return known.unionByName(late)

@@ -303,3 +303,15 @@ def test_copies_and_unrelated_cuts_clear_no_text(spark):
     rows = [(i, f"s{i % 9}", t) for i, t in enumerate([*cut, *whole, *rest])]
     got = {r["doc_id"] for r in truncation.truncated_texts(spark.createDataFrame(rows, "doc_id bigint, source string, text string")).collect() if r["cut"]}
     assert got == set(range(len(cut)))
+
+
+def test_pair_rows_clear_no_cut_answer(spark):
+    rng = random.Random(22)
+    lead = lambda: " ".join(rng.choices(WORDS, k=9)).capitalize() + ". "
+    cut = "Use the small oven. then wait for the heat of the sto"
+    goes_on = [lead() + "then wait for the heat of the stone to come back." for _ in range(60)]
+    whole = [lead() + f"let me ask the {w} and get back to you" for w in "baker clerk nurse pilot".split()]
+    answers = [cut, cut, cut, *whole, *goes_on]
+    rows = [(i, None, side(a), side("That is a sound answer.")) for i, a in enumerate(answers)]
+    got = {(r["pair_id"], r["defect"]) for r in pairs.broken_sides(spark.createDataFrame(rows, "pair_id bigint, prompt_text string, chosen_text string, rejected_text string")).collect()}
+    assert got == {(i, "truncated") for i in range(3)}
