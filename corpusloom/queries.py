@@ -710,8 +710,8 @@ def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("note_bullets", f"""with b as (select doc_id, unnest(list_transform(regexp_extract_all(text, '(?m)^[-*]\\s+(.*)$', 1), lambda x: regexp_replace(x, '^{SQL_WS}+|{SQL_WS}+$', '', 'g'))) as b from documents where doc_kind = 'note' and text is not null and not contains(text, chr(13)))
 select doc_id, count(*) as n from b where length(b) > 40 group by doc_id""")
 def note_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bullets of more than forty characters in notes with plain line ends."""
-    d = table(spark, sf_dir, "documents").where("doc_kind = 'note' and text is not null and not contains(text, '\r')")
+    """Bullets of more than forty characters in notes, whatever their line ends."""
+    d = table(spark, sf_dir, "documents").where("doc_kind = 'note' and text is not null")
     return d.select("doc_id", F.size(vault.bullets(F.col("text"))).cast("bigint").alias("n")).where("n > 0")
 
 

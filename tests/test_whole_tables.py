@@ -7,3 +7,10 @@ def test_every_order_is_routed(spark, tmp_path):
     spark.createDataFrame([(i, f"{i % 5 + 1}-X") for i in range(10)], "o_orderkey bigint, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
     for name in ("judge_routing", "rotate_picks"):
         assert {r["o_orderkey"] for r in QUERIES[name](spark, str(tmp_path)).collect()} == set(range(10))
+
+
+def test_bullets_of_notes_with_any_line_ends(spark, tmp_path):
+    long = "a bullet of well over forty characters, for once and all"
+    rows = [(1, f"x\n- {long}\n- short\n* {long}"), (2, f"x\r\n- {long}\r\n- short\r\n* {long}\r\n"), (3, "x\r\n- short")]
+    spark.createDataFrame([(i, "note", t) for i, t in rows], "doc_id bigint, doc_kind string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {tuple(r) for r in QUERIES["note_bullets"](spark, str(tmp_path)).collect()} == {(1, 2), (2, 2)}
