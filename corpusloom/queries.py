@@ -225,9 +225,9 @@ ab as (select unnest({a}) as a, unnest({b}) as b, unnest(range(0, {perms})) as k
 
 @query("minhash_signatures", f"with {_sql_minhash(16)} select doc_id, k as perm, min((a * h + b) % {dedupe.PRIME}) as value from hs, ab group by doc_id, k")
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first sixteen-permutation MinHash of every document (as many as SQL can check in time)."""
+    """MinHash of every document, with all permutations of the operator."""
     d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", T.normalise(F.col("text")).alias("t"))
-    s = dedupe.signatures(d, "doc_id", "t", 16).where("sig is not null")
+    s = dedupe.signatures(d, "doc_id", "t").where("sig is not null")
     return s.select("doc_id", F.posexplode("sig").alias("perm", "value")).select("doc_id", F.col("perm").cast("bigint").alias("perm"), "value")
 
 

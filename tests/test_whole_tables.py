@@ -1,5 +1,8 @@
 """Registered queries give results for all rows of their tables."""
 
+import hashlib
+
+from corpusloom.operators import dedupe
 from corpusloom.queries import QUERIES
 
 
@@ -14,3 +17,15 @@ def test_bullets_of_notes_with_any_line_ends(spark, tmp_path):
     rows = [(1, f"x\n- {long}\n- short\n* {long}"), (2, f"x\r\n- {long}\r\n- short\r\n* {long}\r\n"), (3, "x\r\n- short")]
     spark.createDataFrame([(i, "note", t) for i, t in rows], "doc_id bigint, doc_kind string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {tuple(r) for r in QUERIES["note_bullets"](spark, str(tmp_path)).collect()} == {(1, 2), (2, 2)}
+
+
+def test_minhash_like_brute_force(spark, tmp_path):
+    texts = {1: "the lamp was old and it stood by the window", 2: "six words are enough for two", 3: "too short"}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    a, b = dedupe.permutations()
+    want = set()
+    for i in (1, 2):
+        ws = texts[i].split(" ")
+        h = [int(hashlib.md5(" ".join(ws[k : k + 5]).encode()).hexdigest()[:8], 16) % dedupe.PRIME for k in range(len(ws) - 4)]
+        want |= {(i, p, min((a[p] * x + b[p]) % dedupe.PRIME for x in h)) for p in range(128)}
+    assert {tuple(r) for r in QUERIES["minhash_signatures"](spark, str(tmp_path)).collect()} == want
