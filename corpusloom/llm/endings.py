@@ -1,17 +1,16 @@
 """How texts end: whether a text stops inside a word or sentence.
 
-A corpus shows how whole lines and sentences end, as only a text's last line can be cut. ``end_evidence`` counts, over all
-texts, the last three words of every line but the last and of every sentence that goes on with another; a text that ends
-without terminal punctuation is whole if its own last words end lines or sentences elsewhere, and cut if they never do.
-Last lines that stand nowhere else are judged by shares (``vote_counts``, ``going_on``): how many unrelated texts end so, copies
-and near copies as one, and how many go on after the same words or with a longer last word.
+A corpus shows how whole lines and sentences end, as only a text's last line can be cut. A text that ends without terminal punctuation
+is judged by rates: of all places where its last words stand in other texts' lines, in how many a line or sentence ends there, and in how
+many it goes on or the last word is a longer one. Keys are 64-bit hashes of word sequences, so that every place of every text can be
+looked up in whole arrays; which keys are asked for is known to the tasks as a bitmap of fixed size, so only places of asked keys are
+put out (``evidence``). Whole short last lines are counted too (``vote_counts``), copies and near copies as one.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,106 +18,135 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Marks of omission that a source may set after a cut.
-MARK = re.compile(r"\s*(?:…|\.\.\.+|\[\s?(?:…|\.\.\.)\s?\]|\(\s?(?:…|\.\.\.)\s?\))\s*$")
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+#: Words, line ends and sentence ends.
+_PIECE = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|\n|[.!?]['\"’”»)]*\s")
 _DIGITS = re.compile(r"\d+")
-TERMINAL = re.compile(r"[.!?。！？]\s?['\"’”“»)\]*_]*$|<\|im_end\|>$|```$|</\w+>$|[}\]]$|(?:^|\s)https?://\S+$|\s[:;][-']?[()DP/|]$|[\U0001F300-\U0001FAFF☀-➿️]$")
+_SENTENCE_END = re.compile(r"[.!?]['\"’”»)]*\s+")
+#: A mark of omission in brackets.
+_BRACKETED = re.compile(r"(?:\[\s?(?:…|\.\.\.)\s?\]|\(\s?(?:…|\.\.\.)\s?\))$")
+_CLOSERS = "'\"’”“»)]*_"
+_TAG = re.compile(r"</\w+>")
+_SMILEY = re.compile(r"\s[:;][-']?[()DP/|]$")
+_PICTURE = re.compile(r"[\U0001F300-\U0001FAFF☀-➿️]$")
 #: Whole last lines without a full stop: sign-offs, links, tags, paths, list marks of a form.
 SIGN_OFF = re.compile(r"(?i)^(?:[—–-]\s?[^\W\d_]+|(?:kind|best|warm) regards|yours (?:sincerely|truly)|mit freundlichen grüßen|viele grüße|cordialement|bien à vous|(?:un )?saludos?(?: cordial(?:es)?)?|https?://\S+|(?:#\w+\s*)+|see also \[\[.*\]\])$")
-
-
 #: Articles and conjunctions that end no sentence.
 DANGLING = frozenset("the a an and or der ein eine einen und oder le les un une des du et ou el los las una y".split())
 
+#: Words of an end key, and of a remark key.
+END_WORDS, REMARK_WORDS = 3, 5
+#: A text's last words are a whole ending if a line or sentence of another text ends so, in at least this share of the texts that have them.
+END_SHARE = 0.01
+#: So many texts beside the judged one and its near copies must share a short last line, and such a share of the texts with these words must end there.
+OTHER_LINES, LINE_SHARE = 2, 0.05
+#: The same for the last word of a casual remark, and for its last five words.
+OTHER_WORDS, WORD_SHARE = 1, 0.05
+
+_M = (1 << 64) - 1
+_PRIME, _SEED = 0x100000001B3, 0xCBF29CE484222325
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_MIX = 0xD6E8FEB86659FD93
+#: Salts of the kinds of keys.
+END, LINE, REMARK = 0x1F123BB5159A55E5, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D
+_SLOT_BITS = 22
+
 
-def _name(words: list[str]) -> str:
-    return _DIGITS.sub("0", " ".join(words))
+def prefix_hashes(word: str) -> list[int]:
+    """Hash of each prefix of a word; the last is that of the word."""
+    out, h = [], _SEED
+    for c in word:
+        h = ((h ^ ord(c)) * _PRIME) & _M
+        out.append(h)
+    return out
 
 
-def end_keys(text: str) -> Counter:
-    """Last three words of every line but the last and of every sentence that another follows, each once for a text."""
-    keys: dict[str, int] = {}
-    for line in text.lower().split("\n")[:-1]:
-        words = _TOKEN.findall(line[-80:])
-        if words:
-            keys[_name(words[-3:])] = 1
-    for part in re.split(r"[.!?]['\"”’»)]*\s", text.lower())[:-1]:
-        words = _TOKEN.findall(part[-80:].rsplit("\n", 1)[-1])
-        if words:
-            keys[_name(words[-3:])] = 1
-    return Counter(keys)
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def last_key(text: str) -> str:
-    """Last three words of the last line; fewer if it has fewer."""
-    words = _TOKEN.findall(text.lower().rstrip().rsplit("\n", 1)[-1][-80:])
-    return _name(words[-3:])
+def words_key(words: list[str], kind: int) -> int:
+    """Key of a word sequence: a polynomial hash of all words but the last, mixed with the last and the kind."""
+    p, power = 0, 1
+    for w in words[:-1]:
+        p = (p + prefix_hashes(w)[-1] * power) & _M
+        power = (power * _BASE) & _M
+    x = ((p ^ kind) * _MIX + prefix_hashes(words[-1])[-1]) & _M
+    x = ((x ^ x >> 32) * _MIX) & _M
+    return _signed(x ^ x >> 29)
+
+
+def _last_line(body: str) -> str:
+    return body[body.rfind("\n") + 1 :]
+
+
+def _masked_words(text: str) -> list[str]:
+    return _TOKEN.findall(_DIGITS.sub("0", text.lower()))
 
 
 def split_mark(text: str) -> tuple[str, bool]:
-    """The text without trailing white space and without a mark of omission, and whether it had one."""
+    """The text without trailing white space and without a mark of omission that the source may have set, and whether it had one."""
     t = text.rstrip()
-    m = MARK.search(t[-24:])
-    return (t[: len(t) - len(t[-24:]) + m.start()].rstrip(), True) if m else (t, False)
+    if t.endswith("…"):
+        return t[:-1].rstrip(), True
+    if t.endswith("..."):
+        return t.rstrip(".").rstrip(), True
+    m = _BRACKETED.search(t[-8:])  # no such mark is longer
+    return (t[: len(t) - len(m.group())].rstrip(), True) if m else (t, False)
+
+
+def terminal(body: str) -> bool:
+    """Whether a text ends with terminal punctuation, a closing mark of its form, a link, a smiley or a picture."""
+    bare = body.rstrip(_CLOSERS)
+    if bare[-1:] in tuple(".!?。！？") or (bare[-1:].isspace() and bare[-2:-1] in tuple(".!?。！？")):
+        return True
+    if body.endswith(("<|im_end|>", "```", "}", "]")) or _PICTURE.search(body[-1:]) or _SMILEY.search(body[-4:]):
+        return True
+    if body.endswith(">") and _TAG.fullmatch(body, max(0, body.rfind("<"))):
+        return True
+    return bool(re.match(r"https?://\S", body.rsplit(None, 1)[-1])) if body.strip() else False
+
+
+def last_part(body: str) -> str:
+    """The last sentence, or the last line if it holds none before."""
+    return _SENTENCE_END.split(_last_line(body))[-1]
 
 
-def last_word_key(body: str) -> str:
-    """The last word (after a mark that keeps it apart from other keys) if the last sentence or line begins in lower case, as casual remarks do; else empty."""
-    part = re.split(r"[.!?]['\"”’»)]*\s+|\n", body[-300:])[-1]
-    words = _TOKEN.findall(part)
-    return "\x01" + words[-1].lower() if words and words[0][0].islower() and len(part) < 300 else ""
+def end_key(body: str) -> int | None:
+    """Key of the last three words of the last line, of fewer if it has fewer."""
+    words = _masked_words(_last_line(body))
+    return words_key(words[-END_WORDS:], END) if words else None
 
 
-def remark_key(body: str) -> str:
-    """The last five words (after a mark, digits masked) of the last sentence or line, or all if it has fewer; empty for a single word."""
-    words = _TOKEN.findall(re.split(r"[.!?]['\"’”»)]*\s+|\n", body[-300:])[-1].lower())
-    return "\x03" + _name(words[-5:]) if len(words) > 1 else ""
+def line_key(body: str) -> int | None:
+    """Key of the whole last line."""
+    words = _masked_words(_last_line(body))
+    return words_key(words, LINE) if words else None
 
 
-def ending(text: str) -> tuple[str, bool, str, str]:
-    """``(kind, marked, end key, last line)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the counts) or ``inside`` (an open turn or object, an article, a comma or dash)."""
+def last_word(body: str) -> str | None:
+    """The last word if the last sentence or line begins in lower case, as casual remarks do."""
+    words = _TOKEN.findall(last_part(body))
+    return words[-1].lower() if words and words[0][0].islower() else None
+
+
+def remark_key(body: str) -> int | None:
+    """Key of the last five words of the last sentence or line, of all if it has fewer; null for a single word."""
+    words = _masked_words(last_part(body))
+    return words_key(words[-REMARK_WORDS:], REMARK) if len(words) > 1 else None
+
+
+def ending(text: str) -> tuple[str, bool, str]:
+    """``(kind, marked, body)``; kind is ``whole`` (terminal or sign-off), ``open`` (left to the rates) or ``inside`` (an open turn or object, an article, a comma or dash)."""
     body, marked = split_mark(text)
-    line = body.rsplit("\n", 1)[-1].strip()
-    if not body or TERMINAL.search(body[-160:]) or SIGN_OFF.match(line):
-        return "whole", marked, "", ""
+    line = _last_line(body).strip()
+    if not body or terminal(body) or SIGN_OFF.match(line):
+        return "whole", marked, body
     if body.rfind("<|im_start|>") > body.rfind("<|im_end|>") or (line.startswith("{") and not line.endswith("}")):
-        return "inside", marked, last_key(body), ""  # an open turn or object
-    words = _TOKEN.findall(line[-300:].lower())
-    kind = "inside" if len(words) > 3 and (body[-1] in ",;(–—-" or words[-1] in DANGLING) else "open"
-    return kind, marked, last_key(body), _name(_TOKEN.findall(line.lower())) if len(line) <= 60 else ""
-
-
-def _slot(parent: str, word: str) -> int:
-    return zlib.crc32(f"{parent} {word[:1]}".encode("utf-8", "surrogatepass")) & 0xFFFF
-
-
-def line_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
-    """``(words before, word, whether the line goes on)`` at the start of every line; the last line's last word may be cut and does not count. Only in slots ``asked``."""
-    got: set[tuple[str, str, bool]] = set()
-    lines = _DIGITS.sub("0", text.lower()).split("\n")
-    for k, line in enumerate(lines):
-        words = _TOKEN.findall(line.lstrip()[:80])
-        at = ""
-        for i, w in enumerate(words):
-            goes = i < len(words) - 1
-            if (goes or k < len(lines) - 1) and _slot(at, w) in asked:
-                got.add((at, w, goes))
-            at = f"{at} {w}" if at else w
-    return got
-
-
-def remark_starts(text: str, asked: frozenset[int]) -> set[tuple[str, str, bool]]:
-    """The same for every five words of a sentence or line (fewer at its start); its last word may be cut if nothing follows in the text."""
-    got: set[tuple[str, str, bool]] = set()
-    parts = re.split(r"[.!?]['\"’”»)]*\s|\n", _DIGITS.sub("0", text.lower()))
-    for k, part in enumerate(parts):
-        words = _TOKEN.findall(part)
-        for i in range(1, len(words)):
-            goes, at = i < len(words) - 1, " ".join(words[max(0, i - 4) : i])
-            if (goes or k < len(parts) - 1) and _slot(at, words[i]) in asked:
-                got.add((at, words[i], goes))
-    return got
+        return "inside", marked, body  # an open turn or object
+    words = _TOKEN.findall(line.lower())
+    return "inside" if len(words) > 3 and (body[-1] in ",;(–—-" or words[-1] in DANGLING) else "open", marked, body
 
 
 _HASHES = np.random.default_rng(10).integers(1, (1 << 31) - 1, (2, 128, 1))
@@ -126,30 +154,13 @@ _HASHES = np.random.default_rng(10).integers(1, (1 << 31) - 1, (2, 128, 1))
 
 def sketch(body: str) -> list[int]:
     """Sixteen bands of eight minima over hashes of the three-word shingles before the last sentence or line (of all, if nothing is before it): near copies share a band, texts that only end alike none."""
-    head = body[: len(body) - len(re.split(r"[.!?]['\"’”»)]*\s+|\n", body.rstrip()[-300:])[-1])]
+    head = body[: len(body) - len(last_part(body))]
     ws = (head if head.strip() else body).lower().split()
     h = np.array(list({zlib.crc32(" ".join(ws[i : i + 3]).encode("utf-8", "surrogatepass")) >> 1 for i in range(max(1, len(ws) - 2))}), np.int64)
     low = ((_HASHES[0] * h + _HASHES[1]) % ((1 << 31) - 1)).min(axis=1).astype(np.int64)
     return [zlib.crc32(band.tobytes()) for band in low.reshape(16, 8)]
 
 
-def end_evidence(texts: Iterator[str | None]) -> Counter:
-    """End keys of many texts, each counted once for a text."""
-    c: Counter = Counter()
-    for t in texts:
-        if t:
-            c.update(end_keys(t))
-    return c
-
-
-#: So many texts beside the judged one and its near copies must share a short last line, and such a share of the texts with these words must end there.
-OTHER_LINES, LINE_SHARE = 2, 0.05
-
-
-#: The same for the last word of a casual remark, and for its last five words.
-OTHER_WORDS, WORD_SHARE = 1, 0.05
-
-
 def vote_counts(voters: DataFrame, key: str) -> DataFrame:
     """``key, votes``: texts by end key, near copies (equal in a band of their ``sketch``, also by way of others) as one."""
     v = voters.select(key, "sketch").distinct().withColumn("id", F.xxhash64("sketch"))
@@ -161,28 +172,105 @@ def vote_counts(voters: DataFrame, key: str) -> DataFrame:
     return label.groupBy(key).agg(F.count_distinct("cls").alias("votes"))
 
 
-def going_on(texts: DataFrame, ends: DataFrame, key: str, starts) -> DataFrame:
-    """``key, goes_on``: for end keys (a mark, then words) how many distinct ``text`` go on after these words or have a longer last word there.
-
-    A second pass over the texts (``starts``) that gives only what shares all words but the last, and that one's first letter, with
-    an end key; these are known by their slot of 65,536, so what the driver collects is bounded.
+class Places:
+    """Keys of all word places of a batch of texts, as arrays."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.hashes: list[list[int]] = []
+
+    def _learn(self, w: str) -> int:
+        if len(self.number) > 300_000:  # bounds the memory of a task, not the result: a batch's numbers are looked up before
+            self.number, self.hashes = {}, []
+        k = self.number[w] = len(self.number)
+        self.hashes.append(prefix_hashes(w))
+        return k
+
+    def __call__(self, texts: list[str | None], asked: np.ndarray, kinds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(text, key, whether it goes on)`` of each place whose key may be asked for; a text's last word shows nothing and is left out."""
+        words: list[str] = []
+        size, line, sentence, row = [], [], [], []
+        at_line = at_sentence = 0
+        for r, t in enumerate(texts):
+            before = len(words)
+            at_line, at_sentence = at_line + 1, at_sentence + 1
+            for p in _PIECE.findall(_DIGITS.sub("0", t.lower())) if t else ():
+                if p[0].isalnum():
+                    words.append(p)
+                    line.append(at_line)
+                    sentence.append(at_sentence)
+                else:
+                    at_sentence += 1
+                    at_line += "\n" in p
+            size.append(len(words) - before)
+        n = len(words)
+        none = np.empty(0, np.int64)
+        if not n:
+            return none, none, none.astype(bool)
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        hashes = [self.hashes[self.number[w]] if w in self.number else self.hashes[self._learn(w)] for w in distinct]
+        ids = np.fromiter((distinct[w] for w in words), np.int64, n)
+        length = np.array([len(h) for h in hashes], np.int64)
+        flat = np.fromiter((x for h in hashes for x in h), np.uint64, int(length.sum()))
+        first = np.append(0, np.cumsum(length))
+        whole = flat[first[1:] - 1][ids]
+        row = np.repeat(np.arange(len(texts)), size)
+        line, sentence, i = np.array(line), np.array(sentence), np.arange(n)
+        starts = lambda a: np.maximum.accumulate(np.where(np.append(True, a[1:] != a[:-1]), i, 0))
+        line_at, sentence_at = starts(line), starts(sentence)
+        goes = np.append(sentence[1:] == sentence[:-1], False)
+        last = np.append(row[1:] != row[:-1], True)
+        with np.errstate(over="ignore"):
+            power = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)))
+            inverse = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE_INVERSE, np.uint64)))
+            sums = np.append(np.uint64(0), np.cumsum(whole * power[:-1]))
+            keep = np.flatnonzero(~last)
+            per = length[ids[keep]]
+            place = np.repeat(keep, per)
+            nth = np.arange(len(place)) - np.repeat(np.cumsum(per) - per, per)
+            part = flat[np.repeat(first[ids[keep]], per) + nth]
+            longer = nth < np.repeat(per, per) - 1
+            out = []
+            for kind in kinds:
+                start = line_at if kind == LINE else np.maximum(line_at, i - END_WORDS + 1) if kind == END else np.maximum(sentence_at, i - REMARK_WORDS + 1)
+                parent = (sums[:-1] - sums[start]) * inverse[start]
+                x = ((parent[place] ^ np.uint64(kind)) * np.uint64(_MIX)) + part
+                x = (x ^ x >> np.uint64(32)) * np.uint64(_MIX)
+                x ^= x >> np.uint64(29)
+                hit = np.flatnonzero(asked[(x >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)])
+                out.append((row[place[hit]], x[hit].view(np.int64), longer[hit] | goes[place[hit]]))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def evidence(texts: DataFrame, asked: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
+    """``key, n_ends, n_goes_on`` of asked keys (one bigint column): in how many distinct ``text`` a line or sentence that is not the last ends so, and in how many it goes on or the last word is longer.
+
+    The asked keys go to the tasks as a bitmap of 2**22 slots (512 KB, whatever their number), the only thing the driver collects; what
+    comes back is one row for each text and asked key that meet, joined with the keys themselves.
     """
-    parent, last = (F.regexp_extract(key, r"(?s)^.(?:(.*) )?([^ ]*)$", i) for i in (1, 2))
-    wanted = ends.select(key, parent.alias("parent"), last.alias("last"), F.substring(last, 1, 1).alias("first")).distinct()
-    slots = wanted.select(F.crc32(F.encode(F.concat_ws(" ", "parent", "first"), "UTF-8")).bitwiseAND(0xFFFF).alias("slot")).distinct()
-    asked = frozenset(r["slot"] for r in slots.collect())
-    if not asked:
-        return wanted.limit(0).select(key, F.lit(0).cast("bigint").alias("goes_on"))
+    keys = asked.select(F.col(asked.columns[0]).alias("key")).where("key is not null").distinct()
+    slot = F.shiftrightunsigned("key", 64 - _SLOT_BITS) + 1
+    parts = keys.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")).collect()
+    bits = np.zeros(1 << _SLOT_BITS, bool)
+    for p in parts:
+        own = np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little")
+        at = (p["bucket"] - 1) * len(own)
+        bits[at : at + len(own)] = own
+    packed = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(h, *s) for h, t in dict(zip(b.column("h").to_pylist(), b.column("text").to_pylist())).items() if t for s in starts(t, asked)]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.bool_()))], names=["h", "parent", "word", "goes"])
-
-    found = texts.select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, parent string, word string, goes boolean").withColumn("first", F.substring("word", 1, 1))
-    met = wanted.join(found, ["parent", "first"]).where(F.col("word").startswith(F.col("last")) & (F.col("goes") | (F.col("word") != F.col("last"))))
-    return met.groupBy(key).agg(F.count_distinct("h").alias("goes_on"))
+        wanted, places = np.unpackbits(packed.value).astype(bool), Places()
+        for whole in batches:
+            for b in (whole.slice(k, 500) for k in range(0, whole.num_rows, 500)):
+                h = b.column("h").to_numpy(zero_copy_only=False)
+                row, key, goes = places(b.column("text").to_pylist(), wanted, kinds)
+                if len(row):
+                    met = np.unique(np.rec.fromarrays([h[row], key, goes], names="h,key,goes"))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(met[c])) for c in ("h", "key", "goes")], names=["h", "key", "goes"])
+
+    found = texts.where("text is not null").select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, key bigint, goes boolean")
+    met = found.join(keys, "key", "left_semi").distinct()
+    return met.groupBy("key").agg(F.count_if(~F.col("goes")).alias("n_ends"), F.count_if("goes").alias("n_goes_on"))
 
 
 def enough(votes, goes_on, others: int, share: float):

@@ -1,11 +1,11 @@
 """Text garbled by a wrong character encoding (problem 4).
 
-A hidden Markov model labels the characters: one clean state, one state for each encoding pair (UTF-8 bytes
-that were read as some one-byte encoding) and one for losses. A pair's state emits the characters that stand for the
-bytes of one UTF-8 character, at a cost that depends on the character they encode; the clean state emits each
-character at a cost that depends on how odd it is beside its neighbours. ASCII is the same in every state. Viterbi finds
-the cheapest labelling, each labelled span gets its state's inverse transform, and the whole is repeated
-while something changes, as texts may be garbled more than once.
+A hidden Markov model labels the characters: one clean state, one state for each encoding pair and one for losses. Pairs are UTF-8 bytes
+that were read as some one-byte encoding, and Cyrillic, Greek, Chinese or Japanese bytes that were read as Western. A pair's state emits the characters that stand for the
+bytes of one UTF-8 character, or of one word of the other encodings, at a cost that depends on what they encode; the clean state emits each
+character at a cost that depends on how odd it is beside its neighbours. ASCII is the same in every state, so a run of it is one step. Viterbi finds
+the cheapest labelling, each labelled span gets its state's inverse transform, and the whole is repeated until nothing
+changes, as texts may be garbled any number of times: every round makes the text shorter, or rids it of candidates.
 
 The costs are negative log probabilities by character class; no state but the clean one can emit anything in a text without a
 byte sequence of some pair, so only texts with one are decoded.
@@ -49,9 +49,13 @@ def _pattern(table: dict[str, int]) -> str:
     return f"{cls(0xC2, 0xDF)}{t}|{cls(0xE0, 0xEF)}{t}{t}|{cls(0xF0, 0xF4)}{t}{t}{t}"
 
 
+#: Encodings whose bytes were read as a Western one, by the Western one; their vowels tell words from chance.
+READ_AS = {("cp1251", "cp1252"): "аеёиоуыэюяієї", ("koi8-r", "cp1252"): "аеёиоуыэюя", ("cp1253", "cp1252"): "αεηιουωάέήίόύώϊϋ", ("gb2312", "cp1252"): "", ("shift_jis", "cp1252"): ""}
 #: A lone first byte whose second, a no-break space, became a plain blank: it stood for the letter a with grave.
 BARE = re.compile(r"(?<![^\s'’])Ã(?=\s)")
-CANDIDATE = re.compile("|".join([*(_pattern(t) for t in TABLES.values()), "[\x80-\x84\x86-\x9f�]", BARE.pattern]))
+#: Words of a double-byte or one-byte encoding read as Western: runs without any ASCII letter beside them.
+_RUN = re.compile(r"(?<![A-Za-z0-9])[^\x00-\x7f\xa0]{1,}(?![A-Za-z0-9])")
+CANDIDATE = re.compile("|".join([*(_pattern(t) for t in TABLES.values()), "[\x80-\x84\x86-\x9f�]", BARE.pattern, "[\xa1-\xff]{4}", "(?:[‚ƒ][^\x00-\x7f]){2}"]))
 
 
 @lru_cache(maxsize=65536)
@@ -88,29 +92,35 @@ def _script(kind: str) -> str:
     return "cyr" if kind.startswith("cyr") else "greek" if kind.startswith("greek") else "script" if kind == "script" else "latin" if kind in ("upper", "lower", "latin_up", "latin_low") else ""
 
 
-def _capitals(text: str, i: int) -> bool:
-    """Whether the word around position ``i`` is written in capitals."""
-    a = b = i
-    while a and not text[a - 1].isspace():
-        a -= 1
-    while b < len(text) and not text[b].isspace():
-        b += 1
-    w = text[a:b]
-    return not any("a" <= c <= "z" for c in w) and sum("A" <= c <= "Z" for c in w) >= 2
-
-
-def _foreign(text: str, i: int) -> bool:
-    """Whether position ``i`` lies in a word without any ASCII letter or digit that is one or two letters of another script, or only Latin letters with marks, in a text of ASCII letters."""
-    a = b = i
-    while a and not text[a - 1].isspace():
-        a -= 1
-    while b < len(text) and not text[b].isspace():
-        b += 1
-    w = text[a:b]
-    if len(w) < 2 and w != text[i] or any(c.isascii() and c.isalnum() for c in w):
-        return False
-    kinds = {_script(_kind(c)) for c in w}
-    return sum(c.isascii() and c.isalpha() for c in text) >= 3 and (len(w) <= 4 or "latin" in kinds)
+class Words:
+    """The words around the positions of a text, each looked at once."""
+
+    def __init__(self, text: str):
+        self.text, self.at, self.known = text, {}, {}
+        self.latin = sum(c.isascii() and c.isalpha() for c in text) >= 3
+
+    def around(self, i: int) -> tuple[int, int]:
+        """Bounds of the word around position ``i``."""
+        if i not in self.at:
+            text = self.text
+            a = b = i
+            while a and not text[a - 1].isspace():
+                a -= 1
+            while b < len(text) and not text[b].isspace():
+                b += 1
+            for k in range(a, max(b, i + 1)):
+                self.at[k] = a, b
+        return self.at[i]
+
+    def facts(self, i: int) -> tuple[bool, bool]:
+        """Whether the word around position ``i`` is written in capitals, and whether it is foreign: without any ASCII letter or digit and short, or of Latin letters with marks, in a text of ASCII letters."""
+        a, b = self.around(i)
+        if (a, b) not in self.known:
+            w = self.text[a:b]
+            capitals = not any("a" <= c <= "z" for c in w) and sum("A" <= c <= "Z" for c in w) >= 2
+            plain = any(c.isascii() and c.isalnum() for c in w)
+            self.known[a, b] = capitals, bool(w) and not plain and self.latin and (len(w) <= 4 or any(_script(_kind(c)) == "latin" for c in w))
+        return self.known[a, b]
 
 
 def letters_beside(text: str, i: int) -> bool:
@@ -118,17 +128,17 @@ def letters_beside(text: str, i: int) -> bool:
     return text[i - 1 : i].isalpha() or text[i + 1 : i + 2].isalpha()
 
 
-def clean_cost(text: str, i: int) -> float:
+def clean_cost(text: str, i: int, words: Words) -> float:
     """Cost of position ``i`` in the clean state: how odd the character is beside its neighbours."""
     k = _kind(text[i])
     if k in ("upper", "lower", "ascii", "space"):
         return 0.0 if text[i] != "\xa0" else 1.0
     if k in ("latin_low", "latin_up", "symbol", "box") or k.startswith(("cyr", "greek")):
-        return _odd_cost(text, i, k) + (1.0 if _foreign(text, i) else 0.0)
-    return _odd_cost(text, i, k)
+        return _odd_cost(text, i, k, words) + (1.0 if words.facts(i)[1] else 0.0)
+    return _odd_cost(text, i, k, words)
 
 
-def _odd_cost(text: str, i: int, k: str) -> float:
+def _odd_cost(text: str, i: int, k: str, words: Words) -> float:
     before = _kind(text[i - 1]) if i else "space"
     after = _kind(text[i + 1]) if i + 1 < len(text) else "space"
     if k in ("control", "lost"):
@@ -140,12 +150,12 @@ def _odd_cost(text: str, i: int, k: str) -> float:
     if text[i] == "ƒ":
         return 6.0 if letters_beside(text, i) else 2.0
     if k == "latin_low":
-        if _capitals(text, i):
+        if words.facts(i)[0]:
             return 5.0
         odd = after in ("symbol", "box", "control", "cyr_rare_up") or (after == "quote" and text[i] in "âãðïåäæç")
         return 4.0 if odd or letters[0] in ("cyr", "greek") or letters[1] in ("cyr", "greek") else 1.0
     if k == "latin_up":
-        if _capitals(text, i):
+        if words.facts(i)[0]:
             return 1.0
         if after in ("symbol", "box", "control", "mark", "latin_up") or last == "\xa0" or (after == "quote" and before != "upper") or (text[i] == "Ã" and before == after == "space"):
             return 5.0
@@ -154,7 +164,7 @@ def _odd_cost(text: str, i: int, k: str) -> float:
         mixed = any(s and s != k[: len(s)] for s in letters)
         hump = k.endswith("_up") and before.endswith("_low")
         rare = 2.0 if "rare" in k else 0.0
-        lone = _foreign(text, i) and (last == "\xa0" or before == "space") and not after.startswith(("cyr_low", "greek_low"))
+        lone = words.facts(i)[1] and (last == "\xa0" or before == "space") and not after.startswith(("cyr_low", "greek_low"))
         return 0.5 + 4.5 * mixed + 3.5 * hump + rare + 2.0 * (after in ("symbol", "box", "control")) + 3.0 * lone
     if k == "script":
         return 0.5
@@ -166,7 +176,7 @@ def _odd_cost(text: str, i: int, k: str) -> float:
     return (6.0 if glued else 3.5 if letters[0] else 1.0) + (3.0 if last and bare and after != "space" else 0.0)
 
 
-def coded_cost(c: str, text: str, i: int) -> float:
+def coded_cost(c: str, i: int, words: Words) -> float:
     """Cost of a character that positions from ``i`` would encode."""
     k = _kind(c)
     if k == "control":
@@ -174,7 +184,7 @@ def coded_cost(c: str, text: str, i: int) -> float:
     if c == "ƒ":
         return 1.0
     if k == "latin_low":
-        return 5.0 if _capitals(text, i) else 1.0
+        return 5.0 if words.facts(i)[0] else 1.0
     if k in ("latin_up", "cyr_rare_up", "cyr_rare_low"):
         return 1.5
     if k == "script" and unicodedata.name(c, "").split(" ")[0] not in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "ARABIC", "HEBREW", "LATIN", "THAI", "DEVANAGARI"):
@@ -184,84 +194,137 @@ def coded_cost(c: str, text: str, i: int) -> float:
     return 1.0
 
 
-def units(text: str, encoding: str) -> dict[int, tuple[int, str]]:
-    """Positions where the bytes of a UTF-8 character begin under ``encoding``: length and the character."""
+def units(text: str, encoding: str, places: list[int], words: Words) -> dict[int, tuple[int, str, float]]:
+    """Positions where the bytes of a UTF-8 character begin under ``encoding``: length, the character and its cost. ``places`` are the positions beyond ASCII."""
     t = TABLES[encoding]
     out = {}
-    for i, c in enumerate(text):
-        b = t.get(c, 0)
+    for i in places:
+        b = t.get(text[i], 0)
         n = 2 if 0xC2 <= b <= 0xDF else 3 if 0xE0 <= b <= 0xEF else 4 if 0xF0 <= b <= 0xF4 else 0
         if n and i + n <= len(text):
             try:
                 rest = text[i + 1 : i + n]
                 # in a longer sequence a no-break space may have become a plain blank
-                out[i] = n, bytes([b, *(0xA0 if x == " " and n > 2 else t[x] for x in rest)]).decode("utf-8")
+                c = bytes([b, *(0xA0 if x == " " and n > 2 else t[x] for x in rest)]).decode("utf-8")
+                out[i] = n, c, coded_cost(c, i, words)
             except (KeyError, UnicodeDecodeError):
                 pass
     if encoding in ("cp1252", "latin-1"):
-        out |= {m.start(): (1, "à") for m in BARE.finditer(text) if m.start() not in out}
+        out |= {m.start(): (1, "à", coded_cost("à", m.start(), words)) for m in BARE.finditer(text) if m.start() not in out}
+    return out
+
+
+def _likely_word(word: str, vowels: str) -> bool:
+    """Whether decoded bytes make a word: one script, no capital inside, vowels among the letters."""
+    low = word.lower()
+    if not word.isalpha() or not (word.islower() or word.isupper() or (word[0].isupper() and word[1:].islower())):
+        return False
+    if len({_script(_kind(c)) for c in word}) > 1 or any(_kind(c).startswith("cyr_rare") and c not in "іїєІЇЄ" for c in word):
+        return False
+    share = sum(c in vowels for c in low) / len(word)
+    return len(word) < 3 or 0.22 <= share <= 0.8
+
+
+def word_units(text: str, true: str, read: str, vowels: str) -> dict[int, tuple[int, str, float]]:
+    """Positions where a word of the encoding ``true`` begins that was read as ``read``: length, the word and its cost."""
+    t, out = TABLES[read], {}
+    for m in _RUN.finditer(text):
+        w = m.group().strip("«»“”…—–¿¡")
+        a = m.start() + m.group().find(w) if w else 0
+        if not w or any(c not in t for c in w):
+            continue
+        try:
+            word = bytes(t[c] for c in w).decode(true)
+        except UnicodeDecodeError:
+            continue
+        if vowels and _likely_word(word, vowels):
+            out[a] = len(w), word, 1.5
+        elif not vowels and len(word) >= 2 and all("ぁ" <= c <= "ヺ" or "一" <= c <= "鿿" or c in "、。ー！？，" for c in word) and (true != "shift_jis" or any("ぁ" <= c <= "ヺ" for c in word)):
+            out[a] = len(w), word, 1.4 * len(word)
     return out
 
 
 def label(text: str) -> list[tuple[int, int, str, str | None]]:
-    """Cheapest labelling: garbled units ``(start, end, state, restored or None)`` in order."""
-    n = len(text)
-    found = {e: u for e in ENCODINGS if (u := units(text, e))}
-    states = ["", LOST, *found]
-    best = [dict() for _ in range(n + 1)]  # position -> state -> (cost, previous position, previous state)
-    best[0] = {"": (0.0, -1, "")}
-    for i in range(n):
-        here = best[i]
+    """Cheapest labelling: garbled units ``(start, end, state, restored or None)`` in order. Linear in the text."""
+    n, words = len(text), Words(text)
+    places = [i for i, c in enumerate(text) if not c.isascii()]
+    found = {e: u for e in ENCODINGS if (u := units(text, e, places, words))}
+    found |= {f"{true} as {read}": u for (true, read), v in READ_AS.items() if (u := word_units(text, true, read, v))}
+    # what no unit covers, and no loss, is clean on every path: only the rest is weighed
+    odd = bytearray(n)
+    for u in found.values():
+        for a, (k, *_) in u.items():
+            odd[a : a + k] = b"\1" * k
+    for i in places:
+        if text[i] == "�" or "\x80" <= text[i] <= "\x9f":
+            odd[i] = 1
+    best: dict[int, dict[str, tuple[float, int, str, str | None]]] = {0: {"": (0.0, -1, "", None)}}  # position -> state -> (cost, position and state before, what it stands for)
+
+    def go(here: dict, i: int, j: int, state: str, step: float, stands_for: str | None) -> None:
+        # from the same state for free, from the clean one by ENTER, to the clean one by LEAVE
+        there = best.setdefault(j, {})
+        for s, (cost, *_) in here.items():
+            total = cost + step + (0.0 if s == state else (LEAVE if s else 0.0) + (ENTER if state else 0.0))
+            if state not in there or (total, s) < (there[state][0], there[state][2]):
+                there[state] = total, i, s, stands_for
+
+    i = 0
+    while i < n:
+        here = best.get(i)
         if not here:
+            i += 1
             continue
-        low, low_state = min((v[0], s) for s, v in here.items())
+        if not odd[i]:
+            j = odd.find(1, i)
+            j = n if j < 0 else j
+            if not text[i:j].isascii():
+                cost, s = min((v[0] + (LEAVE if s else 0.0), s) for s, v in here.items())
+                best.setdefault(j, {})[""] = cost, i, s, None
+                i = j
+                continue
         c = text[i]
-        plain = ord(c) < 128
-        cost = clean_cost(text, i)
-
-        def go(j: int, state: str, step: float) -> None:
-            # from the same state for free, from the clean one by ENTER, to the clean one by LEAVE
-            options = [(here[state][0], state)] if state in here else []
-            options.append((low + ((LEAVE if low_state else 0.0) if not state else (ENTER + (LEAVE if low_state else 0.0))), low_state))
-            if state and "" in here:
-                options.append((here[""][0] + ENTER, ""))
-            a, b = min(options)
-            if state not in best[j] or a + step < best[j][state][0]:
-                best[j][state] = a + step, i, b
-
-        go(i + 1, "", cost)
+        if c.isascii():  # a run of ASCII costs nothing in any state
+            j = i + 1
+            while j < n and text[j].isascii() and j not in best and odd[j] == odd[i]:
+                j += 1
+            for s, (cost, *_) in here.items():
+                there = best.setdefault(j, {})
+                if s not in there or cost < there[s][0]:
+                    there[s] = cost, i, s, None
+            i += 1 if odd[i] else j - i
+            continue
+        go(here, i, i + 1, "", clean_cost(text, i, words), None)
         if c == "�" or "\x80" <= c <= "\x9f":
-            go(i + 1, LOST, 2.0)
+            go(here, i, i + 1, LOST, 2.0, None)
         for e, u in found.items():
-            if plain and e in here:
-                go(i + 1, e, 0.0)
             if i in u:
-                k, char = u[i]
-                go(i + k, e, coded_cost(char, text, i))
+                k, stands_for, cost = u[i]
+                go(here, i, i + k, e, cost, stands_for)
+        i += 1
     out = []
     at, state = n, min((v[0] + (LEAVE if s else 0.0), s) for s, v in best[n].items())[1]
     while at > 0:
-        _, before, previous = best[at][state]
-        if state == LOST:
+        _, before, previous, stands_for = best[at][state]
+        if state == LOST and not text[before].isascii():
             out.append((before, at, LOST, None))
-        elif state and (at - before > 1 or not text[before].isascii()):
-            out.append((before, at, state, found[state][before][1]))
+        elif stands_for is not None:
+            out.append((before, at, state, stands_for))
         at, state = before, previous
     return out[::-1]
 
 
-def repair(text: str | None, most: int = 4) -> tuple[bool, str | None, bool, int]:
-    """Whether a text is garbled, its restored form, whether anything was lost, and the number of layers undone."""
+def repair(text: str | None) -> tuple[bool, str | None, bool, int]:
+    """Whether a text is garbled, its restored form, whether anything was lost, and the number of layers undone, until none is left."""
     garbled, layers = False, 0
-    while text and layers < most and CANDIDATE.search(text):
+    while text and CANDIDATE.search(text):
         spans = label(text)
         garbled |= bool(spans)
         spans = [s for s in spans if s[3] is not None]
         if not spans:
             break
         parts, at = [], 0
-        for a, b, _, char in spans:
-            parts += [text[at:a], char]
+        for a, b, _, chars in spans:
+            parts += [text[at:a], chars]
             at = b
         text, layers = "".join(parts) + text[at:], layers + 1
     return garbled, text, bool(text) and "�" in text, layers

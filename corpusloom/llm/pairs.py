@@ -1,10 +1,10 @@
 """Broken prompt and response pairs (problem 1).
 
 Each side's answer (without ChatML marks and think block) is compared with the user's turn. Copies: if the word shingles of one
-contain enough of the other, a bit-parallel longest common subsequence measures how much of each is covered. Refusals: the answer's
-first sentences, without what it quotes, are aligned by the same subsequence against refusal templates. Language: function words
-and scripts. Truncation: open structures, a missing end mark, and endings that end no line or sentence in any
-answer and are not shared by enough unrelated answers (``endings``).
+contain enough of the other, a bit-parallel longest common subsequence measures how much of each is covered, however often the turn is given back. Refusals: each
+of the answer's sentences, without what it quotes, is aligned by the same subsequence against refusal templates. Language: scripts and character
+trigrams learned from all turns and answers (``languages``). Truncation: open structures, a missing end mark, and last words that hardly
+ever end a line or sentence in other answers and are not shared by enough unrelated answers (``endings``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.endings import LINE_SHARE, OTHER_LINES, OTHER_WORDS, WORD_SHARE, end_evidence, ending, enough, going_on, last_word_key, line_starts, remark_key, remark_starts, sketch, split_mark, vote_counts
+from corpusloom.llm.endings import END, END_SHARE, LINE, LINE_SHARE, OTHER_LINES, OTHER_WORDS, REMARK, WORD_SHARE, end_key, ending, enough, evidence, last_word, line_key, remark_key, sketch, vote_counts
+from corpusloom.llm.languages import UNTAUGHT, Profile, learn
 from corpusloom.session import cut
 
 _TURN = re.compile(r"<\|im_start\|>(\w*)\n?(.*?)(?=<\|im_start\|>|$)", re.DOTALL)
@@ -24,7 +25,8 @@ _THINK = re.compile(r"<think>.*?(?:</think>|$)", re.DOTALL)
 _CALLS = re.compile(r"<tool_call>.*?(?:</tool_call>|$)|<tool_response>.*?(?:</tool_response>|$)", re.DOTALL)
 _WORD = re.compile(r"[^\W_]+")
 _HIDDEN = re.compile("[\\s\\x1c-\\x1f​‌‍⁠﻿￼]+")
-_CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+_QUOTED = re.compile(r"“[^”\"]*[”\"]|\"[^\"”]*[\"”]|«[^»]*»|„[^“”\"]*[“”\"]")
+_CODE = re.compile(r"```.*?(?:```|$)|`[^`\n]*`|https?://\S+", re.DOTALL)
 
 #: How an assistant declines, by language. Alignment allows for words in between.
 REFUSALS = [
@@ -43,26 +45,6 @@ _ANCHOR = re.compile(
     r"(?i)\b(?:help|assist|answer|stay out|unable|decline|pass on|guidelines|permitted|not be right|rather not|able to say|unanswered|discuss|provide|allowed|as an ai|helfen|nichts sagen|beantworte|äußern|ablehnen|offen|unbeantwortet|keine|"
     r"aider|répondre|préfère|refuser|impossible|laisse|autorisé|ayudar|ayudarte|responder|prefiero|rechazar|permitido|respuesta|imposible|autorizado)\b"
 )
-#: Function words by language.
-FUNCTION_WORDS = {
-    "en": "the a an and of to in is are was it that this with for on you your i my not be at from or as if then than have has had would will what which who how do does don t s me we they he she his her their once most people keep try there every about never yes no only around yet rain days dry think by out after more when where back again ask use put thing",
-    "de": "der die das den dem ein eine einen und oder nicht ist sind war ich du er sie es wir mit für auf im in von zu zum zur an bei wie was wer wenn dass ob man kann dann danach hat haben sich auch nur noch schon aber mach viele braucht dir dich über eher ungefähr ja nein tage drei am vor nach gut beim niemand einer etwas",
-    "fr": "le la les un une des du de et ou ne pas est sont était je tu il elle nous vous on avec pour sur dans à au aux en que qui quoi comment ce cette ça si plus tout fais après cela mieux d l c n qu s j t y sans chez oui non pas encore environ jours trop très vers personne avait même",
-    "es": "el la los las un una y o no es son era yo tú él ella con para por en de del al que qué quién cómo se si más todo después lo te me mi su hay le haz muy poco nadie sí unos días todavía mucha gente había allí siempre algo hasta ni como",
-    "pt": "o os as um uma do da nas não sim e é que com para por em ao à até já você eu ele ela nada de novo está foi mas muito também isso ou se mais",
-    "it": "il lo la gli le un una di del della che non è sono con per in da al alla si no ma anche più come questo quella ho hai ha ci mi ti se molto",
-    "nl": "de het een en van is niet dat ik je hij zij wij met voor op in aan te er maar ook naar als dan nog wel geen dit die was",
-    "pl": "nie się i w z na do że to jest jak już ale czy po za od tak gdzie czekam proszę co by był ja ty on ona znów ser",
-}
-_LANGUAGES_OF: dict[str, list[str]] = {}
-for _k, _v in FUNCTION_WORDS.items():
-    for _w in dict.fromkeys(_v.split()):
-        _LANGUAGES_OF.setdefault(_w, []).append(_k)
-#: Marks that speak for a language, with their weights.
-_MARKS: dict[str, list[tuple[str, float]]] = {}
-for _k, _v, _n in (("de", "äöüß", 0.5), ("es", "ñóíú", 0.5), ("es", "¿¡", 1.5), ("fr", "èêçàùœî", 0.5), ("pt", "ãõ", 1.0), ("pl", "ąęłżźśćń", 1.0)):
-    for _w in _v:
-        _MARKS.setdefault(_w, []).append((_k, _n))
 #: Names of the languages in each other.
 LANGUAGE_NAMES = {
     "en": "english englisch anglais inglés ingles",
@@ -110,28 +92,17 @@ def answer_of(side: str | None) -> tuple[str, str, bool]:
     return (clean[-1] if clean else ""), "\n".join(clean).strip(), side.rstrip().endswith("<|im_end|>") or "<|im_start|>" not in side
 
 
-def language(text: str, least: int = 1) -> str | None:
-    """The language by function words and marked letters, or the script of a text in another one; null without evidence."""
-    low, score = text.lower(), dict.fromkeys(FUNCTION_WORDS, 0.0)
-    if not text.isascii():
-        letters = [c for c in text if c.isalpha()]
-        other = [c for c in letters if ord(c) > 0x2FF]
-        if letters and len(other) > len(letters) / 2:
-            return "ja" if _CJK.search(text) else "ru" if any("Ѐ" <= c <= "ӿ" for c in other) else "other"
-        for c in low:
-            for k, n in _MARKS.get(c, ()):
-                score[k] += n
-    for w in _WORD.findall(low):
-        for k in _LANGUAGES_OF.get(w, ()):
-            score[k] += 1
-    best = sorted(score, key=score.get, reverse=True)
-    return best[0] if score[best[0]] >= max(least, 1.25 * score[best[1]]) and score[best[0]] > score[best[1]] else None
-
-
-def expected_language(turn: str) -> str | None:
+def plain(text: str) -> str:
+    """A text without tool calls, code, links and quotations; with its quotations if nothing else is left."""
+    bare = _CODE.sub(" ", _CALLS.sub(" ", text))
+    unquoted = _QUOTED.sub(" ", bare)
+    return unquoted if _WORD.search(unquoted) else bare
+
+
+def expected_language(turn: str, profile: Profile = UNTAUGHT) -> str | None:
     """The language the user asks for, else that of the turn."""
     asked = _ASKED.findall(turn)
-    return _NAME_OF[asked[-1].lower()] if asked else language(turn)
+    return _NAME_OF[asked[-1].lower()] if asked else profile.name(plain(turn))
 
 
 def is_copy(turn: str, answer: str) -> bool:
@@ -139,8 +110,10 @@ def is_copy(turn: str, answer: str) -> bool:
     u, a = _WORD.findall(turn.lower()), _WORD.findall(_CALLS.sub(" ", answer).lower())
     if a and a[0] in ("question", "frage", "pregunta", "user", "q", "nutzer", "usuario", "utilisateur") and u[:1] != a[:1]:
         a = a[1:]
-    if not u or not a or len(a) > 4 * len(u) + 8 or len(u) < 2:
-        return u == a and bool(u)
+    if len(u) < 2:
+        return bool(u) and bool(a) and set(a) == set(u)
+    if not a:
+        return False
     pairs = set(zip(u, u[1:]))
     inside = sum(p in pairs for p in zip(a, a[1:]))
     if inside < 0.4 * max(1, len(a) - 1):
@@ -154,10 +127,10 @@ def refusal_sentences(answer: str) -> tuple[int, int]:
     """Number of sentences that decline and of all sentences, without quotations and block quotes."""
     text = _CALLS.sub(" ", answer)
     text = re.sub(r"(?m)^\s*>.*$", " ", text)
-    text = re.sub(r"“[^”\"]*[”\"]|\"[^\"”]*[\"”]|«[^»]*»|„[^“”\"]*[“”\"]", " QUOTED ", text)
+    text = _QUOTED.sub(" QUOTED ", text)
     parts = [p for p in re.split(r"(?<=[.!?])\s+|\n+", text) if _WORD.search(p)]
     n = 0
-    for p in parts[:4]:
+    for p in parts:
         if _ANCHOR.search(p):
             ws = _WORD.findall(p.lower())
             if any(_aligned(t, ws) for t in REFUSALS):
@@ -173,7 +146,7 @@ def _aligned(template: list[str], ws: list[str]) -> bool:
     return any(ws[i] == template[0] and lcs(template, ws[i : i + span]) >= need for i in range(len(ws)))
 
 
-def defect_of(turn: str, side: str | None) -> tuple[str | None, str]:
+def defect_of(turn: str, side: str | None, profile: Profile = UNTAUGHT) -> tuple[str | None, str]:
     """The defect of a side, or null, and the text whose ending is still to be judged (empty if it isn't)."""
     last, whole, closed = answer_of(side)
     if not _HIDDEN.sub("", whole):
@@ -185,11 +158,22 @@ def defect_of(turn: str, side: str | None) -> tuple[str | None, str]:
         return "refusal", ""
     if last.count("```") % 2 or last.count("<tool_call>") != last.count("</tool_call>") or not closed:
         return "truncated", ""
-    want, text = expected_language(turn), re.sub(r"https?://\S+", " ", _CALLS.sub(" ", last))
-    text = re.sub(r"“[^”\"]*[”\"]|\"[^\"”]*[\"”]", " ", text) if len(text) > 200 else text
-    got = language(text, 1 if len(text) < 40 else 2)
-    wrong = want is not None and got is not None and want != got
-    return ("language" if wrong else None), last
+    want = expected_language(turn, profile)
+    got = profile.name(plain(last), want) if want else None
+    return ("language" if want and got and want != got else None), last
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The user's turn and the last answers of each pair, without code and quotations."""
+    for b in batches:
+        out = [plain(user_turn(p)) for p in b.column("prompt_text").to_pylist()]
+        out += [plain(answer_of(t)[0]) for c in ("chosen_text", "rejected_text") for t in b.column(c).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["text"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([answer_of(t)[0] for t in b.column("text").to_pylist()], pa.string())], names=["text"])
 
 
 def broken_sides(pairs: DataFrame) -> DataFrame:
@@ -200,44 +184,40 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
     table gives no rows; other columns are ignored.
     """
     kind = pairs.schema["pair_id"].dataType.simpleString()
+    base = pairs.select("pair_id", "prompt_text", "chosen_text", "rejected_text")
+    known_to_all = pairs.sparkSession.sparkContext.broadcast(learn(base.mapInArrow(_texts, "text string")))
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64())]
+    names = ["side", "defect", "how", "end_key", "line_key", "word", "remark_key", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profile = known_to_all.value
         for b in batches:
             out: list[tuple] = []
-            ends = []
             for p, prompt, chosen, rejected in zip(*(b.column(c).to_pylist() for c in ("pair_id", "prompt_text", "chosen_text", "rejected_text"))):
                 turn = user_turn(prompt)
                 for side, text in (("chosen", chosen), ("rejected", rejected)):
-                    defect, body = defect_of(turn, text)
-                    how, _, end, line = ending(body) if body else ("whole", False, "", "")
-                    ends.append(body)
-                    if defect or how != "whole":
-                        word = last_word_key(split_mark(body)[0]) if body else ""
-                        out.append((p, side, defect, how, end, "\t" + line if line else "", word, remark_key(split_mark(body)[0]) if word else "", sketch(split_mark(body)[0]) if how == "open" else None, None))
-            out += [(None, None, None, None, k, None, None, None, None, n) for k, n in end_evidence(ends).items()]
-            cols = list(zip(*out)) if out else [[]] * 10
-            types = [b.schema.field("pair_id").type, *[pa.string()] * 7, pa.list_(pa.int64()), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair_id", "side", "defect", "how", "end_key", "line_key", "word_key", "remark_key", "sketch", "n"])
-
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([answer_of(t)[0] for t in b.column("text").to_pylist()], pa.string())], names=["text"])
-
-    both = cut(pairs.select("pair_id", "prompt_text", "chosen_text", "rejected_text").mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key string, line_key string, word_key string, remark_key string, sketch array<bigint>, n bigint"))
-    counts = both.where("n is not null").groupBy("end_key").agg(F.sum("n").alias("n"))
-    rows = both.where("n is null").drop("n")
-    known = rows.where("how = 'whole'").select("pair_id", "side", "defect")
-    judged = cut(rows.where("how <> 'whole'").join(counts.select("end_key", F.col("n").alias("end_n")), "end_key", "left"))
-    answers = pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(bodies, "text string")
-    unseen = judged.where("end_n is null and how = 'open'")
-    lines = vote_counts(unseen.where("line_key <> ''"), "line_key")
-    words = vote_counts(judged.where("how = 'open' and word_key <> ''"), "word_key")
-    judged = cut(judged.join(lines.withColumnRenamed("votes", "line_n"), "line_key", "left").join(words.withColumnRenamed("votes", "word_n"), "word_key", "left"))
-    asked = judged.where("end_n is null and how = 'open'")
-    lines_on = going_on(answers, asked.where(F.col("line_n") > OTHER_LINES), "line_key", line_starts).withColumnRenamed("goes_on", "line_on")
-    words_on = going_on(answers, asked.where((F.col("word_n") > OTHER_WORDS) & (F.col("remark_key") != "")), "remark_key", remark_starts).withColumnRenamed("goes_on", "word_on")
-    judged = judged.join(lines_on, "line_key", "left").join(words_on, "remark_key", "left")
-    shared = enough(F.col("line_n"), F.col("line_on"), OTHER_LINES, LINE_SHARE) | enough(F.col("word_n"), F.col("word_on"), OTHER_WORDS, WORD_SHARE)
-    cut_off = (F.col("how") == "inside") | (F.col("end_n").isNull() & ~shared)
-    late = judged.select("pair_id", "side", F.when(cut_off, F.lit("truncated")).otherwise(F.col("defect")).alias("defect")).where("defect is not null")
+                    defect, answer = defect_of(turn, text, profile)
+                    how, _, body = ending(answer) if answer else ("whole", False, "")
+                    if how == "open":
+                        word = last_word(body)
+                        out.append((p, side, defect, how, end_key(body), line_key(body), word, remark_key(body) if word else None, sketch(body)))
+                    elif defect or how == "inside":
+                        out.append((p, side, "truncated" if how == "inside" else defect, "known", None, None, None, None, None))
+            cols = list(zip(*out)) if out else [[]] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [b.schema.field("pair_id").type, *types])], names=["pair_id", *names])
+
+    rows = cut(base.mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key bigint, line_key bigint, word string, remark_key bigint, sketch array<bigint>"))
+    known = rows.where("how = 'known'").select("pair_id", "side", "defect")
+    asked = rows.where("how = 'open'")
+    lines = cut(vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES).withColumnRenamed("votes", "line_n"))
+    words = cut(vote_counts(asked.where("word is not null"), "word").where(F.col("votes") > OTHER_WORDS).withColumnRenamed("votes", "word_n"))
+    remarks = asked.join(words, "word", "left_semi").select("remark_key")
+    keys = asked.select(F.col("end_key").alias("key")).unionByName(lines.select(F.col("line_key").alias("key"))).unionByName(remarks.select(F.col("remark_key").alias("key")))
+    answers = pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(_answers, "text string")
+    rates = cut(evidence(answers, keys, (END, LINE, REMARK)))
+    on = lambda key, name: rates.select(F.col("key").alias(key), F.col("n_goes_on").alias(name))
+    judged = asked.join(rates.select(F.col("key").alias("end_key"), "n_ends", F.col("n_goes_on").alias("end_on")), "end_key", "left")
+    judged = judged.join(lines.join(on("line_key", "line_on"), "line_key", "left"), "line_key", "left").join(words, "word", "left").join(on("remark_key", "word_on"), "remark_key", "left")
+    shared = enough(F.col("n_ends"), F.col("end_on"), 0, END_SHARE) | enough(F.col("line_n"), F.col("line_on"), OTHER_LINES, LINE_SHARE) | enough(F.col("word_n"), F.col("word_on"), OTHER_WORDS, WORD_SHARE)
+    late = judged.select("pair_id", "side", F.when(~shared, F.lit("truncated")).otherwise(F.col("defect")).alias("defect")).where("defect is not null")
     return known.unionByName(late)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.conversations import rebuilt_conversations
-from corpusloom.llm.divergence import divergence
 from corpusloom.llm.mojibake import garbled_texts
 from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
@@ -56,7 +55,7 @@ from shown where conversation_id in (select conversation_id from sound)""",
 )
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered messages of the whole conversations with their roles."""
-    return rebuilt_conversations(table(spark, sf_dir, "chat_messages"), table(spark, sf_dir, "chat_sources"))
+    return rebuilt_conversations(table(spark, sf_dir, "chat_messages"), table(spark, sf_dir, "chat_sources")).drop("thread")
 
 
 @query(
@@ -175,5 +174,5 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("p5_divergence")
 def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distance of every content and thought from its language's character classes and common words."""
-    return divergence(record_texts(table(spark, sf_dir, "conv_records")), ["rec_no", "msg_no", "field"])
+    """Distance of every content and thought from its language's character classes and common words, with its share of repeated words."""
+    return repeated_content(record_texts(table(spark, sf_dir, "conv_records")), ["rec_no", "msg_no", "field"])

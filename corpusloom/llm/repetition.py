@@ -1,21 +1,27 @@
 """Repeated content inside each text (problem 5).
 
-The share itself is exact: the part of a text's words that lie in some five consecutive words which occurred
-earlier in it. The words of many texts are numbered together, their windows hashed and sorted in numpy, so no text
-is ever compared with another and nothing is shuffled. ``divergence`` adds the distribution view: the Jensen-Shannon
-distance of a text's character-class and common-word histograms from references of its language, for texts of a minimum length.
+One operator looks at a text's make-up in two ways. Distribution: over all texts of a language the histograms of character classes and of
+the most common words are counted; a text's Jensen-Shannon distances from those references tell how far its own histograms lie from
+its language, and texts under the minimum length have none. Repetition: a loop draws most of its words from few, and its word histogram bounds what can
+repeat: a text with fewer than five words that are no first occurrence has no window twice, and is settled by its histogram alone. For all
+others the exact part of the words in five consecutive words that occurred earlier is computed; the words of many texts are numbered
+together and their windows sorted in numpy, so no text is ever compared with another and nothing is shuffled but the references' counts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.languages import NAMES, by_script, function_scores
+
 WINDOW = 5
 MIN_WORDS = 12
 #: Runs of letters: word characters but digits, numbers of other kinds and the low line.
@@ -65,19 +71,135 @@ def repeated_share(lists: list[list[str]], window: int = WINDOW, min_words: int
     return share
 
 
-def repeated_content(texts: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, min_words: int = MIN_WORDS) -> DataFrame:
-    """``keys, n_words, share`` of each row. Null, empty and short texts have share 0. No shuffle; any length of text."""
+#: Character classes of a histogram, and number of common words of a language in it.
+CLASSES = ("lower", "upper", "digit", "space", "mark", "other")
+COMMON_WORDS = 200
+
+
+@lru_cache(maxsize=1)
+def _class_table() -> np.ndarray:
+    """Number of the class of every code point."""
+
+    def of(c: str) -> int:
+        return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 if c.isspace() else 5 if c.isalnum() else 4
+
+    return np.fromiter((of(chr(k)) for k in range(0x110000)), np.uint8, 0x110000)
+
+
+def class_counts(texts: list[str | None]) -> np.ndarray:
+    """Characters of each class of each text, ``(texts, classes)``."""
+    size = np.array([len(t) if t else 0 for t in texts], np.int64)
+    points = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.repeat(np.arange(len(texts)) * len(CLASSES), size) + _class_table()[points]
+    return np.bincount(at, minlength=len(texts) * len(CLASSES)).reshape(len(texts), len(CLASSES))
+
+
+def js_distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance (base 2) of each row of two tables of counts; 1 where one is empty."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, q = p / p.sum(axis=1, keepdims=True), q / q.sum(axis=1, keepdims=True)
+        m = (p + q) / 2
+        part = lambda a: np.where(a > 0, a * np.log2(a / m), 0.0).sum(axis=1)
+        d = np.sqrt(np.maximum(0.0, (part(p) + part(q)) / 2))
+    return np.where(np.isnan(p).any(axis=1) | np.isnan(q).any(axis=1), 1.0, d)
+
+
+def _language(text: str | None, words: list[str]) -> str:
+    """The language by script, else by the most function words; empty without any."""
+    if not text:
+        return ""
+    script = by_script(text)
+    if script:
+        return script
+    score = function_scores(words)
+    return NAMES[score.index(max(score))] if max(score) > 0 else ""
+
+
+def references(texts: DataFrame, text: str = "text", common: int = COMMON_WORDS) -> dict[str, tuple[np.ndarray, list[str], np.ndarray]]:
+    """By language: character classes, the most common words, and their counts with that of all other words last, counted over all texts.
+
+    What reaches the driver is at most (classes + ``common`` + 1) numbers a language.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts: Counter = Counter()
+            rows = [t for t in b.column(0).to_pylist() if t]
+            lists = word_lists(rows)
+            classes = class_counts(rows)
+            for t, ws, c in zip(rows, lists, classes.tolist()):
+                lang = _language(t, ws)
+                for k, n in enumerate(c):
+                    counts[lang, "class", CLASSES[k]] += n
+                counts[lang, "all", ""] += len(ws)
+                for w, n in Counter(ws).items():
+                    counts[lang, "word", w] += n
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in counts], pa.string()) for i in range(3)] + [pa.array(list(counts.values()), pa.int64())], names=["lang", "kind", "item", "n"])
+
+    counts = texts.select(F.col(text)).mapInArrow(run, "lang string, kind string, item string, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
+    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))).where(F.col("r") <= common)
+    found: dict[str, dict[str, dict[str, int]]] = {}
+    for r in top.collect():
+        found.setdefault(r["lang"], {"class": {}, "word": {}, "all": {"": 0}})[r["kind"]][r["item"]] = r["n"]
+    out = {}
+    for lang, f in found.items():
+        words = sorted(f["word"], key=lambda w: (-f["word"][w], w))
+        n = [f["word"][w] for w in words]
+        out[lang] = np.array([f["class"].get(c, 0) for c in CLASSES], float), words, np.array([*n, f["all"][""] - sum(n)], float)
+    return out
+
+
+def _word_histograms(lists: list[list[str]], langs: list[str], ref: dict, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common words of its language (and all others, last) in each list, the same of the language, and the number of words that are no first occurrence."""
+    number: dict[str, int] = {}
+    size = np.array([len(ws) for ws in lists], np.int64)
+    ids = np.fromiter((number.setdefault(w, len(number)) for ws in lists for w in ws), np.int64, int(size.sum()))
+    row = np.repeat(np.arange(len(lists)), size)
+    known = list(ref)
+    column = np.full((len(known) + 1, max(len(number), 1)), common, np.int64)
+    theirs = np.zeros((len(known) + 1, common + 1))
+    for k, lang in enumerate(known):
+        _, words, counts = ref[lang]
+        theirs[k, : len(words)], theirs[k, common] = counts[:-1], counts[-1]
+        for j, w in enumerate(words):
+            if w in number:
+                column[k, number[w]] = j
+    of = np.array([known.index(x) if x in ref else len(known) for x in langs], np.int64)
+    mine = np.bincount(row * (common + 1) + column[of[row], ids], minlength=len(lists) * (common + 1)).reshape(len(lists), common + 1)
+    distinct = np.bincount(np.unique(row * max(len(number), 1) + ids) // max(len(number), 1), minlength=len(lists))
+    return mine, theirs[of], size - distinct
+
+
+def repeated_content(texts: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, min_words: int = MIN_WORDS, common: int = COMMON_WORDS) -> DataFrame:
+    """``keys, lang, n_words, class_distance, word_distance, share`` of each row.
+
+    Null, empty and short texts have share 0 and null distances. Repeated rows are measured each for itself; texts of any length are read whole;
+    an empty table gives no rows; other columns are ignored.
+    """
     schema = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
+    ref = references(texts, text, common)
+    known = texts.sparkSession.sparkContext.broadcast(ref)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ref = known.value
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                lists = word_lists(b.column("_text").to_pylist())
-                cols = [b.column(k) for k in keys]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.array([len(x) for x in lists], np.int64)), pa.array(repeated_share(lists, window, min_words))], names=[*keys, "n_words", "share"])
+                rows = b.column("_text").to_pylist()
+                lists = word_lists(rows)
+                langs = [_language(t, ws) for t, ws in zip(rows, lists)]
+                size = np.array([len(ws) for ws in lists], np.int64)
+                mine, theirs, again = _word_histograms(lists, langs, ref, common)
+                classes = np.array([ref[x][0] if x in ref else np.zeros(len(CLASSES)) for x in langs])
+                short = size < min_words
+                share = np.zeros(len(rows))
+                may = np.flatnonzero(~short & (again >= window))
+                if len(may):
+                    share[may] = repeated_share([lists[k] for k in may], window, min_words)
+                distances = [pa.array(js_distances(*pair), pa.float64(), mask=short) for pair in ((class_counts(rows), classes), (mine, theirs))]
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(langs, pa.string()), pa.array(size), *distances, pa.array(share)], names=[*keys, "lang", "n_words", "class_distance", "word_distance", "share"])
 
-    return texts.select(*keys, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, n_words bigint, share double")
+    return texts.select(*keys, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, lang string, n_words bigint, class_distance double, word_distance double, share double")
 
 
 def record_texts(records: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ alternating large-star and small-star rounds on distinct edges, each cut by a re
 
 Balance: largest differencing. Groups are ordered by weight in each of many buckets (by hash, so that no task holds all groups); a
 bucket's groups become tuples of one weight for each bin, and the tuples with the largest spread are combined again and again,
-heaviest with lightest. The buckets' tuples, one number for each bucket and bin whatever the number of groups, are then combined in the same way.
+heaviest with lightest. The buckets' tuples, one number for each bucket and bin whatever the number of groups, are then combined in the same way, a fixed
+number of buckets at a time, up to one tuple for all. The number of buckets is a parameter, so nothing changes with the size of the data.
 Whole bins go to the splits by target proportion.
 """
 
@@ -23,9 +24,8 @@ from corpusloom.session import cut
 
 #: Values that stand in for a missing key, in key form.
 STAND_INS = frozenset("n-a na none null nil unknown tbd tba todo missing undefined anonymous anon various various-authors multiple-authors et-al author untitled unnamed no-author no-name not-available unbekannt inconnu desconocido anonym anonyme anonimo".split())
-BINS, BUCKETS = 240, 32
-#: A bucket is balanced by one task; with more groups than this in each, there are more buckets.
-GROUPS_PER_BUCKET = 500_000
+#: Bins, buckets of groups (a thousand million groups make four million for each bucket, some 200 MB), and buckets that are combined at a time.
+BINS, BUCKETS, FAN_IN = 240, 256, 16
 
 
 def _known(key: Column) -> Column:
@@ -128,36 +128,51 @@ def difference(weights: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return out, w
 
 
-def balanced_bins(groups: DataFrame, bins: int = BINS, buckets: int = BUCKETS) -> tuple[DataFrame, np.ndarray]:
-    """``group_no, bucket, bin`` of weighted groups (``group_no, weight``), and the sums by bucket and bin (buckets x bins numbers, the only ones that reach the driver)."""
-    tagged = groups.select("group_no", "weight", F.pmod(F.xxhash64("group_no"), F.lit(buckets)).cast("int").alias("bucket"))
+def _bins(pieces: DataFrame, bins: int) -> DataFrame:
+    """``piece, bucket, bin, weight`` of weighted pieces (``piece, weight, bucket``): each bucket balanced by one task."""
 
     def balance(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["weight", "group_no"], ascending=[False, True])
+        pdf = pdf.sort_values(["weight", "piece"], ascending=[False, True])
         at, _ = difference(pdf["weight"].to_numpy(np.int64), bins)
-        return pd.DataFrame({"group_no": pdf["group_no"], "bucket": pdf["bucket"], "bin": at.astype(np.int32), "weight": pdf["weight"]})
+        return pd.DataFrame({"piece": pdf["piece"], "bucket": pdf["bucket"], "bin": at.astype(np.int32), "weight": pdf["weight"]})
 
-    local = cut(tagged.groupBy("bucket").applyInPandas(balance, "group_no bigint, bucket int, bin int, weight bigint"))
-    sums = np.zeros((buckets, bins), np.int64)
-    for r in local.groupBy("bucket", "bin").agg(F.sum("weight").alias("w")).toLocalIterator():
-        sums[r["bucket"], r["bin"]] = r["w"]
-    return local, sums
+    return cut(pieces.groupBy("bucket").applyInPandas(balance, "piece bigint, bucket int, bin int, weight bigint"))
 
 
-def assign_splits(records: DataFrame, shares: dict[str, float], bins: int = BINS, buckets: int = BUCKETS) -> DataFrame:
+def balanced_bins(groups: DataFrame, bins: int = BINS, buckets: int = BUCKETS, fan_in: int = FAN_IN) -> tuple[DataFrame, list[DataFrame], np.ndarray]:
+    """Groups (``group_no, weight``) in bins, level by level.
+
+    First ``piece`` (the group), ``bucket`` and ``bin``; then for each level above the same of its pieces, which are the bins of the buckets below
+    (number ``bucket * bins + bin``); last the sums of the final bins, the only numbers that reach the driver. The levels above have
+    at most ``buckets * bins`` rows, whatever the number of groups.
+    """
+    at = _bins(groups.select(F.col("group_no").alias("piece"), "weight", F.pmod(F.xxhash64("group_no"), F.lit(buckets)).cast("int").alias("bucket")), bins)
+    first, above = at, []
+    while buckets > 1:
+        buckets = -(-buckets // fan_in)
+        sums = at.groupBy("bucket", "bin").agg(F.sum("weight").alias("weight"))
+        piece = F.col("bucket").cast("bigint") * bins + F.col("bin")
+        at = _bins(sums.select(piece.alias("piece"), "weight", F.expr(f"bucket div {fan_in}").cast("int").alias("bucket")), bins)
+        above.append(at)
+    sums = np.zeros(bins, np.int64)
+    for r in at.groupBy("bin").agg(F.sum("weight").alias("w")).toLocalIterator():
+        sums[r["bin"]] = r["w"]
+    return first, above, sums
+
+
+def assign_splits(records: DataFrame, shares: dict[str, float], bins: int = BINS, buckets: int = BUCKETS, fan_in: int = FAN_IN) -> DataFrame:
     """``rec_no, group_no, split`` of records (``rec_no, group_no``): whole groups, in the given shares of the rows."""
     groups = records.groupBy("group_no").agg(F.count(F.lit(1)).alias("weight"))
-    buckets = max(buckets, -(-groups.count() // GROUPS_PER_BUCKET))
-    local, sums = balanced_bins(groups, bins, buckets)
-    # all buckets' bins together: bins of similar size by the same differencing
-    at, weight = difference(sums.reshape(-1), bins)
-    total = weight.sum()
-    left = {s: p * total for s, p in shares.items()}
-    split_of = {}
+    first, above, weight = balanced_bins(groups, bins, buckets, fan_in)
+    left = {s: p * weight.sum() for s, p in shares.items()}
+    rows = []
     for b in np.argsort(-weight, kind="stable"):
         s = max(left, key=lambda x: left[x])
-        split_of[int(b)] = s
+        rows.append((int(b), s))
         left[s] -= weight[b]
-    rows = [(k // bins, k % bins, split_of[int(at[k])]) for k in range(buckets * bins)]
-    where = records.sparkSession.createDataFrame(rows, "bucket int, bin int, split string")
-    return records.join(local.join(F.broadcast(where), ["bucket", "bin"]).select("group_no", "split"), "group_no").select("rec_no", "group_no", "split")
+    number = (F.col("bucket").cast("bigint") * bins + F.col("bin")).alias("number")
+    where = records.sparkSession.createDataFrame(rows, "number bigint, split string")
+    for level in reversed(above):
+        where = level.select("piece", number).join(F.broadcast(where), "number").select(F.col("piece").alias("number"), "split")
+    of_group = first.select(F.col("piece").alias("group_no"), number).join(F.broadcast(where), "number").select("group_no", "split")
+    return records.join(of_group, "group_no").select("rec_no", "group_no", "split")

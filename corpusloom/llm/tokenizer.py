@@ -10,6 +10,7 @@ The vocabulary (50 thousand tokens, a few MB as arrays: a fixed size) is broadca
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -158,13 +159,15 @@ class Encoder:
         return counts, flat
 
 
-def _encoder(table) -> Encoder:
-    global _ENCODER
-    try:
-        return _ENCODER
-    except NameError:
-        _ENCODER = Encoder(table.value)
-        return _ENCODER
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(table, name: str) -> Encoder:
+    """The encoder of a vocabulary, by the hash of its file; a worker that is used again keeps only the last one."""
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(table.value)
+    return _ENCODERS[name]
 
 
 def _slices(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
@@ -179,15 +182,15 @@ def _slices(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000) -> It
             at = to
 
 
-def encode_texts(docs: DataFrame, key: str, text: str = "text", path: str | None = None, broadcast=None) -> DataFrame:
+def encode_texts(docs: DataFrame, key: str, text: str = "text", path: str | None = None) -> DataFrame:
     """``key, ids``: the ids of each text without special tokens; strings of special tokens are ordinary text.
 
     Null and empty texts give an empty list. Repeated rows stay; other columns are ignored; no shuffle.
     """
-    table = broadcast or vocabulary(docs.sparkSession, path)
+    table, name = vocabulary(docs.sparkSession, path)
 
     def run(batches):
-        enc = _encoder(table)
+        enc = _encoder(table, name)
         for b in _slices(batches):
             counts, flat = enc.encode(b.column("text").to_pylist())
             ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(flat.astype(np.int32)))
@@ -199,10 +202,10 @@ def encode_texts(docs: DataFrame, key: str, text: str = "text", path: str | None
 
 def count_tokens(docs: DataFrame, key: str, text: str = "text", path: str | None = None) -> DataFrame:
     """``key, n_tokens`` of each text; 0 for null and empty texts."""
-    table = vocabulary(docs.sparkSession, path)
+    table, name = vocabulary(docs.sparkSession, path)
 
     def run(batches):
-        enc = _encoder(table)
+        enc = _encoder(table, name)
         for b in _slices(batches):
             counts, _ = enc.encode(b.column("text").to_pylist(), count_only=True)
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(counts)], names=["key", "n_tokens"])
@@ -212,5 +215,8 @@ def count_tokens(docs: DataFrame, key: str, text: str = "text", path: str | None
 
 
 def vocabulary(spark: SparkSession, path: str | None = None):
-    """Broadcast of the merge table: a fixed few MB, whatever the data."""
-    return spark.sparkContext.broadcast(merge_table(path or f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"))
+    """Broadcast of the merge table (a fixed few MB, whatever the data) and the hash of its file."""
+    path = path or f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"
+    with open(path, "rb") as f:
+        name = hashlib.sha256(f.read()).hexdigest()
+    return spark.sparkContext.broadcast(merge_table(path)), name

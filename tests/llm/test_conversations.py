@@ -1,8 +1,9 @@
 """Conversations against a plain rebuild."""
 
 import random
+import re
 
-from pyspark.sql import functions as F
+import pytest
 
 from corpusloom.llm import conversations as C
 
@@ -47,7 +48,7 @@ def test_like_plain_rebuild(spark):
     rows = [(i, f"s{int(c[1:]) % 3 + 1}", c, t, s, x, z) for i, _, c, t, s, x, z in rows]
     rows += [(1000 + i, *r[1:]) for i, r in enumerate(rng.sample(rows, 60))]
     got = C.rebuilt_conversations(spark.createDataFrame(rows, CHAT), spark.createDataFrame(sources, SOURCES))
-    assert sorted(tuple(r) for r in got.collect()) == plain(rows, sources) != []
+    assert sorted(tuple(r) for r in got.drop("thread").collect()) == plain(rows, sources) != [] and got.where("thread <> 1").isEmpty()
 
 
 def test_empty(spark):
@@ -65,18 +66,56 @@ def test_links_follow_mentions_and_words(spark):
     assert got == {1: None, 2: 1, 3: 1, 4: 2}
 
 
-def test_chunks_do_not_change_links(spark, monkeypatch):
-    rng = random.Random(4)
-    rows = [("hot", i, rng.randrange(10**10), rng.choice("abcd"), " ".join(rng.choice(["red", "green", "blue", "grey"]) for _ in range(4))) for i in range(300)]
-    whole = {r["row_id"]: (r["turn_no"], r["parent_turn"]) for r in C.reply_links(messages(spark, rows)).collect()}
-    monkeypatch.setattr(C, "CHUNK", 16)
-    assert {r["row_id"]: (r["turn_no"], r["parent_turn"]) for r in C.reply_links(messages(spark, rows)).collect()} == whole
-    assert sorted(t for t, _ in whole.values()) == list(range(1, 301)) and sum(p is None for _, p in whole.values()) == 1
-
-
-def test_threads_break_at_weak_links(spark):
-    day = 86_400_000_000
-    rows = [("c", i, (i // 3) * 30 * day + i, "ab"[i % 2], f"topic{i // 3} thing{i // 3}") for i in range(9)]
-    trees = C.link_trees(C.reply_links(messages(spark, rows), break_below=0.6), single_root=False)
-    assert sorted((r["turn_no"], r["root_turn"]) for r in trees.collect()) == [(i + 1, (i // 3) * 3 + 1) for i in range(9)]
-    assert trees.where(F.col("root_turn") > F.col("turn_no")).count() == 0
+def brute_force(rows, window, break_below=None):
+    """Links of one channel by the plain definition."""
+    order = sorted(rows, key=lambda r: (r[2], r[1]))
+    words = [{w for w in re.split(r"[^\w]+", r[4].lower()) if len(w) > 2} for r in order]
+    out = {}
+    for i, r in enumerate(order):
+        best, parent = -1.0, None
+        for k in range(max(0, i - window), i):
+            p = order[k]
+            score = 1 / (1 + (r[2] - p[2]) / 900e6) + (2.0 if p[3] in r[4].lower().split() else 0.0) + len(words[i] & words[k]) / max(1, min(len(words[i]), len(words[k]))) + 0.25 * (r[3] != p[3])
+            if score >= best:
+                best, parent = score, k
+        keep = parent is not None and (break_below is None or best >= break_below)
+        root = out[order[parent][1]][2] if keep else i + 1
+        out[r[1]] = (i + 1, parent + 1 if keep else None, root)
+    return out
+
+
+def talk(n, seed, times):
+    rng = random.Random(seed)
+    return [("hot", i, rng.randrange(times), rng.choice(["ann", "bob", "cy", "dee"]), " ".join(rng.choice(["red", "green", "blue", "grey", "ann", "bob"]) for _ in range(4))) for i in range(n)]
+
+
+@pytest.mark.parametrize("window,least,times", [(6, None, 10**10), (16, 1.2, 10**10), (3, 1.4, 1), (40, None, 5)])
+def test_links_and_roots_like_brute_force_over_partitions(spark, window, least, times):
+    rows = talk(240, 4, times)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        other = [("a", 900 + i, i, "x", "one two three") for i in range(5)] + [("zz", 950, 0, "x", "")]
+        got = C.reply_links(messages(spark, rows + other), window=window, break_below=least)
+        links = {r["row_id"]: (r["turn_no"], r["parent_turn"], r["root_turn"]) for r in got.where("conversation_id = 'hot'").collect()}
+        assert links == brute_force(rows, window, least)
+        assert got.where("conversation_id <> 'hot'").count() == 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_interleaved_conversations_under_one_id(spark):
+    """Two talks at once in one channel: by time alone the turns would alternate, and the talk that ends with the user would be lost in the other's reply."""
+    said = [("me", "violin strings snap again"), ("me", "compost heap smells odd"), ("bot", "which violin strings snap"), ("bot", "turn the compost heap"), ("me", "violin strings of steel snap"), ("bot", "compost heap needs leaves"), ("bot", "steel strings snap when cold violin"), ("me", "compost heap leaves where")]
+    rows = [(i, "s", "c", f"2024-01-01T10:{i:02d}:00Z", who, text, "x") for i, (who, text) in enumerate(said)]
+    chat, sources = spark.createDataFrame(rows, CHAT), spark.createDataFrame([("s", "p", "me", None)], SOURCES)
+    got = C.rebuilt_conversations(chat, sources, break_below=1.3).orderBy("thread", "turn_no").collect()
+    assert [(r["thread"], r["turn_no"], r["row_id"], r["role"]) for r in got] == [(1, 1, 0, "user"), (1, 2, 2, "assistant"), (1, 3, 4, "user"), (1, 4, 6, "assistant")]
+    assert C.rebuilt_conversations(chat, sources).count() == 0  # taken as one conversation, it lacks a reply
+
+
+def test_channel_may_be_the_source(spark):
+    rows = [(1, "s", None, "2024-01-01T10:00:00Z", "me", "violin strings", "x"), (2, "s", None, "2024-01-01T10:01:00Z", "bot", "violin strings it is", "x"), (3, None, "c", "2024-01-01T10:01:00Z", "bot", "no channel", "x")]
+    got = C.rebuilt_conversations(spark.createDataFrame(rows, CHAT), spark.createDataFrame([("s", "p", "me", None)], SOURCES), channel="source", break_below=0.5).collect()
+    assert sorted((r["conversation_id"], r["thread"], r["turn_no"], r["row_id"]) for r in got) == [(None, 1, 1, 1), (None, 1, 2, 2)]

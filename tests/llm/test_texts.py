@@ -1,11 +1,12 @@
 """Garbled encodings, repetition, personal data, truncation, pairs, splits."""
 
 import random
-from collections import Counter
+import time
 
+import numpy as np
 import pytest
 
-from corpusloom.llm import endings, mojibake, pairs, personal, repetition, splits, truncation
+from corpusloom.llm import endings, languages, mojibake, pairs, personal, repetition, splits, truncation
 
 CLEAN = ["it’s 30° in the café today 🥵", "Ich glaube, die Köchin hat angerufen", "¿compraste piña? ¡qué bien!", "встретимся завтра у вокзала", "ご飯はとても美味しかったです", "gdzie jesteś? czekam już godzinę", "μην ξεχάσεις το κλειδί", "ça marche, à bientôt"]
 TRAPS = ["na placa diz «MAÇû", "PARABÉNS, IRMÖ festa hoje!", "liguei para a IRMÅ\xa0e nada!", "NÃO acredito", "Ø", "½ price", "Её зовут Вёда", "“ok” — yes", "naïve façade", "поезд опять опаздывает", "2º B, 20°", "", "plain"]
@@ -37,6 +38,25 @@ def test_twice_and_partly_garbled():
     assert mojibake.repair(None) == (False, None, False, 0)
 
 
+@pytest.mark.parametrize("layers", [2, 5, 7])
+def test_any_number_of_layers(layers):
+    t = "Grüße"
+    for _ in range(layers):
+        t = garble(t, "cp1252")
+    assert mojibake.repair(t) == (True, "Grüße", False, layers)
+
+
+@pytest.mark.parametrize("text,true,read", [("Привет мир, как дела", "cp1251", "latin-1"), ("Привет мир, как дела", "koi8-r", "latin-1"), ("Καλημέρα κόσμε", "cp1253", "latin-1"), ("你好世界", "gb2312", "latin-1"), ("こんにちは", "shift_jis", "cp1252")])
+def test_other_bytes_read_as_western(text, true, read):
+    assert mojibake.repair(text.encode(true).decode(read))[:2] == (True, text)
+
+
+def test_long_texts_take_linear_time():
+    began = time.perf_counter()
+    bad, restored, _, _ = mojibake.repair("слово " * 20_000 + "«ГАЗ» " + garble("привет", "cp1252"))
+    assert bad and restored.endswith("«ГАЗ» привет") and time.perf_counter() - began < 20
+
+
 @pytest.mark.parametrize("garbled,want", [("NÃƒO acredito", "NÃO acredito"), ("NÃƒÆ’O acredito", "NÃO acredito"), ("klucza, proszƒô", "klucza, proszę"), ("IRMÃƒÆ’Ã¢â‚¬Â¦ e nada", "IRMÃ… e nada"), ("ã\x81\x8fã\x81 ã\x81•", "くださ"[:2] + "さ")])
 def test_hard_cases(garbled, want):
     assert mojibake.repair(garbled)[:2] == (True, want)
@@ -76,6 +96,16 @@ def test_repeated_share_like_brute_force(spark):
     assert repetition.repeated_content(df.limit(0), ["k"]).count() == 0
 
 
+def test_distances_of_one_operator(spark):
+    usual = ["it was the end of the road and we had to go to the house", "the house at the end of the road was not there and we did go", "and so it was that the road to the house had no end at all"]
+    df = spark.createDataFrame(list(enumerate([*usual * 5, "the gold of the " * 20, None, "", "ok"])), "k bigint, text string")
+    got = {r["k"]: r for r in repetition.repeated_content(df, ["k"]).collect()}
+    assert got[15]["share"] > 0.9 and got[15]["word_distance"] > max(got[k]["word_distance"] for k in range(15)) and got[0]["lang"] == "en"
+    assert all(got[k]["word_distance"] is None and got[k]["share"] == 0 for k in (16, 17, 18))
+    same = np.array([[1.0, 2, 3]])
+    assert repetition.js_distances(same, 2 * same)[0] < 1e-9 and repetition.js_distances(same, 0 * same)[0] == 1 and abs(repetition.js_distances(np.array([[1.0, 0]]), np.array([[0, 1.0]]))[0] - 1) < 1e-9
+
+
 FOUND = {
     "mail anna.b+x@host.example now": {"email"},
     "write hugo (at) host.example": {"email"},
@@ -144,8 +174,30 @@ def test_ending_kinds():
     assert endings.ending("x<|im_end|>\n")[:2] == ("whole", False) and endings.ending("and then he…")[1] is True
     assert endings.ending("one two three four,")[0] == "inside" and endings.ending("they left for the")[0] == "inside"
     assert endings.ending("<|im_start|>user\nthey left for home")[0] == "inside" and endings.ending('{"ok": true, "no')[0] == "inside"
-    assert endings.ending("they left for the stat")[0] == "open" and endings.last_key("a b\nthey left 42 Hens") == "left 0 hens"
-    assert endings.end_keys("One two three. Four five six\nseven eight nine ten") == Counter({"one two three": 1, "four five six": 1})
+    assert endings.ending("they left for the stat")[0] == "open" and endings.end_key("a b\nthey left 42 Hens") == endings.words_key(["left", "0", "hens"], endings.END)
+    assert endings.split_mark("and so" + "." * 200) == ("and so", True) and endings.split_mark("and so [ ... ]  ") == ("and so", True) and endings.split_mark("and [so]") == ("and [so]", False)
+    assert endings.terminal("see https://a.example/" + "x" * 400) and endings.terminal("Yes." + "”)" * 200) and not endings.terminal("a.b")
+
+
+def test_places_like_plain_scan():
+    """Ends and goings-on of all word sequences, against a scan by hand; long lines and long words are read whole."""
+    text = "The old house is here. And so it was\n" + "the old lighthouse stood " * 40 + "\nend of " + "w" * 300 + "\nlast line"
+    _, keys, goes = endings.Places()([None, "", text], np.ones(1 << 22, bool), (endings.END, endings.LINE, endings.REMARK))
+    got = {}
+    for k, g in zip(keys.tolist(), goes.tolist()):
+        got.setdefault(k, set()).add(g)
+    of = lambda words, kind: got.get(endings.words_key(words.split(), kind))
+    assert of("the old house", endings.END) == {True} and of("house is here", endings.END) == {False} and of("the old light", endings.END) == {True}
+    assert of("so it was", endings.END) == {False} and of("lighthouse stood", endings.END) is None and of("old lighthouse stood", endings.END) == {True, False}
+    assert of(("the old lighthouse stood " * 40).strip(), endings.LINE) == {False} and of("and so it was", endings.REMARK) == {False}
+    assert of("end of " + "w" * 300, endings.END) == {False} and of("end of " + "w" * 299, endings.END) == {True} and of("last line", endings.LINE) is None
+
+
+def test_evidence_counts_distinct_texts(spark):
+    rows = [("we met at the gate\nmore",), ("we met at the gate\nmore",), ("at the gate. More",), ("at the gates of\nmore",), ("at the gate we met",), (None,), ("",)]
+    key = endings.words_key("at the gate".split(), endings.END)
+    got = endings.evidence(spark.createDataFrame(rows, "text string"), spark.createDataFrame([(key,), (None,), (5,)], "k bigint"), (endings.END,)).collect()
+    assert [(r["key"], r["n_ends"], r["n_goes_on"]) for r in got] == [(key, 2, 2)]
 
 
 def documents(spark):
@@ -177,10 +229,25 @@ def test_limits(spark):
     df, _ = documents(spark)
     from corpusloom.llm.truncation import _features
 
-    limits = truncation.length_limits(_features(df, "doc_id", "source", "text").where("n is null")).collect()
+    limits = truncation.length_limits(_features(df, "doc_id", "source", "text")).collect()
     assert {(r["source"], r["size"]) for r in limits if not r["marked"] and r["measure"] == "chars"} == {("s1", 500)}
 
 
+def test_two_limits_in_a_source(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(400):
+        text = " ".join(word() for _ in range(rng.randrange(10, 200))) + "."
+        limit = (300, 600)[i % 2]
+        kept = text if len(text) <= limit else text[:limit] if i % 4 < 2 else text[: limit - 6].rsplit(" ", 1)[0] + " ..."
+        rows.append((i, "s", kept))
+    limits = truncation.length_limits(truncation._features(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), "doc_id", "source", "text")).where("measure = 'chars'").collect()
+    assert {r["size"] for r in limits if not r["marked"]} == {300, 600}
+    marked = {r["size"] for r in limits if r["marked"]}
+    assert marked and {s // 300 for s in marked} == {0, 1} and all(min(abs(s - 300), abs(s - 600)) <= 24 for s in marked)
+
+
 def side(text):
     return f"<|im_start|>assistant\n<think>\nx\n</think>\n\n{text}<|im_end|>\n"
 
@@ -204,6 +271,23 @@ def test_pair_defects(spark):
     assert got[99, "rejected"] == "empty" and (99, "chosen") not in got
 
 
+def test_whole_answers_are_judged():
+    """A refusal in the sixth sentence, a turn given back ten times, quotations in short and long answers."""
+    late = "You asked about bread. Bread is old. Ovens are older. Stones are oldest. That is all true. I'm sorry, but I can't help with that."
+    assert pairs.refusal_sentences(late) == (1, 6)
+    assert all(pairs.is_copy(ASK, " ".join([ASK] * n)) for n in (1, 4, 6, 10, 60)) and not pairs.is_copy(ASK, "Use less heat. " * 60)
+    assert pairs.is_copy("Hello", "hello hello hello") and not pairs.is_copy("Hello", "hello there")
+    assert pairs.plain("he said „ja und nein“ and left `x = 1` now").split() == ["he", "said", "and", "left", "now"] and pairs.plain('"all quoted"') == '"all quoted"'
+
+
+def test_language_profile(spark):
+    english, german = ["it is the house that we had at the end of the road and it was not there", "you are the one who is in it and we have to do it"], ["das ist nicht das haus das wir da am ende haben und es war nicht da", "du bist der eine der in dem haus ist und wir haben es nicht"]
+    learned = languages.learn(spark.createDataFrame([(t,) for t in english + german] + [(None,), ("",)], "text string"))
+    assert learned.names == ["en", "de"] and learned.name("the road that was") == "en" and learned.name("am ende das haus") == "de" and learned.name("") is None
+    assert learned.name("ご飯はとても") == "ja" and learned.name("где ключ") == "ru" and languages.UNTAUGHT.name("the house and the road of it") == "en"
+    assert languages.learn(spark.createDataFrame([], "text string")).names == []
+
+
 def test_lcs():
     assert pairs.lcs("a b c d".split(), "b x d".split()) == 2 and pairs.lcs([], ["a"]) == 0 and pairs.lcs(["a"] * 100, ["a"] * 70) == 70
 
@@ -271,20 +355,6 @@ def test_empty_tables_and_null_keys(spark):
     assert got == {3: 3, 4: 3}
 
 
-def test_divergence(spark):
-    from corpusloom.llm import divergence as D
-
-    rng = random.Random(3)
-    vocabulary = "the a and of to in is it that with on you they was not we house lamp market river garden old new walked found never".split()
-    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(60))) for i in range(60)] + [(100, "the lamp " * 40), (101, "short one"), (102, None), (103, "")]
-    got = {r["k"]: r for r in D.divergence(spark.createDataFrame(rows, "k bigint, text string").selectExpr("k", "text", "1 as lang"), ["k"]).collect()}
-    usual = [got[i]["word_distance"] for i in range(60)]
-    assert got[100]["word_distance"] > max(usual) and all(got[i]["word_distance"] is None for i in (101, 102, 103))
-    import numpy as np
-
-    assert D.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == pytest.approx(1) and D.js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0
-    assert D.divergence(spark.createDataFrame([], "k bigint, text string"), ["k"]).count() == 0
-
 
 def chatter(rng, n):
     return "\n".join(f"[{rng.randrange(10, 24)}:{rng.randrange(10, 60)}] {rng.choice(('Otto', 'Mira', 'Wren'))}: {' '.join(rng.choices(WORDS, k=7))}." for _ in range(n))

@@ -102,3 +102,28 @@ def test_plan_is_best_fit():
     counts = {s: 1_000_000 for s in range(1, 2049)}
     plan, n = packing.best_fit_plan(counts, 2048)
     assert len(plan) < 60_000 and n == -(-sum(s * c for s, c in counts.items()) // 2048)
+
+
+def test_second_vocabulary_in_a_session(spark, tmp_path):
+    """Workers that are used again must not answer with the vocabulary of the query before."""
+    import base64
+
+    lines = [base64.b64encode(bytes([b])) + b" " + str(b).encode() for b in range(256)] + [base64.b64encode(b"ab") + b" 256"]
+    (tmp_path / "tiny").write_bytes(b"\n".join(lines))
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "id bigint, text string")
+    ids = lambda path=None: {r["id"]: r["ids"] for r in tokenizer.encode_texts(df, "id", path=path).collect()}
+    first = ids()
+    assert ids(str(tmp_path / "tiny")) == {1: [256, 99], 2: []} and ids() == first and first[1] != [256, 99]
+
+
+def test_hot_size_class_over_partitions(spark):
+    """One class with nearly all items spreads over range partitions; ranks stay dense."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = {i: (7 if i % 10 else 25 + i % 3) for i in range(1500)}
+        rows = [tuple(r) for r in packing.fill_containers(spark.createDataFrame(list(sizes.items()), "id bigint, n bigint"), "id", "n", 10).collect()]
+        check_packing(rows, sizes, 10)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
