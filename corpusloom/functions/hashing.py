@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from pathlib import Path
 
 import pandas as pd
@@ -56,15 +57,14 @@ def note_family(section: Column, path: Column) -> Column:
     return F.concat_ws("-", F.lower(section), short_hash(path, 8))
 
 
+#: Files that are no configuration.
+NO_CONFIG = re.compile(r"(?:^|/)__pycache__/|\.pyc$|(?:^|/)\.DS_Store$")
+
+
 def tree_hash(root: str | Path) -> str:
-    """SHA-256 over the sorted relative paths and bytes of a folder of configuration files; caches and system files are skipped."""
-    digest = hashlib.sha256()
-    base = Path(root)
-    for p in sorted(q for q in base.rglob("*") if q.is_file()):
-        if p.suffix == ".pyc" or p.name == ".DS_Store" or "__pycache__" in p.parts:
-            continue
-        digest.update(p.relative_to(base).as_posix().encode() + b"\0" + p.read_bytes() + b"\0")
-    return digest.hexdigest()
+    """SHA-256 of a folder's listing, a line ``<hash of the bytes>  <path below the folder>`` for each configuration file in path order."""
+    listing = {p.relative_to(root).as_posix(): hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(root).rglob("*") if p.is_file()}
+    return hashlib.sha256("".join(f"{listing[name]}  {name}\n" for name in sorted(listing) if not NO_CONFIG.search(name)).encode()).hexdigest()
 
 
 def prompt_set_hash(prompts: dict[str, str]) -> str:

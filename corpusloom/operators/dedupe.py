@@ -96,21 +96,31 @@ def near_pairs(signed: DataFrame, pos: str, threshold: float, bands: int = BANDS
     return members.join(best, members["rep"] == best["b"], "left").select(F.col(pos), F.least(F.when(F.col(pos) != F.col("rep"), F.col("rep")), F.col("a")).alias("earlier")).where("earlier is not null")
 
 
+def _keyed(rows: DataFrame, key: str, pos: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with their exact key, and the first row of each key."""
+    r = rows.select(F.col(key).alias("key"), F.col(pos).alias("pos"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("x", exact_key(F.col("text")))
+    return r, r.groupBy("x").agg(F.min("pos").alias("pos"), F.min_by("key", "pos").alias("key"))
+
+
+def exact_duplicates(rows: DataFrame, key: str, pos: str, text: str) -> DataFrame:
+    """``key, duplicate_of`` of each row whose ``text`` an earlier row (by ``pos``, unique) has already; null counts as empty. No signature is computed."""
+    r, firsts = _keyed(rows, key, pos, text)
+    found = r.select("key", "pos", "x").join(firsts.select("x", F.col("pos").alias("p0"), F.col("key").alias("k0")), "x").where("pos > p0")
+    return found.select("key", F.col("k0").alias("duplicate_of")).withColumnRenamed("key", key)
+
+
 def duplicates(rows: DataFrame, key: str, pos: str, text: str, threshold: float = 0.8) -> DataFrame:
     """``key, duplicate_of, kind`` of each row that duplicates an earlier one (by ``pos``, unique): ``exact`` or ``near``.
 
     ``text`` must be normalised; null counts as empty, and empty texts are exact duplicates of each other. One row for each duplicate,
     whatever the size of its group. A near duplicate names the earliest row that it resembles.
     """
-    r = rows.select(F.col(key).alias("key"), F.col(pos).alias("pos"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("x", exact_key(F.col("text")))
-    reps = r.groupBy("x").agg(F.min("pos").alias("pos"), F.min_by("key", "pos").alias("key"))
-    exact = r.join(reps.select("x", F.col("pos").alias("p0"), F.col("key").alias("k0")), "x").where("pos > p0").select("key", F.col("k0").alias("duplicate_of"), F.lit("exact").alias("kind"))
-    of_reps = r.join(reps.select("pos"), "pos", "left_semi")
-    signed = cut(signatures(of_reps, "pos", "text"))
+    r, reps = _keyed(rows, key, pos, text)
+    signed = cut(signatures(r.join(reps.select("pos"), "pos", "left_semi"), "pos", "text"))
     near = near_pairs(signed, "pos", threshold)
     names = reps.select("pos", "key")
     n = near.join(names, "pos").join(names.select(F.col("pos").alias("earlier"), F.col("key").alias("duplicate_of")), "earlier").select("key", "duplicate_of", F.lit("near").alias("kind"))
-    return exact.unionByName(n).withColumnRenamed("key", key)
+    return exact_duplicates(rows, key, pos, text).withColumnRenamed(key, "key").withColumn("kind", F.lit("exact")).unionByName(n).withColumnRenamed("key", key)
 
 
 def corpus_union(prior: DataFrame, new: DataFrame, pos: str) -> DataFrame:

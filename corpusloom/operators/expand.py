@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import short_hash
 from corpusloom.functions.text import shorten
-from corpusloom.operators.order import numbered
+from corpusloom.operators.order import numbered, stride_all
 from corpusloom.operators.split import hash_holdout, hash_pick
 
 
@@ -64,7 +64,7 @@ def hash_sample_personas(seed_id: Column, personas: Column, k: int) -> Column:
 
 
 def note_seeds(rows: DataFrame, kind: str, scenario: Column, grounding: Column, speaker: str, cap: int, order: list[str]) -> DataFrame:
-    """Seeds of one kind from note rows (``family_key``): id, hashed holdout, scenario, grounding; the first ``cap`` in order."""
+    """Seeds of one kind from note rows (``family_key``): id, hashed holdout, scenario, grounding; ``cap`` of them by stride in order (all for 0)."""
     s = rows.select(
         F.concat_ws("-", F.lit("companion"), F.lit(kind), F.col("family_key"), *([F.col("i").cast("string")] if "i" in rows.columns else [])).alias("seed_id"),
         F.concat(F.lit("companion/"), F.col("family_key")).alias("family"),
@@ -74,7 +74,7 @@ def note_seeds(rows: DataFrame, kind: str, scenario: Column, grounding: Column,
         grounding.alias("grounding"),
         *order,
     )
-    return s.orderBy(*order).limit(cap).drop(*order)
+    return stride_all(s, order, cap).drop("pos", *order)
 
 
 def event_seeds(dated: DataFrame, speaker: str, cap: int) -> DataFrame:

@@ -93,7 +93,7 @@ def stratified_stride(df: DataFrame, order: list[str], held: Column, k: int) ->
     local = F.row_number().over(Window.partitionBy("_held", F.floor(F.col("pos") / 65536)).orderBy("pos"))
     blocks = p.groupBy("_held", F.floor(F.col("pos") / 65536).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     before = blocks.select("_held", "_b", F.coalesce(F.sum("_c").over(Window.partitionBy("_held").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    p = p.withColumn("_local", local).withColumn("_b", F.floor(F.col("pos") / 65536)).join(F.broadcast(before), ["_held", "_b"]).withColumn("_r", F.col("_local") + F.col("_before") - 1)
+    p = p.withColumn("_local", local).withColumn("_b", F.floor(F.col("pos") / 65536)).join(before, ["_held", "_b"]).withColumn("_r", F.col("_local") + F.col("_before") - 1)
     want = F.when(F.col("_h") == 0, 0).otherwise(F.least(F.greatest(F.lit(1), python_round(F.lit(k) * F.col("_h") / F.col("_n"))), F.lit(max(k - 1, 1)), F.col("_h")))
     size = F.when(F.col("_held"), F.col("_h")).otherwise(F.col("_n") - F.col("_h"))
     take = F.when(F.col("_held"), want).otherwise(F.lit(k) - want)
@@ -108,14 +108,14 @@ def dominance_cap(counts: DataFrame, share: float) -> DataFrame:
     """``n`` of each thread clamped to a share of the total, again and again until nothing changes; adds ``cap``.
 
     The fixed point is found on the sorted counts alone: with the t largest threads clamped to L, L = max(1, floor(share * (rest + t * L))).
-    Rounds only aggregate the one-row totals.
+    The counts are cut once; a round is one aggregate over them, of one row.
     """
+    counts = cut(counts)
     capped = counts.withColumn("cap", F.col("n"))
     limit = None
     while True:
-        total = capped.agg(F.sum("cap")).first()[0] or 0
+        total, most = (x or 0 for x in capped.agg(F.sum("cap"), F.max("cap")).first())
         now = max(1, int(total * share))
-        most = capped.agg(F.max("cap")).first()[0] or 0
         if most <= now or now == limit:
             return capped
         limit = now
@@ -125,7 +125,12 @@ def dominance_cap(counts: DataFrame, share: float) -> DataFrame:
 def group_cap(df: DataFrame, group: str, order: list[str], cap: int, limit: int | None = None) -> DataFrame:
     """The first ``cap`` rows of each group in order, then the first ``limit`` rows of all."""
     kept = df.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_r") <= cap).drop("_r")
-    return kept if limit is None else kept.orderBy(*order).limit(limit)
+    return kept if limit is None else first_rows(kept, order, limit)
+
+
+def first_rows(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order`` (unique), by their position: no task gathers them, however large ``n`` is."""
+    return numbered(df, order, "_first").where(F.col("_first") < n).drop("_first")
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import explode_once
 from corpusloom.operators.order import numbered
+from corpusloom.session import cut
 
 #: Label, pattern, action of the identity and boilerplate deny list and of the PII shapes.
 PATTERNS: list[tuple[str, str, str]] = [
@@ -83,17 +81,45 @@ def pseudonym_table(texts: DataFrame, order: list[str], text: str, name_patterns
     return fresh if known is None else known.select("name", "pseudonym").unionByName(fresh)
 
 
-def pseudonymise(texts: DataFrame, text: str, mapping: DataFrame, name_patterns: list[str], most: int = 1_000_000) -> DataFrame:
-    """Replaces mapped names in ``text``. The mapping has one row for each distinct name and is refused beyond ``most`` rows."""
-    rows = mapping.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError("mapping too large to be sent to the tasks")
-    table = texts.sparkSession.sparkContext.broadcast({r["name"]: r["pseudonym"] for r in rows})
-    pattern = re.compile(r"\b(?:" + "|".join(f"(?:{p})" for p in name_patterns) + r")\b")
+def _pattern(name_patterns: list[str]) -> str:
+    return r"(?U)\b(?:" + "|".join(f"(?:{p})" for p in name_patterns) + r")\b"
+
+
+def _swapped(text: Column, own: Column) -> Column:
+    """``text`` with each name of ``own`` (``array<struct<n, spelled, pseudonym>>``, longest first) replaced as a whole word."""
+    return F.aggregate(own, text, lambda t, e: F.regexp_replace(t, F.concat(F.lit(r"(?U)\b\Q"), e["spelled"], F.lit(r"\E\b")), e["pseudonym"]))
+
+
+def _own_names(found: DataFrame, keys: list[str], mapping: DataFrame) -> DataFrame:
+    """``keys, _own``: the mapped names of each row of ``found`` (``keys, spelled``), longest first."""
+    named = found.withColumn("name", F.lower("spelled")).join(mapping.select("name", "pseudonym"), "name")
+    return named.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct((-F.length("spelled")).alias("n"), "spelled", "pseudonym"))).alias("_own"))
 
-    @F.pandas_udf("string")
-    def swap(s: pd.Series) -> pd.Series:
-        names = table.value
-        return s.map(lambda t: None if t is None else pattern.sub(lambda m: names.get(m.group(0).lower(), m.group(0)), t))
 
-    return texts.withColumn(text, swap(F.col(text)))
+def pseudonymise(texts: DataFrame, text: str, mapping: DataFrame, name_patterns: list[str]) -> DataFrame:
+    """Replaces mapped names in ``text``. Every distinct text is joined with the names that it holds, so the mapping may be of any size; null texts stay."""
+    keys = ["_h1", "_h2"]
+    keyed = texts.withColumn("_h1", F.xxhash64(text)).withColumn("_h2", F.xxhash64(F.lit(7), F.col(text)))
+    held = keyed.select(*keys, F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(_pattern(name_patterns)), 0)).alias("_held")).where(F.size("_held") > 0).dropDuplicates(keys)
+    own = _own_names(held.select(*keys, F.explode("_held").alias("spelled")), keys, mapping)
+    swapped = F.when(F.col("_own").isNull(), F.col(text)).otherwise(_swapped(F.col(text), F.col("_own")))
+    return keyed.join(own, keys, "left").withColumn(text, swapped).select(*texts.columns)
+
+
+def pseudonymise_records(records: DataFrame, order: str, name_patterns: list[str], preserve: list[str] = (), known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records whose contents, thoughts and speakers (those that are a name as a whole) carry pseudonyms instead of names, and the mapping.
+
+    Adds ``pseudonymised``, whether a record changed. ``order`` must be unique; names are numbered in reading order after the ``known`` ones. System texts and
+    tool payloads are not touched.
+    """
+    pattern = _pattern(name_patterns)
+    m = records.select(order, F.posexplode("messages").alias("_i", "m"))
+    whole = F.when(F.col("m.speaker").rlike(f"^(?:{pattern})$"), F.col("m.speaker"))
+    fields = m.select(order, "_i", F.posexplode(F.array(F.col("m.content"), F.col("m.thought"), whole)).alias("_f", "_text")).where("_text is not null")
+    mapping = cut(pseudonym_table(fields, [order, "_i", "_f"], "_text", name_patterns, preserve, known))
+    found = fields.select(order, F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(pattern), 0))).alias("spelled")).distinct()
+    own = F.col("_own")
+    spoken = lambda s: F.coalesce(F.try_element_at(F.filter(own, lambda e: e["spelled"] == s), F.lit(1))["pseudonym"], s)
+    changed = F.transform("messages", lambda x: x.withField("content", _swapped(x["content"], own)).withField("thought", _swapped(x["thought"], own)).withField("speaker", spoken(x["speaker"])))
+    j = records.join(_own_names(found, [order], mapping), order, "left").withColumn("pseudonymised", own.isNotNull())
+    return j.withColumn("messages", F.when(own.isNotNull(), changed).otherwise(F.col("messages"))).drop("_own"), mapping

@@ -80,9 +80,9 @@ def percentiles_nearest(values: DataFrame, value: str, points: tuple[int, ...] =
     return at.where("r >= lo and r < hi").select("p", F.col("v").alias("value"))
 
 
-def interiority(text: Column, words: str = MENTAL_WORDS, least: int = 500, chars: int = 60_000) -> Column:
-    """Hits of the word list per thousand words over the first 60,000 characters (the feature's own window); 0 under 500 words."""
-    head = F.substring(text, 1, chars)
+def interiority(text: Column, words: str = MENTAL_WORDS, least: int = 500, chars: int | None = None) -> Column:
+    """Hits of the word list per thousand words of a text; 0 under 500 words. ``chars`` limits it to a window at the start."""
+    head = text if chars is None else F.substring(text, 1, chars)
     n = F.regexp_count(head, F.lit("[A-Za-z']+"))
     return F.when(F.coalesce(n, F.lit(0)) < least, F.lit(0.0)).otherwise(F.regexp_count(head, F.lit(f"(?iU){words}")) * 1000.0 / n)
 

@@ -109,20 +109,21 @@ def ingest(trajectories: DataFrame, rollouts: DataFrame, persona: str) -> DataFr
     turns = turns.withColumn("c", F.when(F.col("role") == "assistant", calls_of("value"))).withColumn("r", F.when(F.col("role") == "tool", responses_of("value"))).withColumn("thought", thought).withColumn("content", content)
     broken = F.coalesce(F.when(F.col("role").isNull(), F.lit("unknown role")), F.col("c.error"), F.col("r.error"))
     turns = turns.withColumn("error", broken)
-    c = turns.where("role = 'assistant'").select(F.col("prompt_index").alias("rec"), "i", F.posexplode("c.calls").alias("j", "call")).select("rec", F.col("call.name").alias("name"), (F.col("i") * 1000 + F.col("j")).alias("call_pos"), "call")
-    r = turns.where("role = 'tool'").select(F.col("prompt_index").alias("rec"), "i", F.posexplode("r.responses").alias("j", "resp")).select("rec", F.col("resp.name").alias("name"), (F.col("i") * 1000 + F.col("j")).alias("resp_pos"), "resp")
+    c = turns.where("role = 'assistant'").select(F.col("prompt_index").alias("rec"), "i", F.posexplode("c.calls").alias("j", "call")).select("rec", F.col("call.name").alias("name"), F.struct("i", "j").alias("call_pos"), "call")
+    r = turns.where("role = 'tool'").select(F.col("prompt_index").alias("rec"), "i", F.posexplode("r.responses").alias("j", "resp")).select("rec", F.col("resp.name").alias("name"), F.struct("i", "j").alias("resp_pos"), "resp")
     paired = pair_calls(c.select("rec", "name", "call_pos"), r.select("rec", "name", "resp_pos"))
     answered = paired.join(r, ["rec", "name", "resp_pos"]).select("rec", "call_pos", "resp_pos", F.col("resp.tool_call_id").alias("id"), F.col("resp.content").alias("content"))
     none = "array<struct<id:string,name:string,arguments:array<struct<name:string,rendered:string,raw_json:string>>>>"
     call_rows = c.join(answered.where("call_pos is not null").select("rec", "call_pos", "id"), ["rec", "call_pos"], "left")
-    named = call_rows.select("rec", (F.floor(F.col("call_pos") / 1000)).cast("int").alias("i"), F.struct("call_pos", F.struct(F.coalesce("id", F.concat(F.lit("call_"), F.floor(F.col("call_pos") / 1000).cast("string"), F.lit("_"), (F.col("call_pos") % 1000).cast("string"))).alias("id"), "call.name", "call.arguments").alias("call")).alias("x"))
+    own_id = F.concat_ws("_", F.lit("call"), F.col("call_pos.i").cast("string"), F.col("call_pos.j").cast("string"))
+    named = call_rows.select("rec", F.col("call_pos.i").alias("i"), F.struct("call_pos", F.struct(F.coalesce("id", own_id).alias("id"), "call.name", "call.arguments").alias("call")).alias("x"))
     by_turn = named.groupBy("rec", "i").agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["call"]).alias("tool_calls"))
     said = turns.where("role in ('user', 'assistant')").join(by_turn.withColumnRenamed("rec", "prompt_index"), ["prompt_index", "i"], "left")
     body = F.when(F.col("role") == "assistant", F.col("content")).otherwise(F.col("value"))
     msg = lambda role, speaker, content, thought, calls, call_id: F.struct(role.alias("role"), speaker.alias("speaker"), content.alias("content"), thought.alias("thought"), calls.alias("tool_calls"), call_id.alias("tool_call_id"), F.lit(None).cast("string").alias("ts"))
     null = F.lit(None).cast("string")
     assistant = F.col("role") == "assistant"
-    m1 = said.select("prompt_index", (F.col("i") * 1000).alias("p"), msg(F.col("role"), F.when(assistant, F.lit(persona)), body, F.when(assistant, F.col("thought")), F.coalesce("tool_calls", F.array().cast(none)), null).alias("m"))
+    m1 = said.select("prompt_index", F.struct("i", F.lit(0).alias("j")).alias("p"), msg(F.col("role"), F.when(assistant, F.lit(persona)), body, F.when(assistant, F.col("thought")), F.coalesce("tool_calls", F.array().cast(none)), null).alias("m"))
     m2 = answered.select(F.col("rec").alias("prompt_index"), F.col("resp_pos").alias("p"), msg(F.lit("tool"), null, F.col("content"), null, F.array().cast(none), F.col("id")).alias("m"))
     messages = m1.unionByName(m2).groupBy("prompt_index").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "m"))), lambda x: x["m"]).alias("messages"))
     errors = turns.where("error is not null").select("prompt_index", "error").unionByName(paired.where("call_pos is null").select(F.col("rec").alias("prompt_index"), F.concat(F.lit("no open call of "), F.col("name")).alias("error")))

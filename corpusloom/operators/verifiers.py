@@ -347,8 +347,12 @@ BY_TEMPLATE: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
+#: Ids of the lane verifiers; those of tasks follow from their templates.
+VERIFIER_IDS = {"b": "scenes/scene_wellformed", "c": "selfplay/no_impersonation+selfplay/turn_dynamics", "d": "streams/stream_wellformed"}
+
+
 def verified(records: DataFrame, out: str) -> DataFrame:
-    """Adds the result of the verifiers that a record's lane or template asks for; null where a template of lane a is unknown (an error for the gate).
+    """Adds the result of the verifiers that a record's lane or template asks for, with their ids; null where a template of lane a is unknown (an error for the gate).
 
     Each verifier is a column of its own, so that the analyzer never meets them in one expression.
     """
@@ -359,5 +363,7 @@ def verified(records: DataFrame, out: str) -> DataFrame:
     checks |= {f"_a{i}": ((lane == "a") & (template == name), check(m, F.col("_params"))) for i, (name, check) in enumerate(BY_TEMPLATE.items())}
     for name, (when, check) in checks.items():
         df = df.withColumn(name, F.when(when, check))
-    both = F.when(lane == "c", F.struct((F.col("_c1.passed") & F.col("_c2.passed")).alias("passed"), F.concat("_c1.failed", "_c2.failed").alias("failed")))
-    return df.withColumn(out, F.coalesce("_b", "_d", both, *[c for c in checks if c.startswith("_a")])).drop("_params", *checks)
+    with_id = lambda name, label: F.when(F.col(name).isNotNull(), F.struct(f"{name}.passed", f"{name}.failed", F.lit(label).alias("verifier_id")))
+    both = F.when(lane == "c", F.struct((F.col("_c1.passed") & F.col("_c2.passed")).alias("passed"), F.concat("_c1.failed", "_c2.failed").alias("failed"), F.lit(VERIFIER_IDS["c"]).alias("verifier_id")))
+    of_tasks = [with_id(f"_a{i}", f"tasks/{name.replace('.', '/')}") for i, name in enumerate(BY_TEMPLATE)]
+    return df.withColumn(out, F.coalesce(with_id("_b", VERIFIER_IDS["b"]), with_id("_d", VERIFIER_IDS["d"]), both, *of_tasks)).drop("_params", *checks)

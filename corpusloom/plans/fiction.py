@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import canonical_json, prompt_set_hash
@@ -41,38 +41,49 @@ def _list_of(field: str, needs: tuple[str, ...]) -> Callable[[object], list[dict
     return check
 
 
-def extract_scenes(spark: SparkSession, works: DataFrame, call: Batch, root: str, prompts: dict[str, str], sample: int = 60_000, target: int = 16_000) -> dict[str, DataFrame]:
+def _fingerprint(*parts: Column) -> Column:
+    return F.sha2(F.concat_ws("\x00", *(F.coalesce(p, F.lit("")) for p in parts)), 256)
+
+
+def extract_scenes(spark: SparkSession, works: DataFrame, call: Batch, root: str, prompts: dict[str, str], sample: int = 60_000, target: int = 16_000, model: str = "") -> dict[str, DataFrame]:
     """Stages ``profiles``, ``scenes`` and ``dialogues`` of works (``work_id, text``), and the ``usable`` scene keys.
 
-    A work whose reply stays invalid falls out of its stage with an error row; all others go on.
+    A stage remembers each work by a fingerprint of all that decides its rows: the text, the model, the prompts, the settings, and what the stage before
+    gave. Only works that are new or changed are asked. A work whose reply stays invalid falls out of its stage with an error row; all others go on.
     """
-    fingerprint = canonical_json({"prompts": prompt_set_hash(prompts), "sample": sample, "target": target})
+    settings = F.lit(canonical_json({"prompts": prompt_set_hash(prompts), "sample": sample, "target": target, "model": model}))
+    works = works.select("work_id", "text", _fingerprint(settings, F.col("text")).alias("fingerprint"))
 
-    def profiles() -> DataFrame:
-        asked = works.select("work_id", F.concat(F.lit(prompts["profiles"] + "\n\n"), F.substring("text", 1, sample)).alias("prompt"))
+    def profiles(missing: DataFrame) -> DataFrame:
+        asked = missing.select("work_id", F.concat(F.lit(prompts["profiles"] + "\n\n"), F.substring("text", 1, sample)).alias("prompt"))
         rows = ask_rows(asked, ["work_id"], "prompt", call, _list_of("characters", ("name",)))
         p = rows.withColumn("j", F.from_json("item", "name string, aliases array<string>, description string, personality string"))
         return p.select("work_id", "pos", "j.name", F.coalesce("j.aliases", F.array().cast("array<string>")).alias("aliases"), F.coalesce("j.description", F.lit("")).alias("description"), F.coalesce("j.personality", F.lit("")).alias("personality"), "error")
 
-    p = stage(spark, f"{root}/profiles", fingerprint, profiles)
+    p = stage(spark, f"{root}/profiles", works, "work_id", profiles)
     known = p.where("error is null")
     cast = known.groupBy("work_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "name", "description"))), lambda c: F.concat(F.lit("- "), c["name"], F.lit(": "), c["description"])), "\n").alias("cast"))
-    chunks = works.select("work_id", F.posexplode(books.chunk_windows(F.col("text"), target)).alias("chunk", "body")).join(cast, "work_id")
+    told = works.join(cast, "work_id").withColumn("fingerprint", _fingerprint(F.col("fingerprint"), F.col("cast")))
+
+    def chunks(of: DataFrame) -> DataFrame:
+        return of.select("work_id", "cast", F.posexplode(books.chunk_windows(F.col("text"), target)).alias("chunk", "body"))
 
-    def scenes() -> DataFrame:
-        asked = chunks.withColumn("prompt", F.concat(F.lit(prompts["scenes"] + "\n\n## Known characters\n"), F.col("cast"), F.lit("\n\n## Text\n"), F.col("body")))
+    def scenes(missing: DataFrame) -> DataFrame:
+        asked = chunks(missing).withColumn("prompt", F.concat(F.lit(prompts["scenes"] + "\n\n## Known characters\n"), F.col("cast"), F.lit("\n\n## Text\n"), F.col("body")))
         rows = ask_rows(asked, ["work_id", "chunk"], "prompt", call, _list_of("scenes", ("participants",)))
         s = rows.withColumn("j", F.from_json("item", "setting string, context string, participants array<string>"))
         return s.select("work_id", "chunk", F.concat_ws("/", F.col("chunk").cast("string"), F.col("pos").cast("string")).alias("scene"), "j.setting", "j.context", "j.participants", "error")
 
     aliases = books.resolved(known)
-    usable = books.usable_scenes(stage(spark, f"{root}/scenes", fingerprint, scenes).where("error is null"), aliases)
+    usable = books.usable_scenes(stage(spark, f"{root}/scenes", told, "work_id", scenes).where("error is null"), aliases)
+    acts = usable.groupBy("work_id").agg(F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct("scene", "setting", "context", "participants")))), "\n").alias("acts"))
+    staged = told.join(acts, "work_id").withColumn("fingerprint", _fingerprint(F.col("fingerprint"), F.col("acts")))
 
-    def dialogues() -> DataFrame:
-        asked = usable.join(chunks, ["work_id", "chunk"]).withColumn("prompt", F.concat(F.lit(prompts["dialogue"] + "\n\n## Scene\n"), F.coalesce("setting", F.lit("")), F.lit("\nParticipants: "), F.array_join("participants", ", "), F.lit("\n\n## Source text\n"), F.col("body")))
+    def dialogues(missing: DataFrame) -> DataFrame:
+        asked = usable.join(chunks(missing), ["work_id", "chunk"]).withColumn("prompt", F.concat(F.lit(prompts["dialogue"] + "\n\n## Scene\n"), F.coalesce("setting", F.lit("")), F.lit("\nParticipants: "), F.array_join("participants", ", "), F.lit("\n\n## Source text\n"), F.col("body")))
         rows = ask_rows(asked, ["work_id", "chunk", "scene"], "prompt", call, _list_of("turns", ("speaker", "content")))
         t = rows.withColumn("j", F.from_json("item", "speaker string, content string, thought string"))
         return t.select("work_id", "chunk", "scene", "pos", "j.speaker", "j.content", "j.thought", "error")
 
-    d = stage(spark, f"{root}/dialogues", fingerprint, dialogues)
+    d = stage(spark, f"{root}/dialogues", staged, "work_id", dialogues)
     return {"profiles": p, "scenes": usable, "dialogues": d, "usable": books.sound_dialogue(d.where("error is null"), usable, aliases)}

@@ -7,15 +7,19 @@ before the end, where rows split into kept and rejected with their gate state. T
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.spans import mask_of, prose_length, restore_of
 from corpusloom.operators.dedupe import conversational_text, duplicates
-from corpusloom.operators.scrub import LANE_EXEMPTIONS, PATTERNS, drops, lane_hits, record_hits
+from corpusloom.operators.scrub import LANE_EXEMPTIONS, PATTERNS, drops, lane_hits, pseudonymise_records, record_hits
+from corpusloom.operators.stats import weighted_judge
 from corpusloom.operators.verifiers import verified
+from corpusloom.plans.models import Batch, ModelError, call_json
+from corpusloom.plans.render import judge_transcript
 from corpusloom.session import cut
 
 #: Roles that may be rewritten, by lane; an empty map means nothing may.
@@ -28,9 +32,9 @@ def alive(df: DataFrame) -> Column:
 
 
 def verify_stage(records: DataFrame) -> DataFrame:
-    """Adds ``verified`` and failed checks; unknown templates drop with ``error``, failed checks with ``verify``."""
+    """Adds ``verified``, ``verifier_id`` and failed checks; unknown templates drop with ``error``, failed checks with ``verify``."""
     v = verified(records, "_v")
-    v = v.withColumn("verified", F.coalesce("_v.passed", F.lit(False))).withColumn("failed_checks", F.coalesce("_v.failed", F.array().cast("array<string>")))
+    v = v.withColumn("verified", F.coalesce("_v.passed", F.lit(False))).withColumn("verifier_id", F.col("_v.verifier_id")).withColumn("failed_checks", F.coalesce("_v.failed", F.array().cast("array<string>")))
     return v.withColumn("drop_reason", F.when(F.col("_v").isNull(), "error").when(~F.col("verified"), "verify")).drop("_v")
 
 
@@ -53,6 +57,48 @@ def judge_stage(df: DataFrame, verdicts: DataFrame) -> DataFrame:
     return j.withColumn("drop_reason", F.coalesce("drop_reason", reason))
 
 
+def model_verdicts(df: DataFrame, rubric: DataFrame, axes: dict[str, str], threshold: float, prompt: str, call: Batch, model: str, width: int = 8) -> DataFrame:
+    """``record_id, overall, passed, axes, judge_model, error``: each distinct record read by a model under a rubric.
+
+    ``prompt`` holds ``{axes}`` for the list of axes with their descriptions. The model answers ``{"scores": {axis: 1..5}}``; an answer that leaves out an axis, or stays no
+    JSON, is an error of its record. Records are sent on ``width`` partitions.
+    """
+    listed = prompt.format(axes="\n".join(f"- {name}: {text} (1-5)" for name, text in axes.items()))
+    texts = df.where(alive(df)).select(F.col("provenance.record_id").alias("record_id"), judge_transcript(F.col("system"), F.col("messages")).alias("transcript")).dropDuplicates(["record_id"])
+
+    def check(v: object) -> dict[str, float]:
+        missing = set(axes) - set(v["scores"])
+        if missing:
+            raise ValueError(f"left out axes: {sorted(missing)}")
+        return {k: float(v["scores"][k]) for k in axes}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores, errors = [], []
+            for text in b.column("transcript").to_pylist():
+                try:
+                    scores.append(list(call_json(call, {"model": model, "system": listed, "prompt": text}, check).items()))
+                    errors.append(None)
+                except ModelError as e:
+                    scores.append(None)
+                    errors.append(str(e))
+            yield pa.RecordBatch.from_arrays([b.column("record_id"), pa.array(scores, pa.map_(pa.string(), pa.float64())), pa.array(errors, pa.string())], names=["record_id", "axes", "error"])
+
+    said = cut(texts.repartition(width).mapInArrow(run, "record_id string, axes map<string,double>, error string"))
+    scored = weighted_judge(said.where("axes is not null").select(F.col("record_id").alias("id"), F.explode("axes").alias("axis", "score")), rubric, threshold)
+    j = said.join(scored.select(F.col("id").alias("record_id"), "overall", "passed"), "record_id", "left")
+    return j.select("record_id", "overall", "passed", F.transform_values("axes", lambda k, v: F.greatest(F.lit(1.0), F.least(F.lit(5.0), v))).alias("axes"), F.lit(model).alias("judge_model"), "error")
+
+
+def pseudonym_stage(df: DataFrame, order: str, name_patterns: list[str], preserve: list[str] = (), lanes: tuple[str, ...] = ("d",), known: DataFrame | None = None) -> DataFrame:
+    """Names in living records of the lanes become pseudonyms; a record that changed is flagged ``transform:pseudonymised``."""
+    mine = F.coalesce(F.col("provenance.lane").isin(*lanes), F.lit(False)) & alive(df)
+    changed, _ = pseudonymise_records(df.where(mine).select(order, "messages"), order, name_patterns, preserve, known)
+    j = df.join(changed.where("pseudonymised").select(order, F.col("messages").alias("_m")), order, "left")
+    flags = F.array_append(F.coalesce("scrub_flags", F.array().cast("array<string>")), F.lit("transform:pseudonymised"))
+    return j.withColumn("scrub_flags", F.when(F.col("_m").isNotNull(), flags).otherwise(F.col("scrub_flags"))).withColumn("messages", F.coalesce("_m", "messages")).drop("_m")
+
+
 def scrub_stage(df: DataFrame, patterns: list[tuple[str, str, str]] = PATTERNS, exemptions: dict[str, list[str]] = LANE_EXEMPTIONS) -> DataFrame:
     """Adds ``scrub_flags``; any ``drop:`` hit drops the record."""
     hits = lane_hits(record_hits(F.col("messages"), patterns), F.col("provenance.lane"), exemptions)
@@ -91,9 +137,11 @@ def harmonise_stage(df: DataFrame, rewrite: Callable[[Column], Column], persona:
     return j.withColumn("drop_reason", F.coalesce("drop_reason", F.when(F.col("_bent"), F.lit("span_violation")))).drop("_bent", "_new")
 
 
-def run_gates(records: DataFrame, verdicts: DataFrame, order: str, rewrite: Callable[[Column], Column] | None = None, persona: str = "", threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Kept and rejected rows after all stages."""
+def run_gates(records: DataFrame, verdicts: DataFrame, order: str, rewrite: Callable[[Column], Column] | None = None, persona: str = "", threshold: float = 0.8, name_patterns: list[str] = (), preserve: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Kept and rejected rows after all stages; with ``name_patterns`` names in personal lanes become pseudonyms before duplicates are sought."""
     df = cut(scrub_stage(judge_stage(verify_stage(records), verdicts)))
+    if name_patterns:
+        df = pseudonym_stage(df, order, list(name_patterns), preserve)
     df = cut(dedupe_stage(df, order, threshold))
     if rewrite is not None:
         df = harmonise_stage(df, rewrite, persona, order=order)

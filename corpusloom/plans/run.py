@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.hashing import tree_hash
 from corpusloom.operators import dedupe, split
 from corpusloom.plans import render
+from corpusloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,8 @@ def render_run(kept: DataFrame, rejected: DataFrame, prior: DataFrame | None, or
     once = dedupe.without(both, found, "order_key")
     split_key = F.coalesce("provenance.sibling_group", "provenance.record_id") if key is None else key
     marked = once.withColumn("_key", split_key).withColumn("_holdout", F.coalesce("provenance.holdout", F.lit(False))).withColumn("_family", F.col("provenance.family"))
-    parts = split.split_train_eval(marked, "_key", "_holdout", cfg.eval_fraction, cfg.seed)
+    # the guards and every artifact read it
+    parts = cut(split.split_train_eval(marked, "_key", "_holdout", cfg.eval_fraction, cfg.seed))
     split.guard(parts, "_family", "_holdout")
     return render.render_all(parts, rejected.where(inside), F.col("is_eval"), cfg.min_margin)
 

@@ -697,7 +697,7 @@ def span_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typo_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with seeded slips."""
     d = table(spark, sf_dir, "documents").where("doc_kind = 'task' and text is not null")
-    return d.select("doc_id", spans.with_typos_of("text", F.lit(0.2), F.col("doc_id")).alias("text"))
+    return d.select("doc_id", spans.with_typos(F.col("text"), 0.2, F.col("doc_id")).alias("text"))
 
 
 @query("mojibake_repair")

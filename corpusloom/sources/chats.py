@@ -44,6 +44,8 @@ class ChatSource:
     def __post_init__(self):
         if self.parser in ("generic_jsonl", "imessage") and (self.owner_sender is None) == (self.assistant_sender is None):
             raise ValueError(f"{self.id}: set exactly one of owner_sender and assistant_sender")
+        if self.parser in ("instagram", "teams", "reddit") and (self.owner_sender is not None or self.assistant_sender is not None):
+            raise ValueError(f"{self.id}: a {self.parser} export names its owner; owner_sender and assistant_sender must not be set")
 
 
 @dataclass(frozen=True)
@@ -195,7 +197,7 @@ def interests(spark: SparkSession, path: str, at_least: int = 5) -> DataFrame:
 
 
 def messages_to_records(rows: DataFrame, source: ChatSource, limits: ChatLimits) -> DataFrame:
-    """Sessions of each thread that are conversations: ``thread, segment, family, holdout, messages`` (a record's message array).
+    """Sessions of each thread that are conversations: ``thread, segment, family, holdout, messages`` (a record's message array), and ``first_pos``, where the session begins.
 
     A thread's order is ``pos``. Segments end at a gap or at the message cap; too short, one-sided or thin ones fall away.
     """
@@ -204,9 +206,16 @@ def messages_to_records(rows: DataFrame, source: ChatSource, limits: ChatLimits)
     good = segment_filter(s, ["thread", "segment"], F.col("role"), "text", limits.min_messages, limits.min_chars, limits.min_mean_chars).select("thread", "segment")
     msg = F.struct("pos", F.struct("role", F.col("sender").alias("speaker"), F.col("text").alias("content"), F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").alias("ts")).alias("m"))
     # a segment is bounded by the message cap
-    g = s.join(good, ["thread", "segment"], "left_semi").groupBy("thread", "segment").agg(F.transform(F.sort_array(F.collect_list(msg)), lambda x: x["m"]).alias("messages"), F.min_by("ts_us", "pos").alias("first_us"))
+    g = s.join(good, ["thread", "segment"], "left_semi").groupBy("thread", "segment").agg(F.transform(F.sort_array(F.collect_list(msg)), lambda x: x["m"]).alias("messages"), F.min_by("ts_us", "pos").alias("first_us"), F.min("pos").alias("first_pos"))
     fam = month_family(F.lit(source.id), F.col("first_us"))
-    return g.select("thread", "segment", fam.alias("family"), fam.isin(*limits.holdout_families).alias("holdout") if limits.holdout_families else F.lit(False).alias("holdout"), "messages")
+    return g.select("thread", "segment", fam.alias("family"), fam.isin(*limits.holdout_families).alias("holdout") if limits.holdout_families else F.lit(False).alias("holdout"), "messages", "first_pos")
+
+
+def yield_order(records: DataFrame, source: ChatSource) -> DataFrame:
+    """``thread, _from``: what orders the threads of an export. Where one stream holds them all it is where each begins (for comments: when they
+    were sent, over all accounts), else the name of the thread's own file or folder."""
+    begins = F.min("first_pos") if source.parser in ("generic_jsonl", "reddit") else F.lit(0)
+    return records.groupBy("thread").agg(begins.alias("_from"))
 
 
 def parse_all(spark: SparkSession, sources: list[ChatSource], limits: ChatLimits) -> DataFrame:
@@ -224,9 +233,9 @@ def parse_all(spark: SparkSession, sources: list[ChatSource], limits: ChatLimits
             hit = lambda j, step=step: (j >= 0) & (j < F.col("cap")) & (F.floor(j * step) == F.col("_p"))
             r = r.where((F.col("cap") >= F.col("n")) | hit(i) | hit(i - 1) | hit(i + 1)).drop("_p", "n", "cap")
         if src.max_records > 0:
-            p = numbered(r, ["thread", "segment"])
-            r = stride(p.join(F.broadcast(p.agg(F.count(F.lit(1)).alias("_n")))), "pos", F.col("_n"), src.max_records).drop("pos", "_n")
-        out.append(r)
+            p = numbered(r.join(yield_order(r, src), "thread"), ["_from", "thread", "segment"])
+            r = stride(p.join(F.broadcast(p.agg(F.count(F.lit(1)).alias("_n")))), "pos", F.col("_n"), src.max_records).drop("pos", "_n", "_from")
+        out.append(r.drop("first_pos"))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pathlib import Path
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.schema import RECORD_DDL
+from corpusloom.session import cut
 
 
 def read_typed(spark: SparkSession, path: str | list[str], ddl: str = RECORD_DDL) -> DataFrame:
@@ -85,16 +87,13 @@ class RunStore:
 
     def fresh(self, overwrite: bool = False) -> None:
         """Refuses a run that exists already, unless told otherwise."""
-        if Path(self.base).exists() and not overwrite:
+        if not overwrite and path_exists(SparkSession.active(), self.base):
             raise FileExistsError(self.base)
 
 
 def cached_replies(spark: SparkSession, path: str, ddl: str = "request_key string, text string") -> DataFrame:
     """The response table; empty where none was written yet."""
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except Exception:  # noqa: BLE001  no table yet
-        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
 
 
 def put_replies(replies: DataFrame, path: str) -> None:
@@ -102,18 +101,27 @@ def put_replies(replies: DataFrame, path: str) -> None:
     replies.where("trim(text) <> ''").write.mode("append").parquet(path)
 
 
-def stage_is_current(meta: Path, fingerprint: str) -> bool:
-    """Whether a stage was written with the same fingerprint; a missing or broken note means no."""
-    try:
-        return meta.read_text() == fingerprint
-    except OSError:
-        return False
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own file system (local, HDFS, object store); any other failure is raised."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def stage(spark: SparkSession, path: str, fingerprint: str, build) -> DataFrame:
-    """A stage table, reused while its fingerprint holds and rebuilt otherwise."""
-    meta = Path(f"{path.rstrip('/')}.fingerprint")
-    if not stage_is_current(meta, fingerprint):
-        build().write.mode("overwrite").parquet(path)
-        meta.write_text(fingerprint)
-    return spark.read.parquet(path)
+def stage(spark: SparkSession, path: str, wanted: DataFrame, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage table: rows of ``build`` for each ``key, fingerprint`` of ``wanted``, asked only where they were not built before.
+
+    ``build`` gets the missing rows of ``wanted`` and gives rows with ``key``. A run writes its rows under its own number first and then a
+    note of the keys that it has done, so a run that broke off leaves nothing that is read, and a key without rows is not asked again.
+    """
+    rows, notes = f"{path.rstrip('/')}/rows", f"{path.rstrip('/')}/done"
+    wanted = cut(wanted)
+    asked = wanted.select(key, "fingerprint").distinct()
+    done = spark.read.parquet(notes) if path_exists(spark, notes) else None
+    missing = wanted if done is None else wanted.join(done.select(key, "fingerprint"), [key, "fingerprint"], "left_anti")
+    if not missing.isEmpty():
+        run = F.lit(uuid.uuid4().hex)
+        marks = missing.select(key, "fingerprint").distinct()
+        build(missing).join(marks, key).withColumn("run", run).write.mode("append").parquet(rows)
+        marks.withColumn("run", run).write.mode("append").parquet(notes)
+    done = spark.read.parquet(notes).join(asked, [key, "fingerprint"]).dropDuplicates([key, "fingerprint"])
+    return spark.read.parquet(rows).join(done, [key, "fingerprint", "run"], "left_semi").drop("fingerprint", "run")

@@ -121,10 +121,11 @@ def test_list_items_and_count(spark):
     assert one(spark, block, lambda c: spans.tagged_count(c, F.lit("#none"))) is None
 
 
-def test_typos_are_seeded():
+def test_typos_are_seeded(spark):
     t = "please don't touch http://a.example or `code` words here"
-    assert spans.with_typos(t, 0.9, 3) == spans.with_typos(t, 0.9, 3) != t
-    assert "http://a.example" in spans.with_typos(t, 1.0, 5) and spans.with_typos(t, 0.0, 5) == t
+    slips = lambda rate, seed: spark.createDataFrame([(t, seed)], "t string, s int").select(spans.with_typos(F.col("t"), rate, F.col("s"))).first()[0]
+    assert slips(0.9, 3) == slips(0.9, 3) != t and slips(0.9, 3) != slips(0.9, 4)
+    assert "http://a.example" in slips(1.0, 5) and slips(0.0, 5) == t and len(slips(1.0, 5).split(" ")) == len(t.split(" "))
 
 
 def test_think_and_placeholders(spark):

@@ -277,7 +277,27 @@ def test_jsonl_round_trip(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"schema_version": "x"}\n')
     with pytest.raises(Exception):
         jsonl.read_typed(spark, str(tmp_path / "bad.json")).collect()
-    built = []
-    for fp in ("1", "1", "2"):
-        jsonl.stage(spark, str(tmp_path / "st"), fp, lambda: built.append(1) or df.select("system"))
-    assert len(built) == 2
+
+
+def test_stage_asks_only_for_what_changed(spark, tmp_path):
+    """New and changed keys are built, old ones are read; a key without rows is not asked again, and a run that broke off leaves nothing."""
+    asked = []
+
+    def build(missing):
+        asked.append(sorted(r["k"] for r in missing.collect()))
+        return missing.where("fingerprint <> 'none'").select("k", F.col("fingerprint").alias("v"))
+
+    def got(*rows):
+        return sorted(tuple(r) for r in jsonl.stage(spark, str(tmp_path / "st"), spark.createDataFrame(rows, "k string, fingerprint string"), "k", build).collect())
+
+    assert got(("a", "1"), ("b", "none")) == [("a", "1")] and got(("a", "1"), ("b", "none")) == [("a", "1")]
+    assert got(("a", "2"), ("b", "none"), ("c", "1")) == [("a", "2"), ("c", "1")] and got(("a", "1")) == [("a", "1")]
+    assert asked == [["a", "b"], ["a", "c"]]
+
+
+def test_cache_errors_are_not_an_empty_cache(spark, tmp_path):
+    assert jsonl.cached_replies(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad/part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        jsonl.cached_replies(spark, str(tmp_path / "bad")).collect()
