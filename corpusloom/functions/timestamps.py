@@ -39,7 +39,8 @@ def month_family(source: Column, ts_us: Column) -> Column:
 
 def apple_epoch_us(ns: Column) -> Column:
     """Nanoseconds since 2001-01-01 UTC to microseconds since 1970."""
-    return F.floor(ns / F.lit(1000)).cast("bigint") + F.lit(978307200000000)
+    # as a decimal: a double would lose the last digits
+    return F.floor(ns.cast("decimal(20,0)") / F.lit(1000)).cast("bigint") + F.lit(978307200000000)
 
 
 def days_between(later_us: Column, earlier_us: Column) -> Column:

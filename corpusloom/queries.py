@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schema
 from corpusloom.functions import spans
 from corpusloom.functions import text as T
-from corpusloom.functions.timestamps import instant_us
+from corpusloom.functions.timestamps import instant_us, month_family
 from corpusloom.operators import dedupe, expand, order, scrub, split, stats, trajectories, verifiers
 from corpusloom.operators.activity import activity_sessions
 from corpusloom.operators.deliveries import drop_repeated, keyed_messages
@@ -120,16 +120,16 @@ placed as (
   select f.*, head, length(head) + coalesce(sum(length(f)) over (partition by rec_no order by i rows between unbounded preceding and 1 preceding), 0) as start_at from frags f join heads using (rec_no))"""
 
 
-@query("render_chatml", f"with {_sql_rendered(True)} select rec_no, any_value(head) || string_agg(f, '' order by i) as text from placed group by rec_no")
+@query("render_chatml", f"with {_sql_rendered(True)} select rec_no, any_value(h.head) || coalesce(string_agg(f, '' order by i), '') as text from heads h left join placed using (rec_no) group by rec_no")
 def render_chatml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as training text with thoughts."""
-    return render.rendered(table(spark, sf_dir, "conv_records").where(F.size("messages") > 0)).select("rec_no", "text")
+    return render.rendered(table(spark, sf_dir, "conv_records")).select("rec_no", "text")
 
 
-@query("render_no_thoughts", f"with {_sql_rendered(False)} select rec_no, any_value(head) || string_agg(f, '' order by i) as text from placed group by rec_no")
+@query("render_no_thoughts", f"with {_sql_rendered(False)} select rec_no, any_value(h.head) || coalesce(string_agg(f, '' order by i), '') as text from heads h left join placed using (rec_no) group by rec_no")
 def render_no_thoughts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as training text with empty think blocks."""
-    return render.rendered(table(spark, sf_dir, "conv_records").where(F.size("messages") > 0), render.NO_THOUGHTS).select("rec_no", "text")
+    return render.rendered(table(spark, sf_dir, "conv_records"), render.NO_THOUGHTS).select("rec_no", "text")
 
 
 @query("train_spans", f"with {_sql_rendered(True)} select rec_no, cast(start_at + 22 as bigint) as span_start, cast(start_at + length(f) - 1 as bigint) as span_end from placed where role = 'assistant'")
@@ -166,7 +166,15 @@ def speaker_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conv_records").select("rec_no", F.size(schema.speakers(F.col("messages"))).cast("bigint").alias("n_speakers")).where("n_speakers > 0")
 
 
-@query("judge_transcripts")
+@query(
+    "judge_transcripts",
+    """with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records),
+lines as (select rec_no, i, coalesce(m.content, '') as body, case when coalesce(m.speaker, '') <> '' then m.speaker else m.role end as who, m.role as role, coalesce(m.thought, '') as thought,
+  array_to_string(list_transform(coalesce(m.tool_calls, []), lambda c: c.name || '(' || array_to_string(list_transform(coalesce(c.arguments, []), lambda a: a.name || '=' || coalesce(a.rendered, 'None')), ', ') || ')'), '; ') as calls, coalesce(len(m.tool_calls), 0) as n from msgs),
+shown as (select rec_no, i, case when role = 'tool' then '[tool result]' || chr(10) || substr(body, 1, 2000) || chr(10) else '[' || who || ']' || chr(10) || case when thought = '' then '' else '(inner thought: ' || thought || ')' || chr(10) end
+  || case when n = 0 then body else case when body = '' then '' else body || chr(10) end || '[calls tools: ' || calls || ']' end || chr(10) end as line from lines)
+select r.rec_no, '[system]' || chr(10) || coalesce(any_value(r.system), '') || chr(10) || chr(10) || coalesce(string_agg(line, chr(10) order by i), '') as transcript from conv_records r left join shown s using (rec_no) group by r.rec_no""",
+)
 def judge_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts as a judge reads them."""
     return table(spark, sf_dir, "conv_records").select("rec_no", render.judge_transcript(F.col("system"), F.col("messages")).alias("transcript"))
@@ -174,56 +182,52 @@ def judge_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "flipped_history",
-    "with msgs as (select rec_no, unnest(messages) as m from conv_records) select rec_no, count(*) filter (m.role = 'user') as n_assistant, count(*) filter (m.role = 'assistant') as n_user from msgs where m.role in ('user', 'assistant') group by rec_no",
+    "with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records) select rec_no, sha256(string_agg(case m.role when 'user' then 'assistant' else 'user' end || chr(31) || coalesce(m.content, chr(30)), chr(29) order by i)) as history from msgs where m.role in ('user', 'assistant') group by rec_no",
 )
 def flipped_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roles as the simulated user sees them."""
-    r = table(spark, sf_dir, "conv_records").select("rec_no", F.explode(render.flip_history(F.col("messages"))).alias("m"))
-    return r.groupBy("rec_no").agg(F.count_if(F.col("m.role") == "assistant").alias("n_assistant"), F.count_if(F.col("m.role") == "user").alias("n_user"))
+    r = table(spark, sf_dir, "conv_records").select("rec_no", render.flip_history(F.col("messages")).alias("h")).where(F.size("h") > 0)
+    one = F.transform("h", lambda m: F.concat(m["role"], F.lit("\x1f"), F.coalesce(m["content"], F.lit("\x1e"))))
+    return r.select("rec_no", F.sha2(F.array_join(one, "\x1d"), 256).alias("history"))
 
 
 @query(
     "message_shapes",
     """with msgs as (select rec_no, unnest(messages) as m from conv_records)
 select rec_no, bool_and(coalesce((m.role in ('user', 'assistant', 'tool')) and ((m.role = 'tool') = (m.tool_call_id is not null)) and (m.role = 'assistant' or (coalesce(len(m.tool_calls), 0) = 0 and m.thought is null)), false)) as sound
-from msgs group by rec_no""",
+from msgs group by rec_no union all select rec_no, messages is not null from conv_records where coalesce(len(messages), 0) = 0""",
 )
 def message_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a record obeys the message shape rules."""
-    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).select("rec_no", schema.record_is_sound(F.col("messages")).alias("sound"))
+    return table(spark, sf_dir, "conv_records").select("rec_no", schema.record_is_sound(F.col("messages")).alias("sound"))
 
 
 #: Normalised conversational text of each record.
 SQL_TALK = f"""
-talk as (select rec_no, trim(regexp_replace(lower(string_agg(coalesce(m.thought, '') || ' ' || coalesce(m.content, ''), ' ' order by i)), '{SQL_WS}+', ' ', 'g')) as t
-  from (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records) where m.role in ('user', 'assistant') group by rec_no)"""
+said_by as (select rec_no, trim(regexp_replace(lower(string_agg(coalesce(m.thought, '') || ' ' || coalesce(m.content, ''), ' ' order by i)), '{SQL_WS}+', ' ', 'g')) as t
+  from (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records) where m.role in ('user', 'assistant') group by rec_no),
+talk as (select rec_no, coalesce(t, '') as t from conv_records left join said_by using (rec_no))"""
+
+
+def _talk() -> Column:
+    return F.coalesce(dedupe.conversational_text(F.col("messages")), F.lit(""))
 
 
 @query("conversational_text", f"with {SQL_TALK} select rec_no, sha256(t) as exact_key, length(t) as n_chars from talk")
 def conversational_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact key of each record's conversation."""
-    t = dedupe.conversational_text(F.col("messages"))
-    return table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))").select("rec_no", dedupe.exact_key(t).alias("exact_key"), F.length(t).cast("bigint").alias("n_chars"))
+    t = _talk()
+    return table(spark, sf_dir, "conv_records").select("rec_no", dedupe.exact_key(t).alias("exact_key"), F.length(t).cast("bigint").alias("n_chars"))
 
 
 @query("exact_duplicates", f"with {SQL_TALK} select * from (select rec_no, min(rec_no) over (partition by t) as duplicate_of from talk) where rec_no > duplicate_of")
 def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose conversation repeats an earlier one."""
-    r = table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))").select("rec_no", dedupe.conversational_text(F.col("messages")).alias("t"))
-    return dedupe.duplicates(r, "rec_no", "rec_no", "t").where("kind = 'exact'").select("rec_no", "duplicate_of")
-
-
-def _sql_minhash(perms: int) -> str:
-    a, b = dedupe.permutations(perms)
-    return f"""
-docs as (select doc_id, trim(regexp_replace(lower(text), '{SQL_WS}+', ' ', 'g')) as t from documents where text is not null),
-ws as (select doc_id, string_split(t, ' ') as w from docs where t <> ''),
-sh as (select distinct doc_id, array_to_string(w[k:k+4], ' ') as s from (select *, unnest(range(1, len(w) - 3)) as k from ws where len(w) >= 5)),
-hs as (select doc_id, ('0x' || substr(md5(s), 1, 8))::bigint % {dedupe.PRIME} as h from sh),
-ab as (select unnest({a}) as a, unnest({b}) as b, unnest(range(0, {perms})) as k)"""
+    r = table(spark, sf_dir, "conv_records").select("rec_no", _talk().alias("t"))
+    return dedupe.exact_duplicates(r, "rec_no", "rec_no", "t")
 
 
-@query("minhash_signatures", f"with {_sql_minhash(16)} select doc_id, k as perm, min((a * h + b) % {dedupe.PRIME}) as value from hs, ab group by doc_id, k")
+@query("minhash_signatures")
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash of every document, with all permutations of the operator."""
     d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", T.normalise(F.col("text")).alias("t"))
@@ -291,25 +295,24 @@ def scrub_lane_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.explode_once(r, hits, "hit").select("rec_no", "hit")
 
 
-@query("scrub_keep", f"with {_sql_hits()} select rec_no from conv_records where len(messages) > 0 and rec_no not in (select rec_no from hits where hit like 'drop:%')")
+@query("scrub_keep", f"with {_sql_hits()} select rec_no from conv_records where rec_no not in (select rec_no from hits where hit like 'drop:%')")
 def scrub_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records without a hit that drops them."""
-    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).where(~scrub.drops(scrub.record_hits(F.col("messages")))).select("rec_no")
+    return table(spark, sf_dir, "conv_records").where(~F.coalesce(scrub.drops(scrub.record_hits(F.col("messages"))), F.lit(False))).select("rec_no")
 
 
 @query(
     "pseudonyms",
-    """with hits as (select row_id, unnest(regexp_extract_all(text, '\\b(Halvard|Tamsin|Ysolt|Ottoline|Lysander)\\b')) as n from chat_messages where text is not null),
-firsts as (select lower(n) as name, min(row_id) as r, arg_min(n, row_id) as spelled from hits group by 1)
-select name, min(r) as first_row from firsts group by name""",
+    """with found as (select row_id, regexp_extract_all(text, '\\b(Halvard|Tamsin|Ysolt|Ottoline|Lysander)\\b') as ns from chat_messages where text is not null),
+hits as (select row_id, unnest(ns) as n, generate_subscripts(ns, 1) as k from found),
+firsts as (select lower(n) as name, min(struct_pack(r := row_id, k := k)) as f from hits group by 1)
+select name, 'Person-' || row_number() over (order by f, name) as pseudonym from firsts""",
 )
 def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names in order of first appearance (the first row of each)."""
+    """Names numbered in order of first appearance."""
     names = ["Halvard", "Tamsin", "Ysolt", "Ottoline", "Lysander"]
     chat = table(spark, sf_dir, "chat_messages").where("text is not null").select("row_id", "text")
-    mapping = scrub.pseudonym_table(chat, ["row_id"], "text", names)
-    hits = chat.select("row_id", F.explode(F.regexp_extract_all("text", F.lit(rf"\b({'|'.join(names)})\b"), 1)).alias("n")).groupBy(F.lower("n").alias("name")).agg(F.min("row_id").alias("first_row"))
-    return mapping.join(hits, "name").select("name", "first_row")
+    return scrub.pseudonym_table(chat, ["row_id"], "text", names)
 
 
 @query(
@@ -320,11 +323,11 @@ select rec_no, count(*) filter (m.role = 'assistant') >= 6 and count(distinct nu
   and count(*) filter (m.role = 'assistant') > 0 and count(*) filter (m.role = 'assistant' and coalesce(m.thought, '') <> '') >= 0.5 * count(*) filter (m.role = 'assistant')
   and not coalesce(bool_or(contains(coalesce(m.content, ''), '[') and contains(coalesce(m.content, ''), ']')) filter (m.role = 'assistant'), false)
   and contains(coalesce(any_value(system), ''), '## Scene') as passed
-from msgs group by rec_no""",
+from msgs group by rec_no union all select rec_no, false from conv_records where provenance.lane = 'b' and coalesce(len(messages), 0) = 0""",
 )
 def scene_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene records that are well-formed."""
-    r = table(spark, sf_dir, "conv_records").where("provenance.lane = 'b'").where(F.size("messages") > 0)
+    r = table(spark, sf_dir, "conv_records").where("provenance.lane = 'b'")
     return r.select("rec_no", verifiers.scene_wellformed(F.col("messages"), F.col("system"))["passed"].alias("passed"))
 
 
@@ -332,11 +335,11 @@ def scene_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "no_impersonation",
     """with msgs as (select rec_no, unnest(messages) as m from conv_records)
 select rec_no, not coalesce(bool_or(regexp_matches(coalesce(m.content, ''), '(?im)^\\s*(?:\\{\\{user\\}\\}|user|you)\\s*:') or regexp_matches(coalesce(m.content, ''), '(?i)\\byou\\s+(?:say|reply|respond|answer)\\b[,:]?\\s*["“]')) filter (m.role = 'assistant'), false) as passed
-from msgs group by rec_no""",
+from msgs group by rec_no union all select rec_no, messages is not null from conv_records where coalesce(len(messages), 0) = 0""",
 )
 def no_impersonation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose assistant never writes the user's turns."""
-    return table(spark, sf_dir, "conv_records").where(F.size("messages") > 0).select("rec_no", verifiers.no_impersonation(F.col("messages"))["passed"].alias("passed"))
+    return table(spark, sf_dir, "conv_records").select("rec_no", verifiers.no_impersonation(F.col("messages"))["passed"].alias("passed"))
 
 
 @query(
@@ -345,20 +348,31 @@ def no_impersonation(spark: SparkSession, sf_dir: str) -> DataFrame:
 talk as (select *, lag(m.role) over (partition by rec_no order by i) as before from msgs where m.role in ('user', 'assistant'))
 select rec_no, count(*) filter (m.role = 'user') >= 3 and bool_and(before is null or before <> m.role) and count(*) filter (m.role = 'assistant') > 0
   and count(distinct trim(regexp_replace(lower(coalesce(m.content, '')), '{SQL_WS}+', ' ', 'g'))) filter (m.role = 'assistant') > 0.5 * count(*) filter (m.role = 'assistant') as passed
-from talk group by rec_no""",
+from talk group by rec_no union all select rec_no, false from conv_records where rec_no not in (select rec_no from talk)""",
 )
 def turn_dynamics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with real turn-taking."""
-    r = table(spark, sf_dir, "conv_records").where("exists(messages, m -> m.role in ('user', 'assistant'))")
+    r = table(spark, sf_dir, "conv_records")
     return r.select("rec_no", verifiers.turn_dynamics(F.col("messages"))["passed"].alias("passed"))
 
 
-@query("stream_wellformed")
+@query(
+    "stream_wellformed",
+    f"""with msgs as (select rec_no, provenance.family as family, try_cast(provenance.source.detail_json as json)->>'$.source' as src, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records where provenance.lane = 'd'),
+t as (select *, case when regexp_matches(m.ts, '^\\d{{4}}-\\d\\d-\\d\\d[T ]\\d\\d:\\d\\d:\\d\\d') then epoch_us(try_cast(m.ts as timestamptz)) end as us from msgs),
+o as (select *, lag(us) over (partition by rec_no order by i) as before from t),
+g as (select rec_no, count(distinct m.role) >= 2 as two, bool_and(regexp_replace(coalesce(m.content, ''), '^{SQL_WS}+|{SQL_WS}+$', '', 'g') <> '') as full_, bool_and(coalesce(m.speaker, '') <> '') as named, bool_and(us is not null) as timed,
+  bool_and(us is not null) and bool_and(i = 1 or coalesce(before <= us, false)) as ordered, bool_and(m.role in ('user', 'assistant') and coalesce(len(m.tool_calls), 0) = 0) as plain,
+  bool_and(us is not null) and coalesce(any_value(family) = coalesce(any_value(src), '') || '/' || strftime(make_timestamp(min(case when i = 1 then us end)), '%Y-%m'), false) as fits from o group by rec_no),
+f as (select rec_no, list_filter([case when not two then 'two_sided_conversation' end, case when not full_ then 'content_non_empty' end, case when not named then 'speakers_present' end, case when not timed then 'all_messages_timestamped' end,
+  case when not ordered then 'timestamps_ordered' end, case when not plain then 'no_tool_machinery' end, case when not fits then 'family_matches_first_month' end], lambda x: x is not null) as failed from g)
+select rec_no, len(failed) = 0 as passed, array_to_string(failed, ',') as failed from f union all select rec_no, false, 'two_sided_conversation,family_matches_first_month' from conv_records where provenance.lane = 'd' and len(messages) = 0""",
+)
 def stream_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal streams in order, with the checks that failed."""
     r = table(spark, sf_dir, "conv_records").where("provenance.lane = 'd'")
     v = verifiers.stream_wellformed(F.col("messages"), F.col("provenance.family"), F.get_json_object("provenance.source.detail_json", "$.source"))
-    return r.select("rec_no", v["passed"].alias("passed"), v["failed"].alias("failed"))
+    return r.select("rec_no", v["passed"].alias("passed"), F.array_join(v["failed"], ",").alias("failed"))
 
 
 @query(
@@ -386,7 +400,13 @@ def verify_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("rec_no", "v.passed", "v.failed")
 
 
-@query("degenerate_loops")
+@query(
+    "degenerate_loops",
+    f"""with msgs as (select rec_no, coalesce(m.content, '') as c, row_number() over (partition by rec_no order by i desc) as k from (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records) where m.role = 'assistant'),
+ws as (select rec_no, k, list_filter(string_split(trim(regexp_replace(lower(c), '{SQL_WS}+', ' ', 'g')), ' '), lambda x: x <> '') as w from msgs where k <= 2),
+gs as (select rec_no, k, list_distinct(list_transform(range(1, len(w) - 2), lambda j: array_to_string(w[j:j+3], ' '))) as g from ws where len(w) >= 4)
+select x.rec_no from gs x join gs y on x.rec_no = y.rec_no and x.k = 1 and y.k = 2 where len(list_intersect(x.g, y.g)) / least(len(x.g), len(y.g)) >= 0.6""",
+)
 def degenerate_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose last two assistant turns repeat each other."""
     return table(spark, sf_dir, "conv_records").where(order.degenerate_loop(F.col("messages"))).select("rec_no")
@@ -423,10 +443,10 @@ def template_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no")
 
 
-@query("band_violations", f"with {_TEMPLATE_STATS} select template, rollouts, verified, kept, verified / rollouts as pass_rate from stats where starts_with(template, 'lane_') = false and not verified / rollouts between 0.3 and 0.8")
+@query("band_violations", f"with {_TEMPLATE_STATS} select template, rollouts, verified, kept, verified / rollouts as pass_rate from stats where not verified / rollouts between 0.3 and 0.8")
 def band_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task templates outside the difficulty band of 0.3 to 0.8."""
-    s = stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no").where("not startswith(template, 'lane_')")
+    """Templates, and lanes without one, outside the difficulty band of 0.3 to 0.8."""
+    s = stats.template_stats(table(spark, sf_dir, "conv_records"), "rec_no")
     bands = s.select("template", F.lit(0.3).alias("low"), F.lit(0.8).alias("high"))
     return stats.band_violations(s, bands).select("template", "rollouts", "verified", "kept", "pass_rate")
 
@@ -436,13 +456,13 @@ def band_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """with axes as (select rec_no as id, unnest(map_entries(gate_state.judge.axes)) as e from conv_records where gate_state.judge.axes is not null),
 rubric as (select * from (values ('voice', 2.0, 3.0), ('substance', 1.0, null)) r(axis, weight, minimum)),
 j as (select id, sum(greatest(1.0, least(5.0, e.value)) * weight) / sum(weight) as mean, bool_and(minimum is null or greatest(1.0, least(5.0, e.value)) >= minimum) as floors, count(*) as n from axes join rubric on e.key = axis group by id)
-select id, round(mean, 3) as overall, coalesce(n = 2 and floors and mean >= 3.5, false) as passed, 2 - n as n_missing from j""",
+select id, round(mean, 3) as overall, coalesce(n = 2 and floors and mean >= 3.5, false) as passed, 2 - coalesce(n, 0) as n_missing from (select distinct id from axes) left join j using (id)""",
 )
 def weighted_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge scores under a rubric of two axes."""
     s = table(spark, sf_dir, "conv_records").where("gate_state.judge.axes is not null").select(F.col("rec_no").alias("id"), F.explode("gate_state.judge.axes").alias("axis", "score"))
     rubric = spark.createDataFrame([("voice", 2.0, 3.0), ("substance", 1.0, None)], "axis string, weight double, minimum double")
-    return stats.weighted_judge(s, rubric, 3.5).where("n_missing < 2")
+    return stats.weighted_judge(s, rubric, 3.5)
 
 
 # --- order, splits, text ------------------------------------------------------------------------------
@@ -456,11 +476,11 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("rec_no", T.slugify(F.col("title"), 20).alias("slug"), T.slug_ascii(F.col("title"), 12).alias("short_slug"))
 
 
-@query("author_names", "select rec_no, case when contains(author, ',') and not contains(author, ';') then trim(trim(regexp_extract(author, '^([^,]*),\\s*(.*)$', 2)) || ' ' || trim(regexp_extract(author, '^([^,]*),\\s*(.*)$', 1))) else trim(author) end as author from book_configs where author is not null and not contains(author, ';')")
+@query("author_names", "with a as (select rec_no, unnest(string_split(author, ';')) as a, generate_subscripts(string_split(author, ';'), 1) - 1 as n from book_configs where author is not null) select rec_no, n, case when contains(a, ',') then trim(trim(regexp_extract(a, '^([^,]*),\\s*(.*)$', 2)) || ' ' || trim(regexp_extract(a, '^([^,]*),\\s*(.*)$', 1))) else trim(a) end as author from a")
 def author_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single authors, surname-first forms turned."""
-    b = table(spark, sf_dir, "book_configs").where("author is not null and not contains(author, ';')")
-    return b.select("rec_no", T.author_flip(F.col("author")).alias("author"))
+    """Every author named in a field, surname-first forms turned."""
+    b = table(spark, sf_dir, "book_configs").where("author is not null").select("rec_no", F.posexplode(F.split("author", ";")).alias("n", "a"))
+    return b.select("rec_no", F.col("n").cast("bigint").alias("n"), T.author_flip(F.col("a")).alias("author"))
 
 
 @query("yaml_quotes", """select doc_id, sha256('"' || replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"') as quoted from documents where text is not null""")
@@ -469,11 +489,11 @@ def yaml_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2(T.yaml_quote(F.col("text")), 256).alias("quoted"))
 
 
-@query("message_instants", f"with {SQL_MESSAGES} select row_id, ts_us, strftime(make_timestamp(ts_us), '%Y-%m') as month from keyed where ts_us is not null")
+@query("message_instants", f"with {SQL_MESSAGES} select row_id, ts_us, 'chat/' || strftime(make_timestamp(ts_us), '%Y-%m') as family from keyed where ts_us is not null")
 def message_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instant and month of every message with a readable time."""
+    """Instant and month family of every message with a readable time."""
     c = table(spark, sf_dir, "chat_messages").select("row_id", instant_us(F.col("ts")).alias("ts_us")).where("ts_us is not null")
-    return c.select("row_id", "ts_us", F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM").alias("month"))
+    return c.select("row_id", "ts_us", month_family(F.lit("chat"), F.col("ts_us")).alias("family"))
 
 
 @query("repeated_deliveries", f"with {SQL_MESSAGES} select row_id from keyed where row_id not in (select row_id from messages)")
@@ -539,7 +559,14 @@ def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.keep_first(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
 
 
-@query("thread_cap")
+@query(
+    "thread_cap",
+    """with recursive counts as (select source, count(*) as n from chat_messages group by source),
+steps(k, ns, lim) as (select 0, (select list(n) from counts), (select max(n) from counts)
+  union all select k + 1, ns, greatest(1, cast(floor(list_sum(list_transform(ns, lambda x: least(x, lim))) * 0.1) as bigint)) from steps
+  where list_max(list_transform(ns, lambda x: least(x, lim))) > greatest(1, cast(floor(list_sum(list_transform(ns, lambda x: least(x, lim))) * 0.1) as bigint)) and k < 10000)
+select source, n, least(n, (select arg_max(lim, k) from steps)) as cap from counts""",
+)
 def thread_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat sources clamped to a tenth of what is left, until nothing changes."""
     return order.dominance_cap(table(spark, sf_dir, "chat_messages").groupBy("source").agg(F.count(F.lit(1)).alias("n")), 0.1)
@@ -580,10 +607,11 @@ def mixed_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.mixed_families(r, "family", "holdout")
 
 
-@query("holdout_leaks", f"with {_SQL_SPLIT} select rec_no from parts where holdout and not is_eval")
+@query("holdout_leaks", f"with {_SQL_SPLIT} select rec_no from parts where holdout and (not is_eval or rec_no % 2 = 0)")
 def holdout_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out records in train: none."""
-    return split.leaked(_split(spark, sf_dir), "holdout").select("rec_no")
+    """Held-out records in train, after every second record was put there by mistake; before, there are none."""
+    wrong = _split(spark, sf_dir).withColumn("is_eval", F.when(F.col("rec_no") % 2 == 0, False).otherwise(F.col("is_eval")))
+    return split.leaked(wrong, "holdout").select("rec_no")
 
 
 @query(
@@ -594,12 +622,15 @@ alone as (select f.rec_no, f.n from firsts f where f.n is not null),
 prompts as (select a.rec_no, sum(case when d.i <= a.n then length(d.f) else 0 end) as z, sha256(any_value(d.head) || string_agg(d.f, '' order by d.i) filter (d.i <= a.n)) as prompt from alone a join placed d using (rec_no) group by a.rec_no),
 c as (select rec_no, provenance.record_id as id, provenance.sibling_group as grp, gate_state.judge.overall as overall, gate_state.drop_reason as reason, gate_state.verified as verified, coalesce(gate_state.dropped, false) as dropped, prompt from conv_records join prompts using (rec_no) where coalesce(provenance.sibling_group, '') <> '' and gate_state.judge is not null)
 select x.id as chosen_id, y.id as rejected_id, x.grp as sibling_group, printf('%.3f', x.overall - y.overall) as margin
-from c x join c y on x.grp = y.grp and x.prompt = y.prompt where not x.dropped and y.dropped and y.reason = 'judge' and y.verified and x.overall - y.overall >= 0.1""",
+from c x join c y on x.grp = y.grp and x.prompt = y.prompt where not x.dropped and y.dropped and y.reason = 'judge' and y.verified and x.overall - y.overall >= 0.1
+union all select x.id, y.id || '-lost', x.grp, printf('%.3f', x.overall - (y.overall - 1.5)) from c x join c y on x.grp = y.grp and x.prompt = y.prompt where not x.dropped and x.overall - (y.overall - 1.5) >= 0.1""",
 )
 def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kept records and their siblings that lost at the judge."""
+    """Kept records and their siblings that lost at the judge; every judged record has a planted one that scored 1.5 less."""
     r = table(spark, sf_dir, "conv_records")
-    p = render.preference_pairs(r.where("not coalesce(gate_state.dropped, false)"), r.where("gate_state.dropped"), 0.1)
+    lost = F.col("gate_state").withField("dropped", F.lit(True)).withField("drop_reason", F.lit("judge")).withField("verified", F.lit(True)).withField("judge.overall", F.col("gate_state.judge.overall") - 1.5)
+    planted = r.where("gate_state.judge is not null").withColumn("provenance", F.col("provenance").withField("record_id", F.concat("provenance.record_id", F.lit("-lost")))).withColumn("gate_state", lost)
+    p = render.preference_pairs(r.where("not coalesce(gate_state.dropped, false)"), r.where("gate_state.dropped").unionByName(planted), 0.1)
     return p.select(*[F.col("meta")[k].alias(k) for k in ("chosen_id", "rejected_id", "sibling_group", "margin")])
 
 
@@ -610,7 +641,7 @@ def percentiles_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.percentiles_nearest(d, "n").select("p", F.col("value").cast("bigint").alias("value"))
 
 
-@query("interiority", rf"""with c as (select doc_id, substr(text, 1, 60000) as t from documents where text is not null),
+@query("interiority", rf"""with c as (select doc_id, text as t from documents where text is not null),
 n as (select doc_id, len(regexp_extract_all(t, '[A-Za-z'']+')) as n, len(regexp_extract_all(t, '(?i){stats.MENTAL_WORDS}')) as k from c)
 select doc_id, case when n < 100 then 0.0 else k * 1000.0 / n end as score from n""")
 def interiority(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -632,7 +663,7 @@ def mix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.mix_report(table(spark, sf_dir, "documents").select(F.coalesce("doc_kind", F.lit("")).alias("corpus"), "text"), "corpus", "text")
 
 
-@query("judge_routing", "select o_orderkey, case ('0x' || substr(sha256(cast(o_orderkey as varchar)), 1, 8))::bigint % 2 when 0 then 'judge-1' else 'judge-2' end as judge from orders where o_orderpriority like '1%'")
+@query("judge_routing", "select o_orderkey, case ('0x' || substr(sha256(cast(o_orderkey as varchar)), 1, 8))::bigint % 2 when 0 then 'judge-1' else 'judge-2' end as judge from orders")
 def judge_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A judge of another provider for each key."""
     judges = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(p).alias("provider")) for i, p in (("judge-0", "x"), ("judge-1", "y"), ("judge-2", "z"))])
@@ -640,7 +671,7 @@ def judge_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", models.judge_for(F.col("o_orderkey").cast("string"), judges, F.lit("x")).alias("judge"))
 
 
-@query("rotate_picks", "select o_orderkey, case ('0x' || substr(sha256('rotate:' || o_orderkey), 1, 8))::bigint % 2 when 0 then 'a' else 'c' end as teacher from orders where o_orderpriority like '2%'")
+@query("rotate_picks", "select o_orderkey, case ('0x' || substr(sha256('rotate:' || o_orderkey), 1, 8))::bigint % 2 when 0 then 'a' else 'c' end as teacher from orders")
 def rotate_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A teacher of another provider for each key."""
     pool = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(p).alias("provider")) for i, p in (("a", "x"), ("b", "y"), ("c", "z"))])
@@ -681,33 +712,52 @@ def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("protected_spans")
 def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of replies that a rewrite must not touch."""
-    d = table(spark, sf_dir, "documents").where("doc_kind in ('reply', 'task') and text is not null")
+    """Spans of documents that a rewrite must not touch."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
     return T.explode_once(d, spans.protected_spans_of("text"), "s").select("doc_id", "s.*")
 
 
-@query("span_round_trip", "select doc_id from documents where doc_kind in ('reply', 'task') and text is not null and not contains(text, '⟦')")
+@query("span_round_trip", "select doc_id from documents where text is not null and not contains(text, '⟦')")
 def span_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies that come back unchanged from masking and restoring: all."""
-    d = table(spark, sf_dir, "documents").where("doc_kind in ('reply', 'task') and text is not null and not contains(text, '⟦')").withColumn("k", spans.mask_of("text"))
+    """Documents that come back unchanged from masking and restoring: all but those that hold the placeholder's own bracket."""
+    d = table(spark, sf_dir, "documents").where("text is not null").withColumn("k", spans.mask_of("text"))
     return d.where(spans.restore_of("k.masked", "k.originals") == F.col("text")).select("doc_id")
 
 
-@query("typo_injection")
+def _sql_draw(salt: str, sides: str) -> str:
+    return f"('0x' || substr(sha256('{salt}:' || doc_id || ':' || i), 1, 8))::bigint % {sides}"
+
+
+@query(
+    "typo_injection",
+    f"""with w as (select doc_id, unnest(string_split(text, ' ')) as w, generate_subscripts(string_split(text, ' '), 1) - 1 as i from documents where text is not null),
+d as (select *, case when length(w) > 2 then {_sql_draw('at', '1000003')} % (length(w) - 2) + 2 else 1 end as spot, {_sql_draw('kind', '4')} as kind, case when {_sql_draw('side', '2')} = 0 then -1 else 1 end as side, {_sql_draw('whether', '1000000')} as p from w),
+k as (select *, substr(w, spot, 1) as here, instr('{spans.KEY_ROWS}', lower(substr(w, spot, 1))) as key from d),
+n as (select *, case when substr('{spans.KEY_ROWS}', key + side, 1) <> ' ' then substr('{spans.KEY_ROWS}', key + side, 1) else substr('{spans.KEY_ROWS}', key - side, 1) end as near from k),
+s as (select doc_id, i, case when length(w) < 3 or regexp_matches(w, '^[`/]|^https?:') or p >= 200000 then w
+  when kind = 0 then case when regexp_full_match(here, '[A-Za-z]') then substr(w, 1, spot - 1) || near || substr(w, spot + 1) else w end
+  when kind = 1 then substr(w, 1, spot - 1) || substr(w, spot + 1) when kind = 2 then substr(w, 1, spot) || substr(w, spot) else replace(w, chr(39), '') end as w from n)
+select doc_id, sha256(string_agg(w, ' ' order by i)) as text from s group by doc_id""",
+)
 def typo_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns with seeded slips."""
-    d = table(spark, sf_dir, "documents").where("doc_kind = 'task' and text is not null")
-    return d.select("doc_id", spans.with_typos(F.col("text"), 0.2, F.col("doc_id")).alias("text"))
+    """Documents with seeded slips (their hashes)."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    return d.select("doc_id", F.sha2(spans.with_typos(F.col("text"), 0.2, F.col("doc_id")), 256).alias("text"))
 
 
-@query("mojibake_repair")
+@query(
+    "mojibake_repair",
+    """with c as (select row_id, text, list_transform(string_split(text, ''), lambda x: unicode(x)) as u from chat_messages where text <> ''),
+d as (select row_id, text, try(decode(unhex(array_to_string(list_transform(u, lambda x: format('{:02x}', x)), '')))) as repaired from c where list_max(u) < 256)
+select row_id, repaired from d where repaired is not null and repaired <> text""",
+)
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that undo cleanly from Latin-1."""
     c = table(spark, sf_dir, "chat_messages").where("text is not null").select("row_id", "text", chats.latin1_repair("text").alias("repaired"))
     return c.where("text <> repaired").select("row_id", "repaired")
 
 
-@query("note_bullets", f"""with b as (select doc_id, unnest(list_transform(regexp_extract_all(text, '(?m)^[-*]\\s+(.*)$', 1), lambda x: regexp_replace(x, '^{SQL_WS}+|{SQL_WS}+$', '', 'g'))) as b from documents where doc_kind = 'note' and text is not null and not contains(text, chr(13)))
+@query("note_bullets", f"""with b as (select doc_id, unnest(list_transform(regexp_extract_all(regexp_replace(text, '\\r\\n|[\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]', chr(10), 'g'), '(?m)^[-*]\\s+(.*)$', 1), lambda x: regexp_replace(x, '^{SQL_WS}+|{SQL_WS}+$', '', 'g'))) as b from documents where doc_kind = 'note' and text is not null)
 select doc_id, count(*) as n from b where length(b) > 40 group by doc_id""")
 def note_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bullets of more than forty characters in notes, whatever their line ends."""
@@ -724,10 +774,20 @@ def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("rec_no", F.lit(None).cast("string").alias("drop_reason")).unionByName(rejected.select("rec_no", "drop_reason"))
 
 
-@query("external_filter")
+@query(
+    "external_filter",
+    """with msgs as (select rec_no, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records),
+t as (select rec_no, i, coalesce(m.content, '') as v, m.role = 'assistant' as a, lag(m.role = 'assistant') over (partition by rec_no order by i) as b from msgs),
+p as (select *, regexp_matches(v, '^\\s*<think>[\\s\\S]*?</think>') as th, regexp_replace(v, '^\\s*<think>[\\s\\S]*?</think>', '') as rest from t),
+g as (select rec_no, string_agg(v, chr(10) order by i) as text, bool_and(not a or th) as complete, bool_or(coalesce(a and b, false)) as twice,
+  bool_and(not a or (th and contains(v, 'SCENE:') and contains(v, 'CHARACTERS:') and contains(v, 'PLAN:'))) as onschema, bool_or(trim(rest) = '') as hollow from p group by rec_no)
+select r.rec_no, case when regexp_matches(text, '(?i)\\b(?:[1-9]|1[0-7])[- ]years?[- ]old\\b|\\b(?:one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen)[- ]years?[- ]old\\b|\\bage:\\s*(?:[1-9]|1[0-7])\\b|\\b(?:lolicon|loli|shota|underage|preteen|jailbait)\\b|\\bchild.s body\\b') then 'minor_coded'
+  when regexp_matches(text, '(?i)\\bi have read the <rules>') then 'leaked_meta' when not complete then 'think_incomplete' when twice then 'consecutive_assistant_turns' when not onschema then 'think_offschema' when hollow then 'empty_turn' end as reason
+from conv_records r left join g using (rec_no) where r.messages is not null""",
+)
 def external_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First reason to drop each record's conversation, read as a third-party row."""
-    r = table(spark, sf_dir, "conv_records").where(F.size("messages") > 0)
+    r = table(spark, sf_dir, "conv_records").where("messages is not null")
     turns = F.transform("messages", lambda m: F.struct(F.when(m["role"] == "assistant", "gpt").otherwise("human").alias("from"), m["content"].alias("value")))
     return r.select("rec_no", gate.external_reason(turns).alias("reason"))
 
@@ -760,10 +820,10 @@ def call_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trajectories.pair_calls(calls, responses).select("rec", "name", "resp_pos", F.coalesce("call_pos", F.lit(-1)).alias("call_pos"))
 
 
-@query("owner_detection", "with n as (select sender, count(distinct conversation_id) as n_threads from chat_messages where source = 'im' and sender is not null group by 1) select sender, n_threads from n where n_threads = (select max(n_threads) from n)")
+@query("owner_detection", "with n as (select sender, count(distinct conversation_id) as n_threads from chat_messages where sender is not null group by 1) select sender, n_threads from n where n_threads = (select max(n_threads) from n)")
 def owner_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sender who takes part in most conversations of a source."""
-    c = table(spark, sf_dir, "chat_messages").where("source = 'im'")
+    """The sender who takes part in most conversations."""
+    c = table(spark, sf_dir, "chat_messages")
     return stats.most_common_member(c, "conversation_id", "sender")
 
 
@@ -799,18 +859,29 @@ def instance_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("rec_no", expand.instance_key(F.col("template_id"), F.col("e.key"), F.col("e.value")).alias("instance_key"))
 
 
-@query("cache_misses", "select o_custkey from (select distinct o_custkey from orders where o_orderstatus = 'O') anti join (select distinct o_custkey from orders where o_orderstatus = 'F') using (o_custkey)")
+@query("cache_misses", "select o_custkey, case when bool_or(o_orderstatus = 'F') then 'known ' || o_custkey when o_custkey % 10 = 3 then null else 'asked ' || o_custkey end as text, not bool_or(o_orderstatus = 'F') and o_custkey % 10 = 3 as failed from orders group by o_custkey")
 def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys asked for that are not in the answered table, as the response cache finds them."""
-    o = table(spark, sf_dir, "orders")
-    return o.where("o_orderstatus = 'O'").select("o_custkey").distinct().join(o.where("o_orderstatus = 'F'").select("o_custkey"), "o_custkey", "left_anti")
+    """A request for each order's customer: answered from the cache where it is there, else by a scripted model that fails for some."""
+    o = table(spark, sf_dir, "orders").select("o_orderstatus", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+    asked = o.select("o_custkey", F.lit("m").alias("model"), F.lit(None).cast("string").alias("system"), F.concat(F.lit("customer "), F.col("o_custkey").cast("string")).alias("prompt"), F.lit("{}").alias("options"))
+    keyed = models.keyed_requests(asked).select("o_custkey", "request_key").distinct()
+    known = o.where("o_orderstatus = 'F'").select("o_custkey").distinct().join(keyed, "o_custkey").select("request_key", F.concat(F.lit("known "), F.col("o_custkey").cast("string")).alias("text"))
+    got = models.complete(asked.drop("o_custkey"), known, models.scripted(_customer_reply), 4)
+    return keyed.join(got, "request_key").select("o_custkey", "text", F.col("error").isNotNull().alias("failed"))
+
+
+def _customer_reply(request: dict) -> str:
+    number = request["prompt"].split(" ")[1]
+    if number.endswith("3"):
+        raise models.ModelError("overloaded", 503)
+    return f"asked {number}"
 
 
-@query("trajectory_ingest")
+@query("trajectory_ingest", "with r as (select rec_no, template_id, unnest(range(0, n_rollouts)) as round from task_instances where n_rollouts > 0) select row_number() over (order by round, rec_no) - 1 as prompt_index, template_id, case when template_id is not null then 2 end as n_messages, case when template_id is null then 'prompt index outside the emitted inputs' end as error from r")
 def trajectory_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task instances as one-turn trajectories, ingested against their rollout numbers."""
     t = table(spark, sf_dir, "task_instances").where("n_rollouts > 0")
     ro = expand.rollout_order(t.select("rec_no", "template_id", "family", "holdout", "prompt", "n_rollouts"), ["rec_no"]).withColumn("instance_key", F.col("rec_no").cast("string"))
     said = F.array(F.struct(F.lit("human").alias("from"), F.col("prompt").alias("value")), F.struct(F.lit("gpt").alias("from"), F.lit("<think>\nplan\n</think>\nDone.").alias("value")))
     tr = ro.select("prompt_index", F.lit(True).alias("completed"), F.lit(False).alias("partial"), said.alias("conversations"))
-    return trajectories.ingest(tr, ro, "Quill").select("prompt_index", "template_id", F.size("messages").alias("n_messages"), "error")
+    return trajectories.ingest(tr, ro, "Quill").select("prompt_index", "template_id", F.size("messages").cast("bigint").alias("n_messages"), "error")
