@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import cut
+
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 #: Words, line ends and sentence ends.
 _PIECE = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|\n|[.!?]['\"’”»)]*\s")
@@ -66,15 +68,16 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def words_key(words: list[str], kind: int) -> int:
-    """Key of a word sequence: a polynomial hash of all words but the last, mixed with the last and the kind."""
+def words_key(words: list[str], kind: int) -> tuple[int, int]:
+    """Key of a word sequence, a polynomial hash of all words but the last mixed with the last and the kind, and the slot of the first part alone."""
     p, power = 0, 1
     for w in words[:-1]:
         p = (p + prefix_hashes(w)[-1] * power) & _M
         power = (power * _BASE) & _M
-    x = ((p ^ kind) * _MIX + prefix_hashes(words[-1])[-1]) & _M
+    y = ((p ^ kind) * _MIX) & _M
+    x = (y + prefix_hashes(words[-1])[-1]) & _M
     x = ((x ^ x >> 32) * _MIX) & _M
-    return _signed(x ^ x >> 29)
+    return _signed(x ^ x >> 29), y >> 64 - _SLOT_BITS
 
 
 def _last_line(body: str) -> str:
@@ -113,14 +116,14 @@ def last_part(body: str) -> str:
     return _SENTENCE_END.split(_last_line(body))[-1]
 
 
-def end_key(body: str) -> int | None:
-    """Key of the last three words of the last line, of fewer if it has fewer."""
+def end_key(body: str) -> tuple[int, int] | None:
+    """Key and slot of the last three words of the last line, of fewer if it has fewer."""
     words = _masked_words(_last_line(body))
     return words_key(words[-END_WORDS:], END) if words else None
 
 
-def line_key(body: str) -> int | None:
-    """Key of the whole last line."""
+def line_key(body: str) -> tuple[int, int] | None:
+    """Key and slot of the whole last line."""
     words = _masked_words(_last_line(body))
     return words_key(words, LINE) if words else None
 
@@ -131,8 +134,8 @@ def last_word(body: str) -> str | None:
     return words[-1].lower() if words and words[0][0].islower() else None
 
 
-def remark_key(body: str) -> int | None:
-    """Key of the last five words of the last sentence or line, of all if it has fewer; null for a single word."""
+def remark_key(body: str) -> tuple[int, int] | None:
+    """Key and slot of the last five words of the last sentence or line, of all if it has fewer; null for a single word."""
     words = _masked_words(last_part(body))
     return words_key(words[-REMARK_WORDS:], REMARK) if len(words) > 1 else None
 
@@ -173,49 +176,40 @@ def vote_counts(voters: DataFrame, key: str) -> DataFrame:
 
 
 class Places:
-    """Keys of all word places of a batch of texts, as arrays."""
+    """Keys of all word places of batches of texts, as arrays."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.hashes: list[list[int]] = []
-
-    def _learn(self, w: str) -> int:
-        if len(self.number) > 300_000:  # bounds the memory of a task, not the result: a batch's numbers are looked up before
-            self.number, self.hashes = {}, []
-        k = self.number[w] = len(self.number)
-        self.hashes.append(prefix_hashes(w))
-        return k
-
-    def __call__(self, texts: list[str | None], asked: np.ndarray, kinds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(text, key, whether it goes on)`` of each place whose key may be asked for; a text's last word shows nothing and is left out."""
-        words: list[str] = []
-        size, line, sentence, row = [], [], [], []
-        at_line = at_sentence = 0
-        for r, t in enumerate(texts):
-            before = len(words)
-            at_line, at_sentence = at_line + 1, at_sentence + 1
-            for p in _PIECE.findall(_DIGITS.sub("0", t.lower())) if t else ():
-                if p[0].isalnum():
-                    words.append(p)
-                    line.append(at_line)
-                    sentence.append(at_sentence)
-                else:
-                    at_sentence += 1
-                    at_line += "\n" in p
-            size.append(len(words) - before)
-        n = len(words)
+        self.hashes: dict[str, list[int]] = {}
+
+    def __call__(self, texts: list[str | None], parents: np.ndarray, asked: np.ndarray, kinds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(text, key, whether it goes on)`` of each place whose key may be asked for, by the slots of what stands before the last word and of the whole.
+
+        A text's last word shows nothing and is left out.
+        """
+        pieces, size = [], []
+        for t in texts:
+            own = _PIECE.findall(_DIGITS.sub("0", t.lower())) if t else ()
+            pieces += own
+            size.append(len(own))
+        number: dict[str, int] = {}
+        ids = np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.int64, len(pieces))
+        # of each distinct piece: word, end of a sentence, end of a line
+        kind_of = np.array([0 if p[0].isalnum() else 2 if "\n" in p else 1 for p in number] or [0])
+        row, mark = np.repeat(np.arange(len(texts)), size), kind_of[ids] if len(ids) else ids
+        line, sentence = np.cumsum(mark == 2) + row, np.cumsum(mark > 0) + row
+        word = np.flatnonzero(mark == 0)
+        n = len(word)
         none = np.empty(0, np.int64)
         if not n:
             return none, none, none.astype(bool)
-        distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        hashes = [self.hashes[self.number[w]] if w in self.number else self.hashes[self._learn(w)] for w in distinct]
-        ids = np.fromiter((distinct[w] for w in words), np.int64, n)
+        ids, row, line, sentence, i = ids[word], row[word], line[word], sentence[word], np.arange(n)
+        if len(self.hashes) > 300_000:  # bounds the memory of a task, not the result
+            self.hashes = {}
+        hashes = [[] if k else self.hashes.get(p) or self.hashes.setdefault(p, prefix_hashes(p)) for p, k in zip(number, kind_of)]
         length = np.array([len(h) for h in hashes], np.int64)
         flat = np.fromiter((x for h in hashes for x in h), np.uint64, int(length.sum()))
         first = np.append(0, np.cumsum(length))
-        whole = flat[first[1:] - 1][ids]
-        row = np.repeat(np.arange(len(texts)), size)
-        line, sentence, i = np.array(line), np.array(sentence), np.arange(n)
+        whole = flat[first[ids + 1] - 1]
         starts = lambda a: np.maximum.accumulate(np.where(np.append(True, a[1:] != a[:-1]), i, 0))
         line_at, sentence_at = starts(line), starts(sentence)
         goes = np.append(sentence[1:] == sentence[:-1], False)
@@ -224,53 +218,59 @@ class Places:
             power = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)))
             inverse = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE_INVERSE, np.uint64)))
             sums = np.append(np.uint64(0), np.cumsum(whole * power[:-1]))
-            keep = np.flatnonzero(~last)
-            per = length[ids[keep]]
-            place = np.repeat(keep, per)
-            nth = np.arange(len(place)) - np.repeat(np.cumsum(per) - per, per)
-            part = flat[np.repeat(first[ids[keep]], per) + nth]
-            longer = nth < np.repeat(per, per) - 1
             out = []
             for kind in kinds:
                 start = line_at if kind == LINE else np.maximum(line_at, i - END_WORDS + 1) if kind == END else np.maximum(sentence_at, i - REMARK_WORDS + 1)
-                parent = (sums[:-1] - sums[start]) * inverse[start]
-                x = ((parent[place] ^ np.uint64(kind)) * np.uint64(_MIX)) + part
+                y = (((sums[:-1] - sums[start]) * inverse[start]) ^ np.uint64(kind)) * np.uint64(_MIX)
+                keep = np.flatnonzero(parents[(y >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)] & ~last)
+                per = length[ids[keep]]
+                place = np.repeat(keep, per)
+                nth = np.arange(len(place)) - np.repeat(np.cumsum(per) - per, per)
+                x = y[place] + flat[np.repeat(first[ids[keep]], per) + nth]
                 x = (x ^ x >> np.uint64(32)) * np.uint64(_MIX)
                 x ^= x >> np.uint64(29)
                 hit = np.flatnonzero(asked[(x >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)])
+                longer = nth < np.repeat(per, per) - 1
                 out.append((row[place[hit]], x[hit].view(np.int64), longer[hit] | goes[place[hit]]))
         return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """The slots (one int column) as a packed bitmap of 2**22 bits; at most 128 rows of 4 KB reach the driver."""
+    s = slots.select((F.col(slots.columns[0]).cast("bigint") + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket"))
+    bits = np.zeros(1 << _SLOT_BITS, bool)
+    for p in s.agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")).collect():
+        own = np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little")
+        bits[(p["bucket"] - 1) * len(own) : p["bucket"] * len(own)] = own
+    return np.packbits(bits)
+
+
 def evidence(texts: DataFrame, asked: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
-    """``key, n_ends, n_goes_on`` of asked keys (one bigint column): in how many distinct ``text`` a line or sentence that is not the last ends so, and in how many it goes on or the last word is longer.
+    """``key, n_ends, n_goes_on`` of asked keys (``key, slot``): in how many distinct ``text`` a line or sentence that is not the last ends so, and in how many it goes on or the last word is longer.
 
-    The asked keys go to the tasks as a bitmap of 2**22 slots (512 KB, whatever their number), the only thing the driver collects; what
+    The asked keys go to the tasks as two bitmaps of 2**22 slots (512 KB each, whatever their number), the only thing the driver collects; what
     comes back is one row for each text and asked key that meet, joined with the keys themselves.
     """
-    keys = asked.select(F.col(asked.columns[0]).alias("key")).where("key is not null").distinct()
-    slot = F.shiftrightunsigned("key", 64 - _SLOT_BITS) + 1
-    parts = keys.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")).collect()
-    bits = np.zeros(1 << _SLOT_BITS, bool)
-    for p in parts:
-        own = np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little")
-        at = (p["bucket"] - 1) * len(own)
-        bits[at : at + len(own)] = own
-    packed = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    keys = cut(asked.where("key is not null").distinct())
+    slots = [_bitmap(keys.select("slot")), _bitmap(keys.select(F.shiftrightunsigned("key", 64 - _SLOT_BITS)))]
+    packed = texts.sparkSession.sparkContext.broadcast(slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, places = np.unpackbits(packed.value).astype(bool), Places()
+        parents, wanted = (np.unpackbits(b).astype(bool) for b in packed.value)
+        places = Places()
         for whole in batches:
             for b in (whole.slice(k, 500) for k in range(0, whole.num_rows, 500)):
                 h = b.column("h").to_numpy(zero_copy_only=False)
-                row, key, goes = places(b.column("text").to_pylist(), wanted, kinds)
+                row, key, goes = places(b.column("text").to_pylist(), parents, wanted, kinds)
                 if len(row):
-                    met = np.unique(np.rec.fromarrays([h[row], key, goes], names="h,key,goes"))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(met[c])) for c in ("h", "key", "goes")], names=["h", "key", "goes"])
+                    order = np.lexsort((goes, key, row))
+                    row, key, goes = row[order], key[order], goes[order]
+                    new = np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (goes[1:] != goes[:-1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(h[row[new]]), pa.array(key[new]), pa.array(goes[new])], names=["h", "key", "goes"])
 
     found = texts.where("text is not null").select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, key bigint, goes boolean")
-    met = found.join(keys, "key", "left_semi").distinct()
-    return met.groupBy("key").agg(F.count_if(~F.col("goes")).alias("n_ends"), F.count_if("goes").alias("n_goes_on"))
+    counts = found.distinct().groupBy("key").agg(F.count_if(~F.col("goes")).alias("n_ends"), F.count_if("goes").alias("n_goes_on"))
+    return counts.join(keys.select("key").distinct(), "key", "left_semi")
 
 
 def enough(votes, goes_on, others: int, share: float):

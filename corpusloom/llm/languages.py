@@ -1,7 +1,7 @@
 """The language of short texts: function words, scripts, and character trigrams learned from the corpus.
 
 Function words name the language of texts that hold enough of them. From those texts of the corpus itself the frequencies of hashed
-character trigrams are learned for each language, over all rows; the profile (languages x 16,384 numbers, a fixed size) then names the
+character trigrams are learned for each language; the profile (languages x 16,384 numbers, a fixed size) then names the
 language of short and odd texts too. Nothing in the profile is fitted by hand.
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+#: Letters of other scripts than Latin.
+_BEYOND = re.compile(r"[\u0370-\u1fff\u2c00-\u2dff\u3040-\ud7ff\uf900-\ufaff\U00010000-\U0001f0ff\U00020000-\U000323af]")
 _KANA = re.compile(r"[぀-ヿ]")
 
 # Closed-class words (articles, pronouns, prepositions, conjunctions, auxiliaries, particles) by language.
@@ -49,7 +51,7 @@ PRIOR = 4.0
 
 def by_script(text: str) -> str | None:
     """The language of a text in another script; null for Latin letters."""
-    if text.isascii():
+    if text.isascii() or not _BEYOND.search(text):
         return None
     letters = [c for c in text if c.isalpha()]
     other = [c for c in letters if ord(c) > 0x2FF]
@@ -120,7 +122,7 @@ UNTAUGHT = Profile(np.zeros((len(NAMES), 1 << BITS)))
 
 
 def learn(texts: DataFrame, text: str = "text") -> Profile:
-    """Trigram profile from all rows whose language function words name. What reaches the driver is at most languages x 16,384 numbers."""
+    """Trigram profile from the rows whose language function words name. What reaches the driver is at most languages x 16,384 numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(NAMES) << BITS, np.int64)

@@ -3,7 +3,7 @@
 Each side's answer (without ChatML marks and think block) is compared with the user's turn. Copies: if the word shingles of one
 contain enough of the other, a bit-parallel longest common subsequence measures how much of each is covered, however often the turn is given back. Refusals: each
 of the answer's sentences, without what it quotes, is aligned by the same subsequence against refusal templates. Language: scripts and character
-trigrams learned from all turns and answers (``languages``). Truncation: open structures, a missing end mark, and last words that hardly
+trigrams learned from turns and answers (``languages``). Truncation: open structures, a missing end mark, and last words that hardly
 ever end a line or sentence in other answers and are not shared by enough unrelated answers (``endings``).
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.endings import END, END_SHARE, LINE, LINE_SHARE, OTHER_LINES, OTHER_WORDS, REMARK, WORD_SHARE, end_key, ending, enough, evidence, last_word, line_key, remark_key, sketch, vote_counts
-from corpusloom.llm.languages import UNTAUGHT, Profile, learn
+from corpusloom.llm.languages import Profile, learn
 from corpusloom.session import cut
 
 _TURN = re.compile(r"<\|im_start\|>(\w*)\n?(.*?)(?=<\|im_start\|>|$)", re.DOTALL)
@@ -59,6 +59,8 @@ LANGUAGE_NAMES = {
     "ru": "russian russisch russe ruso",
 }
 _NAME_OF = {n: k for k, v in LANGUAGE_NAMES.items() for n in v.split()}
+#: Pairs (about so many, by hash) whose turns and answers teach the language profile.
+TEACHERS = 20_000
 _ASKED = re.compile(r"(?i)\b(?:in|auf|en|into|to|ins|al)\s+(" + "|".join(_NAME_OF) + r")\b")
 _WORDING = re.compile(r"(?i)\b(?:turns? down|declin\w+|say no|refus\w+|reject\w*|absag\w*|ablehn\w*|nein sag\w*|refuser|décliner|dire non|rechaz\w+|declinar|decir que no)\b")
 #: An answer that words a message for somebody else.
@@ -99,7 +101,7 @@ def plain(text: str) -> str:
     return unquoted if _WORD.search(unquoted) else bare
 
 
-def expected_language(turn: str, profile: Profile = UNTAUGHT) -> str | None:
+def expected_language(turn: str, profile: Profile) -> str | None:
     """The language the user asks for, else that of the turn."""
     asked = _ASKED.findall(turn)
     return _NAME_OF[asked[-1].lower()] if asked else profile.name(plain(turn))
@@ -112,9 +114,9 @@ def is_copy(turn: str, answer: str) -> bool:
         a = a[1:]
     if len(u) < 2:
         return bool(u) and bool(a) and set(a) == set(u)
-    if not a:
-        return False
     pairs = set(zip(u, u[1:]))
+    if not a or (len(a) > 1 and pairs.isdisjoint(zip(a, a[1:]))):
+        return False
     inside = sum(p in pairs for p in zip(a, a[1:]))
     if inside < 0.4 * max(1, len(a) - 1):
         return False
@@ -124,7 +126,9 @@ def is_copy(turn: str, answer: str) -> bool:
 
 
 def refusal_sentences(answer: str) -> tuple[int, int]:
-    """Number of sentences that decline and of all sentences, without quotations and block quotes."""
+    """Number of sentences that decline and of all sentences, without quotations and block quotes; none of either without a word of refusals."""
+    if not _ANCHOR.search(answer):
+        return 0, 0
     text = _CALLS.sub(" ", answer)
     text = re.sub(r"(?m)^\s*>.*$", " ", text)
     text = _QUOTED.sub(" QUOTED ", text)
@@ -146,19 +150,18 @@ def _aligned(template: list[str], ws: list[str]) -> bool:
     return any(ws[i] == template[0] and lcs(template, ws[i : i + span]) >= need for i in range(len(ws)))
 
 
-def defect_of(turn: str, side: str | None, profile: Profile = UNTAUGHT) -> tuple[str | None, str]:
-    """The defect of a side, or null, and the text whose ending is still to be judged (empty if it isn't)."""
+def defect_of(turn: str, side: str | None, profile: Profile, want: str | None) -> tuple[str | None, str]:
+    """The defect of a side, or null, and the text whose ending is still to be judged (empty if it isn't); ``want`` is the language asked for."""
     last, whole, closed = answer_of(side)
     if not _HIDDEN.sub("", whole):
         return "empty", ""
-    if is_copy(turn, last) or (is_copy(turn, whole) and not _CALLS.search(whole)):
+    if is_copy(turn, last) or (whole != last and is_copy(turn, whole) and not _CALLS.search(whole)):
         return "copy", ""
     refusing, sentences = refusal_sentences(last)
     if refusing and not (_WORDING.search(turn) and (_LETTER.search(last) or sentences > 3 * refusing + 2)):
         return "refusal", ""
     if last.count("```") % 2 or last.count("<tool_call>") != last.count("</tool_call>") or not closed:
         return "truncated", ""
-    want = expected_language(turn, profile)
     got = profile.name(plain(last), want) if want else None
     return ("language" if want and got and want != got else None), last
 
@@ -185,9 +188,12 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
     """
     kind = pairs.schema["pair_id"].dataType.simpleString()
     base = pairs.select("pair_id", "prompt_text", "chosen_text", "rejected_text")
-    known_to_all = pairs.sparkSession.sparkContext.broadcast(learn(base.mapInArrow(_texts, "text string")))
-    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64())]
-    names = ["side", "defect", "how", "end_key", "line_key", "word", "remark_key", "sketch"]
+    # the profile is a classifier of its own: any sample of TEACHERS pairs, by hash, teaches it
+    taught_by = F.pmod(F.xxhash64("pair_id"), F.lit(max(pairs.count(), 1))) < TEACHERS
+    known_to_all = pairs.sparkSession.sparkContext.broadcast(learn(base.where(taught_by).mapInArrow(_texts, "text string")))
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+    names = ["side", "defect", "how", "end_key", "end_slot", "line_key", "line_slot", "word", "remark_key", "remark_slot", "sketch"]
+    nothing = (None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profile = known_to_all.value
@@ -195,24 +201,25 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for p, prompt, chosen, rejected in zip(*(b.column(c).to_pylist() for c in ("pair_id", "prompt_text", "chosen_text", "rejected_text"))):
                 turn = user_turn(prompt)
+                want = expected_language(turn, profile)
                 for side, text in (("chosen", chosen), ("rejected", rejected)):
-                    defect, answer = defect_of(turn, text, profile)
+                    defect, answer = defect_of(turn, text, profile, want)
                     how, _, body = ending(answer) if answer else ("whole", False, "")
                     if how == "open":
                         word = last_word(body)
-                        out.append((p, side, defect, how, end_key(body), line_key(body), word, remark_key(body) if word else None, sketch(body)))
+                        out.append((p, side, defect, how, *(end_key(body) or nothing), *(line_key(body) or nothing), word, *((remark_key(body) if word else None) or nothing), sketch(body)))
                     elif defect or how == "inside":
-                        out.append((p, side, "truncated" if how == "inside" else defect, "known", None, None, None, None, None))
-            cols = list(zip(*out)) if out else [[]] * 9
+                        out.append((p, side, "truncated" if how == "inside" else defect, "known", *[None] * 8))
+            cols = list(zip(*out)) if out else [[]] * 12
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [b.schema.field("pair_id").type, *types])], names=["pair_id", *names])
 
-    rows = cut(base.mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key bigint, line_key bigint, word string, remark_key bigint, sketch array<bigint>"))
+    rows = cut(base.mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key bigint, end_slot int, line_key bigint, line_slot int, word string, remark_key bigint, remark_slot int, sketch array<bigint>"))
     known = rows.where("how = 'known'").select("pair_id", "side", "defect")
     asked = rows.where("how = 'open'")
     lines = cut(vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES).withColumnRenamed("votes", "line_n"))
     words = cut(vote_counts(asked.where("word is not null"), "word").where(F.col("votes") > OTHER_WORDS).withColumnRenamed("votes", "word_n"))
-    remarks = asked.join(words, "word", "left_semi").select("remark_key")
-    keys = asked.select(F.col("end_key").alias("key")).unionByName(lines.select(F.col("line_key").alias("key"))).unionByName(remarks.select(F.col("remark_key").alias("key")))
+    of = lambda df, kind: df.select(F.col(f"{kind}_key").alias("key"), F.col(f"{kind}_slot").alias("slot"))
+    keys = of(asked, "end").unionByName(of(asked.join(lines, "line_key", "left_semi"), "line")).unionByName(of(asked.join(words, "word", "left_semi"), "remark"))
     answers = pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(_answers, "text string")
     rates = cut(evidence(answers, keys, (END, LINE, REMARK)))
     on = lambda key, name: rates.select(F.col("key").alias(key), F.col("n_goes_on").alias(name))

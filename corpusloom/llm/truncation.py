@@ -36,7 +36,9 @@ def _features(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
             texts = b.column("text").to_pylist()
             ends = [ending(t) if t and t.strip() else ("whole", False, "") for t in texts]
             is_open = [e[0] == "open" for e in ends]
-            lines = [line_key(e[2]) if o else None for e, o in zip(ends, is_open)]
+            nothing = (None, None)
+            keys = [(end_key(e[2]) or nothing) if o else nothing for e, o in zip(ends, is_open)]
+            lines = [(line_key(e[2]) or nothing) if o else nothing for e, o in zip(ends, is_open)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("key"),
@@ -46,15 +48,17 @@ def _features(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
                     pa.array([len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts], pa.int32()),
                     pa.array([e[0] for e in ends], pa.string()),
                     pa.array([e[1] for e in ends], pa.bool_()),
-                    pa.array([end_key(e[2]) if o else None for e, o in zip(ends, is_open)], pa.int64()),
-                    pa.array(lines, pa.int64()),
-                    pa.array([sketch(e[2]) if k is not None else None for e, k in zip(ends, lines)], pa.list_(pa.int64())),
+                    pa.array([k[0] for k in keys], pa.int64()),
+                    pa.array([k[1] for k in keys], pa.int32()),
+                    pa.array([k[0] for k in lines], pa.int64()),
+                    pa.array([k[1] for k in lines], pa.int32()),
+                    pa.array([sketch(e[2]) if k[0] is not None else None for e, k in zip(ends, lines)], pa.list_(pa.int64())),
                 ],
-                names=["key", "source", "h", "chars", "bytes", "kind", "marked", "end_key", "line_key", "sketch"],
+                names=["key", "source", "h", "chars", "bytes", "kind", "marked", "end_key", "end_slot", "line_key", "line_slot", "sketch"],
             )
 
     cols = docs.select(F.col(key).alias("key"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    return cols.mapInArrow(run, f"key {kind}, source string, h bigint, chars int, bytes int, kind string, marked boolean, end_key bigint, line_key bigint, sketch array<bigint>")
+    return cols.mapInArrow(run, f"key {kind}, source string, h bigint, chars int, bytes int, kind string, marked boolean, end_key bigint, end_slot int, line_key bigint, line_slot int, sketch array<bigint>")
 
 
 def length_limits(rows: DataFrame) -> DataFrame:
@@ -99,7 +103,8 @@ def truncated_texts(docs: DataFrame, key: str = "doc_id", source: str = "source"
     asked = placed.where("kind = 'open' and not at_limit")
     votes = vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES)
     votes = cut(votes)
-    keys = asked.select(F.col("end_key").alias("key")).unionByName(votes.select(F.col("line_key").alias("key")))
+    shared = asked.join(votes.select("line_key"), "line_key", "left_semi")
+    keys = asked.select(F.col("end_key").alias("key"), F.col("end_slot").alias("slot")).unionByName(shared.select(F.col("line_key").alias("key"), F.col("line_slot").alias("slot")))
     rates = cut(evidence(docs.select(F.col(text).alias("text")), keys, (END, LINE)))
     ends = rates.select(F.col("key").alias("end_key"), "n_ends", F.col("n_goes_on").alias("end_on"))
     lines = votes.join(rates.select(F.col("key").alias("line_key"), F.col("n_goes_on").alias("line_on")), "line_key", "left")

@@ -182,11 +182,11 @@ def test_ending_kinds():
 def test_places_like_plain_scan():
     """Ends and goings-on of all word sequences, against a scan by hand; long lines and long words are read whole."""
     text = "The old house is here. And so it was\n" + "the old lighthouse stood " * 40 + "\nend of " + "w" * 300 + "\nlast line"
-    _, keys, goes = endings.Places()([None, "", text], np.ones(1 << 22, bool), (endings.END, endings.LINE, endings.REMARK))
+    _, keys, goes = endings.Places()([None, "", text], np.ones(1 << 22, bool), np.ones(1 << 22, bool), (endings.END, endings.LINE, endings.REMARK))
     got = {}
     for k, g in zip(keys.tolist(), goes.tolist()):
         got.setdefault(k, set()).add(g)
-    of = lambda words, kind: got.get(endings.words_key(words.split(), kind))
+    of = lambda words, kind: got.get(endings.words_key(words.split(), kind)[0])
     assert of("the old house", endings.END) == {True} and of("house is here", endings.END) == {False} and of("the old light", endings.END) == {True}
     assert of("so it was", endings.END) == {False} and of("lighthouse stood", endings.END) is None and of("old lighthouse stood", endings.END) == {True, False}
     assert of(("the old lighthouse stood " * 40).strip(), endings.LINE) == {False} and of("and so it was", endings.REMARK) == {False}
@@ -195,8 +195,8 @@ def test_places_like_plain_scan():
 
 def test_evidence_counts_distinct_texts(spark):
     rows = [("we met at the gate\nmore",), ("we met at the gate\nmore",), ("at the gate. More",), ("at the gates of\nmore",), ("at the gate we met",), (None,), ("",)]
-    key = endings.words_key("at the gate".split(), endings.END)
-    got = endings.evidence(spark.createDataFrame(rows, "text string"), spark.createDataFrame([(key,), (None,), (5,)], "k bigint"), (endings.END,)).collect()
+    key, slot = endings.words_key("at the gate".split(), endings.END)
+    got = endings.evidence(spark.createDataFrame(rows, "text string"), spark.createDataFrame([(key, slot), (None, None), (5, 7)], "key bigint, slot int"), (endings.END,)).collect()
     assert [(r["key"], r["n_ends"], r["n_goes_on"]) for r in got] == [(key, 2, 2)]
 
 
