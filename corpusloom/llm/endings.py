@@ -152,15 +152,17 @@ def ending(text: str) -> tuple[str, bool, str]:
     return "inside" if len(words) > 3 and (body[-1] in ",;(–—-" or words[-1] in DANGLING) else "open", marked, body
 
 
-_HASHES = np.random.default_rng(10).integers(1, (1 << 31) - 1, (2, 128, 1))
+#: Odd multipliers and offsets of a multiply-shift hash family.
+_HASHES = np.random.default_rng(10).integers(1, 1 << 63, (2, 128, 1)).astype(np.uint64) | np.array([1, 0], np.uint64).reshape(2, 1, 1)
 
 
 def sketch(body: str) -> list[int]:
     """Sixteen bands of eight minima over hashes of the three-word shingles before the last sentence or line (of all, if nothing is before it): near copies share a band, texts that only end alike none."""
     head = body[: len(body) - len(last_part(body))]
     ws = (head if head.strip() else body).lower().split()
-    h = np.array(list({zlib.crc32(" ".join(ws[i : i + 3]).encode("utf-8", "surrogatepass")) >> 1 for i in range(max(1, len(ws) - 2))}), np.int64)
-    low = ((_HASHES[0] * h + _HASHES[1]) % ((1 << 31) - 1)).min(axis=1).astype(np.int64)
+    h = np.array(list({zlib.crc32(" ".join(ws[i : i + 3]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(ws) - 2))}), np.uint64)
+    with np.errstate(over="ignore"):
+        low = ((_HASHES[0] * h + _HASHES[1]) >> np.uint64(32)).min(axis=1)
     return [zlib.crc32(band.tobytes()) for band in low.reshape(16, 8)]
 
 
@@ -191,8 +193,8 @@ class Places:
             own = _PIECE.findall(_DIGITS.sub("0", t.lower())) if t else ()
             pieces += own
             size.append(len(own))
-        number: dict[str, int] = {}
-        ids = np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.int64, len(pieces))
+        number = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
+        ids = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
         # of each distinct piece: word, end of a sentence, end of a line
         kind_of = np.array([0 if p[0].isalnum() else 2 if "\n" in p else 1 for p in number] or [0])
         row, mark = np.repeat(np.arange(len(texts)), size), kind_of[ids] if len(ids) else ids
@@ -245,18 +247,20 @@ def _bitmap(slots: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def evidence(texts: DataFrame, asked: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
+def evidence(texts: DataFrame, asked: DataFrame, kinds: tuple[int, ...], repeated: DataFrame) -> DataFrame:
     """``key, n_ends, n_goes_on`` of asked keys (``key, slot``): in how many distinct ``text`` a line or sentence that is not the last ends so, and in how many it goes on or the last word is longer.
 
-    The asked keys go to the tasks as two bitmaps of 2**22 slots (512 KB each, whatever their number), the only thing the driver collects; what
-    comes back is one row for each text and asked key that meet, joined with the keys themselves.
+    ``repeated`` holds the hashes (one column) of the texts that occur more than once: only those come back one by one, to be told apart; all others are
+    counted where they are read. The asked keys and the repeated hashes go to the tasks as bitmaps of 2**22 slots (512 KB each, whatever their number), the only
+    things the driver collects; a text that only shares a slot with a repeated one comes back one by one too, so the counts are exact.
     """
     keys = cut(asked.where("key is not null").distinct())
-    slots = [_bitmap(keys.select("slot")), _bitmap(keys.select(F.shiftrightunsigned("key", 64 - _SLOT_BITS)))]
+    top = 64 - _SLOT_BITS
+    slots = [_bitmap(keys.select("slot")), _bitmap(keys.select(F.shiftrightunsigned("key", top))), _bitmap(repeated.select(F.shiftrightunsigned(repeated.columns[0], top)))]
     packed = texts.sparkSession.sparkContext.broadcast(slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parents, wanted = (np.unpackbits(b).astype(bool) for b in packed.value)
+        parents, wanted, twice = (np.unpackbits(b).astype(bool) for b in packed.value)
         places = Places()
         for whole in batches:
             for b in (whole.slice(k, 500) for k in range(0, whole.num_rows, 500)):
@@ -266,10 +270,22 @@ def evidence(texts: DataFrame, asked: DataFrame, kinds: tuple[int, ...]) -> Data
                     order = np.lexsort((goes, key, row))
                     row, key, goes = row[order], key[order], goes[order]
                     new = np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (goes[1:] != goes[:-1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(h[row[new]]), pa.array(key[new]), pa.array(goes[new])], names=["h", "key", "goes"])
-
-    found = texts.where("text is not null").select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, key bigint, goes boolean")
-    counts = found.distinct().groupBy("key").agg(F.count_if(~F.col("goes")).alias("n_ends"), F.count_if("goes").alias("n_goes_on"))
+                    own, key, goes = h[row[new]], key[new], goes[new]
+                    alone = ~twice[(own.view(np.uint64) >> np.uint64(top)).astype(np.int64)]
+                    met, n = np.unique(np.stack([key[alone], goes[alone].astype(np.int64)]), axis=1, return_counts=True)
+                    one = np.count_nonzero(~alone)
+                    columns = [
+                        pa.array(np.append(own[~alone], np.zeros(len(n), np.int64)), mask=np.append(np.zeros(one, bool), np.ones(len(n), bool))),
+                        pa.array(np.append(key[~alone], met[0])),
+                        pa.array(np.append(goes[~alone], met[1] > 0)),
+                        pa.array(np.append(np.ones(one, np.int64), n)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "goes", "n"])
+
+    found = texts.where("text is not null").select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h bigint, key bigint, goes boolean, n bigint")
+    # one row for each repeated text, and the sum of the counts of all others
+    once = found.groupBy("h", "key", "goes").agg(F.when(F.col("h").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"))
+    counts = once.groupBy("key").agg(F.sum(F.when(F.col("goes"), 0).otherwise(F.col("n"))).alias("n_ends"), F.sum(F.when(F.col("goes"), F.col("n")).otherwise(0)).alias("n_goes_on"))
     return counts.join(keys.select("key").distinct(), "key", "left_semi")
 
 

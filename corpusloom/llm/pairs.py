@@ -220,8 +220,9 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
     words = cut(vote_counts(asked.where("word is not null"), "word").where(F.col("votes") > OTHER_WORDS).withColumnRenamed("votes", "word_n"))
     of = lambda df, kind: df.select(F.col(f"{kind}_key").alias("key"), F.col(f"{kind}_slot").alias("slot"))
     keys = of(asked, "end").unionByName(of(asked.join(lines, "line_key", "left_semi"), "line")).unionByName(of(asked.join(words, "word", "left_semi"), "remark"))
-    answers = pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(_answers, "text string")
-    rates = cut(evidence(answers, keys, (END, LINE, REMARK)))
+    answers = cut(pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(_answers, "text string"))
+    repeated = answers.groupBy(F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    rates = cut(evidence(answers, keys, (END, LINE, REMARK), repeated))
     on = lambda key, name: rates.select(F.col("key").alias(key), F.col("n_goes_on").alias(name))
     judged = asked.join(rates.select(F.col("key").alias("end_key"), "n_ends", F.col("n_goes_on").alias("end_on")), "end_key", "left")
     judged = judged.join(lines.join(on("line_key", "line_on"), "line_key", "left"), "line_key", "left").join(words, "word", "left").join(on("remark_key", "word_on"), "remark_key", "left")

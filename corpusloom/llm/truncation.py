@@ -103,9 +103,10 @@ def truncated_texts(docs: DataFrame, key: str = "doc_id", source: str = "source"
     asked = placed.where("kind = 'open' and not at_limit")
     votes = vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES)
     votes = cut(votes)
+    repeated = rows.where("chars > 0").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     shared = asked.join(votes.select("line_key"), "line_key", "left_semi")
     keys = asked.select(F.col("end_key").alias("key"), F.col("end_slot").alias("slot")).unionByName(shared.select(F.col("line_key").alias("key"), F.col("line_slot").alias("slot")))
-    rates = cut(evidence(docs.select(F.col(text).alias("text")), keys, (END, LINE)))
+    rates = cut(evidence(docs.select(F.col(text).alias("text")), keys, (END, LINE), repeated))
     ends = rates.select(F.col("key").alias("end_key"), "n_ends", F.col("n_goes_on").alias("end_on"))
     lines = votes.join(rates.select(F.col("key").alias("line_key"), F.col("n_goes_on").alias("line_on")), "line_key", "left")
     judged = placed.join(ends, "end_key", "left").join(lines, "line_key", "left")

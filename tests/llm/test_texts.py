@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import endings, languages, mojibake, pairs, personal, repetition, splits, truncation
 
@@ -196,7 +197,9 @@ def test_places_like_plain_scan():
 def test_evidence_counts_distinct_texts(spark):
     rows = [("we met at the gate\nmore",), ("we met at the gate\nmore",), ("at the gate. More",), ("at the gates of\nmore",), ("at the gate we met",), (None,), ("",)]
     key, slot = endings.words_key("at the gate".split(), endings.END)
-    got = endings.evidence(spark.createDataFrame(rows, "text string"), spark.createDataFrame([(key, slot), (None, None), (5, 7)], "key bigint, slot int"), (endings.END,)).collect()
+    texts, asked = spark.createDataFrame(rows, "text string"), spark.createDataFrame([(key, slot), (None, None), (5, 7)], "key bigint, slot int")
+    repeated = texts.groupBy(F.xxhash64("text").alias("h")).count().where("count > 1").select("h")
+    got = endings.evidence(texts, asked, (endings.END,), repeated).collect()
     assert [(r["key"], r["n_ends"], r["n_goes_on"]) for r in got] == [(key, 2, 2)]
 
 
