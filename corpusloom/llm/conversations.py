@@ -29,6 +29,8 @@ from corpusloom.session import cut
 _NO_WORD = re.compile(r"[^\w]+")
 WINDOW = 16
 MENTION, CHANGE = 2.0, 0.25
+#: A link of a lower score is none where several conversations may run in a channel.
+BREAK_BELOW = 0.9
 
 
 def _tokens(text: Column) -> Column:

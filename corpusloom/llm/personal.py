@@ -1,8 +1,11 @@
 """Personal data in free text (problem 7).
 
-Regular expressions propose spans of each kind; checksum validators (Luhn for cards, mod-97 for IBANs, mod-23 letters,
-weekday-free date shapes) confirm or reject numbers; words nearby raise or lower the score of a span. Spans that reach
+Regular expressions propose spans of each kind; checksum validators (Luhn for cards, mod-97 for IBANs, mod-23 letters) confirm or
+reject numbers, and shapes of dates are no phone numbers; words nearby raise or lower the score of a span. Spans that reach
 their threshold become typed placeholders. Kinds are tried in a fixed order and a span is never used twice.
+
+The lists of words are general ones, written by hand: common given names beside the table of given names, usual endings of surnames, and capitalised words that
+begin sentences or name places and firms. A name in lower case is not found.
 """
 
 from __future__ import annotations
@@ -254,25 +257,43 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def personal_data(texts: DataFrame, keys: list[str], text: str = "text", given_names: DataFrame | None = None, redacted: bool = False) -> DataFrame:
-    """``keys, kinds`` of each text with personal data, or with ``redacted`` ``keys, kinds, text`` with placeholders.
+#: Given names that are sent to the tasks at once; more are joined with the words of the texts.
+SENT_NAMES = 100_000
+_NAME_WORD_JVM = r"(?U)([A-ZÀ-ÖØ-Þ][\p{L}'’]{1,})"
+
+
+def personal_data(texts: DataFrame, keys: list[str], text: str = "text", given_names: DataFrame | None = None, redacted: bool = False, sent_names: int = SENT_NAMES) -> DataFrame:
+    """``keys, kinds`` of each text with personal data, or with ``redacted`` ``keys, kinds, redacted`` with placeholders.
 
-    Null and empty texts hold none and are left out. Texts of any length are read whole. The table of given names
-    (a fixed few rows, at most 100,000, else an error) goes to the tasks with the function. No shuffle.
+    Null and empty texts hold none and are left out. Texts of any length are read whole. A table of up to ``sent_names`` given names goes to the tasks with the
+    function, and nothing is shuffled; of a larger one each distinct text is joined with the names among its own words. Both ways give the same result.
     """
-    given = GIVEN
+    given, own = GIVEN, None
+    t = F.col(text)
+    # nothing can be found in a text without a digit, an at, a capital or a spelled number
+    may = t.rlike(r"[0-9@A-ZÀ-ÖØ-Þ]|\bat\b|\(at|\[at|arroba") | t.rlike(r"(?i)(?:\b\p{L}{2,6}\b[\s,.-]+){6}")
+    rows = texts.select(*keys, t.alias("_text")).where(may)
     if given_names is not None:
-        names = given_names.select("given_name").where("given_name is not null").distinct().limit(100_001).collect()
-        if len(names) > 100_000:
-            raise ValueError("the table of given names is too large to be sent to the tasks")
-        given = GIVEN | {r[0].strip().capitalize() for r in names}
+        names = given_names.where("given_name is not null").select(F.initcap(F.trim("given_name")).alias("name")).distinct()
+        sent = names.limit(sent_names + 1).collect()
+        if len(sent) <= sent_names:
+            given = GIVEN | {r[0] for r in sent}
+        else:
+            hashes = [F.xxhash64("_text").alias("_h1"), F.xxhash64(F.lit(7), F.col("_text")).alias("_h2")]
+            words = F.array_distinct(F.transform(F.regexp_extract_all("_text", F.lit(_NAME_WORD_JVM), 1), F.initcap))
+            held = rows.select(*hashes, words.alias("_w")).dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", F.explode("_w").alias("name"))
+            met = held.join(names, "name").groupBy("_h1", "_h2").agg(F.collect_set("name").alias("_own"))
+            rows = rows.select("*", *hashes).join(met, ["_h1", "_h2"], "left").select(*keys, "_text", "_own")
+            own = "_own"
     head = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, kinds, clean = [], [], []
+            theirs = b.column(own).to_pylist() if own else None
             for i, t in enumerate(b.column("_text").to_pylist()):
-                if spans := find_personal(t, given):
+                known = given | set(theirs[i]) if theirs and theirs[i] else given
+                if spans := find_personal(t, known):
                     keep.append(i)
                     kinds.append([k for k in KINDS if any(s[2] == k for s in spans)])
                     if redacted:
@@ -281,7 +302,4 @@ def personal_data(texts: DataFrame, keys: list[str], text: str = "text", given_n
             cols = [*(b.column(k).take(at) for k in keys), pa.array(kinds, pa.list_(pa.string()))] + ([pa.array(clean, pa.string())] if redacted else [])
             yield pa.RecordBatch.from_arrays(cols, names=[*keys, "kinds"] + ["redacted"] * redacted)
 
-    t = F.col(text)
-    # nothing can be found in a text without a digit, an at, a capital or a spelled number
-    may = t.rlike(r"[0-9@A-ZÀ-ÖØ-Þ]|\bat\b|\(at|\[at|arroba") | t.rlike(r"(?i)(?:\b\p{L}{2,6}\b[\s,.-]+){6}")
-    return texts.select(*keys, t.alias("_text")).where(may).mapInArrow(run, f"{head}, kinds array<string>" + (", redacted string" if redacted else ""))
+    return rows.mapInArrow(run, f"{head}, kinds array<string>" + (", redacted string" if redacted else ""))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.conversations import rebuilt_conversations
+from corpusloom.llm.conversations import BREAK_BELOW, rebuilt_conversations, reply_links
 from corpusloom.llm.mojibake import garbled_texts
 from corpusloom.llm.packing import fill_containers
 from corpusloom.llm.personal import personal_data
@@ -16,6 +16,7 @@ from corpusloom.llm.repetition import record_texts, repeated_content
 from corpusloom.llm.splits import STAND_INS, assign_splits, record_groups, record_keys
 from corpusloom.llm.tokenizer import count_tokens, encode_texts
 from corpusloom.llm.truncation import truncated_texts
+from corpusloom.operators.deliveries import drop_repeated, keyed_messages
 from corpusloom.queries import SQL_MESSAGES, SQL_WS
 from corpusloom.session import cut, table
 
@@ -86,6 +87,24 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_containers(count_tokens(table(spark, sf_dir, "documents"), "doc_id"), "doc_id", "n_tokens", 2048)
 
 
+def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two tables of one row each as one row."""
+    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one")
+
+
+@query("p9_checks", "select count(*) as n_texts, 0 as n_missing, 0 as n_overfull, 0 as n_overlaps, 0 as n_split_though_small, 0 as n_holes, true as near_least from documents")
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: every text is there and whole, none is overfull, no pieces overlap, no small text is split, and they are within 11/9 of the least number."""
+    sizes = count_tokens(table(spark, sf_dir, "documents"), "doc_id")
+    p = cut(fill_containers(sizes, "doc_id", "n_tokens", 2048))
+    texts = p.groupBy("doc_id").agg(F.sum("piece_size").alias("size"), F.count(F.lit(1)).alias("pieces")).join(sizes, "doc_id", "full")
+    t = texts.agg(F.count(F.lit(1)).alias("n_texts"), F.count_if(~F.coalesce(F.col("size") == F.col("n_tokens"), F.lit(False))).alias("n_missing"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= 2048)).alias("n_split_though_small"), F.sum("n_tokens").alias("tokens"))
+    boxes = p.where("container_no is not null").groupBy("container_no").agg(F.sum("piece_size").alias("size"), F.max(F.col("container_start") + F.col("piece_size")).alias("end"), F.count_distinct("container_start").alias("starts"), F.count(F.lit(1)).alias("pieces"))
+    b = boxes.agg(F.count(F.lit(1)).alias("boxes"), F.count_if(F.col("end") > 2048).alias("n_overfull"), F.count_if((F.col("starts") < F.col("pieces")) | (F.col("end") < F.col("size"))).alias("n_overlaps"), (F.max("container_no") + 1 - F.count(F.lit(1))).alias("n_holes"))
+    near = F.col("boxes") <= F.ceil(F.col("tokens") / 2048) * 11 / 9 + 2
+    return _beside(t, b).select("n_texts", "n_missing", "n_overfull", "n_overlaps", "n_split_though_small", "n_holes", near.alias("near_least"))
+
+
 @query("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose text is garbled in whole or in part."""
@@ -98,6 +117,16 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled_texts(table(spark, sf_dir, "chat_messages"), "row_id")
 
 
+@query("p4_checks", "select 0 as n_not_finished, 0 as n_unknown, 0 as n_ascii")
+def p4_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of restored texts: nothing garbled is found in those without loss, and each belongs to a message beyond ASCII."""
+    chat = table(spark, sf_dir, "chat_messages")
+    found = cut(garbled_texts(chat, "row_id"))
+    again = garbled_texts(found.where("not lossy"), "row_id", "restored").agg(F.count(F.lit(1)).alias("n_not_finished"))
+    texts = found.select("row_id").join(chat.select("row_id", "text"), "row_id", "left").agg(F.count_if(F.col("text").isNull()).alias("n_unknown"), F.count_if(~F.col("text").rlike(r"[^\x00-\x7f]")).alias("n_ascii"))
+    return _beside(again, texts).drop("_one")
+
+
 def _personal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     chat = table(spark, sf_dir, "chat_messages").select(F.lit("chat_messages").alias("tab"), F.col("row_id").alias("row_key"), F.lit(0).cast("bigint").alias("msg_no"), "text")
     m = table(spark, sf_dir, "conv_records").select("rec_no", F.posexplode("messages.content").alias("msg_no", "text"))
@@ -172,6 +201,29 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_splits(cut(_groups(spark, sf_dir)), {"train": 0.8, "validation": 0.1, "test": 0.1}).select("rec_no", "split")
 
 
+@query(
+    "p3_split_checks",
+    """select split, 0 as n_torn_groups, true as near_share from (select unnest(['train', 'validation', 'test']) as split)""",
+)
+def p3_split_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the splits: no group is in two of them, and each has its share of the rows within a bin's width or the largest group."""
+    shares = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    s = cut(assign_splits(cut(_groups(spark, sf_dir)), shares))
+    groups = s.groupBy("group_no").agg(F.count_distinct("split").alias("k"), F.min("split").alias("split"), F.count(F.lit(1)).alias("n"))
+    torn = groups.groupBy("split").agg(F.count_if(F.col("k") > 1).alias("n_torn_groups"), F.sum("n").alias("n"))
+    total = groups.agg(F.sum("n").alias("total"), F.max("n").alias("most"))
+    want = F.coalesce(*[F.when(F.col("split") == k, F.lit(v)) for k, v in shares.items()])
+    near = F.abs(F.col("n") / F.col("total") - want) <= F.greatest(F.lit(2 / 240), F.col("most") / F.col("total"))
+    return torn.join(F.broadcast(total)).select("split", "n_torn_groups", near.alias("near_share"))
+
+
+@query("p6_threads")
+def p6_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of each source by reply links alone, as if the conversation ids were not known: for every message its thread, the turn in its source at which it begins."""
+    m = drop_repeated(keyed_messages(table(spark, sf_dir, "chat_messages"))).where("sender_key is not null and ts_us is not null and source is not null")
+    return reply_links(m, "source", break_below=BREAK_BELOW).select("source", "row_id", "turn_no", "parent_turn", "root_turn")
+
+
 @query("p5_divergence")
 def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of every content and thought from its language's character classes and common words, with its share of repeated words."""

@@ -164,6 +164,14 @@ def test_redacted_text(spark):
     assert personal.personal_data(df.limit(0), ["k"]).count() == 0
 
 
+def test_given_names_of_any_number(spark):
+    """Beyond the bound names are joined with the texts instead of sent; the result is the same."""
+    df = spark.createDataFrame([(1, "ask Zorro Kelensson at the desk"), (2, "ask Zorro Kelensson at the desk"), (3, "Yuzu Kelensson came"), (4, None)], "k bigint, text string")
+    names = spark.createDataFrame([("Zorro",), ("yuzu ",), ("Xara",), (None,)], "given_name string")
+    both = [sorted((r["k"], r["redacted"]) for r in personal.personal_data(df, ["k"], given_names=names, redacted=True, sent_names=n).collect()) for n in (100, 1)]
+    assert both[0] == both[1] and [k for k, _ in both[0]] == [1, 2, 3]
+
+
 def test_validators():
     assert personal.luhn("4111111111111111") and not personal.luhn("4111111111111112")
     assert personal.mod97("GB82 WEST 1234 5698 7654 32") and not personal.mod97("GB83 WEST 1234 5698 7654 32")
