@@ -105,7 +105,7 @@ def yaml_quote(c: Column) -> Column:
 
 def clean_url(c: Column) -> Column:
     """Scheme, host and path only."""
-    return F.regexp_replace(c, "[?#].*$", "")
+    return F.regexp_replace(c, "(?s)[?#].*", "")
 
 
 def shorten(c: Column, limit: int) -> Column:

@@ -35,7 +35,7 @@ select doc_id,
   sha256(case when length(one) <= 80 then one else rtrim(case when contains(head, ' ') and regexp_extract(head, '(?s)^(.*)\\s', 1) <> '' then regexp_extract(head, '(?s)^(.*)\\s', 1) else head end) || '…' end) as shortened,
   sha256(case when length(bare) <= 120 then bare else case when regexp_extract(lines, '(?s)^(.*)\\n', 1) = '' then lines else regexp_extract(lines, '(?s)^(.*)\\n', 1) end || chr(10) || '…' end) as summary,
   sha256({_strip("regexp_replace(t, '(?m)^```[A-Za-z0-9]*[ \\t]*$\\n?', '', 'g')")}) as unfenced,
-  sha256(regexp_replace(t, '[?#].*$', '')) as cleaned,
+  sha256(regexp_replace(t, '(?s)[?#].*', '')) as cleaned,
   sha256(regexp_replace(lower(substr(t, 1, 1)) || substr(t, 2), '[.!]+$', '')) as sloppy,
   len(regexp_extract_all(t, '(?m)^[ \\t]*\\d+[.)][ \\t]+(.*\\S)[ \\t]*$', 1)) as n_items
 from h""",
