@@ -75,19 +75,41 @@ def agreement(x: Column, y: Column, perms: int = PERMS) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, e: acc + e) / F.lit(float(perms))
 
 
-def near_pairs(signed: DataFrame, pos: str, threshold: float, bands: int = BANDS, perms: int = PERMS) -> DataFrame:
+#: A bucket of more signatures than this is split before its members are paired.
+HOT_BUCKET = 64
+
+
+def _bucket_pairs(banded: DataFrame, perms: int, rows: int, threshold: float, hot: int) -> DataFrame:
+    """``a, b`` (a < b) of the representatives that share a bucket and may agree in ``threshold``: of small buckets all pairs, of hot ones those that share part of the rest too.
+
+    Two signatures that agree in the threshold differ in at most ``d`` of the positions outside the band. Cut into more than ``d`` groups, these have one on
+    which both agree, so pairing within (bucket, group, its values) loses none, however many signatures a common passage puts into a bucket.
+    """
+    differ = int((1 - threshold) * perms)
+    width = max(1, (perms - rows) // (differ + 1))
+    groups = -(-(perms - rows) // width)
+    n = banded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    met = banded.join(n, ["band", "bucket"])
+    rest = F.concat(F.slice("sig", F.lit(1), F.col("band") * rows), F.slice("sig", F.col("band") * rows + rows + 1, F.lit(perms)))
+    parts = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.xxhash64(g, F.slice(rest, g * width + 1, width)))
+    keyed = met.where(F.col("_n") <= hot).select("band", "bucket", F.lit(0).cast("bigint").alias("part"), "rep").unionByName(met.where(F.col("_n") > hot).select("band", "bucket", F.explode(parts).alias("part"), "rep"))
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "bucket", "part")]
+    pairs = keyed.alias("l").join(keyed.alias("r"), [*on, F.col("l.rep") < F.col("r.rep")])
+    return pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+
+
+def near_pairs(signed: DataFrame, pos: str, threshold: float, bands: int = BANDS, perms: int = PERMS, hot: int = HOT_BUCKET) -> DataFrame:
     """``pos, earlier``: for each signature the smallest earlier position that shares a band and agrees in ``threshold``.
 
     Equal signatures are one class with its first member as representative: only representatives meet in buckets,
-    the other members point to it. Buckets are equi-joined, so the optimizer splits skewed ones; the pairs are reduced map-side.
+    the other members point to it. Buckets are equi-joined, hot ones in parts (``_bucket_pairs``); the pairs are reduced map-side.
     """
     rows = perms // bands
     s = signed.where("sig is not null").withColumn("cls", F.xxhash64("sig"))
     first = s.groupBy("cls", "sig").agg(F.min(pos).alias("rep"))
-    banded = first.select("rep", "sig", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.slice(F.col("sig"), i * rows + 1, rows)))).alias("band", "bucket"))
-    keys = banded.select("band", "bucket", "rep")
-    pairs = keys.alias("l").join(keys.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.rep") < F.col("r.rep")))
-    pairs = pairs.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    values = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.slice(F.col("sig"), i * rows + 1, rows)))
+    banded = first.select("rep", "sig", F.posexplode(values).alias("band", "bucket"))
+    pairs = _bucket_pairs(banded, perms, rows, threshold, hot)
     sigs = first.select("rep", "sig")
     checked = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(agreement(F.col("sa"), F.col("sb"), perms) >= threshold)
     best = checked.groupBy("b").agg(F.min("a").alias("a"))

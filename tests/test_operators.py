@@ -276,3 +276,19 @@ def test_lane_verifiers(spark):
     df = frame(spark, rec(scene, "## Scene x"), rec([msg("user", "a"), msg("assistant", "User: I say"), msg("user", "b"), msg("assistant", "x")]))
     a, b = df.select(verifiers.scene_wellformed(F.col("messages"), F.col("system"))["passed"].alias("s"), verifiers.no_impersonation(F.col("messages"))["passed"].alias("n"), verifiers.turn_dynamics(F.col("messages"))["failed"].alias("t")).collect()
     assert a["s"] and a["n"] and not b["s"] and not b["n"] and b["t"] == ["enough_exchanges"]
+
+
+def test_hot_buckets_lose_no_pair(spark):
+    """Signatures that all share a band: split buckets give what pairing everything gives."""
+    rng = random.Random(3)
+    base = [rng.randrange(1000) for _ in range(128)]
+    rows = []
+    for i in range(60):
+        changed = set(rng.sample(range(8, 128), rng.choice([0, 5, 12, 13, 25, 26, 60])))
+        rows.append((i, [rng.randrange(1000, 2000) if k in changed else v for k, v in enumerate(base)]))
+    signed = spark.createDataFrame(rows, "pos bigint, sig array<bigint>")
+    agree = lambda x, y: sum(p == q for p, q in zip(x, y)) / 128
+    want = {i: min((j for j in range(i) if agree(rows[j][1], rows[i][1]) >= 0.8), default=None) for i in range(60)}
+    for hot in (1, 1000):
+        got = {r["pos"]: r["earlier"] for r in dedupe.near_pairs(signed, "pos", 0.8, hot=hot).collect()}
+        assert got == {k: v for k, v in want.items() if v is not None}
