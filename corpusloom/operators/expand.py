@@ -47,6 +47,21 @@ def rollout_order(instances: DataFrame, order: list[str], rollouts: str = "n_rol
     return numbered(r, ["round", *order], "prompt_index")
 
 
+def batch_inputs(rollouts: DataFrame) -> DataFrame:
+    """``prompt_index, line``: one JSON line with the prompt of each rollout, by which an external runner's output is numbered."""
+    quoted = F.regexp_extract(F.to_json(F.struct(F.coalesce("prompt", F.lit("")).alias("p"))), r'(?s)^\{"p":(.*)\}$', 1)
+    return rollouts.select("prompt_index", F.concat(F.lit('{"prompt": '), quoted, F.lit("}")).alias("line"))
+
+
+def few_shots(tasks: DataFrame, fields: list[str], k: int = 3) -> DataFrame:
+    """``template_id, n, example``: the first ``k`` instances of each template by the k-th values of its parameters, as maps of the given fields."""
+    mine = F.filter("params", lambda p: p["name"].isin(*fields))
+    some = F.least(F.lit(k), F.coalesce(F.array_min(F.transform(mine, lambda p: F.size(p["options"]))), F.lit(0)))
+    at = F.when(some > 0, F.sequence(F.lit(0), some - 1)).otherwise(F.array().cast("array<int>"))
+    examples = F.transform(at, lambda i: F.map_from_arrays(F.transform(mine, lambda p: p["name"]), F.transform(mine, lambda p: F.get(p["options"], i))))
+    return tasks.select("template_id", F.posexplode(examples).alias("n", "example"))
+
+
 def job_grid(seeds: DataFrame, personas: DataFrame, repeats: int) -> DataFrame:
     """Every seed with its personas and repeats; ``personas`` must be a small table (``seed_id`` null = for all)."""
     allowed = F.col("user_sim_personas")

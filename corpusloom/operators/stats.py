@@ -94,6 +94,11 @@ def usage_totals(usage: DataFrame, prices: DataFrame) -> DataFrame:
     return u.groupBy("teacher", "lane").agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.sum(cost).alias("cost"))
 
 
+def spend_totals(totals: DataFrame, digits: int = 4) -> DataFrame:
+    """``teacher, tokens_in, tokens_out, cost`` over all lanes, the cost rounded half to even."""
+    return totals.groupBy("teacher").agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.bround(F.sum("cost"), digits).alias("cost"))
+
+
 def mix_report(corpora: DataFrame, corpus: str, text: str) -> DataFrame:
     """Records, approximate tokens (characters / 4) and token share of each corpus."""
     g = corpora.groupBy(corpus).agg(F.count(F.lit(1)).alias("records"), (F.sum(F.length(F.coalesce(F.col(text), F.lit("")))) / 4).alias("tokens"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -35,6 +36,13 @@ def derive_tagged(candidates: DataFrame) -> DataFrame:
 DERIVERS: dict[str, Deriver] = {"count.tagged_count": derive_tagged}
 
 
+def evolve_prompt(description: str, fields: list[str], n: int, examples: list[dict]) -> str:
+    """What a model is asked for: new surfaces of a task, varied and never with their answer."""
+    rules = ["vary domains, tone, length and size, among themselves and against the examples", "never state or hint at the answer; it is recomputed", "some items carry the tag and some do not"]
+    shape = f"Reply with one JSON array of {n} objects with the fields {', '.join(fields)}."
+    return "\n".join([f"Task: {description.strip()}", "Known examples:", json.dumps(examples, ensure_ascii=False), "Rules:", *[f"- {r}" for r in rules], shape])
+
+
 def evolve(template: str, known: DataFrame, cache: DataFrame, call: Batch, prompt: Callable[[int], str], wanted: int, rounds: int = 3, model: str = "") -> DataFrame:
     """At least ``wanted`` new instances if the model gives them within three rounds: derived, and known neither before nor from an earlier round."""
     derive = DERIVERS[template]

@@ -113,11 +113,13 @@ def dedupe_stage(df: DataFrame, order: str, threshold: float = 0.8) -> DataFrame
     return df.join(found, df[order] == found["_pos"], "left").drop("_pos").withColumn("drop_reason", F.coalesce("drop_reason", F.when(F.col("deduped_against").isNotNull(), F.lit("dedupe"))))
 
 
-def harmonise_stage(df: DataFrame, rewrite: Callable[[Column], Column], persona: str, policy: dict[str, tuple[str, ...]] | None = None, order: str = "pos", min_prose: int = 60) -> DataFrame:
+def harmonise_stage(df: DataFrame, rewrite: Callable[[Column], Column] | list[Callable[[Column], Column]], persona: str, policy: dict[str, tuple[str, ...]] | None = None, order: str = "pos", min_prose: int = 60) -> DataFrame:
     """Rewrites the prose of eligible messages around their protected spans; a bent placeholder drops the record with ``span_violation``.
 
-    ``rewrite`` maps a column of masked texts to rewritten ones. Texts with under 60 characters of prose stay as they are.
+    ``rewrite`` maps a column of masked texts to rewritten ones; of several (rising temperatures, say) the first that keeps all placeholders counts. Texts with
+    under 60 characters of prose stay as they are.
     """
+    attempts = rewrite if isinstance(rewrite, list) else [rewrite]
     allowed = HARMONISE if policy is None else policy
     may = F.lit(False)
     for lane, roles in allowed.items():
@@ -127,7 +129,7 @@ def harmonise_stage(df: DataFrame, rewrite: Callable[[Column], Column], persona:
     fields = F.explode(F.array(F.struct(F.lit("content").alias("field"), F.col("m.content").alias("text")), F.struct(F.lit("thought").alias("field"), F.col("m.thought").alias("text"))))
     t = m.select(order, "i", fields.alias("f")).select(order, "i", "f.field", "f.text").where("coalesce(text, '') <> ''").withColumn("k", mask_of("text"))
     thin = prose_length(F.col("k.masked")) < min_prose
-    t = t.withColumn("new", F.when(thin, F.col("text")).otherwise(restore_of(rewrite(F.col("k.masked")), F.col("k.originals"))))
+    t = t.withColumn("new", F.when(thin, F.col("text")).otherwise(F.coalesce(*[restore_of(a(F.col("k.masked")), F.col("k.originals")) for a in attempts])))
     g = t.groupBy(order).agg(F.bool_or(F.col("new").isNull()).alias("_bent"), F.map_from_entries(F.collect_list(F.when(F.col("new") != F.col("text"), F.struct(F.concat_ws(":", F.col("i").cast("string"), F.col("field")), F.col("new"))))).alias("_new"))
     j = df.join(g, order, "left")
     key = lambda i, f: F.concat(i.cast("string"), F.lit(f":{f}"))

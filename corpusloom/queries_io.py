@@ -65,6 +65,15 @@ def jsonl_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.read_ordered(spark, root).select("line_no", F.get_json_object("raw", "$.rec_no").cast("bigint").alias("rec_no"))
 
 
+@query("run_files", "select dense_rank() over (order by rec_no % 3) - 1 as file_rank, row_number() over (partition by rec_no % 3 order by rec_no) - 1 as line_no, rec_no from seeds")
+def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of several files of a run, in the order of the files' names."""
+    root = scratch_folder(spark, "run")
+    s = table(spark, sf_dir, "seeds").withColumn("path", F.concat(F.lit("lane_"), (F.col("rec_no") % 3).cast("string"), F.lit(".jsonl")))
+    write_named(json_lines(s, "path", ["rec_no"], F.to_json(F.struct("rec_no", "scenario"))), root)
+    return jsonl.read_run(spark, root).select("file_rank", "line_no", F.get_json_object("raw", "$.rec_no").cast("bigint").alias("rec_no"))
+
+
 @query("jsonl_appended", "select rec_no, prompt from task_instances union all select rec_no, scenario from seeds")
 def jsonl_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables appended to the same lines and read raw."""

@@ -163,6 +163,29 @@ def job_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand.job_grid(table(spark, sf_dir, "seeds"), personas, 2).select("rec_no", "persona_id", F.col("repeat").cast("bigint").alias("repeat"))
 
 
+@query("batch_inputs", """with r as (select rec_no, coalesce(prompt, '') as prompt, unnest(range(0, n_rollouts)) as round from task_instances where n_rollouts > 0) select row_number() over (order by round, rec_no) - 1 as prompt_index, '{"prompt": ' || to_json(prompt) || '}' as line from r""")
+def batch_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompts of all rollouts as numbered lines for an external runner."""
+    t = table(spark, sf_dir, "task_instances").select("rec_no", "prompt", "n_rollouts")
+    return expand.batch_inputs(expand.rollout_order(t, ["rec_no"]))
+
+
+@query("few_shots", "select * from (values ('files.copy', 0, 'a', '1'), ('files.copy', 1, 'b', '2')) t(template_id, n, name, size)")
+def few_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first instances of a template as examples."""
+    task = {"id": "files.copy", "family": "files", "params": {"name": ["a", "b", "c"], "size": [1, 2], "mood": ["x"]}, "prompt": "{name} {size} {mood}", "verifier": "v"}
+    e = expand.few_shots(config.tasks_table(spark, [task]), ["name", "size"], 3)
+    return e.select("template_id", F.col("n").cast("bigint").alias("n"), F.col("example")["name"].alias("name"), F.col("example")["size"].alias("size"))
+
+
+@query("spend_totals", "with u as (select l_returnflag as teacher, cast(l_quantity as bigint) as tin, cast(l_extendedprice as bigint) as tout from lineitem), p as (select * from (values ('A', 1.0, 2.0), ('N', 0.5, 1.5)) t(teacher, a, b)) select teacher, cast(sum(tin) as bigint) as tokens_in, cast(sum(tout) as bigint) as tokens_out, round_even(sum((tin * coalesce(a, 0) + tout * coalesce(b, 0)) / 1e6), 4) as cost from u left join p using (teacher) group by teacher")
+def spend_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and rounded cost of each teacher over all lanes."""
+    u = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("teacher"), F.col("l_linestatus").alias("lane"), F.round("l_quantity").cast("bigint").alias("tokens_in"), F.bround("l_extendedprice").cast("bigint").alias("tokens_out"))
+    prices = spark.createDataFrame([("A", 1.0, 2.0), ("N", 0.5, 1.5)], "teacher string, price_in double, price_out double")
+    return stats.spend_totals(stats.usage_totals(u, prices))
+
+
 @query(
     "persona_samples",
     """with p as (select rec_no, p, row_number() over (partition by rec_no order by sha256(seed_id || ':' || p), p) as k from seeds, (select unnest(['a', 'b', 'c', 'd', 'e']) as p) where seed_id is not null)
@@ -352,7 +375,7 @@ def names_in_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     "config_files",
     """select * from (values ('task', 'files.copy', 'name=a,b;size=1,2'), ('tools', 'files', 'find,save'), ('persona', 'critic', 'rp'), ('persona', 'quiet', 'chat'), ('rp', 'critic', ''), ('pattern', 'code', 'drop:[0-9]{4}'), ('pattern', 'word', 'flag:x'),
 ('policy', 'd', 'code'), ('axis', 'voice', '2.0/3.0'), ('axis', 'substance', '1.0/None'), ('threshold', 'c', '3.5'), ('names', 'patterns', 'Ann|Bo'), ('names', 'preserve', 'Bo'), ('seed', 's1', 'Meet Quill.'), ('manifest', 'run', 'r1'), ('unpinned', 'm-latest', 'refused'),
-('lanes', 'b,c', 'c'), ('lanes', 'b', 'refused'), ('frozen', 'same', 'ok'), ('frozen', 'changed', 'refused'), ('book', 'w', '- work_id: w\n  path: "p"\n  author: "a\\"b"\n  title: "t"\n'), ('ship', 'd', 'lane d is exempt from publishing'), ('ship', 'train', 'train is missing or empty'), ('card', 'rows', '| train | 3 |')) t(kind, name, value)""",
+('lanes', 'b,c', 'c'), ('lanes', 'b', 'refused'), ('frozen', 'same', 'ok'), ('frozen', 'changed', 'refused'), ('book', 'w', '- work_id: w\n  path: "p"\n  author: "a\\"b"\n  title: "t"\n'), ('ship', 'd', 'lane d is exempt from publishing'), ('ship', 'train', 'train is missing or empty'), ('external', 'share', '| empty | 2 | 0.2500 |'), ('card', 'rows', '| train | 3 |')) t(kind, name, value)""",
 )
 def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task banks, tools, personas, rubrics, patterns, policies, names, seeds and manifests as YAML files, read and refused as they should be."""
@@ -401,6 +424,7 @@ def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.append(("book", "w", config.book_entry("w", "p", 'a"b', "t")))
     rows.append(("ship", "d", config.ship_plan({"d"}, {"d", "a"}, {"train": 1})[0]))
     rows.append(("ship", "train", config.ship_plan(set(), {"a"}, {"train": 0})[0]))
+    rows.append(("external", "share", [x for x in config.external_card("t", 8, {"empty": 2}).split("\n") if x.startswith("| empty")][0]))
     rows.append(("card", "rows", [x for x in config.dataset_card("t", {"train": 3}, [], []).split("\n") if x.startswith("| train")][0]))
     return spark.createDataFrame(rows, "kind string, name string, value string")
 

@@ -151,6 +151,13 @@ def dataset_card(title: str, counts: dict[str, int], rates: list[dict], drops: l
     return "\n".join([*head, *lanes, *reasons, ""])
 
 
+def external_card(title: str, input_rows: int, drops: dict[str, int]) -> str:
+    """Markdown card of a third-party corpus: what was dropped, with the share of all rows read."""
+    kept = input_rows - sum(drops.values())
+    lines = [f"| {reason} | {n} | {n / input_rows:.4f} |" for reason, n in sorted(drops.items(), key=lambda x: (-x[1], x[0]))] if input_rows else []
+    return "\n".join([f"# {title}", "", f"{kept} of {input_rows} rows kept.", "", "| reason | rows | share |", "| --- | ---: | ---: |", *lines, ""])
+
+
 def ship_plan(exempt_lanes: set[str], lanes: set[str], artifacts: dict[str, int]) -> list[str]:
     """Reasons not to publish: exempt lanes, missing or empty artifacts."""
     why = [f"lane {x} is exempt from publishing" for x in sorted(exempt_lanes & lanes)]

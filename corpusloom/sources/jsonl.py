@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.order import numbered
 from corpusloom.schema import RECORD_DDL
 from corpusloom.session import cut
 
@@ -45,6 +46,13 @@ def read_ordered(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.join(splits, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before")).alias("line_no"), "raw").where("trim(raw) <> ''")
 
 
+def read_run(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_rank, line_no, raw`` of the lines of a run's files, which count in the order of their names: the record order on which deduplication relies."""
+    lines = read_ordered(spark, path)
+    ranks = numbered(lines.select("file").distinct(), ["file"], "file_rank")
+    return lines.join(ranks, "file").select("file_rank", "line_no", "raw")
+
+
 def parsed(ordered: DataFrame, ddl: str, required: list[str] = ()) -> DataFrame:
     """Adds the fields of ``raw``; a line that misses a required field, or is no JSON, fails with its file and line."""
     j = ordered.withColumn("j", F.from_json("raw", ddl))

@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import expand, records, split
-from corpusloom.plans import fiction, models, run
+from corpusloom.operators import expand, order, records, scrub, split, trajectories
+from corpusloom.plans import fiction, gate, models, run
+from corpusloom.sources import chats, files
 from tests.test_render import frame, msg, rec
 
 
@@ -107,3 +108,63 @@ def test_evolve(spark, tmp_path):
     assert sorted((r["params"]["destination"], r["params"]["true_count"]) for r in got) == [("lists/bird-list-log.txt", "2"), ("lists/two-log.txt", "1")]
     again = evolve.evolve("count.tagged_count", spark.createDataFrame([(r["identity"],) for r in got], "identity string"), jsonl.cached_replies(spark, str(tmp_path / "none")), call, str, 2)
     assert again.count() == 0
+
+
+def test_owner_of_an_export_is_not_set_twice():
+    for parser in ("instagram", "teams", "reddit"):
+        with pytest.raises(ValueError, match="names its owner"):
+            chats.ChatSource("x", parser, "p", owner_sender="me")
+    for parser in ("generic_jsonl", "imessage"):
+        with pytest.raises(ValueError, match="exactly one"):
+            chats.ChatSource("x", parser, "p")
+
+
+def test_stride_cap_follows_the_export(spark, tmp_path):
+    """Threads count in the order in which the export begins them, not by name."""
+    rows = [(c, f"2024-01-0{d}T00:0{i}:00Z", "me" if i else "you", "hello") for d, c in enumerate(["z", "a", "m"], 1) for i in (0, 1)]
+    (tmp_path / "x.jsonl").write_text("\n".join(json.dumps(dict(zip(("conversation_id", "ts", "sender", "text"), r))) for r in rows) + "\n")
+    source = chats.ChatSource("g", "generic_jsonl", str(tmp_path / "x.jsonl"), owner_sender="me", max_records=1)
+    assert [r["thread"] for r in chats.parse_all(spark, [source], chats.ChatLimits()).collect()] == ["z"]
+
+
+def test_a_thousand_calls_in_a_turn(spark):
+    """Positions are pairs of turn and call, so the calls of a long turn keep apart from the next turn's."""
+    n = 1200
+    call = '<tool_call>{"name": "f", "arguments": {}}</tool_call>'
+    answer = lambda i: f'<tool_response>{{"tool_call_id": "x{i}", "name": "f", "content": "{i}"}}</tool_response>'
+    said = [("human", "go"), ("gpt", call * n), ("tool", "".join(answer(i) for i in range(n))), ("gpt", call), ("tool", answer(n)), ("gpt", "done")]
+    t = spark.createDataFrame([(0, True, False, said)], "prompt_index bigint, completed boolean, partial boolean, conversations array<struct<`from` string, value string>>")
+    ro = spark.createDataFrame([(0, "f.x", "f", False, "k")], "prompt_index bigint, template_id string, family string, holdout boolean, instance_key string")
+    m = trajectories.ingest(t, ro, "P").first()["messages"]
+    assert len(m) == 2 + n + 2 + 1 and [x["id"] for x in m[1]["tool_calls"]] == [f"x{i}" for i in range(n)] and m[2 + n]["tool_calls"][0]["id"] == f"x{n}"
+
+
+def test_pseudonyms_in_the_funnel(spark):
+    """Names in contents, thoughts and whole speakers of personal records; preserved names, other lanes and dropped records stay."""
+    rows = [rec([msg("user", "Ann met Bo and Cy", "Ann"), msg("assistant", "Bo? Hannah said so", "Bo Lee", "ask Ann")], rid="1"), rec([msg("user", "Cy", "Cy")], rid="2")]
+    df = frame(spark, *rows).withColumn("pos", F.col("provenance.record_id").cast("int")).withColumn("drop_reason", F.lit(None).cast("string")).withColumn("scrub_flags", F.lit(None).cast("array<string>"))
+    df = df.withColumn("provenance", F.col("provenance").withField("lane", F.when(F.col("pos") == 1, "d").otherwise("a")))
+    got = {r["pos"]: r for r in gate.pseudonym_stage(df, "pos", ["Ann", "Bo", "Cy"], preserve=["cy"]).collect()}
+    m = got[1]["messages"]
+    assert [x["content"] for x in m] == ["Person-1 met Person-2 and Cy", "Person-2? Hannah said so"] and m[1]["thought"] == "ask Person-1"
+    assert [x["speaker"] for x in m] == ["Person-1", "Bo Lee"] and got[1]["scrub_flags"] == ["transform:pseudonymised"]
+    assert got[2]["messages"][0]["content"] == "Cy" and got[2]["scrub_flags"] is None
+
+
+def test_pseudonyms_in_texts(spark):
+    df = spark.createDataFrame([(1, "Ann and Bo"), (2, "Ann and Bo"), (3, None), (4, "Annabel")], "k int, text string")
+    mapping = spark.createDataFrame([("ann", "P-1"), ("bo", "P-2")], "name string, pseudonym string")
+    got = {r["k"]: r["text"] for r in scrub.pseudonymise(df, "text", mapping, ["Ann", "Bo"]).collect()}
+    assert got == {1: "P-1 and P-2", 2: "P-1 and P-2", 3: None, 4: "Annabel"}
+    assert scrub.pseudonymise(df.limit(0), "text", mapping, ["Ann"]).count() == 0
+
+
+def test_first_rows_and_seeds_by_stride(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("id"))
+    assert sorted(r["id"] for r in order.first_rows(df, ["id"], 9).collect()) == list(range(9)) and order.first_rows(df, ["id"], 0).count() == 0
+
+
+def test_files_are_written_whole(spark, tmp_path):
+    df = spark.createDataFrame([("a/b.txt", "ü"), ("c.txt", "")], "path string, body string")
+    assert files.write_named(df, f"file://{tmp_path}/out") == 2 and (tmp_path / "out/a/b.txt").read_text() == "ü" and sorted(p.name for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["b.txt", "c.txt"]
+    assert files.write_named(df.limit(0), f"file://{tmp_path}/out") == 0
