@@ -8,6 +8,7 @@ value of its row. Everything is testable with a scripted function.
 from __future__ import annotations
 
 import json
+import random
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -35,8 +36,8 @@ def scripted(replies: dict[str, str] | Callable[[dict], str]) -> Batch:
     return lambda batch: [replies(r) if callable(replies) else replies[r["prompt"]] for r in batch]
 
 
-def with_retry(call: Batch, tries: int = 5, cap: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> Batch:
-    """Tries again on overload and server errors, after the time the server names or 2^n seconds (at most 30)."""
+def with_retry(call: Batch, tries: int = 5, cap: float = 30.0, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> Batch:
+    """Tries again on overload and server errors, after the time the server names or 2^n seconds (at most 30), and up to a second more, so that tasks do not return at once."""
 
     def run(batch: list[dict]) -> list[str]:
         for n in range(tries):
@@ -45,7 +46,7 @@ def with_retry(call: Batch, tries: int = 5, cap: float = 30.0, sleep: Callable[[
             except ModelError as e:
                 if e.status not in RETRYABLE or n == tries - 1:
                     raise
-                sleep(min(cap, e.retry_after if e.retry_after is not None else 2.0**n))
+                sleep(min(cap, e.retry_after if e.retry_after is not None else 2.0**n) + jitter())
         raise AssertionError
 
     return run

@@ -236,6 +236,20 @@ def archive_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("work_id", "group_name", _hash(F.col("text")).alias("text"))
 
 
+@query("vault_folders", "select 'kb' as folder, count(*) as n from documents where doc_kind = 'note' and text is not null and doc_id % 3 < 2 union all select 'diary', count(*) from documents where doc_kind = 'note' and text is not null and doc_id % 6 = 2 union all select 'voice', length('Speak plainly.')")
+def vault_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of the named folders alone, and the owner's voice."""
+    root = scratch_folder(spark, "folders")
+    d = table(spark, sf_dir, "documents").where("doc_kind = 'note' and text is not null")
+    folder = F.when(F.col("doc_id") % 3 < 2, "kb/n").when(F.col("doc_id") % 6 == 2, "diary/n").otherwise("other/n")
+    write_named(d.select(F.concat(folder, F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.col("text").alias("body")), root)
+    write_named(spark.createDataFrame([("kb/voice.txt", " Speak plainly.\n")], "path string, body string"), root)
+    base = root.removeprefix("file:")
+    n = vault.read_vault(spark, base, "kb", ["diary"]).groupBy(F.substring_index("rel", "/", 1).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    voice = vault.voice_note(spark, base, "kb", "voice.txt") + vault.voice_note(spark, base, "kb", "none.txt")
+    return n.unionByName(spark.createDataFrame([("voice", len(voice))], "folder string, n bigint"))
+
+
 @query(
     "vault_notes",
     f"""with n as (select doc_id, case doc_id % 3 when 0 then 'kb/People/n' when 1 then 'kb/n' else 'notes/n' end || doc_id || '.md' as rel, case doc_id % 3 when 0 then 'People' when 1 then 'Index' else 'notes' end as section, text from documents where doc_kind = 'note' and text is not null)

@@ -12,7 +12,9 @@ from pyspark.sql.types import MapType, StringType
 
 from corpusloom.functions.hashing import note_family
 from corpusloom.functions.text import strip
+from corpusloom.sources.jsonl import path_exists
 
+# Front matter and section marks of a note.
 FRONT = r"(?s)^---\n(.*?)\n---\n"
 _SECTION = re.compile(r"^##\s+(?P<name>.+?)\s*$\n(?P<body>.*?)(?=^##\s|\Z)", re.M | re.S)
 
@@ -58,7 +60,22 @@ def notes_of(files: DataFrame, root: str, kb_dir: str) -> DataFrame:
     return n.withColumn("title", title).withColumn("family_key", note_family(F.col("section"), F.col("rel")))
 
 
-def read_vault(spark: SparkSession, root: str, kb_dir: str) -> DataFrame:
-    """All markdown notes under ``root``."""
+def voice_note(spark: SparkSession, root: str, kb_dir: str, name: str) -> str:
+    """Text of the note that describes the owner's voice; empty where there is none."""
+    at = f"{root.rstrip('/')}/{kb_dir}/{name}"
+    if not path_exists(spark, at):
+        return ""
+    row = spark.read.text(at, wholetext=True).select(strip(F.col("value"))).first()
+    return row[0] if row else ""
+
+
+def read_vault(spark: SparkSession, root: str, kb_dir: str, notes_dirs: list[str] | None = None) -> DataFrame:
+    """Markdown notes under ``root``: those of ``kb_dir`` and of ``notes_dirs`` (of all other folders, if none are named)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(root)
-    return notes_of(files.select(F.regexp_replace("path", "^file:(//)?", "").alias("path"), F.decode("content", "UTF-8").alias("text")), root, kb_dir)
+    notes = notes_of(files.select(F.regexp_replace("path", "^file:(//)?", "").alias("path"), F.decode("content", "UTF-8").alias("text")), root, kb_dir)
+    if notes_dirs is None:
+        return notes
+    inside = F.lit(False)
+    for folder in [kb_dir, *notes_dirs]:
+        inside = inside | F.col("rel").startswith(f"{folder.strip('/')}/")
+    return notes.where(inside)
