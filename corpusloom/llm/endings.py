@@ -15,9 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.splits import connected
 from corpusloom.session import cut
 
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -166,15 +167,20 @@ def sketch(body: str) -> list[int]:
     return [zlib.crc32(band.tobytes()) for band in low.reshape(16, 8)]
 
 
-def vote_counts(voters: DataFrame, key: str) -> DataFrame:
-    """``key, votes``: texts by end key, near copies (equal in a band of their ``sketch``, also by way of others) as one."""
-    v = voters.select(key, "sketch").distinct().withColumn("id", F.xxhash64("sketch"))
+def vote_counts(voters: DataFrame, key: str, others: int) -> DataFrame:
+    """``key, votes`` of keys with more than ``others`` votes: texts by end key, near copies (equal in a band of their ``sketch``, also by way of others) as one.
+
+    Near copies are the components of a graph that ties each text to the smallest with the same band, so a key or a band with a third of all texts is
+    only counted and joined, never gathered. Keys that cannot have enough votes are left out first.
+    """
+    v = voters.select(key, "sketch").distinct()
+    many = v.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > others).select(key)
+    v = cut(v.join(many, key, "left_semi").withColumn("id", F.xxhash64(key, "sketch")))
     banded = v.select(key, "id", F.posexplode("sketch").alias("band", "value"))
-    label = v.select(key, "id", F.col("id").alias("cls"))
-    for _ in range(3):
-        low = banded.join(label, [key, "id"]).withColumn("low", F.min("cls").over(Window.partitionBy(key, "band", "value")))
-        label = low.groupBy(key, "id").agg(F.min("low").alias("cls"))
-    return label.groupBy(key).agg(F.count_distinct("cls").alias("votes"))
+    lows = banded.groupBy(key, "band", "value").agg(F.min("id").alias("low"))
+    roots = connected(banded.join(lows, [key, "band", "value"]).select(F.col("id").alias("a"), F.col("low").alias("b")))
+    label = v.join(roots, F.col("id") == F.col("node"), "left").select(key, F.coalesce("root", "id").alias("cls"))
+    return label.groupBy(key).agg(F.count_distinct("cls").alias("votes")).where(F.col("votes") > others)
 
 
 class Places:

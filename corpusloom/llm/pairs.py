@@ -216,8 +216,8 @@ def broken_sides(pairs: DataFrame) -> DataFrame:
     rows = cut(base.mapInArrow(run, f"pair_id {kind}, side string, defect string, how string, end_key bigint, end_slot int, line_key bigint, line_slot int, word string, remark_key bigint, remark_slot int, sketch array<bigint>"))
     known = rows.where("how = 'known'").select("pair_id", "side", "defect")
     asked = rows.where("how = 'open'")
-    lines = cut(vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES).withColumnRenamed("votes", "line_n"))
-    words = cut(vote_counts(asked.where("word is not null"), "word").where(F.col("votes") > OTHER_WORDS).withColumnRenamed("votes", "word_n"))
+    lines = cut(vote_counts(asked.where("line_key is not null"), "line_key", OTHER_LINES).withColumnRenamed("votes", "line_n"))
+    words = cut(vote_counts(asked.where("word is not null"), "word", OTHER_WORDS).withColumnRenamed("votes", "word_n"))
     of = lambda df, kind: df.select(F.col(f"{kind}_key").alias("key"), F.col(f"{kind}_slot").alias("slot"))
     keys = of(asked, "end").unionByName(of(asked.join(lines, "line_key", "left_semi"), "line")).unionByName(of(asked.join(words, "word", "left_semi"), "remark"))
     answers = cut(pairs.select(F.explode(F.array("chosen_text", "rejected_text")).alias("text")).mapInArrow(_answers, "text string"))

@@ -71,6 +71,8 @@ def connected(edges: DataFrame) -> DataFrame:
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = cut(e)
     seen = None
+    if e.isEmpty():
+        return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

@@ -101,8 +101,7 @@ def truncated_texts(docs: DataFrame, key: str = "doc_id", source: str = "source"
     placed = rows.where("kind <> 'whole'").join(at[0], ["source", "marked", "chars"], "left").join(at[1], ["source", "marked", "bytes"], "left")
     placed = cut(placed.withColumn("at_limit", F.coalesce("at_chars", "at_bytes", F.lit(False))).drop("at_chars", "at_bytes"))
     asked = placed.where("kind = 'open' and not at_limit")
-    votes = vote_counts(asked.where("line_key is not null"), "line_key").where(F.col("votes") > OTHER_LINES)
-    votes = cut(votes)
+    votes = cut(vote_counts(asked.where("line_key is not null"), "line_key", OTHER_LINES))
     repeated = rows.where("chars > 0").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     shared = asked.join(votes.select("line_key"), "line_key", "left_semi")
     keys = asked.select(F.col("end_key").alias("key"), F.col("end_slot").alias("slot")).unionByName(shared.select(F.col("line_key").alias("key"), F.col("line_slot").alias("slot")))
