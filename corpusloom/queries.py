@@ -227,7 +227,16 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.exact_duplicates(r, "rec_no", "rec_no", "t")
 
 
-@query("minhash_signatures")
+def _sql_minhash(perms: int) -> str:
+    a, b = dedupe.permutations(perms)
+    return f"""docs as (select doc_id, trim(regexp_replace(lower(text), '{SQL_WS}+', ' ', 'g')) as t from documents where text is not null),
+ws as (select doc_id, string_split(t, ' ') as w from docs where t <> ''),
+sh as (select distinct doc_id, array_to_string(w[k:k+4], ' ') as s from (select *, unnest(range(1, len(w) - 3)) as k from ws where len(w) >= 5)),
+hs as (select doc_id, ('0x' || substr(md5(s), 1, 8))::bigint % {dedupe.PRIME} as h from sh),
+ab as (select unnest({a}) as a, unnest({b}) as b, unnest(range(0, {perms})) as k)"""
+
+
+@query("minhash_signatures", f"with {_sql_minhash(dedupe.PERMS)} select doc_id, k as perm, min((a * h + b) % {dedupe.PRIME}) as value from hs, ab group by doc_id, k")
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash of every document, with all permutations of the operator."""
     d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", T.normalise(F.col("text")).alias("t"))
@@ -703,11 +712,19 @@ def task_expand_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand.expand_tasks(config.tasks_table(spark, [zipped]), "Quill").select("prompt")
 
 
-@query("chunk_windows")
+@query(
+    "chunk_windows",
+    f"""with p as (select doc_id, list_filter(string_split_regex(text, '\\n[\\s\\x0b]*\\n'), lambda x: regexp_replace(x, '^{SQL_WS}+|{SQL_WS}+$', '', 'g') <> '') as ps from documents where text is not null),
+e as (select doc_id, list_prepend({{'done': []::varchar[], 'now': []::varchar[], 'size': 0}}, list_transform(ps, lambda x: {{'done': []::varchar[], 'now': [x], 'size': length(x)}})) as es from p),
+f as (select doc_id, list_reduce(es, lambda a, x: case when a.size + x.size >= 1000
+  then {{'done': list_append(a.done, array_to_string(a.now || x.now, chr(10) || chr(10))), 'now': x.now, 'size': length(x.now[1])}} else {{'done': a.done, 'now': a.now || x.now, 'size': a.size + x.size}} end) as s from e),
+c as (select doc_id, case when len(s.now) > 0 and (len(s.done) = 0 or s.size > 250) then list_append(s.done, array_to_string(s.now, chr(10) || chr(10))) else s.done end as cs from f)
+select doc_id, unnest(cs) as text, generate_subscripts(cs, 1) - 1 as chunk from c""",
+)
 def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in overlapping windows of paragraphs of about a thousand characters."""
     d = table(spark, sf_dir, "documents").where("text is not null")
-    return T.explode_once(d.select("doc_id", F.col("text").alias("body")), books.chunk_windows(F.col("body"), 1000), "text", "chunk").drop("body")
+    return T.explode_once(d.select("doc_id", F.col("text").alias("body")), books.chunk_windows(F.col("body"), 1000), "text", "chunk").select("doc_id", "text", F.col("chunk").cast("bigint").alias("chunk"))
 
 
 @query("protected_spans")
