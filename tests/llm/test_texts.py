@@ -396,3 +396,31 @@ def test_pair_rows_clear_no_cut_answer(spark):
     rows = [(i, None, side(a), side("That is a sound answer.")) for i, a in enumerate(answers)]
     got = {(r["pair_id"], r["defect"]) for r in pairs.broken_sides(spark.createDataFrame(rows, "pair_id bigint, prompt_text string, chosen_text string, rejected_text string")).collect()}
     assert got == {(i, "truncated") for i in range(3)}
+
+
+def test_votes_count_near_copies_once(spark):
+    """Texts of one key that share a band, also by way of others, are one vote; keys without enough votes are left out."""
+    bands = lambda *shared: [shared[k] if k < len(shared) else 1_000_000 * (1 + sum(shared)) + k for k in range(16)]
+    chain = [bands(k, 100 + k) for k in range(6)]
+    for a, b in zip(chain, chain[1:]):
+        b[2], a[3] = 7_000 + chain.index(b), 8_000 + chain.index(b)
+        b[3] = 9_000 + chain.index(b)
+        a[5] = b[5] = 5_000 + chain.index(b)
+    for k, c in enumerate(chain[1:-1], 1):  # each shares one band with the one before and another with the next
+        c[5], c[6] = chain[k - 1][5] if k == 1 else 5_000 + k, 6_000 + k
+        chain[k + 1][6] = 6_000 + k
+    lone = [bands(50 + k, 500 + k) for k in range(3)]
+    rows = [("x", s) for s in chain + lone + lone] + [("y", lone[0]), ("y", lone[1])]
+    want = {}
+    for key in ("x", "y"):
+        sketches = [list(t) for t in {tuple(s) for k, s in rows if k == key}]
+        groups = list(range(len(sketches)))
+        for _ in sketches:
+            for i, s in enumerate(sketches):
+                for j, t in enumerate(sketches):
+                    if any(p == q for p, q in zip(s, t)):
+                        groups[i] = groups[j] = min(groups[i], groups[j])
+        want[key] = len(set(groups))
+    got = endings.vote_counts(spark.createDataFrame(rows, "key string, sketch array<bigint>"), "key", 2).collect()
+    assert {r["key"]: r["votes"] for r in got} == {k: n for k, n in want.items() if n > 2} and want["x"] > 3
+    assert endings.vote_counts(spark.createDataFrame([], "key string, sketch array<bigint>"), "key", 2).count() == 0
