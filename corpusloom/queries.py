@@ -401,12 +401,27 @@ def final_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.where(seen).select("rec_no", w["ok"].alias("ok"))
 
 
-@query("verify_records")
+_SQL_FAILED_B = """select rec_no, list_filter([case when coalesce(count(*) filter (a), 0) < 6 then 'enough_turns' end, case when count(distinct nullif(m.speaker, '')) filter (a) < 2 then 'multi_speaker' end,
+    case when not coalesce(bool_and(coalesce(m.speaker, '') <> '') filter (a), true) then 'speakers_labeled' end, case when count(*) filter (a) = 0 or count(*) filter (a and coalesce(m.thought, '') <> '') < 0.5 * count(*) filter (a) then 'thought_coverage' end,
+    case when coalesce(bool_or(contains(coalesce(m.content, ''), '[') and contains(coalesce(m.content, ''), ']')) filter (a), false) then 'no_bracket_thoughts' end,
+    case when not contains(coalesce(any_value(system), ''), '## Scene') then 'system_has_scene' end], lambda x: x is not null) as failed from msgs where lane = 'b' group by rec_no"""
+_SQL_FAILED_C = f"""select rec_no, list_filter([case when coalesce(bool_or(regexp_matches(coalesce(m.content, ''), '(?im)^\\s*(?:\\{{\\{{user\\}}\\}}|user|you)\\s*:') or regexp_matches(coalesce(m.content, ''), '(?i)\\byou\\s+(?:say|reply|respond|answer)\\b[,:]?\\s*["“]')) filter (a), false) then 'no_impersonation' end,
+    case when count(*) filter (m.role = 'user') < 3 then 'enough_exchanges' end, case when bool_or(coalesce(m.role = before, false)) then 'alternating' end,
+    case when count(*) filter (a) = 0 or count(distinct trim(regexp_replace(lower(coalesce(m.content, '')), '{SQL_WS}+', ' ', 'g'))) filter (a) <= 0.5 * count(*) filter (a) then 'not_degenerate' end], lambda x: x is not null) as failed
+  from (select *, lag(m.role) over (partition by rec_no order by i) as before from msgs where lane = 'c' and m.role in ('user', 'assistant')) group by rec_no"""
+
+
+@query(
+    "verify_records",
+    f"""with msgs as (select rec_no, lane, system, m, i, coalesce(m.role = 'assistant', false) as a from (select rec_no, provenance.lane as lane, system, unnest(messages) as m, generate_subscripts(messages, 1) as i from conv_records)),
+f as ({_SQL_FAILED_B} union all {_SQL_FAILED_C})
+select rec_no, len(failed) = 0 as passed, array_to_string(failed, ',') as failed from f union all select rec_no, passed, failed from ({SQL['stream_wellformed']}) union all select rec_no, null, null from conv_records where provenance.lane = 'a'""",
+)
 def verify_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verifiers by lane and template, with the checks that failed."""
     r = table(spark, sf_dir, "conv_records")
     v = verifiers.verified(r.select("rec_no", "messages", "system", "provenance"), "v")
-    return v.select("rec_no", "v.passed", "v.failed")
+    return v.select("rec_no", "v.passed", F.array_join("v.failed", ",").alias("failed"))
 
 
 @query(
