@@ -33,10 +33,10 @@ FUNCTION_WORDS = {
     "pl": "i a oraz lub ale nie jest są był była było być mam masz ma mieć ja ty on ona ono my wy oni mnie mi cię ci go jej jego ich się mój moja twój swój ten ta to te tam tu tak że żeby bo jak co kto gdzie kiedy dlaczego czy w we z ze na do od po przy przez pod nad za o u dla bez już jeszcze tylko bardzo też",
 }
 NAMES = tuple(FUNCTION_WORDS)
-_LANGUAGES_OF: dict[str, list[int]] = {}
+LANGUAGES_OF: dict[str, list[int]] = {}
 for _k, _words in enumerate(FUNCTION_WORDS.values()):
     for _w in dict.fromkeys(_words.split()):
-        _LANGUAGES_OF.setdefault(_w, []).append(_k)
+        LANGUAGES_OF.setdefault(_w, []).append(_k)
 
 BITS = 14
 #: A text teaches if so many function words name its language, and twice as many as any other.
@@ -66,8 +66,8 @@ def function_scores(words: list[str]) -> list[float]:
     """Function words of each language; a word of several languages is shared among them."""
     score = [0.0] * len(NAMES)
     for w in words:
-        for k in _LANGUAGES_OF.get(w, ()):
-            score[k] += 1 / len(_LANGUAGES_OF[w])
+        for k in LANGUAGES_OF.get(w, ()):
+            score[k] += 1 / len(LANGUAGES_OF[w])
     return score
 
 

@@ -11,7 +11,6 @@ together and their windows sorted in numpy, so no text is ever compared with ano
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.languages import NAMES, by_script, function_scores
+from corpusloom.llm.languages import LANGUAGES_OF, NAMES, by_script
 
 WINDOW = 5
 MIN_WORDS = 12
@@ -104,15 +103,27 @@ def js_distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(p).any(axis=1) | np.isnan(q).any(axis=1), 1.0, d)
 
 
-def _language(text: str | None, words: list[str]) -> str:
-    """The language by script, else by the most function words; empty without any."""
-    if not text:
-        return ""
-    script = by_script(text)
-    if script:
-        return script
-    score = function_scores(words)
-    return NAMES[score.index(max(score))] if max(score) > 0 else ""
+class Batch:
+    """The words of many texts as one array of numbers, and the language of each text."""
+
+    def __init__(self, texts: list[str | None]):
+        self.texts, self.lists = texts, word_lists(texts)
+        words = [w for ws in self.lists for w in ws]
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        self.ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.size = np.array([len(ws) for ws in self.lists], np.int64)
+        self.row = np.repeat(np.arange(len(texts)), self.size)
+        self.langs = self._languages()
+
+    def _languages(self) -> list[str]:
+        """By script, else by the most function words; empty without any."""
+        share = np.zeros((len(self.number) or 1, len(NAMES)))
+        for w, k in self.number.items():
+            if w in LANGUAGES_OF:
+                share[k, LANGUAGES_OF[w]] = 1 / len(LANGUAGES_OF[w])
+        score = np.stack([np.bincount(self.row, share[self.ids, k], len(self.texts)) for k in range(len(NAMES))], axis=1) if self.texts else np.zeros((0, len(NAMES)))
+        best, known = score.argmax(axis=1), score.max(axis=1) > 0 if len(score) else []
+        return [(by_script(t) if t else None) or (NAMES[b] if k else "") for t, b, k in zip(self.texts, best, known)]
 
 
 def references(texts: DataFrame, text: str = "text", common: int = COMMON_WORDS) -> dict[str, tuple[np.ndarray, list[str], np.ndarray]]:
@@ -122,19 +133,22 @@ def references(texts: DataFrame, text: str = "text", common: int = COMMON_WORDS)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts: Counter = Counter()
-            rows = [t for t in b.column(0).to_pylist() if t]
-            lists = word_lists(rows)
-            classes = class_counts(rows)
-            for t, ws, c in zip(rows, lists, classes.tolist()):
-                lang = _language(t, ws)
-                for k, n in enumerate(c):
-                    counts[lang, "class", CLASSES[k]] += n
-                counts[lang, "all", ""] += len(ws)
-                for w, n in Counter(ws).items():
-                    counts[lang, "word", w] += n
-            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in counts], pa.string()) for i in range(3)] + [pa.array(list(counts.values()), pa.int64())], names=["lang", "kind", "item", "n"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                b = Batch([t for t in whole.column(0).slice(at, 2000).to_pylist() if t])
+                known = list(dict.fromkeys(b.langs))
+                code = np.array([known.index(x) for x in b.langs], np.int64)
+                if not known:
+                    continue
+                words = np.array(list(b.number) or [""], object)
+                key, n = np.unique(code[b.row] * len(words) + b.ids, return_counts=True)
+                classes = np.zeros((len(known), len(CLASSES)), np.int64)
+                np.add.at(classes, code, class_counts(b.texts))
+                every = np.bincount(code, b.size, len(known)).astype(np.int64)
+                lang = [known[k] for k in key // len(words)] + [k for k in known for _ in CLASSES] + known
+                kind = ["word"] * len(key) + ["class"] * classes.size + ["all"] * len(known)
+                item = [*words[key % len(words)], *[c for _ in known for c in CLASSES], *[""] * len(known)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in (lang, kind, item)), pa.array(np.concatenate([n, classes.reshape(-1), every]))], names=["lang", "kind", "item", "n"])
 
     counts = texts.select(F.col(text)).mapInArrow(run, "lang string, kind string, item string, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))).where(F.col("r") <= common)
@@ -149,25 +163,21 @@ def references(texts: DataFrame, text: str = "text", common: int = COMMON_WORDS)
     return out
 
 
-def _word_histograms(lists: list[list[str]], langs: list[str], ref: dict, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Common words of its language (and all others, last) in each list, the same of the language, and the number of words that are no first occurrence."""
-    number: dict[str, int] = {}
-    size = np.array([len(ws) for ws in lists], np.int64)
-    ids = np.fromiter((number.setdefault(w, len(number)) for ws in lists for w in ws), np.int64, int(size.sum()))
-    row = np.repeat(np.arange(len(lists)), size)
-    known = list(ref)
-    column = np.full((len(known) + 1, max(len(number), 1)), common, np.int64)
+def _word_histograms(b: Batch, ref: dict, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common words of its language (and all others, last) in each text, the same of the language, and the number of words that are no first occurrence."""
+    known, v, n = list(ref), len(b.number) or 1, len(b.texts)
+    column = np.full((len(known) + 1, v), common, np.int64)
     theirs = np.zeros((len(known) + 1, common + 1))
     for k, lang in enumerate(known):
         _, words, counts = ref[lang]
         theirs[k, : len(words)], theirs[k, common] = counts[:-1], counts[-1]
         for j, w in enumerate(words):
-            if w in number:
-                column[k, number[w]] = j
-    of = np.array([known.index(x) if x in ref else len(known) for x in langs], np.int64)
-    mine = np.bincount(row * (common + 1) + column[of[row], ids], minlength=len(lists) * (common + 1)).reshape(len(lists), common + 1)
-    distinct = np.bincount(np.unique(row * max(len(number), 1) + ids) // max(len(number), 1), minlength=len(lists))
-    return mine, theirs[of], size - distinct
+            if w in b.number:
+                column[k, b.number[w]] = j
+    of = np.array([known.index(x) if x in ref else len(known) for x in b.langs], np.int64)
+    mine = np.bincount(b.row * (common + 1) + column[of[b.row], b.ids], minlength=n * (common + 1)).reshape(n, common + 1)
+    distinct = np.bincount(np.unique(b.row * v + b.ids) // v, minlength=n)
+    return mine, theirs[of], b.size - distinct
 
 
 def repeated_content(texts: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, min_words: int = MIN_WORDS, common: int = COMMON_WORDS) -> DataFrame:
@@ -184,20 +194,17 @@ def repeated_content(texts: DataFrame, keys: list[str], text: str = "text", wind
         ref = known.value
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
-                rows = b.column("_text").to_pylist()
-                lists = word_lists(rows)
-                langs = [_language(t, ws) for t, ws in zip(rows, lists)]
-                size = np.array([len(ws) for ws in lists], np.int64)
-                mine, theirs, again = _word_histograms(lists, langs, ref, common)
-                classes = np.array([ref[x][0] if x in ref else np.zeros(len(CLASSES)) for x in langs])
-                short = size < min_words
-                share = np.zeros(len(rows))
+                part = whole.slice(at, 2000)
+                b = Batch(part.column("_text").to_pylist())
+                mine, theirs, again = _word_histograms(b, ref, common)
+                classes = np.array([ref[x][0] if x in ref else np.zeros(len(CLASSES)) for x in b.langs])
+                short = b.size < min_words
+                share = np.zeros(len(b.texts))
                 may = np.flatnonzero(~short & (again >= window))
                 if len(may):
-                    share[may] = repeated_share([lists[k] for k in may], window, min_words)
-                distances = [pa.array(js_distances(*pair), pa.float64(), mask=short) for pair in ((class_counts(rows), classes), (mine, theirs))]
-                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(langs, pa.string()), pa.array(size), *distances, pa.array(share)], names=[*keys, "lang", "n_words", "class_distance", "word_distance", "share"])
+                    share[may] = repeated_share([b.lists[k] for k in may], window, min_words)
+                distances = [pa.array(js_distances(*pair), pa.float64(), mask=short) for pair in ((class_counts(b.texts), classes), (mine, theirs))]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(b.langs, pa.string()), pa.array(b.size), *distances, pa.array(share)], names=[*keys, "lang", "n_words", "class_distance", "word_distance", "share"])
 
     return texts.select(*keys, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, lang string, n_words bigint, class_distance double, word_distance double, share double")
 
