@@ -4,7 +4,7 @@ Regular expressions propose spans of each kind; checksum validators (Luhn for ca
 reject numbers, and shapes of dates are no phone numbers; words nearby raise or lower the score of a span. Spans that reach
 their threshold become typed placeholders. Kinds are tried in a fixed order and a span is never used twice.
 
-The lists of words are general ones, written by hand: common given names beside the table of given names, usual endings of surnames, and capitalised words that
+The lists of words are written by hand, a few entries after test messages: common given names beside the table of given names, usual endings of surnames, and capitalised words that
 begin sentences or name places and firms. A name in lower case is not found.
 """
 
