@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,23 +20,23 @@ def numbered(df: DataFrame, order: list[Column | str], out: str = "pos") -> Data
     return _placed(df, order, out).drop("_p")
 
 
-def _placed(df: DataFrame, order: list[Column | str], out: str) -> DataFrame:
-    """``numbered`` with the range partition ``_p`` of each row."""
+def _placed(df: DataFrame, order: list[Column | str], out: str, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """``numbered`` with the range partition ``_p`` of each row; ``keep`` cuts the partitioned rows."""
     own = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-    parts = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", own))
+    parts = keep(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", own))
     counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return parts.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_i") + F.col("_off")).drop("_i", "_off")
 
 
-def sessionize(df: DataFrame, keys: list[str], time_us: str, order: list[str], gap_us: int, most: int) -> DataFrame:
+def sessionize(df: DataFrame, keys: list[str], time_us: str, order: list[str], gap_us: int, most: int, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """Adds ``segment`` (0-based in the group): a gap longer than ``gap_us`` or ``most`` messages start a new one. Input order counts, not time.
 
     The table is placed in order of keys and ``order`` once, so a group with a third of all rows spreads over many range partitions. Each
     partition looks at the last row of the one before (one row each); gaps are counted through all partitions, which names the sessions;
     a row's place in its session gives its segment. The gap to a null time splits.
     """
-    rows = _placed(df, [*keys, *order], "_pos")
+    rows = _placed(df, [*keys, *order], "_pos", keep)
     here = F.struct(*[F.col(k) for k in keys])
     seen = F.struct(here.alias("g"), F.col(time_us).alias("t"))
     w = Window.partitionBy("_p").orderBy("_pos")

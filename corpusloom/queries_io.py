@@ -16,7 +16,7 @@ from corpusloom.operators import records
 from corpusloom.queries import SQL_MESSAGES, SQL_WS, query
 from corpusloom.session import cut, table
 from corpusloom.sources import books, chats, jsonl, vault
-from corpusloom.sources.files import json_lines, scratch_folder, write_named
+from corpusloom.sources.files import json_lines, scratch_folder, write_named, write_ordered
 
 def _strip(text: str) -> str:
     """SQL of a text without outer white space."""
@@ -285,9 +285,9 @@ select thread, segment, n_messages, family from o where n <= 100 or pos in (sele
 def chat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of a generic export as records, a hundred of them by stride in the order in which the export gives them."""
     root = scratch_folder(spark, "sessions")
-    e = _export(spark, sf_dir).withColumn("who", F.when(F.contains("sender", F.lit("a")), "a").otherwise("b")).withColumn("path", F.lit("all.jsonl"))
+    e = _export(spark, sf_dir).withColumn("who", F.when(F.contains("sender", F.lit("a")), "a").otherwise("b"))
     line = F.to_json(F.struct("conversation_id", "ts", F.col("who").alias("sender"), "text"))
-    write_named(json_lines(e, "path", ["row_id"], line), root)
+    write_ordered(e, ["row_id"], line, root)
     r = chats.parse_all(spark, [chats.ChatSource("x", "generic_jsonl", root, owner_sender="a", max_records=100)], chats.ChatLimits(max_messages=20))
     made = records.stream_records(r, "run")
     detail = F.get_json_object("provenance.source.detail_json", "$.conversation_id")

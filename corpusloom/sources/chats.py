@@ -16,6 +16,7 @@ from corpusloom.functions.text import clean_url, strip
 from corpusloom.functions.timestamps import apple_epoch_us, instant_us, month_family
 from corpusloom.operators.order import segment_filter, sessionize, stride
 from corpusloom.schema import IMESSAGE_DDL, INSTAGRAM_DDL, REDDIT_DDL, TEAMS_DDL
+from corpusloom.session import cut, stored
 from corpusloom.sources.jsonl import parsed, read_ordered
 
 #: Texts that an export writes for events, not turns.
@@ -24,6 +25,8 @@ AUTO_EVENTS = (
     r"|\b(?:named the group|changed the (?:theme|group name|nickname)|set (?:the|your) nickname|added|left the group|created the group|removed)\b"
 )
 DELETED = ("", "[deleted]", "[removed]")
+#: Parsers whose ``pos`` no two messages share.
+PLACED = ("generic_jsonl", "imessage")
 
 
 @dataclass(frozen=True)
@@ -101,8 +104,8 @@ def _chosen(df: DataFrame, source: ChatSource) -> DataFrame:
 def generic(spark: SparkSession, source: ChatSource, limits: ChatLimits) -> DataFrame:
     """One message a line: ``conversation_id, ts, sender, text``; a missing field fails with file and line."""
     fields = ["conversation_id", "ts", "sender", "text"]
-    p = parsed(read_ordered(spark, source.path), ", ".join(f"{f} string" for f in fields), fields)
-    return p.select(F.col("conversation_id").alias("thread"), F.struct("file", "line_no").alias("pos"), instant_us(F.col("ts")).alias("ts_us"), "sender", "text", F.lit(None).cast("string").alias("role"))
+    p = parsed(read_ordered(spark, source.path, "pos"), ", ".join(f"{f} string" for f in fields), fields)
+    return p.select(F.col("conversation_id").alias("thread"), "pos", instant_us(F.col("ts")).alias("ts_us"), "sender", "text", F.lit(None).cast("string").alias("role"))
 
 
 def part_text(part: Column, keep_query: bool) -> Column:
@@ -196,21 +199,45 @@ def interests(spark: SparkSession, path: str, at_least: int = 5) -> DataFrame:
     return longest_of_groups(c.where("community <> ''").where(~F.col("text").isin(*DELETED)), "community", "text", "pos", at_least)
 
 
+def _with_role(rows: DataFrame, source: ChatSource) -> DataFrame:
+    return rows.withColumn("role", F.coalesce(F.col("role"), role_of(F.col("sender"), source))) if source.owner_sender or source.assistant_sender else rows
+
+
 def messages_to_records(rows: DataFrame, source: ChatSource, limits: ChatLimits) -> DataFrame:
     """Sessions of each thread that are conversations: ``thread, segment, family, holdout, messages`` (a record's message array), and ``first_pos``, where the session begins.
 
     A thread's order is ``pos``. Segments end at a gap or at the message cap; too short, one-sided or thin ones fall away.
     """
-    role = F.coalesce(F.col("role"), role_of(F.col("sender"), source)) if source.owner_sender or source.assistant_sender else F.col("role")
-    s = sessionize(rows.withColumn("role", role), ["thread"], "ts_us", ["pos"], limits.session_gap_minutes * 60_000_000, limits.max_messages)
+    s = sessionize(_with_role(rows, source), ["thread"], "ts_us", ["pos"], limits.session_gap_minutes * 60_000_000, limits.max_messages)
     good = segment_filter(s, ["thread", "segment"], F.col("role"), "text", limits.min_messages, limits.min_chars, limits.min_mean_chars).select("thread", "segment")
+    return _records(s.join(good, ["thread", "segment"], "left_semi"), source, limits)
+
+
+def _records(s: DataFrame, source: ChatSource, limits: ChatLimits) -> DataFrame:
     msg = F.struct("pos", F.struct("role", F.col("sender").alias("speaker"), F.col("text").alias("content"), F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").alias("ts")).alias("m"))
     # a segment is bounded by the message cap
-    g = s.join(good, ["thread", "segment"], "left_semi").groupBy("thread", "segment").agg(F.transform(F.sort_array(F.collect_list(msg)), lambda x: x["m"]).alias("messages"), F.min_by("ts_us", "pos").alias("first_us"), F.min("pos").alias("first_pos"))
+    g = s.groupBy("thread", "segment").agg(F.transform(F.sort_array(F.collect_list(msg)), lambda x: x["m"]).alias("messages"), F.min_by("ts_us", "pos").alias("first_us"), F.min("pos").alias("first_pos"))
     fam = month_family(F.lit(source.id), F.col("first_us"))
     return g.select("thread", "segment", fam.alias("family"), fam.isin(*limits.holdout_families).alias("holdout") if limits.holdout_families else F.lit(False).alias("holdout"), "messages", "first_pos")
 
 
+def conversations(rows: DataFrame, source: ChatSource, limits: ChatLimits) -> DataFrame:
+    """The sessions of ``messages_to_records`` by their places alone: ``thread, segment, first_pos, last_pos``. No text is moved or kept for them."""
+    lean = _with_role(rows, source).select("thread", "pos", "ts_us", (F.col("role") == "user").alias("user"), F.length(F.coalesce("text", F.lit(""))).alias("size"))
+    s = sessionize(lean, ["thread"], "ts_us", ["pos"], limits.session_gap_minutes * 60_000_000, limits.max_messages, stored)
+    n, seats = F.count(F.lit(1)), F.count_if("user") * F.count_if(~F.col("user"))
+    g = s.groupBy("thread", "segment").agg(n.alias("n"), seats.alias("seats"), F.sum("size").alias("chars"), F.avg("size").alias("mean"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    good = (F.col("n") >= limits.min_messages) & (F.col("seats") > 0) & (F.col("chars") >= limits.min_chars) & (F.col("mean") >= limits.min_mean_chars)
+    return cut(g.where(good).select("thread", "segment", "first_pos", "last_pos"))
+
+
+def _told(rows: DataFrame, chosen: DataFrame, source: ChatSource, limits: ChatLimits) -> DataFrame:
+    """Records of the chosen conversations (at most ``max_records``): a session is what its thread has from its first place to its last."""
+    c = chosen.select(F.col("thread").alias("_t"), "segment", "first_pos", "last_pos")
+    s = _with_role(rows, source).join(F.broadcast(c), (F.col("thread") == F.col("_t")) & F.col("pos").between(F.col("first_pos"), F.col("last_pos")))
+    return _records(s.select(*rows.columns, "segment"), source, limits)
+
+
 def yield_order(records: DataFrame, source: ChatSource) -> DataFrame:
     """``thread, _from``: what orders the threads of an export. Where one stream holds them all it is where each begins (for comments: when they
     were sent, over all accounts), else the name of the thread's own file or folder."""
@@ -224,7 +251,9 @@ def parse_all(spark: SparkSession, sources: list[ChatSource], limits: ChatLimits
 
     out = []
     for src in sources:
-        r = messages_to_records(PARSERS[src.parser](spark, src, limits), src, limits).withColumn("source", F.lit(src.id))
+        rows = PARSERS[src.parser](spark, src, limits)
+        lean = src.max_records > 0 and src.parser in PLACED
+        r = conversations(rows, src, limits) if lean else messages_to_records(rows, src, limits)
         if limits.thread_share > 0 and src.parser in ("imessage", "instagram", "teams"):
             counts = dominance_cap(r.groupBy("thread").agg(F.count(F.lit(1)).alias("n")), limits.thread_share)
             r = r.withColumn("_p", F.row_number().over(Window.partitionBy("thread").orderBy("segment")) - 1).join(counts, "thread")
@@ -234,8 +263,9 @@ def parse_all(spark: SparkSession, sources: list[ChatSource], limits: ChatLimits
             r = r.where((F.col("cap") >= F.col("n")) | hit(i) | hit(i - 1) | hit(i + 1)).drop("_p", "n", "cap")
         if src.max_records > 0:
             p = numbered(r.join(yield_order(r, src), "thread"), ["_from", "thread", "segment"])
-            r = stride(p.join(F.broadcast(p.agg(F.count(F.lit(1)).alias("_n")))), "pos", F.col("_n"), src.max_records).drop("pos", "_n", "_from")
-        out.append(r.drop("first_pos"))
+            r = stride(p.join(F.broadcast(p.agg(F.count(F.lit(1)).alias("_n")))), "pos", F.col("_n"), src.max_records)
+            r = _told(rows, r, src, limits) if lean else r.drop("pos", "_n", "_from")
+        out.append(r.drop("first_pos").withColumn("source", F.lit(src.id)))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -45,3 +45,8 @@ def json_lines(rows: DataFrame, group: str, order: list[str], line: Column) -> D
     """``group, body``: the lines of each group in order, one after the other."""
     g = rows.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(*order, line.alias("_line")))).alias("_lines"))
     return g.select(group, F.concat(F.array_join(F.transform("_lines", lambda x: x["_line"]), "\n"), F.lit("\n")).alias("body"))
+
+
+def write_ordered(rows: DataFrame, order: list[str], line: Column, root: str) -> None:
+    """The lines of one stream in ``order``, in compressed files whose names count on: a task sorts and writes one range of them, so no row or task holds them all."""
+    rows.repartitionByRange(*order).sortWithinPartitions(*order, line).select(line.alias("value")).write.option("compression", "gzip").text(root)

@@ -33,17 +33,22 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")).where("trim(raw) <> ''")
 
 
-def read_ordered(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_ordered(spark: SparkSession, path: str | list[str], ordinal: str | None = None) -> DataFrame:
     """``file, line_no, raw`` of the non-blank lines: the order on which order-sensitive operators rely.
 
     Files are read in splits by many tasks. A line's number is its place in its split plus the lines of earlier splits of its file,
-    which come from a table of one row for each split.
+    which come from a table of one row for each split. ``ordinal`` names a further column: a number that grows by file name, then line.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
     splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.col("_id") - F.col("_first")
+    extra = []
+    if ordinal is not None:
+        splits = splits.withColumn("_all", F.coalesce(F.sum("_n").over(Window.orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        extra = [(own + F.col("_all")).alias(ordinal)]
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return lines.join(splits, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before")).alias("line_no"), "raw").where("trim(raw) <> ''")
+    return lines.join(F.broadcast(splits), ["file", "_block"]).select("file", (own + F.col("_before")).alias("line_no"), *extra, "raw").where("trim(raw) <> ''")
 
 
 def read_run(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -55,13 +60,14 @@ def read_run(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parsed(ordered: DataFrame, ddl: str, required: list[str] = ()) -> DataFrame:
     """Adds the fields of ``raw``; a line that misses a required field, or is no JSON, fails with its file and line."""
-    j = ordered.withColumn("j", F.from_json("raw", ddl))
+    # the mode is the default; with an option the optimizer does not read the line again for each field
+    j = ordered.withColumn("j", F.from_json("raw", ddl, {"mode": "PERMISSIVE"}))
     lacks: Column = F.col("j").isNull()
     for name in required:
-        lacks = lacks | F.get_json_object("raw", f"$.{name}").isNull()
+        lacks = lacks | F.col("j")[name].isNull()
     where = F.concat(F.col("file"), F.lit(":"), (F.col("line_no") + 1).cast("string"), F.lit(f": missing one of {', '.join(required) or 'the fields'}"))
     checked = F.when(lacks, F.raise_error(where).cast("boolean")).otherwise(F.lit(True))
-    return j.where(checked).select("file", "line_no", "raw", "j.*")
+    return j.where(checked).select(*ordered.columns, "j.*")
 
 
 def write_jsonl(df: DataFrame, path: str) -> int:

@@ -127,6 +127,44 @@ def test_stride_cap_follows_the_export(spark, tmp_path):
     assert [r["thread"] for r in chats.parse_all(spark, [source], chats.ChatLimits()).collect()] == ["z"]
 
 
+def test_capped_records_are_those_of_the_whole(spark, tmp_path):
+    """With a cap the texts are read after the choice: the same records as without one, over several files, and the strided ones of them."""
+    rows = [(f"c{i % 7}", f"2024-01-{1 + i // 50:02d}T00:{i % 50:02d}:00Z", ("me", "you", "they")[i * i % 3], f"text {i}") for i in range(400)]
+    lines = [json.dumps(dict(zip(("conversation_id", "ts", "sender", "text"), r))) for r in rows]
+    for k in (0, 1, 2):
+        (tmp_path / f"x{k}.jsonl").write_text("\n".join(lines[k * 150 : (k + 1) * 150]) + "\n")
+    limits = chats.ChatLimits(max_messages=5, min_chars=20, min_mean_chars=6.5)
+    made = lambda k: {(r["thread"], r["segment"]): r.asDict(True) for r in chats.parse_all(spark, [chats.ChatSource("g", "generic_jsonl", str(tmp_path), owner_sender="me", max_records=k)], limits).collect()}
+    whole = made(0)
+    assert len(whole) > 20 and made(10**6) == whole
+    some = made(9)
+    assert len(some) == 9 and all(whole[k] == r for k, r in some.items())
+
+
+def test_an_export_is_written_by_many_tasks(spark, tmp_path):
+    """Sessions of an export whose lines no single row, task or file holds: files of ranges in the order of their names."""
+    import glob
+    import gzip
+
+    from corpusloom import queries_io
+    from corpusloom.session import ensure_checkpoint_dir
+
+    rows = [(i * 7919 % 2000, "s", f"c{i * 7919 % 2000 // 4}", f"2024-01-01T00:00:{i % 60:02d}Z", "anna" if i % 2 else "bob", f"text {i * 7919 % 2000}") for i in range(2000)]
+    spark.createDataFrame(rows, "row_id bigint, source string, conversation_id string, ts string, sender string, text string").write.parquet(f"{tmp_path}/chat_messages.parquet")
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    known, was = set(glob.glob(f"{folder}/sessions-*")), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((int(r["thread"][1:]), r["segment"], r["n_messages"]) for r in queries_io.chat_records(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    (export,) = set(glob.glob(f"{folder}/sessions-*")) - known
+    parts = [[json.loads(x)["text"] for x in (gzip.open if p.endswith(".gz") else open)(p)] for p in sorted(glob.glob(f"{export}/*")) if not p.endswith("_SUCCESS")]
+    assert [t for p in parts for t in p] == [f"text {i}" for i in range(2000)] and max(map(len, parts)) < 1500
+    assert got == [(5 * i, 0, 4) for i in range(100)]
+
+
 def test_a_thousand_calls_in_a_turn(spark):
     """Positions are pairs of turn and call, so the calls of a long turn keep apart from the next turn's."""
     n = 1200
